@@ -74,31 +74,45 @@ def merge_pass(rows: DataFrame, merges: DataFrame, key: str = "piece") -> DataFr
 
 
 def merge_to_fixpoint(rows: DataFrame, merges: DataFrame, key: str = "piece",
-                      max_passes: int | None = None) -> DataFrame:
+                      max_passes: int | None = None, checkpoint_every: int = 4) -> DataFrame:
     """Repeat :func:`merge_pass` until no sequence changes.
 
-    Sequences leave the loop as soon as a pass finds nothing to merge; each
-    pass is checkpointed (reliable checkpoint, partitioning kept), so the
-    lineage stays one pass deep. Returns ``(key, codes array<int>)``.
+    Sequences leave the loop as soon as a pass finds nothing to merge. Each
+    pass is persisted; every ``checkpoint_every`` passes the active rows are
+    checkpointed (reliable, partitioning kept), so lineage -- and the
+    recomputation after a lost executor -- stays a few passes deep.
+    Returns ``(key, codes array<int>)``.
     """
+    def codes(df: DataFrame) -> DataFrame:
+        return df.groupBy(key).agg(F.transform(
+            F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]).alias("codes"))
+
+    if merges.isEmpty():
+        return codes(rows)
     merges_b = bounded_broadcast(merges.select("t1", "t2", "new_token"))
     active = cut_lineage(rows.repartition(key))
-    finished = []
+    held, finished = [], []
     n = 0
     while True:
         n += 1
-        step = cut_lineage(merge_pass(active, merges_b, key))
+        step = merge_pass(active, merges_b, key).persist()
+        held.append(step)
         finished.append(step.filter(~F.col("hit")).drop("hit"))
         active = step.filter(F.col("hit")).drop("hit")
-        if active.isEmpty() or (max_passes is not None and n >= max_passes):
-            if not active.isEmpty():
-                finished.append(active)
+        if active.isEmpty():
+            break
+        if max_passes is not None and n >= max_passes:
+            finished.append(active)
             break
+        if n % checkpoint_every == 0:
+            active = cut_lineage(active)
     done = finished[0]
     for f in finished[1:]:
         done = done.unionByName(f)
-    return done.groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]).alias("codes"))
+    out = cut_lineage(codes(done))
+    for h in held:
+        h.unpersist()
+    return out
 
 
 def piece_codes(pieces: DataFrame, vocab: DataFrame, merges: DataFrame | None) -> DataFrame:

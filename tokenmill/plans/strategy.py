@@ -13,5 +13,6 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it
     unchanged (shuffle join, AQE may still convert at run time)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    kept = df.persist()
+    n = kept.count()
+    return F.broadcast(kept) if n <= max_rows else kept

@@ -61,4 +61,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     does not shuffle again.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first so the checkpoint write does not recompute the plan.
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
