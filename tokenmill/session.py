@@ -66,3 +66,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def cut_lineage_lazily(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reliable checkpoint written by the *next* action on the result.
+
+    Returns ``(checkpointed, cached)``: the checkpointed frame's plan is a
+    leaf at once (loops do not grow their plans), and the first job that
+    reads it also fills ``cached``, from which the checkpoint files are
+    then written. Release ``cached`` with ``unpersist()`` after that job.
+    """
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    return cached.checkpoint(eager=False), cached
