@@ -6,11 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments
-from ..operators import encode, packing, sampling, vocab
+from ..operators import bpe, decode, encode, packing, sampling, vocab
 from ..sources import shards
 
 # Parameters of the registered queries.
@@ -24,6 +24,9 @@ MODEL_PARAMS = 124_000_000   # planning estimate -> expected shard count
 BUDGET_PARAMS = 50_000       # measured budget: 20 tokens per parameter
 SAMPLE = (0.01, 200_000)     # reference defaults
 SAMPLE_TIGHT = (0.2, 20_000)  # exercises the truncating character budget
+N_MERGES = 48                # merges learned by the registered training query
+N_TOP_PAIRS = 5
+N_PASS_MERGES = 30           # data-derived merge table for the one-pass query
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -166,6 +169,106 @@ def q_worker_stripes(spark, d):
     return s.groupBy("split", "worker").agg(F.count(F.lit(1)).alias("n_windows"))
 
 
+# --- BPE: training, encoding and decoding with merges -------------------------
+
+_TRAINED: dict[tuple, bpe.TrainedBPE] = {}
+
+
+def trained(spark: SparkSession, d: str) -> bpe.TrainedBPE:
+    """Tokenizer trained on the sample of shard 0 (reference semantics):
+    the initial vocabulary plus ``N_MERGES`` merges."""
+    key = (id(spark), d)
+    if key not in _TRAINED:
+        smp = sampling.training_sample(docs(spark, d), *SAMPLE)
+        blocks = bpe.sequence_blocks(smp)
+        n0 = vocab.initial_vocab(blocks.select(F.explode(F.split("s", "")).alias("ch")), SPECIALS).count()
+        res = bpe.train_bpe(blocks, n0 + N_MERGES, SPECIALS, "sequence")
+        res.vocab = res.vocab.cache()
+        res.merges = res.merges.cache()
+        _TRAINED[key] = res
+    return _TRAINED[key]
+
+
+def bpe_shard_tokens(spark, d):
+    t = trained(spark, d)
+    return encode.shard_tokens(docs(spark, d), t.vocab, t.merges, SPECIALS)
+
+
+def q_bpe_merges(spark, d):
+    t = trained(spark, d)
+    v = t.vocab.select(F.col("token").alias("new_token"), "text")
+    return t.merges.join(v, "new_token").select("rank", "t1", "t2", "new_token", "text")
+
+
+def q_vocab_after_merges(spark, d):
+    return trained(spark, d).vocab
+
+
+def q_vocab_collisions(spark, d):
+    c = vocab.vocab_collisions(trained(spark, d).vocab)
+    return c.select("text", "n_tokens", ints_to_text(F.col("tokens")).alias("tokens"))
+
+
+def q_encode_docs(spark, d):
+    return _tokens_text(bpe_shard_tokens(spark, d).withColumn("n_tokens", F.col("n_tokens").cast("long")))
+
+
+def q_decode_docs(spark, d):
+    """Round trip: decode(encode(text)) of every document with the trained
+    tokenizer; equals the text without dropped whitespace, plus EOT."""
+    return decode.decode_tokens(bpe_shard_tokens(spark, d), trained(spark, d).vocab)
+
+
+def q_piece_codes(spark, d):
+    t = trained(spark, d)
+    occ = encode.piece_occurrences(encode.doc_pieces(docs(spark, d), SPECIALS))
+    pc = encode.piece_codes(occ.filter(~F.col("special")), t.vocab, t.merges)
+    return pc.select("piece", ints_to_text(F.col("codes")).alias("codes"))
+
+
+def _corpus_piece_blocks(spark, d):
+    return bpe.piece_blocks(docs(spark, d), SPECIALS)
+
+
+def q_pair_counts(spark, d):
+    """A2 over every piece of the corpus (piece scope, character symbols)."""
+    c = bpe.pair_counts(_corpus_piece_blocks(spark, d), boundaries=False)
+    return c.select("pair", F.col("n").cast("long").alias("n"))
+
+
+def q_top_pairs(spark, d):
+    """A3: most frequent pairs, ties to the first occurrence."""
+    c = bpe.pair_counts(_corpus_piece_blocks(spark, d), boundaries=False)
+    top = c.orderBy(F.desc("n"), F.asc("first")).limit(N_TOP_PAIRS)
+    return top.select("pair", F.col("n").cast("long").alias("n"))
+
+
+def pass_merges(spark, d):
+    """A data-derived merge table: the most frequent character pairs of the
+    corpus pieces, new ids from 1000 in rank order."""
+    v = vocab.text_to_token(char_vocab(spark, d))
+    c = bpe.pair_counts(_corpus_piece_blocks(spark, d), boundaries=False)
+    top = c.orderBy(F.desc("n"), F.asc("first")).limit(N_PASS_MERGES)
+    ranked = top.select(F.substring("pair", 1, 1).alias("a"), F.substring("pair", 2, 1).alias("b"),
+                        F.row_number().over(Window.orderBy(F.desc("n"), F.asc("first"))).alias("r"))
+    v1 = v.select(F.col("text").alias("a"), F.col("token").alias("t1"))
+    v2 = v.select(F.col("text").alias("b"), F.col("token").alias("t2"))
+    return ranked.join(v1, "a").join(v2, "b").select(
+        "t1", "t2", (F.lit(999) + F.col("r")).cast("int").alias("new_token"))
+
+
+def q_merge_pass(spark, d):
+    """W3 + J4 + W4: one greedy pass of the data-derived merge table over
+    every distinct piece of the corpus."""
+    v = vocab.text_to_token(char_vocab(spark, d))
+    occ = encode.piece_occurrences(encode.doc_pieces(docs(spark, d), SPECIALS))
+    pcs = occ.filter(~F.col("special")).select("piece").distinct()
+    rows = encode._char_rows(pcs, v)
+    out = encode.merge_pass(rows, F.broadcast(pass_merges(spark, d)))
+    return out.groupBy("piece").agg(ints_to_text(F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_docs": q_scan_docs,
     "nonempty_docs": q_nonempty_docs,
@@ -186,4 +289,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_sizes": q_split_sizes,
     "token_windows": q_token_windows,
     "worker_stripes": q_worker_stripes,
+    "pair_counts": q_pair_counts,
+    "top_pairs": q_top_pairs,
+    "merge_pass": q_merge_pass,
+    "bpe_merges": q_bpe_merges,
+    "vocab_after_merges": q_vocab_after_merges,
+    "vocab_collisions": q_vocab_collisions,
+    "piece_codes": q_piece_codes,
+    "encode_docs": q_encode_docs,
+    "decode_docs": q_decode_docs,
 }

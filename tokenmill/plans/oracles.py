@@ -200,3 +200,43 @@ FROM bud WHERE before < {max_chars}"""
 
 ORACLES["training_sample"] = _sample_sql(*C.SAMPLE)
 ORACLES["training_sample_budget"] = _sample_sql(*C.SAMPLE_TIGHT)
+
+# --- pieces as a corpus of pair occurrences -------------------------------------
+OCC = f"""{DOCS}, {PIECES},
+occ AS (
+  SELECT shard_idx, row_idx, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS piece_idx FROM pc),
+pr AS (
+  SELECT shard_idx, row_idx, piece_idx, i, substring(piece, i, 2) AS pair
+  FROM (SELECT *, unnest(range(1, length(piece))) AS i FROM occ WHERE length(piece) >= 2)),
+pcount AS (
+  SELECT pair, COUNT(*) AS n, min({{'s': shard_idx, 'r': row_idx, 'p': piece_idx, 'i': i}}) AS first
+  FROM pr GROUP BY pair)"""
+
+ORACLES["pair_counts"] = f"WITH {OCC} SELECT pair, n FROM pcount"
+ORACLES["top_pairs"] = f"""WITH {OCC}
+SELECT pair, n FROM pcount ORDER BY n DESC, first LIMIT {C.N_TOP_PAIRS}"""
+
+ORACLES["merge_pass"] = f"""WITH {OCC}, {PREP}, {VOCAB},
+mtop AS (SELECT pair, row_number() OVER (ORDER BY n DESC, first) AS r
+         FROM pcount ORDER BY n DESC, first LIMIT {C.N_PASS_MERGES}),
+merges AS (
+  SELECT a.token AS t1, b.token AS t2, CAST(999 + r AS INTEGER) AS new_token
+  FROM mtop JOIN vocab a ON a.text = substring(pair, 1, 1) JOIN vocab b ON b.text = substring(pair, 2, 1)),
+dp AS (SELECT DISTINCT piece FROM occ),
+chars AS (SELECT piece, i, substring(piece, i, 1) AS ch
+          FROM (SELECT piece, unnest(range(1, length(piece) + 1)) AS i FROM dp)),
+toks AS (SELECT c.piece, c.i, v.token AS tok FROM chars c LEFT JOIN vocab v ON v.text = c.ch),
+nx AS (SELECT piece, i, tok, lead(tok) OVER (PARTITION BY piece ORDER BY i) AS nxt FROM toks),
+hit AS (SELECT nx.*, m.new_token, m.new_token IS NOT NULL AS h
+        FROM nx LEFT JOIN merges m ON m.t1 = nx.tok AND m.t2 = nx.nxt),
+isl AS (SELECT *, i - row_number() OVER (PARTITION BY piece, h ORDER BY i) AS grp FROM hit),
+off AS (SELECT *, row_number() OVER (PARTITION BY piece, h, grp ORDER BY i) - 1 AS k FROM isl),
+pk AS (SELECT *, h AND k % 2 = 0 AS pick FROM off),
+cons AS (SELECT *, coalesce(lag(pick) OVER (PARTITION BY piece ORDER BY i), false) AS consumed FROM pk)
+SELECT piece, array_to_string(list(CASE WHEN pick THEN new_token ELSE tok END ORDER BY i), ' ') AS codes
+FROM cons WHERE NOT consumed GROUP BY piece"""
+
+ORACLES["decode_docs"] = f"""WITH {DOCS}, {PIECES}
+SELECT d.shard_idx, d.row_idx, replace(array_to_string(pc.pieces, ''), '{MARK}', ' ') || '{EOT}' AS text
+FROM docs d JOIN pc ON pc.shard_idx = d.shard_idx AND pc.row_idx = d.row_idx
+WHERE d.text IS NOT NULL AND d.text <> ''"""
