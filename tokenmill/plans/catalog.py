@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments
-from ..operators import bpe, decode, encode, packing, sampling, vocab
+from ..functions.vectors import rule_matrix
+from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
 from ..sources import shards
 
 # Parameters of the registered queries.
@@ -269,6 +270,77 @@ def q_merge_pass(spark, d):
         F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
 
 
+# --- vector tables ----------------------------------------------------------------
+
+DIM = 64
+HEADS = 4
+TILE = 64
+# Weights of the vector queries (deterministic parameters, rule_matrix).
+FFN_W1_T = rule_matrix(4 * DIM, DIM, 0.5, 0.125)
+FFN_B1 = rule_matrix(1, 4 * DIM, 1.5, 0.01)[0]
+FFN_W2_T = rule_matrix(DIM, 4 * DIM, 2.5, 0.0625)
+FFN_B2 = rule_matrix(1, DIM, 3.5, 0.01)[0]
+PROJ_W_T = rule_matrix(16, DIM, 4.5, 0.125)
+PROJ_B = rule_matrix(1, 16, 5.5, 0.01)[0]
+
+
+def _explode_vec(df: DataFrame, keys: list[str], col: str, idx: str = "d", digits: int = 6) -> DataFrame:
+    return df.select(*keys, F.posexplode(col).alias(idx, "val")).select(
+        *keys, F.col(idx).cast("int").alias(idx), (F.round("val", digits) + F.lit(0.0)).alias("val"))
+
+
+def q_matmul_cells(spark, d):
+    li = table(spark, d, "lineitem")
+    a = li.groupBy(F.col("l_returnflag").alias("batch"), F.col("l_linenumber").alias("i"),
+                   F.month("l_shipdate").alias("k")).agg(F.sum("l_quantity").alias("v"))
+    b = li.groupBy(F.col("l_returnflag").alias("batch"), F.month("l_shipdate").alias("k"),
+                   F.col("l_linestatus").alias("j")).agg(F.sum("l_discount").alias("v"))
+    c = vectors.matmul_cells(a, b)
+    return c.select("batch", "i", "j", (F.round("v", 4) + F.lit(0.0)).alias("v"))
+
+
+def q_vector_standardize(spark, d):
+    emb = table(spark, d, "embeddings")
+    out, _ = vectors.standardize_vectors(emb, "embedding", DIM)
+    return _explode_vec(out, ["vec_id"], "out")
+
+
+def q_ffn_scores(spark, d):
+    emb = table(spark, d, "embeddings")
+    out, _ = vectors.score_ffn(emb, "embedding", FFN_W1_T, FFN_B1, FFN_W2_T, FFN_B2)
+    return _explode_vec(out, ["vec_id"], "out")
+
+
+def q_project_vectors(spark, d):
+    emb = table(spark, d, "embeddings")
+    out = vectors.project_vectors(emb, "embedding", PROJ_W_T, PROJ_B)
+    return _explode_vec(out, ["vec_id"], "out", "j")
+
+
+def q_embed_tokens(spark, d):
+    """Char-level windows embedded with the embeddings table as token table
+    (token t = row vec_id t) and as position table (position p = row p)."""
+    emb = table(spark, d, "embeddings")
+    tok = emb.select(F.col("vec_id").cast("int").alias("token"), F.col("embedding").alias("vec"))
+    pos = emb.select(F.col("vec_id").cast("int").alias("pos"), F.col("embedding").alias("vec"))
+    e = vectors.embed_tokens(_windows(spark, d), tok, pos)
+    sq = F.aggregate("emb", F.lit(0.0).cast("double"), lambda acc, x: acc + x * x)
+    return e.groupBy("split", "shard_idx", "chunk_idx").agg(F.round(F.sum(sq), 4).alias("sumsq"))
+
+
+def q_causal_pool(spark, d):
+    emb = table(spark, d, "embeddings")
+    out = vectors.causal_pool(emb, "label", "vec_id", "embedding", n_heads=HEADS, tile=TILE)
+    out = out.select(F.col("seq").cast("int").alias("label"), F.col("pos").alias("vec_id"), "out")
+    return _explode_vec(out, ["label", "vec_id"], "out")
+
+
+def q_group_softmax(spark, d):
+    ev = table(spark, d, "events")
+    p = vectors.group_softmax(ev.select("event_id", "user_id", "value"), "user_id", "value")
+    return p.select("event_id", "user_id", (F.round("p", 9) + F.lit(0.0)).alias("p"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_docs": q_scan_docs,
     "nonempty_docs": q_nonempty_docs,
@@ -298,4 +370,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "piece_codes": q_piece_codes,
     "encode_docs": q_encode_docs,
     "decode_docs": q_decode_docs,
+    "matmul_cells": q_matmul_cells,
+    "vector_standardize": q_vector_standardize,
+    "ffn_scores": q_ffn_scores,
+    "project_vectors": q_project_vectors,
+    "embed_tokens": q_embed_tokens,
+    "causal_pool": q_causal_pool,
+    "group_softmax": q_group_softmax,
 }

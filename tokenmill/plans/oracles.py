@@ -240,3 +240,78 @@ ORACLES["decode_docs"] = f"""WITH {DOCS}, {PIECES}
 SELECT d.shard_idx, d.row_idx, replace(array_to_string(pc.pieces, ''), '{MARK}', ' ') || '{EOT}' AS text
 FROM docs d JOIN pc ON pc.shard_idx = d.shard_idx AND pc.row_idx = d.row_idx
 WHERE d.text IS NOT NULL AND d.text <> ''"""
+
+# --- vector tables -----------------------------------------------------------------
+EMB = """e AS (
+  SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
+         CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS d FROM embeddings)"""
+
+
+def _rule(name: str, rows: int, cols: int, seed: float, scale: float, r: str = "r", c: str = "c") -> str:
+    return f"""{name} AS (
+  SELECT CAST(a.{r} AS INTEGER) AS {r}, CAST(b.{c} AS INTEGER) AS {c},
+         {scale!r} * sin({seed!r} + 0.37 * a.{r} + 0.11 * b.{c}) AS w
+  FROM range({rows}) a({r}), range({cols}) b({c}))"""
+
+
+ORACLES["matmul_cells"] = """WITH
+a AS (SELECT l_returnflag AS batch, l_linenumber AS i, month(l_shipdate) AS k, sum(l_quantity) AS v
+      FROM lineitem GROUP BY ALL),
+b AS (SELECT l_returnflag AS batch, month(l_shipdate) AS k, l_linestatus AS j, sum(l_discount) AS v
+      FROM lineitem GROUP BY ALL)
+SELECT a.batch, a.i, b.j, round(sum(a.v * b.v), 4) + 0.0 AS v
+FROM a JOIN b ON a.batch = b.batch AND a.k = b.k GROUP BY ALL"""
+
+ORACLES["vector_standardize"] = f"""WITH {EMB},
+st AS (SELECT vec_id, avg(x) AS mu, var_pop(x) AS var FROM e GROUP BY vec_id)
+SELECT e.vec_id, e.d, round((e.x - st.mu) / sqrt(st.var + 1e-5), 6) + 0.0 AS val
+FROM e JOIN st ON st.vec_id = e.vec_id"""
+
+ORACLES["ffn_scores"] = f"""WITH {EMB},
+{_rule('w1', C.DIM * 4, C.DIM, 0.5, 0.125, 'j', 'k')},
+{_rule('b1', 1, C.DIM * 4, 1.5, 0.01, 'z', 'j')},
+{_rule('w2', C.DIM, C.DIM * 4, 2.5, 0.0625, 'c', 'j')},
+{_rule('b2', 1, C.DIM, 3.5, 0.01, 'z', 'c')},
+h AS (
+  SELECT e.vec_id, w1.j, sum(e.x * w1.w) + any_value(b1.w) AS y
+  FROM e JOIN w1 ON w1.k = e.d JOIN b1 ON b1.j = w1.j GROUP BY e.vec_id, w1.j),
+g AS (SELECT vec_id, j, 0.5 * y * (1 + tanh(sqrt(2 / pi()) * (y + 0.044715 * y * y * y))) AS y FROM h),
+o AS (
+  SELECT g.vec_id, w2.c, sum(g.y * w2.w) + any_value(b2.w) AS y
+  FROM g JOIN w2 ON w2.j = g.j JOIN b2 ON b2.c = w2.c GROUP BY g.vec_id, w2.c)
+SELECT vec_id, c AS d, round(y, 6) + 0.0 AS val FROM o"""
+
+ORACLES["project_vectors"] = f"""WITH {EMB},
+{_rule('w', 16, C.DIM, 4.5, 0.125, 'j', 'k')},
+{_rule('b', 1, 16, 5.5, 0.01, 'z', 'j')},
+o AS (SELECT e.vec_id, w.j, sum(e.x * w.w) + any_value(b.w) AS y
+      FROM e JOIN w ON w.k = e.d JOIN b ON b.j = w.j GROUP BY e.vec_id, w.j)
+SELECT vec_id, j, round(y, 6) + 0.0 AS val FROM o"""
+
+ORACLES["embed_tokens"] = f"""WITH {WINDOWS},
+{EMB},
+ids AS (SELECT split, shard_idx, chunk_idx, unnest(w[1:{W - 1}]) AS token,
+               generate_subscripts(w[1:{W - 1}], 1) - 1 AS pos FROM windows),
+combo AS (
+  SELECT t.vec_id AS token, p.vec_id AS pos, sum((t.x + p.x) * (t.x + p.x)) AS ss
+  FROM e t JOIN e p ON p.d = t.d AND p.vec_id < {W - 1}
+  GROUP BY t.vec_id, p.vec_id)
+SELECT split, shard_idx, chunk_idx, round(sum(combo.ss), 4) + 0.0 AS sumsq
+FROM ids JOIN combo ON combo.token = ids.token AND combo.pos = ids.pos
+GROUP BY split, shard_idx, chunk_idx"""
+
+_HD = C.DIM // C.HEADS
+ORACLES["causal_pool"] = f"""WITH {EMB},
+sc AS (
+  SELECT q.label, q.vec_id AS qid, k.vec_id AS kid, q.d // {_HD} AS h, sum(q.x * k.x) / sqrt({_HD}) AS s
+  FROM e q JOIN e k ON k.label = q.label AND k.vec_id <= q.vec_id AND k.d = q.d
+  GROUP BY q.label, q.vec_id, k.vec_id, q.d // {_HD}),
+ex AS (SELECT *, exp(s - max(s) OVER (PARTITION BY qid, h)) AS ev FROM sc),
+wt AS (SELECT *, ev / sum(ev) OVER (PARTITION BY qid, h) AS a FROM ex),
+o AS (SELECT wt.label, wt.qid, v.d, sum(wt.a * v.x) AS y
+      FROM wt JOIN e v ON v.vec_id = wt.kid AND v.d // {_HD} = wt.h GROUP BY wt.label, wt.qid, v.d)
+SELECT label, qid AS vec_id, d, round(y, 6) + 0.0 AS val FROM o"""
+
+ORACLES["group_softmax"] = """WITH
+m AS (SELECT event_id, user_id, exp(value - max(value) OVER (PARTITION BY user_id)) AS ev FROM events)
+SELECT event_id, user_id, round(ev / sum(ev) OVER (PARTITION BY user_id), 9) + 0.0 AS p FROM m"""
