@@ -52,22 +52,20 @@ def _dim_split(df: DataFrame, col: str, dim: int) -> tuple[DataFrame, DataFrame]
 def standardize_vectors(df: DataFrame, col: str, dim: int, scale: Sequence[float] | None = None,
                         shift: Sequence[float] | None = None, unbiased: bool = False,
                         out: str = "out") -> tuple[DataFrame, DataFrame]:
-    """V2 (layer norm): returns ``(result, rejects)``; rows whose vector does
-    not have ``dim`` entries are rejected. Mean and deviation are computed
-    once per row as columns, then one ``transform`` over the vector."""
+    """V2 (layer norm): ``(x - mean) / sqrt(var + eps) * scale + shift`` per
+    vector, population variance unless ``unbiased``. Returns
+    ``(result, rejects)``; rows whose vector does not have ``dim`` entries
+    are rejected."""
     ok, bad = _dim_split(df, col, dim)
-    x = V.as_double(F.col(col))
-    n = F.size(col)
-    ok = ok.withColumn("_mu", V.vsum(x) / n)
-    ok = ok.withColumn("_ss", F.aggregate(x, F.lit(0.0).cast("double"),
-                                          lambda acc, e: acc + (e - F.col("_mu")) * (e - F.col("_mu"))))
-    ok = ok.withColumn("_sd", F.sqrt(F.col("_ss") / ((n - 1) if unbiased else n) + F.lit(V.LAYER_NORM_EPS)))
-    y = F.transform(x, lambda e: (e - F.col("_mu")) / F.col("_sd"))
-    if scale is not None:
-        y = F.zip_with(y, F.array(*[F.lit(float(v)) for v in scale]), lambda a, b: a * b)
-    if shift is not None:
-        y = F.zip_with(y, F.array(*[F.lit(float(v)) for v in shift]), lambda a, b: a + b)
-    return ok.withColumn(out, y).drop("_mu", "_ss", "_sd"), bad
+    g = np.ones(dim) if scale is None else np.asarray(scale, dtype=np.float64)
+    b = np.zeros(dim) if shift is None else np.asarray(shift, dtype=np.float64)
+    ddof = 1 if unbiased else 0
+
+    def norm(x: np.ndarray) -> np.ndarray:
+        mu = x.mean(axis=1, keepdims=True)
+        var = ((x - mu) ** 2).sum(axis=1, keepdims=True) / (x.shape[1] - ddof)
+        return (x - mu) / np.sqrt(var + V.LAYER_NORM_EPS) * g + b
+    return _dense_map(ok, col, out, norm), bad
 
 
 def _dense_map(df: DataFrame, col: str, out: str, fn) -> DataFrame:
