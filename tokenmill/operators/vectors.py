@@ -120,16 +120,16 @@ def embed_tokens(windows: DataFrame, token_emb: DataFrame, pos_emb: DataFrame,
     token yields NULL.
     """
     keys = [c for c in windows.columns if c not in (ids_col, "target_ids")]
-    n_pos = pos_emb.agg(F.max("pos")).first()[0]
-    longest = windows.agg(F.max(F.size(ids_col))).first()[0] or 0
-    if n_pos is None or longest - 1 > n_pos:
-        raise TokenmillError(f"sequence of {longest} positions exceeds the position table")
     ex = windows.select(*keys, F.posexplode(ids_col).alias("pos", "token"))
     te = bounded_broadcast(token_emb.select("token", V.as_double(F.col("vec")).alias("te")))
     pe = bounded_broadcast(pos_emb.select(F.col("pos").cast("int").alias("pos"),
                                           V.as_double(F.col("vec")).alias("pe")))
     j = ex.join(te, "token", "left").join(pe, "pos", "left")
-    return j.select(*keys, "pos", V.vadd(F.col("te"), F.col("pe")).alias("emb"))
+    # Checked in the same job: a position past the table fails the query.
+    pe_checked = F.when(F.col("pe").isNull(), F.raise_error(
+        F.format_string("position %d exceeds the position table", F.col("pos")))
+    ).otherwise(F.col("pe"))
+    return j.select(*keys, "pos", V.vadd(F.col("te"), pe_checked).alias("emb"))
 
 
 # --- V7: softmax inside groups ---------------------------------------------------

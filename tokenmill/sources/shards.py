@@ -25,6 +25,17 @@ DEFAULT_TOKENS_PER_PARAM = 20.0
 # ---------------------------------------------------------------------------
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan produced
+    fewer splits than cores (e.g. one file with one row group): the text
+    work that follows is per-row CPU work. A corpus of many files or row
+    groups is already split by the scan and is left alone (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def scan_shards(spark: SparkSession, path: str, text_column: str = TEXT_COLUMN) -> DataFrame:
     """Column-pruned scan of a directory of shard files.
 
@@ -33,12 +44,12 @@ def scan_shards(spark: SparkSession, path: str, text_column: str = TEXT_COLUMN)
     reference's file-by-file read is kept as columns, not as row order.
     """
     raw = spark.read.parquet(path)
-    return raw.select(
+    return spread(raw.select(
         F.regexp_extract(F.col("_metadata.file_name"), SHARD_NAME_PATTERN, 1)
         .cast("int").alias("shard_idx"),
         F.col("_metadata.row_index").cast("long").alias("row_idx"),
         F.col(text_column).alias("text"),
-    )
+    ))
 
 
 def documents_as_shards(docs: DataFrame, n_shards: int, id_column: str = "doc_id",
@@ -48,11 +59,11 @@ def documents_as_shards(docs: DataFrame, n_shards: int, id_column: str = "doc_id
     require(n_shards >= 1, "n_shards must be >= 1")
     require_columns(docs, [id_column, text_column], "documents_as_shards")
     doc_id = F.col(id_column).cast("long")
-    return docs.select(
+    return spread(docs.select(
         F.pmod(doc_id, F.lit(n_shards)).cast("int").alias("shard_idx"),
         F.floor(doc_id / n_shards).cast("long").alias("row_idx"),
         F.col(text_column).alias("text"),
-    )
+    ))
 
 
 def nonempty_docs(docs: DataFrame) -> DataFrame:
