@@ -90,3 +90,17 @@ def test_oov_policies(spark):
     assert [r.row_idx for r in kept] == [1]
     nulls = encode.shard_tokens(docs, v, None, [EOT], on_oov="null").orderBy("row_idx").collect()
     assert None in nulls[0].tokens
+
+
+def test_piece_scope_matches_model(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aab c\n") for _ in range(rng.randint(0, 30))) for _ in range(6)]
+    docs = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)],
+                                 "shard_idx int, row_idx long, text string")
+    in_order = [p for t in texts for p in M.pieces(t)]
+    n0 = len(M.initial_vocab(sorted({c for p in in_order for c in p}), [EOT]))
+    mt, mm = M.train_pieces(in_order, n0 + 10)
+    res = bpe.train_bpe(bpe.piece_blocks(docs), n0 + 10, [EOT], scope="piece")
+    got = [(r.t1, r.t2, r.new_token) for r in res.merges.orderBy("rank").collect()]
+    assert got == mm
+    assert [r.text for r in res.vocab.orderBy("token").collect()] == mt

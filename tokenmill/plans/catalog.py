@@ -190,6 +190,15 @@ def trained(spark: SparkSession, d: str) -> bpe.TrainedBPE:
     return _TRAINED[key]
 
 
+def q_bpe_merges_piece(spark, d):
+    """B1 in the scale mode: merges learned over every piece of the corpus."""
+    blocks = _corpus_piece_blocks(spark, d)
+    n0 = vocab.initial_vocab(blocks.select(F.explode(F.split("s", "")).alias("ch")), SPECIALS).count()
+    res = bpe.train_bpe(blocks, n0 + N_MERGES, SPECIALS, "piece")
+    v = res.vocab.select(F.col("token").alias("new_token"), "text")
+    return res.merges.join(v, "new_token").select("rank", "t1", "t2", "new_token", "text")
+
+
 def bpe_shard_tokens(spark, d):
     t = trained(spark, d)
     return encode.shard_tokens(docs(spark, d), t.vocab, t.merges, SPECIALS)
@@ -365,6 +374,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_pairs": q_top_pairs,
     "merge_pass": q_merge_pass,
     "bpe_merges": q_bpe_merges,
+    "bpe_merges_piece": q_bpe_merges_piece,
     "vocab_after_merges": q_vocab_after_merges,
     "vocab_collisions": q_vocab_collisions,
     "piece_codes": q_piece_codes,
