@@ -20,6 +20,8 @@ from ..validation import TokenmillError, require, require_columns
 from .vocab import text_to_token
 
 DOC_KEYS = ("shard_idx", "row_idx")
+# Distinct-piece dictionaries up to this many rows are broadcast for the join back.
+DICTIONARY_BROADCAST_ROWS = 1_000_000
 OOV_MODES = ("reject", "null", "fail")
 
 
@@ -90,28 +92,32 @@ def merge_to_fixpoint(rows: DataFrame, merges: DataFrame, key: str = "piece",
     if merges.isEmpty():
         return codes(rows)
     merges_b = bounded_broadcast(merges.select("t1", "t2", "new_token"))
-    active = cut_lineage(rows.repartition(key))
+    active = rows.repartition(key).persist()
+    first = active
     held, finished = [], []
     n = 0
     while True:
         n += 1
         step = merge_pass(active, merges_b, key).persist()
         held.append(step)
-        finished.append(step.filter(~F.col("hit")).drop("hit"))
+        # Rows of a pass stay hash-partitioned by key: grouping the finished
+        # sequences here needs no shuffle.
+        finished.append(codes(step.filter(~F.col("hit")).drop("hit")))
         active = step.filter(F.col("hit")).drop("hit")
         if active.isEmpty():
             break
         if max_passes is not None and n >= max_passes:
-            finished.append(active)
+            finished.append(codes(active))
             break
         if n % checkpoint_every == 0:
             active = cut_lineage(active)
     done = finished[0]
     for f in finished[1:]:
         done = done.unionByName(f)
-    out = cut_lineage(codes(done))
-    for h in held:
+    out = cut_lineage(done)
+    for h in reversed(held):
         h.unpersist()
+    first.unpersist()
     return out
 
 
@@ -199,6 +205,9 @@ def encode_docs(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = No
     if dictionary is None:
         dictionary = piece_codes(pieces.filter(~F.col("special")), vocab, merges)
     lookup = bounded_broadcast(text_to_token(vocab))
+    # The dictionary has one row per distinct piece: broadcast it when the
+    # count check allows, so the occurrences are shuffled once (by document).
+    dictionary = bounded_broadcast(dictionary, DICTIONARY_BROADCAST_ROWS)
     std = pieces.filter(~F.col("special")).join(dictionary, "piece", "left")
     spc = (pieces.filter(F.col("special"))
            .join(lookup.withColumnRenamed("text", "piece"), "piece", "left")
