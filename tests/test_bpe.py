@@ -104,3 +104,11 @@ def test_piece_scope_matches_model(spark):
     got = [(r.t1, r.t2, r.new_token) for r in res.merges.orderBy("rank").collect()]
     assert got == mm
     assert [r.text for r in res.vocab.orderBy("token").collect()] == mt
+
+
+def test_extend_vocab_rebuilds_trained_texts(spark):
+    res, merges, texts_v, _ = _train(spark, ["the cat sat on the mat", "that hat"], 12)
+    base = res.vocab.filter("kind != 'merge'")
+    rebuilt = vocab.extend_vocab(base, res.merges)
+    assert sorted(tuple(r) for r in rebuilt.collect()) == sorted(tuple(r) for r in res.vocab.collect())
+    assert vocab.vocab_size(rebuilt).first()["n_tokens"] == len(texts_v)

@@ -17,7 +17,7 @@ from ..functions.text import EOT, segment_pieces, special_segments
 from ..plans.strategy import bounded_broadcast
 from ..session import cut_lineage
 from ..validation import TokenmillError, require, require_columns
-from .vocab import text_to_token
+from .vocab import char_id, char_id_maps, map_literal, text_to_token
 
 DOC_KEYS = ("shard_idx", "row_idx")
 # Distinct-piece dictionaries up to this many rows are broadcast for the join back.
@@ -141,48 +141,18 @@ def piece_codes(pieces: DataFrame, vocab: DataFrame, merges: DataFrame | None) -
     return known.unionByName(merged)
 
 
-# A vocabulary without merges is looked up through map literals when its
-# non-base part has at most this many entries (bounded by the alphabet).
-MAX_MAP_ENTRIES = 20_000
-
-
-def _char_vocab_maps(vocab: DataFrame) -> tuple[dict, dict] | None:
-    """For a vocabulary whose characters 0..255 have their code point as id:
-    the remaining entries as ``(single-char map, multi-char map)``, or None
-    when that does not hold or the rest is too large for literals."""
-    t2t = text_to_token(vocab)
-    is_base = (F.length("text") == 1) & (F.ascii("text") < 256) & (F.col("token") == F.ascii("text"))
-    if t2t.filter(is_base).count() != 256:
-        return None
-    rest = t2t.filter(~is_base)
-    if rest.count() > MAX_MAP_ENTRIES:
-        return None
-    rows = rest.collect()  # bounded above
-    return ({r["text"]: r["token"] for r in rows if len(r["text"]) == 1},
-            {r["text"]: r["token"] for r in rows if len(r["text"]) != 1})
-
-
-def _map_lit(d: dict) -> Column:
-    if not d:
-        return F.create_map().cast("map<string,int>")
-    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v).cast("int"))])
-
-
 def _encode_without_merges(docs: DataFrame, singles: dict, multis: dict,
                            specials: Sequence[str], special_mode: str) -> DataFrame:
     """E1 for a merge-free vocabulary in one map-only stage: each piece is
     looked up whole, else character by character (code point for 0..255,
     else the single-character map); no shuffle, no dictionary join."""
     keys = [c for c in docs.columns if c != "text"]
-    sm, mm = _map_lit(singles), _map_lit(multis)
-
-    def char_id(c: Column) -> Column:
-        cp = F.ascii(c)
-        return F.when(cp < 256, cp).otherwise(F.element_at(sm, c))
+    sm, mm = map_literal(singles), map_literal(multis)
 
     def codes(p: Column) -> Column:
-        whole = F.when(F.length(p["piece"]) == 1, char_id(p["piece"])).otherwise(F.element_at(mm, p["piece"]))
-        per_char = F.transform(F.split(p["piece"], ""), char_id)
+        whole = F.when(F.length(p["piece"]) == 1, char_id(p["piece"], sm)) \
+            .otherwise(F.element_at(mm, p["piece"]))
+        per_char = F.transform(F.split(p["piece"], ""), lambda c: char_id(c, sm))
         return F.when(p["special"] | whole.isNotNull(), F.array(whole)).otherwise(per_char)
 
     pcs = segment_pieces(special_segments(F.col("text"), list(specials), special_mode))
@@ -196,7 +166,7 @@ def encode_docs(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = No
     characters or unknown specials). ``dictionary`` may pass a prebuilt
     ``piece_codes`` table covering the corpus's standard pieces."""
     if dictionary is None and (merges is None or merges.isEmpty()):
-        maps = _char_vocab_maps(vocab)
+        maps = char_id_maps(vocab)
         if maps is not None:
             return _encode_without_merges(docs, maps[0], maps[1], specials, special_mode)
     # Used twice (distinct pieces, join back): keep it instead of re-running the regexes.
