@@ -1,7 +1,6 @@
 """Sampling, planning, sinks, incremental processing."""
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from tokenmill.operators import encode, sampling, vocab
