@@ -50,3 +50,12 @@ def test_split_invalid_name(spark):
     w = packing.token_windows(_tokens_df(spark, [[[1, 2, 3]]]), 1, 0, 0)
     with pytest.raises(TokenmillError):
         packing.select_split(w, "dev")
+
+
+def test_worker_export(spark, scratch):
+    from tokenmill.sources import sinks
+    w = packing.token_windows(_tokens_df(spark, [[list(range(40))], [list(range(30))], [list(range(20))]]), 3, 8, 4)
+    sinks.write_windows(w, scratch + "/win", 2)
+    back = spark.read.parquet(scratch + "/win")
+    got = {(r.split, r.worker): r["count"] for r in back.groupBy("split", "worker").count().collect()}
+    assert got == {("val", 0): 2, ("test", 0): 1, ("train", 0): 7 + 5, ("train", 1): 7}

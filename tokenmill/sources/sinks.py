@@ -50,3 +50,13 @@ def write_tokenizer(vocab: DataFrame, merges: DataFrame, path: str) -> None:
 
 def read_tokenizer(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges")
+
+
+def write_windows(windows: DataFrame, path: str, num_workers: int) -> None:
+    """C4 export: every split's windows with their loader worker, partitioned
+    by ``(split, worker)`` so that each data-loader worker reads one
+    directory. Validation and test windows are kept once (worker 0)."""
+    from ..operators.packing import worker_stripes
+    striped = worker_stripes(windows, num_workers)
+    (striped.repartition("split", "worker", "shard_idx")
+     .write.mode("overwrite").partitionBy("split", "worker").parquet(path))
