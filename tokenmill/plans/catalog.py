@@ -350,6 +350,44 @@ def q_group_softmax(spark, d):
     return p.select("event_id", "user_id", (F.round("p", 9) + F.lit(0.0)).alias("p"))
 
 
+N_LEVEL2_MERGES = 20
+
+
+def two_level_merges(spark, d):
+    """A data-derived merge table with merges on merges: level 1 is
+    :func:`pass_merges` (ids from 1000); one pass of it over every distinct
+    piece, then the most frequent adjacent pairs that involve a level-1 token
+    (occurrence-weighted, ties by ids) become level 2 (ids from 2000).
+    Returns ``(vocab, merges)`` extending the character vocabulary."""
+    cv = char_vocab(spark, d)
+    v = vocab.text_to_token(cv)
+    blocks = _corpus_piece_blocks(spark, d)
+    l1 = pass_merges(spark, d).cache()
+    rows = encode._char_rows(blocks.select(F.col("s").alias("piece")), v)
+    passed = encode.merge_pass(rows, F.broadcast(l1))
+    w = Window.partitionBy("piece").orderBy("pos")
+    adj = passed.withColumn("nxt", F.lead("tok").over(w)).filter(
+        F.col("nxt").isNotNull() & ((F.col("tok") >= 1000) | (F.col("nxt") >= 1000)))
+    freq = blocks.select(F.col("s").alias("piece"), "w")
+    cnt = adj.join(freq, "piece").groupBy(F.col("tok").alias("t1"), F.col("nxt").alias("t2")) \
+        .agg(F.sum("w").alias("n"))
+    order = [F.desc("n"), F.asc("t1"), F.asc("t2")]
+    l2 = cnt.orderBy(*order).limit(N_LEVEL2_MERGES).select(
+        "t1", "t2", (F.lit(1999) + F.row_number().over(Window.orderBy(*order))).cast("int").alias("new_token"))
+    merges = l1.unionByName(l2).withColumn("rank", F.col("new_token")).cache()
+    ext = vocab.extend_vocab(cv.select("token", "text", "kind"), merges)
+    return ext, merges
+
+
+def q_encode_two_level(spark, d):
+    """E2 + E3 to the fixpoint with merges on merges: every distinct piece of
+    the corpus, whole-piece lookup first."""
+    ext, merges = two_level_merges(spark, d)
+    occ = encode.piece_occurrences(encode.doc_pieces(docs(spark, d), SPECIALS))
+    pc = encode.piece_codes(occ.filter(~F.col("special")), ext, merges)
+    return pc.select("piece", ints_to_text(F.col("codes")).alias("codes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_docs": q_scan_docs,
     "nonempty_docs": q_nonempty_docs,
@@ -373,6 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_counts": q_pair_counts,
     "top_pairs": q_top_pairs,
     "merge_pass": q_merge_pass,
+    "encode_two_level": q_encode_two_level,
     "bpe_merges": q_bpe_merges,
     "bpe_merges_piece": q_bpe_merges_piece,
     "vocab_after_merges": q_vocab_after_merges,

@@ -315,3 +315,58 @@ SELECT label, qid AS vec_id, d, round(y, 6) + 0.0 AS val FROM o"""
 ORACLES["group_softmax"] = """WITH
 m AS (SELECT event_id, user_id, exp(value - max(value) OVER (PARTITION BY user_id)) AS ev FROM events)
 SELECT event_id, user_id, round(ev / sum(ev) OVER (PARTITION BY user_id), 9) + 0.0 AS p FROM m"""
+
+
+def _pass(inp: str, out: str, merges: str) -> str:
+    """One greedy left-to-right pass of ``merges`` over ``inp(piece, i, tok)``."""
+    return f"""{out}_h AS (
+  SELECT x.*, m.new_token, m.new_token IS NOT NULL AS h,
+         row_number() OVER (PARTITION BY x.piece ORDER BY x.i) AS rn
+  FROM (SELECT piece, i, tok, lead(tok) OVER (PARTITION BY piece ORDER BY i) AS nxt FROM {inp}) x
+  LEFT JOIN {merges} m ON m.t1 = x.tok AND m.t2 = x.nxt),
+{out}_k AS (
+  SELECT *, row_number() OVER (PARTITION BY piece, h, grp ORDER BY i) - 1 AS k
+  FROM (SELECT *, rn - row_number() OVER (PARTITION BY piece, h ORDER BY i) AS grp FROM {out}_h)),
+{out}_c AS (
+  SELECT *, coalesce(lag(h AND k % 2 = 0) OVER (PARTITION BY piece ORDER BY i), false) AS consumed
+  FROM {out}_k),
+{out} AS (
+  SELECT piece, i, CASE WHEN h AND k % 2 = 0 THEN new_token ELSE tok END AS tok
+  FROM {out}_c WHERE NOT consumed)"""
+
+
+ORACLES["encode_two_level"] = f"""WITH {OCC}, {PREP}, {VOCAB},
+mtop AS (SELECT pair, row_number() OVER (ORDER BY n DESC, first) AS r
+         FROM pcount ORDER BY n DESC, first LIMIT {C.N_PASS_MERGES}),
+l1 AS (
+  SELECT a.token AS t1, b.token AS t2, CAST(999 + r AS INTEGER) AS new_token, pair AS text
+  FROM mtop JOIN vocab a ON a.text = substring(pair, 1, 1) JOIN vocab b ON b.text = substring(pair, 2, 1)),
+pf AS (SELECT piece, COUNT(*) AS f FROM occ GROUP BY piece),
+chars AS (SELECT piece, i, substring(piece, i, 1) AS ch
+          FROM (SELECT piece, unnest(range(1, length(piece) + 1)) AS i FROM pf)),
+c0 AS (SELECT c.piece, c.i, v.token AS tok FROM chars c LEFT JOIN vocab v ON v.text = c.ch),
+{_pass('c0', 'q1', 'l1')},
+adj AS (
+  SELECT q.piece, q.tok AS t1, lead(q.tok) OVER (PARTITION BY q.piece ORDER BY q.i) AS t2 FROM q1 q),
+l2c AS (
+  SELECT adj.t1, adj.t2, sum(pf.f) AS n FROM adj JOIN pf ON pf.piece = adj.piece
+  WHERE adj.t2 IS NOT NULL AND (adj.t1 >= 1000 OR adj.t2 >= 1000) GROUP BY adj.t1, adj.t2),
+l2 AS (
+  SELECT t1, t2, CAST(1999 + row_number() OVER (ORDER BY n DESC, t1, t2) AS INTEGER) AS new_token
+  FROM l2c ORDER BY n DESC, t1, t2 LIMIT {C.N_LEVEL2_MERGES}),
+allm AS (SELECT t1, t2, new_token FROM l1 UNION ALL SELECT t1, t2, new_token FROM l2),
+txt AS (
+  SELECT token, text FROM vocab
+  UNION ALL SELECT new_token, text FROM l1
+  UNION ALL SELECT l2.new_token, x1.text || x2.text FROM l2
+    JOIN (SELECT token, text FROM vocab UNION ALL SELECT new_token, text FROM l1) x1 ON x1.token = l2.t1
+    JOIN (SELECT token, text FROM vocab UNION ALL SELECT new_token, text FROM l1) x2 ON x2.token = l2.t2),
+t2t AS (SELECT text, max(token) AS token FROM txt GROUP BY text),
+whole AS (SELECT pf.piece, t2t.token FROM pf JOIN t2t ON t2t.text = pf.piece),
+e0 AS (SELECT * FROM c0 WHERE piece NOT IN (SELECT piece FROM whole)),
+{_pass('e0', 'e1', 'allm')},
+{_pass('e1', 'e2', 'allm')},
+{_pass('e2', 'e3', 'allm')}
+SELECT piece, CAST(token AS VARCHAR) AS codes FROM whole
+UNION ALL
+SELECT piece, array_to_string(list(tok ORDER BY i), ' ') AS codes FROM e3 GROUP BY piece"""
