@@ -41,3 +41,22 @@ def test_oracles_match_on_small_data(spark):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+def test_results_invariant_to_partitioning_and_aqe(spark):
+    """Same rows whatever the shuffle partition count or AQE setting."""
+    def run(name):
+        df = C.QUERIES[name](spark, SF)
+        return sorted(tuple(r) for r in df.collect())
+    names = ("token_windows", "pair_counts", "causal_pool")
+    base = {n: run(n) for n in names}
+    old_p = spark.conf.get("spark.sql.shuffle.partitions")
+    old_a = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for n in names:
+            assert run(n) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old_p)
+        spark.conf.set("spark.sql.adaptive.enabled", old_a)
