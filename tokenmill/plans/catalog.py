@@ -300,9 +300,10 @@ def _explode_vec(df: DataFrame, keys: list[str], col: str, idx: str = "d", digit
 
 def q_matmul_cells(spark, d):
     li = table(spark, d, "lineitem")
-    a = li.groupBy(F.col("l_returnflag").alias("batch"), F.col("l_linenumber").alias("i"),
-                   F.month("l_shipdate").alias("k")).agg(F.sum("l_quantity").alias("v"))
-    b = li.groupBy(F.col("l_returnflag").alias("batch"), F.month("l_shipdate").alias("k"),
+    # Cells keyed by plain columns only (no time-zone dependent keys).
+    a = li.groupBy(F.col("l_returnflag").alias("batch"), F.col("l_linestatus").alias("i"),
+                   F.col("l_linenumber").alias("k")).agg(F.sum("l_quantity").alias("v"))
+    b = li.groupBy(F.col("l_returnflag").alias("batch"), F.col("l_linenumber").alias("k"),
                    F.col("l_linestatus").alias("j")).agg(F.sum("l_discount").alias("v"))
     c = vectors.matmul_cells(a, b)
     return c.select("batch", "i", "j", (F.round("v", 4) + F.lit(0.0)).alias("v"))

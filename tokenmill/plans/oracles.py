@@ -255,9 +255,9 @@ def _rule(name: str, rows: int, cols: int, seed: float, scale: float, r: str = "
 
 
 ORACLES["matmul_cells"] = """WITH
-a AS (SELECT l_returnflag AS batch, l_linenumber AS i, month(l_shipdate) AS k, sum(l_quantity) AS v
+a AS (SELECT l_returnflag AS batch, l_linestatus AS i, l_linenumber AS k, sum(l_quantity) AS v
       FROM lineitem GROUP BY ALL),
-b AS (SELECT l_returnflag AS batch, month(l_shipdate) AS k, l_linestatus AS j, sum(l_discount) AS v
+b AS (SELECT l_returnflag AS batch, l_linenumber AS k, l_linestatus AS j, sum(l_discount) AS v
       FROM lineitem GROUP BY ALL)
 SELECT a.batch, a.i, b.j, round(sum(a.v * b.v), 4) + 0.0 AS v
 FROM a JOIN b ON a.batch = b.batch AND a.k = b.k GROUP BY ALL"""
