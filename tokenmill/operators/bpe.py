@@ -220,6 +220,8 @@ def train_bpe(blocks: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT
     require(max_per_round >= 1, "max_per_round must be >= 1")
     spark = blocks.sparkSession
     boundaries = scope == "sequence"
+    # Read twice below (alphabet, initial state): keep it.
+    blocks = blocks.persist()
     chars = blocks.select(F.explode(F.array_distinct(F.split("s", ""))).alias("ch")) \
         .filter(F.col("ch") != "").distinct()
     vocab0 = cut_lineage(initial_vocab(chars, specials))
@@ -235,6 +237,7 @@ def train_bpe(blocks: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT
     merges: list[tuple[int, int, int, int]] = []
 
     state = cut_lineage(blocks.select("bkey", "s", "w").filter(F.length("s") > 0).repartition("bkey"))
+    blocks.unpersist()
     # Blocks only shrink, so this count bounds every per-block flag table.
     small = state.count() <= DEFAULT_BROADCAST_ROWS
     rounds = 0

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments
 from ..functions.vectors import rule_matrix
 from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
+from ..session import cut_lineage
 from ..sources import shards
 
 # Parameters of the registered queries.
@@ -181,7 +182,7 @@ def trained(spark: SparkSession, d: str) -> bpe.TrainedBPE:
     key = (id(spark), d)
     if key not in _TRAINED:
         smp = sampling.training_sample(docs(spark, d), *SAMPLE)
-        blocks = bpe.sequence_blocks(smp)
+        blocks = cut_lineage(bpe.sequence_blocks(smp))
         n0 = vocab.initial_vocab(blocks.select(F.explode(F.split("s", "")).alias("ch")), SPECIALS).count()
         res = bpe.train_bpe(blocks, n0 + N_MERGES, SPECIALS, "sequence")
         res.vocab = res.vocab.cache()
@@ -192,7 +193,7 @@ def trained(spark: SparkSession, d: str) -> bpe.TrainedBPE:
 
 def q_bpe_merges_piece(spark, d):
     """B1 in the scale mode: merges learned over every piece of the corpus."""
-    blocks = _corpus_piece_blocks(spark, d)
+    blocks = cut_lineage(_corpus_piece_blocks(spark, d))
     n0 = vocab.initial_vocab(blocks.select(F.explode(F.split("s", "")).alias("ch")), SPECIALS).count()
     res = bpe.train_bpe(blocks, n0 + N_MERGES, SPECIALS, "piece")
     v = res.vocab.select(F.col("token").alias("new_token"), "text")
