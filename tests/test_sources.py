@@ -73,3 +73,23 @@ def test_tokenizer_roundtrip_on_disk(spark, scratch):
     sinks.write_tokenizer(v, m, scratch + "/tok")
     v2, m2 = sinks.read_tokenizer(spark, scratch + "/tok")
     assert v2.collect() == v.collect() and m2.collect() == m.collect()
+
+
+def test_end_to_end_pipeline(spark, scratch):
+    """Raw shard files -> trained tokenizer on disk -> cached token shards
+    -> windows, equal to the same steps on in-memory tables."""
+    from tokenmill.operators import packing
+    os.makedirs(os.path.join(scratch, "raw"))
+    _write_raw(spark, scratch, 2)
+    raw = shards.scan_shards(spark, os.path.join(scratch, "raw"))
+    tok_path = os.path.join(scratch, "tokenizer")
+    trained = corpus.train_tokenizer_job(raw, 258 + 20, tok_path, shard_fraction=0.1, max_chars=5_000)
+    v, m = sinks.read_tokenizer(spark, tok_path)
+    assert m.count() == trained.merges.count() == 20
+    tok_dir = os.path.join(scratch, "tokens")
+    corpus.tokenize_and_cache_shards(spark, raw, v, m, tok_dir)
+    got = corpus.windows_job(spark, tok_dir, 16, 300, 200)
+    want = packing.token_windows(encode.shard_tokens(raw, trained.vocab, trained.merges, [EOT]), 16, 300, 200)
+    key = ["split", "shard_idx", "chunk_idx"]
+    assert sorted(map(tuple, got.orderBy(key).collect())) == sorted(map(tuple, want.orderBy(key).collect()))
+    assert got.count() > 0
