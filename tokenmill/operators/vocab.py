@@ -73,8 +73,9 @@ def vocab_size(vocab: DataFrame) -> DataFrame:
 
 
 # A vocabulary is looked up through map literals when the part that is not
-# "character c (0..255) has id c" has at most this many entries.
-MAX_MAP_ENTRIES = 20_000
+# "character c (0..255) has id c" has at most this many entries (map
+# literals are searched linearly, so this stays small).
+MAX_MAP_ENTRIES = 256
 
 
 def char_id_maps(vocab: DataFrame) -> tuple[dict, dict] | None:
