@@ -112,3 +112,16 @@ def test_extend_vocab_rebuilds_trained_texts(spark):
     rebuilt = vocab.extend_vocab(base, res.merges)
     assert sorted(tuple(r) for r in rebuilt.collect()) == sorted(tuple(r) for r in res.vocab.collect())
     assert vocab.vocab_size(rebuilt).first()["n_tokens"] == len(texts_v)
+
+
+def test_text_collisions_keep_the_larger_id(spark):
+    # (a, bc) and (ab, c) both give "abc": the lookup keeps the later id, and
+    # the collision is reported instead of raising.
+    rows = [(97, "a", "base"), (98, "b", "base"), (99, "c", "base"), (300, "ab", "merge"),
+            (301, "bc", "merge"), (302, "abc", "merge"), (303, "abc", "merge")]
+    v = spark.createDataFrame(rows, "token int, text string, kind string")
+    t2t = {r.text: r.token for r in vocab.text_to_token(v).collect()}
+    assert t2t["abc"] == 303
+    col = vocab.vocab_collisions(v).collect()
+    assert [(r.text, r.n_tokens, list(r.tokens)) for r in col] == [("abc", 2, [302, 303])]
+    assert tuple(vocab.vocab_size(v).first()) == (7, 6)
