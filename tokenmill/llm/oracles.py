@@ -61,4 +61,13 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
-ORACLES = {"op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}
+TOP_K = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i]))::BIGINT AS score
+      FROM e q JOIN e x ON q.vec_id <> x.vec_id AND q.vec_id % 50 = 0 AND len(q.v) = len(x.v))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s) WHERE rank <= 5
+"""
+
+ORACLES = {"op10_top_k": TOP_K, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}

@@ -4,16 +4,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding, url_rules, warc
+from . import cover_tree, decontaminate, html_text, language_id, lm_scoring, mixing, sharding, simhash, url_rules, warc
 from .common import table
 
 
+def op1_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, d, "documents"))
+
+
 def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     placed = sharding.assign_shards(docs, sharding.document_key(F.col("doc_id"), F.col("text")))
     return placed.select("doc_id", "slot", "shard")
 
 
+def op3_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language_id.identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_sources(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -39,10 +48,27 @@ def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "confidence")
 
 
+def op8_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+def op9_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extract_text(table(spark, d, "pages"))
+
+
+def op10_top_k(spark: SparkSession, d: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_sharding": op2_sharding,
+    "op3_language_id": op3_language_id,
     "op4_mixing": op4_mixing,
     "op5_decontamination": op5_decontamination,
     "op6_warc_revisits": op6_warc_revisits,
     "op7_url_filter": op7_url_filter,
+    "op8_simhash": op8_simhash,
+    "op9_html_text": op9_html_text,
+    "op10_top_k": op10_top_k,
 }
