@@ -39,7 +39,7 @@ END = b"\n"
 MODEL_WORDS, CLASSES = 1984, 64
 #: Words whose counts are shipped to the executors.
 HEAD = 1 << 18
-DIMENSIONS, NOISE, STEPS, RATE, SEED = 32, 10, 120, 0.05, 7
+DIMENSIONS, NOISE, STEPS, RATE, SEED = 32, 10, 60, 0.08, 7
 #: Contexts of one matrix product.
 ROWS = 512
 FOLDS, HELD_OUT = 7, 2
