@@ -29,11 +29,17 @@ def token_count(c: Column) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(TOKEN)), F.lit(0)).cast("long")
 
 
-def replace_columns(df: DataFrame, new: list[Column], names: list[str]) -> DataFrame:
-    """The columns of ``df`` in their order, without those called like a new one,
-    then the new ones: an operator's output replaces a clashing extra column."""
-    lower = {n.lower() for n in names}
-    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in lower], *new)
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """All columns of ``df`` as the struct ``__row``, with further columns over ``df``: whatever
+    the input's columns are called, an operator's own names cannot clash with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *more)
+
+
+def unpacked(df: DataFrame, like: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``like`` out of ``__row``, then the new ones; a new column replaces an
+    input column of its name."""
+    keep = [c for c in like.columns if c.lower() not in {n.lower() for n in new}]
+    return df.select(*[F.col("__row").getField(c).alias(c) for c in keep], *[c.alias(n) for n, c in new.items()])
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:

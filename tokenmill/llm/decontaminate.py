@@ -15,15 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import ascii_lower, materialise, packed, unpacked
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: The hash set is broadcast up to this many bytes (hash, words and item ids of every window).
 BROADCAST_BYTES = 64 << 20
 
-OUTPUTS = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-
 
 def words(text: Column) -> Column:
     """The normalised words of a text; an empty array for null."""
@@ -145,8 +143,9 @@ def remove_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     bad = find_hits(docs, items, id_col, text_col, **kw).filter(F.size("spans") > 0).select(
         F.col("id").alias("__id"), F.col("digest").alias("__digest"))
     # A hit has a text, hence a digest; the id may be null.
-    digest = F.md5(F.col(text_col))
-    return docs.join(bad, (digest == F.col("__digest")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    rows = packed(docs, F.md5(F.col(text_col)).alias("__text"), F.col(id_col).alias("__key"))
+    return unpacked(rows.join(bad, (F.col("__text") == F.col("__digest")) & F.col("__key").eqNullSafe(F.col("__id")),
+                              "left_anti"), docs)
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -157,15 +156,15 @@ def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """
     spans = find_hits(docs, items, id_col, text_col, **kw).filter(F.size("spans") > 0).select(
         F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
-    digest = F.md5(F.col(text_col))
-    joined = docs.join(spans, (digest == F.col("__digest")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    rows = packed(docs, F.md5(F.col(text_col)).alias("__text"), F.col(id_col).alias("__key"))
+    joined = rows.join(spans, (F.col("__text") == F.col("__digest")) & F.col("__key").eqNullSafe(F.col("__id")), "left")
     # Pieces: each word with the separators before it, then the tail.
-    sep = WORD.replace("[^", "[", 1)[:-1]
-    piece = f"{sep}*[^{sep[1:-1]}]+"
-    text = F.col(text_col)
-    pieces = F.regexp_extract_all(text, F.lit(piece), F.lit(0))
+    sep = r"[\x00-\x2F\x3A-\x60\x7B-\x7F&&[^A-Z]]"
+    text = F.col("__row").getField(text_col)
+    pieces = F.regexp_extract_all(text, F.lit(f"{sep}*(?:[A-Z]|{WORD[:-1]})+"), F.lit(0))
     tail = F.regexp_extract(text, f"(?s)({sep}*)$", 1)
     kept = F.filter(pieces, lambda _, i: ~F.exists(
         "__spans", lambda s: (s["first"] <= i) & (i <= s["last"])))
     cut = F.when(F.col("__spans").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return joined.withColumn(text_col, cut).drop("__id", "__digest", "__spans")
+    whole = unpacked(joined, docs, **{text_col: cut})
+    return whole.select(*[F.col(f"`{c}`") for c in docs.columns])

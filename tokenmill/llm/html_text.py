@@ -144,8 +144,9 @@ class Tree:
         n = len(self.tag)
         self.hash, self.full = [0] * n, [False] * n
         self.holds_content, self.has_control, self.has_prose = [False] * n, [False] * n, [False] * n
-        self.inside = [False] * n
+        self.inside, self.in_article = [False] * n, [False] * n
         for k in range(1, n):
+            self.in_article[k] = self.in_article[self.parent[k]] or self.tag[self.parent[k]] == "article"
             self.inside[k] = self.inside[self.parent[k]] or self.tag[k] in CONTENT
         for k in range(n - 1, -1, -1):
             parts, tag = [self.tag[k]], self.tag[k]
@@ -170,7 +171,8 @@ class Tree:
 
     def text(self, template: set[int]) -> str:
         """Blocks of what is left, joined by an empty line."""
-        gone = [self.drop[k] and not self.holds_content[k] or bool(template) and self.hash[k] in template and self.candidate(k)
+        # What holds the article stays whatever it is called; reader comments inside one may be articles too.
+        gone = [self.drop[k] and (self.in_article[k] or not self.holds_content[k]) or bool(template) and self.hash[k] in template and self.candidate(k)
                 for k in range(len(self.tag))]
         for k in range(1, len(gone)):
             gone[k] = gone[k] or gone[self.parent[k]]

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 UNKNOWN = "und"
 #: N-grams of a profile; also the penalty for a missing one.
 PROFILE = 400
@@ -148,15 +150,13 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = docs.filter(~held).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                                          F.col(lang_col).cast("string").alias("lang"))
     profiles = learn_profiles(labelled, per_language, size)
-    keep = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in ("held_out", "lang_pred", "score")]
-    return docs.select(*keep, held.alias("held_out"), predict_column(F.col(text_col), profiles).alias("__pred")).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("held_out", "lang_pred", "score")], "held_out",
-        F.col("__pred.lang").alias("lang_pred"), F.col("__pred.score").alias("score"))
+    predicted = packed(docs, held.alias("__held"), predict_column(F.col(text_col), profiles).alias("__pred"))
+    return unpacked(predicted, docs, held_out=F.col("__held"), lang_pred=F.col("__pred.lang"), score=F.col("__pred.score"))
 
 
-def reject_unidentified(docs: DataFrame, min_score: float = 0.0, **kw) -> DataFrame:
+def reject_unidentified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
+                        lang_col: str = "lang", **kw) -> DataFrame:
     """The rows of ``docs`` in an identified language with at least ``min_score``, columns as before."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-                         *[F.col(f"`{c}`") for c in docs.columns])
-    found = identify_languages(packed, **kw)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    found = identify_languages(packed(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                      F.col(lang_col).alias("lang")), "id", "text", "lang", **kw)
+    return unpacked(found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), docs)

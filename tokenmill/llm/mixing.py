@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, replace_columns, token_count
+from .common import materialise, packed, token_count, unpacked
 from .sharding import document_key
 
 WEIGHTS = (1, 2, 3)
@@ -32,8 +32,6 @@ SEED = "mix-1"
 #: Hex digits of the seeded order that make a bucket: 4096 buckets a source.
 BUCKET_DIGITS = 3
 
-OUTPUTS = ["size", "source_size", "target", "taken"]
-
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
                    max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -101,9 +99,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.md5(F.concat(F.lit(f"{seed}:"), document_key(F.col(id_col), F.col(text_col))))
     # A null source gets a key of its own, so that plain equality can join it.
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
-    rows = (docs.withColumn("__size", token_count(F.col(text_col)))
-            .withColumn("__order", order).withColumn("__source", key)
-            .withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS)))
+    rows = packed(docs, token_count(F.col(text_col)).alias("__size"), order.alias("__order"), key.alias("__source"),
+                  F.substring(order, 1, BUCKET_DIGITS).alias("__bucket"), F.xxhash64(F.col(text_col)).alias("__tie"))
     totals = materialise(rows.groupBy("__source", "__bucket").agg(F.sum("__size").alias("words")), "mix-totals")
 
     sizes = totals.groupBy("__source").agg(F.sum("words").alias("source_size")).select(
@@ -124,7 +121,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
                        F.col("take").alias("__take")))
     inside = (Window.partitionBy("__source", "__bucket")
-              .orderBy("__order", F.xxhash64(F.col(text_col)), F.col("__size"))
+              .orderBy("__order", "__tie", "__size")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumn("__before", F.coalesce(F.sum("__size").over(inside), F.lit(0))).join(
         buckets, (F.col("__source") == F.col("__b_source")) & (F.col("__bucket") == F.col("__b_bucket")))
@@ -133,20 +130,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = F.col("__take") - passes * F.col("__source_size")
     part = F.greatest(F.least(first + F.col("__size"), rest) - first, F.lit(0))
     taken = F.when(F.col("__size") > 0, passes * F.col("__size") + part).otherwise(0).cast("long")
-    new = [F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
-           F.col("__target").alias("target"), taken.alias("taken")]
-    return replace_columns(placed, new, [*OUTPUTS, "__size", "__order", "__source", "__bucket", "__before", "__b_source",
-                                         "__b_bucket", "__start", "__source_size", "__target", "__take"])
+    return unpacked(placed, docs, size=F.col("__size"), source_size=F.col("__source_size"), target=F.col("__target"),
+                    taken=taken)
 
 
-def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    **kw) -> DataFrame:
     """The mix as rows of ``docs``: every document as often as its words are taken.
 
     A document that a block's end cuts counts as taken if at least half of its
     words are; documents without words are not part of a mix.
     """
-    mixed = mix_sources(docs.withColumn("__columns", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), **kw)
+    mixed = mix_sources(packed(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                               F.col(source_col).alias("source")), "id", "text", "source", **kw)
     times = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
-    return (mixed.filter("size > 0").withColumn("__times", times).filter("__times > 0")
-            .select("__columns", F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__pass"))
-            .select("__columns.*"))
+    each = mixed.filter("size > 0").select("__row", times.alias("times")).filter("times > 0")
+    return unpacked(each.select("__row", F.explode(F.sequence(F.lit(1), "times"))), docs)

@@ -13,7 +13,7 @@ def op1_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     placed = sharding.assign_shards(docs, sharding.document_key(F.col("doc_id"), F.col("text")))
     return placed.select("doc_id", "slot", "shard")
 

@@ -16,7 +16,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import replace_columns
+from .common import packed, unpacked
 
 SIZE = 4099
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
@@ -78,8 +78,6 @@ def assign_shards(df: DataFrame, key: Column, shards: list[str] | tuple[str, ...
     called ``slot`` or ``shard`` are replaced.
     """
     lut = F.broadcast(_table_rows(df.sparkSession, list(shards), size))
-    keyed = df.withColumn("__key_slot", slot_of(F.coalesce(key, F.lit("")), size))
-    joined = keyed.join(lut, keyed["__key_slot"] == lut["__slot"])
-    return replace_columns(
-        joined, [F.col("__slot").alias("slot"), F.col("__owner").alias("shard")],
-        ["slot", "shard", "__key_slot", "__slot", "__owner"])
+    keyed = packed(df, slot_of(F.coalesce(key, F.lit("")), size).alias("__at"))
+    joined = keyed.join(lut, F.col("__at") == F.col("__slot"))
+    return unpacked(joined, df, slot=F.col("__slot"), shard=F.col("__owner"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, packed, unpacked
 from .components import connected_components
 
 SHINGLE = 3
@@ -212,11 +212,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs`` per component: the smallest id, null ids last; ties by text hash."""
-    rows = materialise(docs.withColumn("__fp", fingerprint_column(F.col(text_col), shingle))
-                       .withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    rows = materialise(packed(docs, fingerprint_column(F.col(text_col), shingle).alias("__fp"),
+                              F.monotonically_increasing_id().alias("__at")), "simhash-rows")
     # What decides, narrow: the row numbers are fixed by the written table.
-    order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
-                     F.xxhash64(F.col(text_col)).alias("h"), F.col("__row").alias("row"))
+    given, text = F.col("__row").getField(id_col), F.col("__row").getField(text_col)
+    order = F.struct(given.isNull().alias("no_id"), given.alias("id"), F.xxhash64(text).alias("h"), F.col("__at").alias("row"))
     narrow = materialise(rows.select(F.col("__fp").alias("fp"), order.alias("o")), "simhash-narrow")
     low = narrow.groupBy("fp").agg(F.min("o").alias("low"))
     groups = fingerprint_groups(low, radius)
@@ -224,4 +224,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("low")["row"].alias("row")).select("row")
     gone = materialise(narrow.select(F.col("o.row").alias("row")).join(stays, "row", "left_anti"), "simhash-gone")
-    return rows.join(gone, F.col("__row") == F.col("row"), "left_anti").drop("__fp", "__row")
+    return unpacked(rows.join(gone, F.col("__at") == F.col("row"), "left_anti"), docs)

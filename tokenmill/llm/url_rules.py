@@ -16,7 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import ascii_lower, materialise, packed, unpacked
 
 #: (verdict, host, path)
 RULES = (
@@ -137,16 +137,13 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, url_col: str = "url", rule
     """
     mined = mine_rules(labelled, **mining)
     url = F.col(url_col)
-    parts = (pages.withColumn("__url", url).withColumn("__host", host_of(url)).withColumn("__path", path_of(url))
+    parts = (packed(pages, url.alias("__url"), host_of(url).alias("__host"), path_of(url).alias("__path"))
              .withColumn("__fit", explicit_rule(F.col("__host"), F.col("__path"), rules)))
     # The method only needs the urls that no explicit rule decides, each once.
     open_urls = parts.filter("__fit is null and __url is not null").select(F.col("__url").alias("url")).distinct()
     blocked = match_rules(open_urls, mined).select(F.col("url").alias("__b_url"), F.col("confidence").alias("__conf"))
     joined = parts.join(blocked, F.col("__fit").isNull() & (F.col("__url") == F.col("__b_url")), "left")
-    outputs = {
-        "host": F.col("__host"), "path": F.col("__path"), "rule": F.col("__fit")["rule"],
-        "verdict": F.coalesce(F.col("__fit")["verdict"],
-                              F.when(F.col("__conf").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))),
-        "confidence": F.col("__conf")}
-    keep = [joined[f"`{c}`"] for c in pages.columns if c.lower() not in outputs]
-    return joined.select(*keep, *[c.alias(k) for k, c in outputs.items()])
+    verdict = F.coalesce(F.col("__fit")["verdict"],
+                         F.when(F.col("__conf").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
+    return unpacked(joined, pages, host=F.col("__host"), path=F.col("__path"), rule=F.col("__fit")["rule"],
+                    verdict=verdict, confidence=F.col("__conf"))
