@@ -25,6 +25,7 @@ def test_top_pair_tie_goes_to_first_seen():
     assert bpe.choose_round([("ab", 5), ("cd", 4), ("bc", 3), ("ef", 2)], 10) == ["ab", "cd"]
     assert bpe.choose_round([("aa", 5), ("cd", 4)], 10) == ["aa"]
     assert bpe.choose_round([("cd", 5), ("aa", 4)], 10) == ["cd"]
+    assert bpe.choose_round([("ab", 5), ("cb", 4), ("ad", 3), ("da", 2)], 10) == ["ab", "cb", "ad"]
 
 
 def test_training_golden_aaa(spark):
@@ -36,11 +37,14 @@ def test_training_golden_aaa(spark):
 
 def test_training_matches_model_any_block_size(spark):
     rng = random.Random(3)
-    for trial in range(4):
-        texts = ["".join(rng.choice("aab c") for _ in range(rng.randint(0, 25)))
+    bpe_edges = bpe.EDGE_BLOCKS
+    for trial in range(5):
+        bpe.EDGE_BLOCKS = (2, 3, bpe_edges)[trial % 3]
+        texts = ["".join(rng.choice("aab c" if trial else "aaaab") for _ in range(rng.randint(0, 25)))
                  for _ in range(rng.randint(1, 4))]
         bc = rng.choice([2, 3, 7, 4096])
         res, merges, texts_v, (mt, mm) = _train(spark, texts, 12, bc)
+        bpe.EDGE_BLOCKS = bpe_edges
         assert merges == mm, (texts, bc)
         assert texts_v == mt
 
@@ -125,3 +129,43 @@ def test_text_collisions_keep_the_larger_id(spark):
     col = vocab.vocab_collisions(v).collect()
     assert [(r.text, r.n_tokens, list(r.tokens)) for r in col] == [("abc", 2, [302, 303])]
     assert tuple(vocab.vocab_size(v).first()) == (7, 6)
+
+
+def _wide_vocab(spark, n):
+    rows = [(i, chr(i), "base") for i in range(256)] + [(256, EOT, "special")]
+    rows += [(257 + i, chr(0x4E00 + i), "char") for i in range(n)]
+    return spark.createDataFrame(rows, "token int, text string, kind string")
+
+
+def test_one_behaviour_at_every_vocabulary_size(spark):
+    docs = spark.createDataFrame([(0, "ab"), (0, "cd"), (1, None), (2, ""), (3, "aΩ")], "k int, text string")
+    toks = spark.createDataFrame([(0, [97, 98]), (0, [99]), (1, None), (2, []), (3, [97, None, 99999, 98])], "k int, tokens array<int>")
+    for n in (10, 400, 9000):
+        v = _wide_vocab(spark, n)
+        got = sorted(((r.k, r.tokens) for r in encode.encode_docs(docs, v).collect()), key=str)
+        assert got == sorted([(0, [97, 98]), (0, [99, 100]), (1, None), (2, []), (3, [97, None])], key=str)
+        assert sorted(((r.k, r.text) for r in decode.decode_tokens(toks, v).collect()), key=str) == sorted(
+            [(0, "ab"), (0, "c"), (1, None), (2, ""), (3, "ab")], key=str)
+        chars = sorted(((r.k, r.tokens) for r in vocab.char_tokens(docs, v, strict=False).collect()), key=str)
+        assert chars == got
+
+
+def test_strict_and_failing_modes(spark):
+    import pytest
+    docs = spark.createDataFrame([(0, 0, "aΩ")], "shard_idx int, row_idx long, text string")
+    v = _wide_vocab(spark, 1)
+    with pytest.raises(Exception, match="missing from the vocabulary"):
+        vocab.char_tokens(docs, v).collect()
+    with pytest.raises(Exception, match="missing from the vocabulary"):
+        encode.shard_tokens(docs, v, on_oov="fail").collect()
+
+
+def test_merge_once_against_plain_scan():
+    from tokenmill.operators.tokenizer import PieceEncoder
+    rng = random.Random(2)
+    for _ in range(500):
+        table, ids = {}, {c: i for i, c in enumerate("abc")}
+        for n in range(rng.randint(0, 6)):
+            table[rng.randrange(3 + n), rng.randrange(3 + n)] = 3 + n
+        piece = "".join(rng.choice("abcx") for _ in range(rng.randint(1, 12)))
+        assert PieceEncoder(ids, table)(piece) == M.encode_piece(piece, ids, table)

@@ -2,6 +2,7 @@
 import duckdb
 
 import __spark_entry__ as E
+from tokenmill.operators import decode, encode, packing
 from tokenmill.plans import catalog as C
 
 SF = "/root/testdata/sf0.001"
@@ -11,15 +12,38 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_python_udf_in_text_plans(spark):
-    for name in ("pieces", "shard_tokens", "token_windows", "special_segments"):
+def test_no_python_in_text_plans(spark):
+    for name in ("pieces", "special_segments", "pieces_injected", "special_segments_multi"):
         p = _plan(C.QUERIES[name](spark, SF))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert "Python" not in p and "Arrow" not in p, name
 
 
 def test_scan_is_pruned(spark):
-    p = C.QUERIES["nonempty_docs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p or "doc_id" in p
+    p = _plan(C.QUERIES["nonempty_docs"](spark, SF))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+
+
+def test_encoding_and_decoding_shuffle_nothing(spark):
+    docs = C.docs(spark, SF)
+    v = C.char_vocab(spark, SF)
+    m = spark.createDataFrame([(0, 97, 98, 5000)], "rank int, t1 int, t2 int, new_token int")
+    toks = encode.encode_docs(docs, v, m)
+    for df in (toks, decode.decode_tokens(toks, v), encode.shard_tokens(docs, v, m)):
+        p = _plan(df)
+        assert p.count("Exchange") == _plan(docs).count("Exchange"), p
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_packing_shuffles_token_arrays_twice_at_most(spark):
+    toks = spark.createDataFrame([(0, 0, 3, [1, 2, 3])], "shard_idx int, row_idx long, n_tokens int, tokens array<int>")
+    w = packing.token_windows(toks, 1, 0, 0)
+    # offsets: bucket sums, their running sum and its way to the buckets; arrays: to the
+    # buckets (read by both branches), and the straddling slices
+    w.collect()
+    final = w._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") <= 9
+    striped = _plan(packing.worker_stripes(w, 2))
+    assert striped.count("Exchange") == _plan(w).count("Exchange")
 
 
 def test_oracles_match_on_small_data(spark):

@@ -58,3 +58,11 @@ def test_random_strings_match_model(spark):
         got = _one(spark, lambda c: special_segments(c, [EOT, "ab"], mode), texts)
         want = [M.segments(t, [EOT, "ab"], mode) for t in texts]
         assert [[(s["text"], s["special"]) for s in r] for r in got] == want
+
+
+def test_long_runs_split_in_linear_time(spark):
+    import time
+    text = "a" + "\t" * 1_000_000 + "b" + "\u00a0" * 100_000 + " c"
+    began = time.time()
+    assert _one(spark, split_pieces, [text]) == [["a", "b", G + "c"]]
+    assert time.time() - began < 20

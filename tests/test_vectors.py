@@ -70,3 +70,26 @@ def test_standardize_rejects_wrong_dim(spark):
     assert [r.id for r in ok.collect()] == [0] and [r.id for r in bad.collect()] == [1]
     np.testing.assert_allclose(ok.collect()[0].out, [-1 / math.sqrt(0.25 + 1e-5) * 0.5,
                                                       1 / math.sqrt(0.25 + 1e-5) * 0.5])
+
+
+def test_every_row_ends_in_result_or_rejects(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0, 3.0]), (2, None), (3, [1.0, None]), (4, [])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    eye = [[1.0, 0.0], [0.0, 1.0]]
+    for ok, bad in (vectors.standardize_vectors(df, "v", 2), vectors.project_vectors(df, "v", eye),
+                    vectors.score_ffn(df, "v", eye, [0.0, 0.0], eye, [0.0, 0.0])):
+        assert [r.id for r in ok.collect()] == [0]
+        assert sorted(r.id for r in bad.collect()) == [1, 2, 3, 4]
+        assert all(r.reason for r in bad.collect())
+
+
+def test_causal_pool_sparse_positions_and_many_key_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "KEY_TILES", 2)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(30, 4))
+    seqs = [0] * 25 + [1] * 5
+    df = spark.createDataFrame([(seqs[i], i * 1_000_003, x[i].tolist()) for i in range(30)], "seq long, pos long, v array<double>")
+    got = {r.pos // 1_000_003: np.array(r.out) for r in vectors.causal_pool(df, "seq", "pos", "v", n_heads=2, tile=3).collect()}
+    want = _direct(x, seqs, 2)
+    assert set(got) == set(want) and all(np.allclose(got[k], want[k], atol=1e-12) for k in want)
+    assert vectors.causal_pool(df.limit(0), "seq", "pos", "v").count() == 0

@@ -52,7 +52,9 @@ def split_pieces(text: Column) -> Column:
     """
     e1 = F.regexp_replace(text, _OTHER_WS_CLASS, "\t")
     # Inside a mixed run of spaces and other whitespace only the spaces count.
-    e2 = F.regexp_replace(e1, "\t* \t*", " ")
+    # A match can start only at the head of a run of tabs: without the
+    # look-behind every tab of a long run would be tried as a start.
+    e2 = F.regexp_replace(e1, "(?<!\t)\t+ \t*| \t*", " ")
     raw = F.regexp_extract_all(e2, F.lit("(\r|\n| ?[^ \t\r\n]+| )"), F.lit(1))
     return F.transform(raw, lambda p: F.translate(p, " ", SPACE_MARK))
 

@@ -24,19 +24,10 @@ def vsum(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
 
-def dot(a: Column, b: Column) -> Column:
-    return vsum(F.zip_with(a, b, lambda x, y: x * y))
-
-
 def vadd(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
-def gelu(x: Column) -> Column:
-    """Tanh approximation: 0.5 x (1 + tanh(sqrt(2/pi) (x + 0.044715 x^3)))."""
-    return F.lit(0.5) * x * (F.lit(1.0) + F.tanh(F.lit(GELU_SCALE) * (x + F.lit(GELU_CUBIC) * x * x * x)))
-
-
 def standardize(v: Column, scale: Sequence[float] | None = None,
                 shift: Sequence[float] | None = None, unbiased: bool = False,
                 eps: float = LAYER_NORM_EPS) -> Column:
@@ -55,20 +46,6 @@ def standardize(v: Column, scale: Sequence[float] | None = None,
     return out
 
 
-def _matrix_lit(rows: Sequence[Sequence[float]]) -> Column:
-    return F.array(*[F.array(*[F.lit(float(x)) for x in r]) for r in rows])
-
-
-def linear(v: Column, weight_t: Sequence[Sequence[float]],
-           bias: Sequence[float] | None = None) -> Column:
-    """``y_j = sum_k v_k * W[k][j] + b_j`` with ``weight_t[j]`` = column j of W."""
-    w = _matrix_lit(weight_t)
-    if bias is None:
-        return F.transform(w, lambda col: dot(v, col))
-    b = F.array(*[F.lit(float(x)) for x in bias])
-    return F.transform(w, lambda col, j: dot(v, col) + F.element_at(b, j + 1))
-
-
 def rule_matrix(n_rows: int, n_cols: int, seed: float, scale: float) -> list[list[float]]:
     """Deterministic weights ``scale * sin(seed + 0.37 r + 0.11 c)`` (parameters
     of the registered vector queries; the SQL oracle builds the same)."""

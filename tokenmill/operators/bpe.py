@@ -9,8 +9,8 @@ representation
   hash aggregate with map-side partial aggregation,
 * picking the most frequent pair (A3) is a distributed top-k
   (count desc, first occurrence asc),
-* greedy left-to-right replacement of a pair (B2) is ``regexp_replace`` with
-  a literal two-symbol pattern, which scans left to right without overlap.
+* greedy left-to-right replacement of a pair (B2) is ``replace`` of a two-symbol
+  string, which scans left to right without overlap.
 
 Two scopes:
 
@@ -23,29 +23,39 @@ summary (first/last symbol, trailing run) scanned in block order.
 their frequency as weight; no pair crosses a piece, and merges are trained
 only where they can fire at encode time.
 
-Several merges are applied per round, exactly: the ranked pairs are taken
-while no two of them share a token (a self-pair ``(a, a)`` only alone),
-which gives the same merges, ids and order as one-at-a-time training.
+Several merges are applied per round, exactly: the ranked pairs are taken while
+no pair starts with a token that another one ends with (a self-pair ``(a, a)`` only
+alone). Occurrences of such pairs never overlap, so one merge does not change the
+count of another; a pair that a merge creates, ``(x, N)`` or ``(N, y)``, comes from
+an occurrence of ``(x, a)`` or ``(b, y)``, which chains with the merge and therefore
+ranks after the prefix. This gives the same merges, ids and order as one-at-a-time
+training.
+
+The state between rounds is the last written table plus the replacements since
+then; it is written again every ``WRITE_EVERY`` rounds, and the table before goes.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import EOT, SPACE_MARK, split_pieces, special_segments
-from ..plans.strategy import DEFAULT_BROADCAST_ROWS
-from ..session import cut_lineage, cut_lineage_lazily
+from ..session import Written
 from ..validation import require, require_columns
 from .packing import running_offsets
 from .vocab import initial_vocab
 
 SCOPES = ("sequence", "piece")
-# First code point handed out to merged tokens (supplementary private use).
-_SYMBOL_BASE = 0xF0000
-_SYMBOL_LIMIT = 0x10FFFE
+# Code points of merged tokens while training: planes 4 to 16, which hold no assigned
+# characters but private ones. A vocabulary must fit; this is checked before the start.
+_SYMBOL_BASE, _SYMBOL_LIMIT = 0x40000, 0x10FFFD
+# Rounds between two writes of the piece scope's state.
+WRITE_EVERY = 4
+# Blocks of the sequence scope whose edges are compared in one task.
+EDGE_BLOCKS = 4096
 
 
 def _jq(s: str) -> str:
@@ -123,36 +133,76 @@ def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
 
 def _summary(blocks: DataFrame) -> DataFrame:
     """One row per block with its neighbours' edge symbols (block order).
-    The window runs over the per-block summary, not over the text."""
-    o = Window.orderBy("bkey")
-    s = blocks.select("bkey", F.length("s").alias("len"), F.substring("s", 1, 1).alias("first"),
-                      F.substring(F.reverse("s"), 1, 1).alias("last"))
-    return s.select("*", F.lead("first").over(o).alias("next_first"),
-                    F.lag("last").over(o).alias("prev_last"))
+
+    Two levels: neighbours inside a group of ``EDGE_BLOCKS`` blocks, then the edges of
+    the groups, one row a group.
+    """
+    s = blocks.select("bkey", F.floor(F.col("bkey") / EDGE_BLOCKS).cast("long").alias("grp"), F.length("s").alias("len"),
+                      F.substring("s", 1, 1).alias("first"), F.substring(F.reverse("s"), 1, 1).alias("last"))
+    groups = s.groupBy("grp").agg(F.min_by("first", "bkey").alias("g_first"), F.max_by("last", "bkey").alias("g_last"))
+    over = Window.orderBy("grp")
+    groups = groups.select("grp", F.lead("g_first").over(over).alias("after"), F.lag("g_last").over(over).alias("before"))
+    o = Window.partitionBy("grp").orderBy("bkey")
+    near = s.select("*", F.lead("first").over(o).alias("near_first"), F.lag("last").over(o).alias("near_last"))
+    return near.join(groups, "grp").select("bkey", "grp", "len", "first", "last",
+                                           F.coalesce("near_first", "after").alias("next_first"),
+                                           F.coalesce("near_last", "before").alias("prev_last"))
+
+
+def _carried_runs(blocks: DataFrame, symbol: str) -> DataFrame:
+    """``(bkey, first, carried)``: length of the run of ``symbol`` that reaches a block's start.
+
+    A block is summarised by its length and its trailing run; a group of blocks in the
+    same way, so the run is carried over groups first and then inside each.
+    """
+    tail = F.length(F.regexp_extract(F.reverse("s"), "^(?:" + _jq(symbol) + ")*", 0)).cast("long")
+    runs = blocks.select("bkey", F.floor(F.col("bkey") / EDGE_BLOCKS).cast("long").alias("grp"),
+                         F.substring("s", 1, 1).alias("first"), F.length("s").cast("long").alias("len"), tail.alias("tail"))
+
+    def carry(df: DataFrame, w, out: str) -> DataFrame:
+        """Run reaching each row's start from the rows before it; NULL if they are one run as far as known."""
+        so_far = F.sum("len").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        df = df.withColumn("so_far", so_far)
+        broken = F.when(F.col("tail") < F.col("len"), F.col("tail") - F.col("so_far"))
+        last = F.last(broken, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return df.withColumn("ahead", F.col("so_far") - F.col("len")).withColumn(out, last + F.col("ahead"))
+
+    inside = carry(runs, Window.partitionBy("grp").orderBy("bkey"), "own")
+    # A group's trailing run: that of its last blocks, back to the first broken one.
+    end = F.max_by(F.coalesce(F.when(F.col("tail") < F.col("len"), F.col("tail")), F.col("own") + F.col("len")), "bkey")
+    groups = inside.groupBy("grp").agg(F.sum("len").alias("len"), end.alias("t")).select(
+        "grp", "len", F.coalesce("t", "len").alias("tail"))
+    groups = carry(groups, Window.orderBy("grp"), "over").select("grp", F.coalesce("over", "ahead").alias("reach"))
+    return inside.join(groups, "grp").select(
+        "bkey", "grp", "first", F.coalesce(F.col("own"), F.col("ahead") + F.col("reach")).alias("carried"))
 
 
 def choose_round(ranked: list[tuple[str, int]], room: int) -> list[str]:
-    """The longest prefix of the ranked pairs that can be merged at once
-    (no shared token; a self-pair only on its own), at most ``room``."""
+    """The longest prefix of the ranked pairs that can be merged at once (no token both
+    starts one pair and ends another; a self-pair only on its own), at most ``room``."""
     taken: list[str] = []
-    used: set[str] = set()
-    for pair, _ in ranked:
-        if len(taken) >= room:
-            break
+    starts: set[str] = set()
+    ends: set[str] = set()
+    for pair, _ in ranked[:room]:
         a, b = pair[0], pair[1]
-        if a == b:
-            if not taken:
-                taken.append(pair)
-            break
-        if a in used or b in used:
+        if a == b and not taken:
+            return [pair]
+        if a == b or a in ends or b in starts:
             break
         taken.append(pair)
-        used.update((a, b))
+        starts.add(a)
+        ends.add(b)
     return taken
 
 
-def apply_round(blocks: DataFrame, merges: dict[str, str], boundaries: bool,
-                broadcast_flags: bool = True) -> DataFrame:
+def replace_pairs(s: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Every pair (two symbols -> one) replaced in turn, each greedily left to right.
+    One expression of constant size, whose code is compiled once for all rounds."""
+    table = F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(n).alias("new")) for p, n in pairs])
+    return F.aggregate(table, s, lambda acc, x: F.replace(acc, x["pair"], x["new"]))
+
+
+def apply_round(blocks: DataFrame, merges: dict[str, str], boundaries: bool) -> DataFrame:
     """B2 for one round: replace every chosen pair (two-symbol string ->
     new symbol), greedily left to right, across block boundaries when the
     blocks form one sequence."""
@@ -160,39 +210,29 @@ def apply_round(blocks: DataFrame, merges: dict[str, str], boundaries: bool,
     pairs = list(merges.items())
     self_pair = len(pairs) == 1 and pairs[0][0][0] == pairs[0][0][1]
     if not boundaries:
-        for p, n in pairs:
-            s = F.regexp_replace(s, _jq(p), n)
-        return blocks.select("bkey", s.alias("s"), "w").filter(F.length("s") > 0)
+        return blocks.select("bkey", replace_pairs(s, pairs).alias("s"), "w")
 
-    summ = _summary(blocks)
-    o = Window.orderBy("bkey")
     if self_pair:
         (p, new), = pairs
-        a = p[0]
-        tail = F.length(F.regexp_extract(F.reverse("s"), "^(?:" + _jq(a) + ")*", 0))
-        runs = blocks.select("bkey", F.length("s").alias("len"), tail.alias("tail"))
-        runs = runs.join(summ.select("bkey", "first"), "bkey")
-        cum = F.sum("len").over(o.rowsBetween(Window.unboundedPreceding, 0))
-        runs = runs.withColumn("cum", cum)
-        v = F.when(F.col("tail") < F.col("len"), F.col("tail") - F.col("cum"))
-        carried = F.coalesce(F.last(v, ignorenulls=True).over(o.rowsBetween(Window.unboundedPreceding, -1)),
-                             F.lit(0)) + F.col("cum") - F.col("len")
-        flags = runs.withColumn("drop_first", (F.col("first") == a) & (F.pmod(carried, F.lit(2)) == 1))
-        flags = flags.withColumn("new_last", F.when(F.lead("drop_first").over(o), F.lit(new)))
-        flags = flags.select("bkey", "drop_first", "new_last")
+        flags = _carried_runs(blocks, p[0])
+        flags = flags.withColumn("drop_first", (F.col("first") == p[0]) & (F.pmod("carried", F.lit(2)) == 1))
+        # The block before a block that loses its first symbol ends in the merged one.
+        summ = _summary(blocks).select("bkey", F.col("next_first") == p[0], F.col("len")).toDF("bkey", "goes_on", "len")
+        tail = F.length(F.regexp_extract(F.reverse("s"), "^(?:" + _jq(p[0]) + ")*", 0))
+        run = blocks.select("bkey", tail.alias("tail"), F.length("s").alias("n")).join(
+            flags.select("bkey", "drop_first", "carried"), "bkey").join(summ, "bkey")
+        whole = F.col("tail") + F.when(F.col("tail") == F.col("n"), F.col("carried")).otherwise(0)
+        flags = run.select("bkey", "drop_first", F.when(F.col("goes_on") & (F.pmod(whole, F.lit(2)) == 1), F.lit(new)).alias("new_last"))
     else:
         mp = F.create_map(*[x for p, n in pairs for x in (F.lit(p), F.lit(n))])
-        flags = summ.select(
+        flags = _summary(blocks).select(
             "bkey",
-            F.element_at(mp, F.concat("prev_last", "first")).isNotNull().alias("drop_first"),
+            F.coalesce(F.element_at(mp, F.concat("prev_last", "first")).isNotNull(), F.lit(False)).alias("drop_first"),
             F.element_at(mp, F.concat("last", "next_first")).alias("new_last"))
-        flags = flags.select("bkey", F.coalesce("drop_first", F.lit(False)).alias("drop_first"), "new_last")
-    # flags has one row per block: the caller knows the block count.
-    j = blocks.join(F.broadcast(flags) if broadcast_flags else flags, "bkey")
+    # One narrow row per block; the planner sees its size.
+    j = blocks.join(flags, "bkey")
     s1 = F.when(F.col("drop_first"), F.expr("substring(s, 2)")).otherwise(F.col("s"))
-    for p, n in pairs:
-        s1 = F.regexp_replace(s1, _jq(p), n)
-    j = j.select("bkey", "w", s1.alias("s"), "new_last")
+    j = j.select("bkey", "w", replace_pairs(s1, pairs).alias("s"), "new_last")
     s2 = F.when(F.col("new_last").isNotNull(),
                 F.concat(F.expr("substring(s, 1, length(s) - 1)"), F.col("new_last"))).otherwise(F.col("s"))
     return j.select("bkey", s2.alias("s"), "w").filter(F.length("s") > 0)
@@ -207,9 +247,10 @@ class TrainedBPE:
     rounds: int
 
 
-def train_bpe(blocks: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT,),
-              scope: str = "sequence", max_per_round: int = 64) -> TrainedBPE:
-    """B1: learn merges until ``vocab_size`` tokens exist or no pair is left.
+def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequence[str] = (EOT,),
+              scope: str = "sequence", max_per_round: int = 64, n_merges: int | None = None) -> TrainedBPE:
+    """B1: learn merges until ``vocab_size`` tokens exist, or ``n_merges`` merges, or no
+    pair is left.
 
     ``blocks`` comes from :func:`sequence_blocks` or :func:`piece_blocks`
     (matching ``scope``). The initial vocabulary is built from the blocks'
@@ -220,64 +261,45 @@ def train_bpe(blocks: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT
     require(max_per_round >= 1, "max_per_round must be >= 1")
     spark = blocks.sparkSession
     boundaries = scope == "sequence"
-    # Read twice below (alphabet, initial state): keep it.
-    blocks = blocks.persist()
-    chars = blocks.select(F.explode(F.array_distinct(F.split("s", ""))).alias("ch")) \
-        .filter(F.col("ch") != "").distinct()
-    vocab0 = cut_lineage(initial_vocab(chars, specials))
-    rows = vocab0.collect()  # vocabulary-sized: 256 + alphabet + specials
+    state = Written(blocks.select("bkey", "s", "w").filter(F.length("s") > 0).repartition("bkey"), "bpe-state")
+    chars = state.df.select(F.explode(F.array_distinct(F.split("s", ""))).alias("ch")).filter(F.col("ch") != "").distinct()
+    rows = sorted(initial_vocab(chars, specials).collect(), key=lambda r: r["token"])  # 256 + alphabet + specials
     text_of = {r["token"]: r["text"] for r in rows}
-    tok_of_sym: dict[str, int] = {}
-    for r in sorted(rows, key=lambda r: r["token"]):
-        if len(r["text"]) == 1:
-            tok_of_sym[r["text"]] = r["token"]
-    taken_cp = {ord(s) for s in tok_of_sym}
-    next_cp = _SYMBOL_BASE
-    next_id = len(rows)
+    tok_of_sym = {r["text"]: r["token"] for r in rows if len(r["text"]) == 1}
+    goal = vocab_size if vocab_size is not None else len(rows) + (n_merges or 0)
+    symbols = (chr(c) for c in range(_SYMBOL_BASE, _SYMBOL_LIMIT + 1) if chr(c) not in tok_of_sym)
+    room = _SYMBOL_LIMIT + 1 - _SYMBOL_BASE - sum(_SYMBOL_BASE <= ord(c) <= _SYMBOL_LIMIT for c in tok_of_sym)
+    require(goal - len(rows) <= room, f"at most {room} merges can be trained")
     merges: list[tuple[int, int, int, int]] = []
-
-    state = cut_lineage(blocks.select("bkey", "s", "w").filter(F.length("s") > 0).repartition("bkey"))
-    blocks.unpersist()
-    # Blocks only shrink, so this count bounds every per-block flag table.
-    small = state.count() <= DEFAULT_BROADCAST_ROWS
-    rounds = 0
-    release: list[DataFrame] = []
-    while next_id < vocab_size:
-        counts = pair_counts(state, boundaries)
-        # One job per round; it also fills the cache of the new state, from
-        # which its checkpoint is written.
-        top = counts.orderBy(F.desc("n"), F.asc("first")).limit(max_per_round).collect()
-        for old in release:
-            old.unpersist()
-        release = []
+    now, rounds = state.df, 0
+    pending: dict[str, str] = {}
+    while (left := goal - len(rows) - len(merges)) > 0:
+        counts = pair_counts(now, boundaries)
+        top = counts.orderBy(F.desc("n"), F.asc("first")).limit(min(max_per_round, left)).collect()
         if not top:
             break
-        chosen = choose_round([(r["pair"], r["n"]) for r in top], vocab_size - next_id)
-        round_map = {}
-        for p in chosen:
-            while next_cp in taken_cp:
-                next_cp += 1
-            require(next_cp <= _SYMBOL_LIMIT, "out of symbols for merged tokens")
-            sym = chr(next_cp)
-            next_cp += 1
-            t1, t2 = tok_of_sym[p[0]], tok_of_sym[p[1]]
-            merges.append((len(merges), t1, t2, next_id))
-            text_of[next_id] = text_of[t1] + text_of[t2]
-            tok_of_sym[sym] = next_id
-            round_map[p] = sym
-            next_id += 1
+        chosen = {}
+        for pair in choose_round([(r["pair"], r["n"]) for r in top], left):
+            token, symbol = len(rows) + len(merges), next(symbols)
+            t1, t2 = tok_of_sym[pair[0]], tok_of_sym[pair[1]]
+            merges.append((len(merges), t1, t2, token))
+            text_of[token] = text_of[t1] + text_of[t2]
+            tok_of_sym[symbol] = token
+            chosen[pair] = symbol
+        pending.update(chosen)
+        now = apply_round(state.df, pending, boundaries)
         rounds += 1
-        # Every round reads the previous state twice (text and per-block
-        # summary), so the lineage is cut each round to keep plans flat.
-        state, cached = cut_lineage_lazily(apply_round(state, round_map, boundaries, small))
-        release.append(cached)
-    for old in release:
-        old.unpersist()
-
-    merge_df = spark.createDataFrame(merges, "rank int, t1 int, t2 int, new_token int")
-    added = [(t, text_of[t], "merge") for (_, _, _, t) in merges]
-    vocab = vocab0.unionByName(spark.createDataFrame(added, "token int, text string, kind string"))
-    return TrainedBPE(vocab=vocab, merges=merge_df, rounds=rounds)
+        # A sequence's round reads its state several times, a piece's round once.
+        if boundaries or rounds % WRITE_EVERY == 0:
+            before, state = state, Written(now, "bpe-state")
+            now, pending = state.df, {}
+            before.drop()
+    state.drop()
+    kinds = {r["token"]: r["kind"] for r in rows}
+    vocab = spark.createDataFrame([(t, text_of[t], kinds.get(t, "merge")) for t in sorted(text_of)],
+                                  "token int, text string, kind string")
+    return TrainedBPE(vocab=vocab, merges=spark.createDataFrame(merges, "rank int, t1 int, t2 int, new_token int"),
+                      rounds=rounds)
 
 
 def train_tokenizer(sample: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT,),

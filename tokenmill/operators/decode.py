@@ -5,41 +5,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import unmark
-from ..plans.strategy import bounded_broadcast
 from ..validation import require_columns
-
-# Vocabularies with dense ids up to this size decode through an array literal.
-MAX_ARRAY_VOCAB = 8192
+from .tokenizer import decode_lists
 
 
 def decode_tokens(tokens: DataFrame, vocab: DataFrame, raw: bool = False) -> DataFrame:
-    """``(keys…, text)`` for ``(keys…, tokens array<int>)``.
+    """``(keys…, text)`` for ``(keys…, tokens array<int>)``, one row per input row.
 
-    A vocabulary with dense ids (0..n-1, n bounded) is an array literal
-    indexed by id. Otherwise tokens are exploded with their position,
-    joined to the (size-checked, broadcast) vocabulary and concatenated
-    again per row. The space marker becomes a space unless ``raw``; a token
-    missing from the vocabulary contributes nothing.
+    One map-only stage at every vocabulary size. The space marker becomes a
+    space unless ``raw``; a NULL list gives NULL; a token missing from the
+    vocabulary, or NULL, contributes nothing.
     """
     require_columns(tokens, ["tokens"], "decode_tokens")
     require_columns(vocab, ["token", "text"], "decode_tokens")
     keys = [c for c in tokens.columns if c not in ("tokens", "n_tokens")]
-    st = vocab.agg(F.min("token").alias("lo"), F.max("token").alias("hi"),
-                   F.count(F.lit(1)).alias("n"), F.countDistinct("token").alias("d")).first()
-    if st["n"] and st["lo"] == 0 and st["hi"] == st["n"] - 1 == st["d"] - 1 and st["n"] <= MAX_ARRAY_VOCAB:
-        # Dense ids: the texts as an array literal indexed by id (O(1) per
-        # token, one map-only stage, no shuffle).
-        texts = [r["text"] for r in vocab.select("token", "text").orderBy("token").collect()]
-        arr = F.array(*[F.lit(t) for t in texts])
-        n = len(texts)
-        piece = lambda t: F.when((t >= 0) & (t < n), F.element_at(arr, t + 1)).otherwise(F.lit(""))
-        text = F.array_join(F.transform("tokens", piece), "")
-        return tokens.select(*keys, (text if raw else unmark(text)).alias("text"))
-    lookup = bounded_broadcast(vocab.select("token", F.col("text").alias("tok_text")))
-    ex = tokens.select(*keys, F.posexplode_outer("tokens").alias("pos", "token"))
-    j = ex.join(lookup, "token", "left")
-    out = j.groupBy(*keys).agg(F.sort_array(F.collect_list(
-        F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("tok_text", F.lit(""))
-                                                  .alias("t"))))).alias("parts"))
-    text = F.array_join(F.transform("parts", lambda x: x["t"]), "")
-    return out.select(*keys, (text if raw else unmark(text)).alias("text"))
+    out = decode_lists(tokens.select(*keys, "tokens"), "tokens", vocab)
+    return out if raw else out.select(*keys, unmark(F.col("text")).alias("text"))

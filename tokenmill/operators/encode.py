@@ -1,10 +1,9 @@
-"""Encoding documents to token ids (segment -> pieces -> piece dictionary).
+"""Encoding documents to token ids (segment -> pieces -> codes).
 
-Work is done once per *distinct* piece: the corpus is reduced to its
-distinct standard pieces, each is looked up whole in the vocabulary (E2)
-and otherwise merged to a fixpoint (E3) in a relational loop; the
-resulting ``piece_codes`` dictionary is joined back to the piece
-occurrences and regrouped per document.
+Documents stay one row with a list of pieces. Each distinct piece of a batch is
+looked up whole in the vocabulary (E2), else merged to a fixpoint (E3); the codes of
+a document are put together in the same stage. There is one path for every
+vocabulary size, no shuffle and nothing cached.
 """
 from __future__ import annotations
 
@@ -14,14 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import EOT, segment_pieces, special_segments
-from ..plans.strategy import bounded_broadcast
-from ..session import cut_lineage
 from ..validation import TokenmillError, require, require_columns
-from .vocab import char_id, char_id_maps, map_literal, text_to_token
+from .tokenizer import SPECIAL_MARK, encode_lists
+from .vocab import text_to_token
 
 DOC_KEYS = ("shard_idx", "row_idx")
-# Distinct-piece dictionaries up to this many rows are broadcast for the join back.
-DICTIONARY_BROADCAST_ROWS = 1_000_000
 OOV_MODES = ("reject", "null", "fail")
 
 
@@ -35,15 +31,21 @@ def doc_pieces(docs: DataFrame, specials: Sequence[str] = (EOT,),
 
 
 def piece_occurrences(pieces: DataFrame) -> DataFrame:
-    """One row per piece occurrence ``(keys…, piece_idx, piece, special)``.
-    A document without pieces keeps one row with a NULL piece, so it is not
-    lost when the per-document arrays are rebuilt."""
+    """One row per piece occurrence ``(keys…, piece_idx, piece, special)``; a
+    document without pieces keeps one row with a NULL piece."""
     keys = [c for c in pieces.columns if c != "pieces"]
     ex = pieces.select(*keys, F.posexplode_outer("pieces").alias("piece_idx", "p"))
     return ex.select(*keys, "piece_idx", F.col("p.piece").alias("piece"),
                      F.col("p.special").alias("special"))
 
 
+def distinct_pieces(docs: DataFrame, specials: Sequence[str] = (EOT,), special_mode: str = "all") -> DataFrame:
+    """The corpus's distinct standard pieces ``(piece)``; a document's repeats are
+    dropped before the shuffle."""
+    pieces = F.array_distinct(F.transform(F.filter("pieces", lambda p: ~p["special"]), lambda p: p["piece"]))
+    return doc_pieces(docs, specials, special_mode).select(F.explode(pieces).alias("piece")).distinct()
+
+
 def _char_rows(pieces: DataFrame, lookup: DataFrame) -> DataFrame:
     """``(piece, pos, tok)``: characters of each piece as token ids."""
     chars = pieces.select("piece", F.posexplode(F.split("piece", "")).alias("pos", "ch"))
@@ -75,118 +77,49 @@ def merge_pass(rows: DataFrame, merges: DataFrame, key: str = "piece") -> DataFr
         key, "pos", F.when(F.col("pick"), F.col("new_token")).otherwise(F.col("tok")).alias("tok"), "hit")
 
 
-def merge_to_fixpoint(rows: DataFrame, merges: DataFrame, key: str = "piece",
-                      max_passes: int | None = None, checkpoint_every: int = 4) -> DataFrame:
-    """Repeat :func:`merge_pass` until no sequence changes.
+def mergeable_pairs(rows: DataFrame, merges: DataFrame, key: str = "piece") -> DataFrame:
+    """J4 + W3: ``(key, pos, tok, nxt, new_token)`` of the neighbours that the merge table holds."""
+    w = Window.partitionBy(key).orderBy("pos")
+    m = merges.select(F.col("t1").alias("tok"), F.col("t2").alias("nxt"), "new_token")
+    return rows.withColumn("nxt", F.lead("tok").over(w)).join(m, ["tok", "nxt"]).select(key, "pos", "tok", "nxt", "new_token")
 
-    Sequences leave the loop as soon as a pass finds nothing to merge. Each
-    pass is persisted; every ``checkpoint_every`` passes the active rows are
-    checkpointed (reliable, partitioning kept), so lineage -- and the
-    recomputation after a lost executor -- stays a few passes deep.
-    Returns ``(key, codes array<int>)``.
-    """
-    def codes(df: DataFrame) -> DataFrame:
-        return df.groupBy(key).agg(F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]).alias("codes"))
-
-    if merges.isEmpty():
-        return codes(rows)
-    merges_b = bounded_broadcast(merges.select("t1", "t2", "new_token"))
-    active = rows.repartition(key).persist()
-    first = active
-    held, finished = [], []
-    n = 0
-    while True:
-        n += 1
-        step = merge_pass(active, merges_b, key).persist()
-        held.append(step)
-        # Rows of a pass stay hash-partitioned by key: grouping the finished
-        # sequences here needs no shuffle.
-        finished.append(codes(step.filter(~F.col("hit")).drop("hit")))
-        active = step.filter(F.col("hit")).drop("hit")
-        if active.isEmpty():
-            break
-        if max_passes is not None and n >= max_passes:
-            finished.append(codes(active))
-            break
-        if n % checkpoint_every == 0:
-            active = cut_lineage(active)
-    done = finished[0]
-    for f in finished[1:]:
-        done = done.unionByName(f)
-    out = cut_lineage(done)
-    for h in reversed(held):
-        h.unpersist()
-    first.unpersist()
-    return out
+
+def piece_lookup(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
+    """J1 + E2: ``(piece, token)``; NULL for a piece that is not a vocabulary text."""
+    return pieces.select("piece").join(text_to_token(vocab).withColumnRenamed("text", "piece"), "piece", "left")
 
 
 def piece_codes(pieces: DataFrame, vocab: DataFrame, merges: DataFrame | None) -> DataFrame:
-    """E2 + E3 dictionary ``(piece, codes array<int>)`` for distinct pieces.
+    """E2 + E3 dictionary ``(piece, codes array<int>)`` of the distinct pieces.
 
     A piece whose whole text is a vocabulary entry is one token; the others
     start from per-character ids (NULL for an unknown character) and are
     merged to a fixpoint with the merge table.
     """
     require_columns(pieces, ["piece"], "piece_codes")
-    lookup = bounded_broadcast(text_to_token(vocab))
     distinct = pieces.select("piece").filter(F.col("piece").isNotNull()).distinct()
-    whole = distinct.join(lookup.withColumnRenamed("text", "piece"), "piece", "left")
-    known = whole.filter(F.col("token").isNotNull()).select("piece", F.array("token").alias("codes"))
-    unknown = whole.filter(F.col("token").isNull()).select("piece")
-    rows = _char_rows(unknown, lookup)
-    if merges is None:
-        merges = vocab.sparkSession.createDataFrame([], "t1 int, t2 int, new_token int")
-    merged = merge_to_fixpoint(rows, merges)
-    return known.unionByName(merged)
-
-
-def _encode_without_merges(docs: DataFrame, singles: dict, multis: dict,
-                           specials: Sequence[str], special_mode: str) -> DataFrame:
-    """E1 for a merge-free vocabulary in one map-only stage: each piece is
-    looked up whole, else character by character (code point for 0..255,
-    else the single-character map); no shuffle, no dictionary join."""
-    keys = [c for c in docs.columns if c != "text"]
-    sm, mm = map_literal(singles), map_literal(multis)
+    return encode_lists(distinct.select("piece", F.array("piece").alias("one")), "one", vocab, merges) \
+        .withColumnRenamed("tokens", "codes")
 
-    def codes(p: Column) -> Column:
-        whole = F.when(F.length(p["piece"]) == 1, char_id(p["piece"], sm)) \
-            .otherwise(F.element_at(mm, p["piece"]))
-        per_char = F.transform(F.split(p["piece"], ""), lambda c: char_id(c, sm))
-        return F.when(p["special"] | whole.isNotNull(), F.array(whole)).otherwise(per_char)
 
-    pcs = segment_pieces(special_segments(F.col("text"), list(specials), special_mode))
-    return docs.select(*keys, F.flatten(F.transform(pcs, codes)).alias("tokens"))
+def marked_pieces(text: Column, specials: Sequence[str], special_mode: str) -> Column:
+    """Pieces of a text as strings, specials marked; NULL for NULL."""
+    pieces = segment_pieces(special_segments(text, list(specials), special_mode))
+    return F.transform(pieces, lambda p: F.when(
+        p["special"], F.concat(F.lit(SPECIAL_MARK), p["piece"])).otherwise(p["piece"]))
 
 
 def encode_docs(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = None,
-                specials: Sequence[str] = (EOT,), special_mode: str = "all",
-                dictionary: DataFrame | None = None) -> DataFrame:
-    """``(keys…, tokens array<int>)`` per document (NULL for unknown
-    characters or unknown specials). ``dictionary`` may pass a prebuilt
-    ``piece_codes`` table covering the corpus's standard pieces."""
-    if dictionary is None and (merges is None or merges.isEmpty()):
-        maps = char_id_maps(vocab)
-        if maps is not None:
-            return _encode_without_merges(docs, maps[0], maps[1], specials, special_mode)
-    # Used twice (distinct pieces, join back): keep it instead of re-running the regexes.
-    pieces = piece_occurrences(doc_pieces(docs, specials, special_mode)).persist()
-    keys = [c for c in pieces.columns if c not in ("piece_idx", "piece", "special")]
-    if dictionary is None:
-        dictionary = piece_codes(pieces.filter(~F.col("special")), vocab, merges)
-    lookup = bounded_broadcast(text_to_token(vocab))
-    # The dictionary has one row per distinct piece: broadcast it when the
-    # count check allows, so the occurrences are shuffled once (by document).
-    dictionary = bounded_broadcast(dictionary, DICTIONARY_BROADCAST_ROWS)
-    std = pieces.filter(~F.col("special")).join(dictionary, "piece", "left")
-    spc = (pieces.filter(F.col("special"))
-           .join(lookup.withColumnRenamed("text", "piece"), "piece", "left")
-           .withColumn("codes", F.array("token")).drop("token"))
-    none = pieces.filter(F.col("piece").isNull()).withColumn("codes", F.lit(None).cast("array<int>"))
-    allp = std.unionByName(spc).unionByName(none)
-    grouped = allp.groupBy(*keys).agg(F.sort_array(F.collect_list(
-        F.when(F.col("piece_idx").isNotNull(), F.struct("piece_idx", "codes")))).alias("pc"))
-    return grouped.select(*keys, F.flatten(F.transform("pc", lambda x: x["codes"])).alias("tokens"))
+                specials: Sequence[str] = (EOT,), special_mode: str = "all") -> DataFrame:
+    """``(keys…, tokens array<int>)``, one row per row of ``docs``.
+
+    NULL tokens stand for unknown characters or unknown specials; a NULL text has
+    NULL tokens and an empty one no tokens; rows with equal keys stay apart.
+    """
+    require_columns(docs, ["text"], "encode_docs")
+    keys = [c for c in docs.columns if c != "text"]
+    pieces = docs.select(*keys, marked_pieces(F.col("text"), specials, special_mode).alias("__pieces"))
+    return encode_lists(pieces, "__pieces", vocab, merges)
 
 
 def eot_token(vocab: DataFrame, eot_text: str = EOT) -> int:
@@ -197,43 +130,39 @@ def eot_token(vocab: DataFrame, eot_text: str = EOT) -> int:
     return int(row["token"])
 
 
+def _unknown() -> Column:
+    return F.exists("tokens", lambda t: t.isNull())
+
+
 def apply_oov(tokens: DataFrame, on_oov: str) -> DataFrame:
     """Q5 policy for documents containing an unknown-character token (NULL):
-    ``reject`` drops them (see :func:`oov_rejects`), ``null`` keeps them,
-    ``fail`` raises."""
+    ``reject`` drops them (:func:`oov_rejects` has them), ``null`` keeps them,
+    ``fail`` fails the job."""
     require(on_oov in OOV_MODES, f"on_oov must be one of {OOV_MODES}")
-    has_null = F.exists("tokens", lambda t: t.isNull())
     if on_oov == "null":
         return tokens
     if on_oov == "fail":
-        if not tokens.filter(has_null).isEmpty():
-            raise TokenmillError("a document contains a character missing from the vocabulary")
-        return tokens
-    return tokens.filter(~has_null)
+        checked = F.when(_unknown(), F.raise_error(F.lit("a document contains a character missing from the vocabulary"))) \
+            .otherwise(F.col("tokens"))
+        return tokens.withColumn("tokens", checked)
+    return tokens.filter(~_unknown())
 
 
 def oov_rejects(tokens: DataFrame) -> DataFrame:
     """Rejects table ``(keys…, reason)`` for documents with unknown tokens."""
     keys = [c for c in tokens.columns if c not in ("tokens", "n_tokens")]
-    return tokens.filter(F.exists("tokens", lambda t: t.isNull())).select(
-        *keys, F.lit("unknown character").alias("reason"))
+    return tokens.filter(_unknown()).select(*keys, F.lit("unknown character").alias("reason"))
 
 
 def shard_tokens(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = None,
                  specials: Sequence[str] = (EOT,), special_mode: str = "all",
-                 on_oov: str = "reject", eot_text: str = EOT,
-                 dictionary: DataFrame | None = None) -> DataFrame:
+                 on_oov: str = "reject", eot_text: str = EOT) -> DataFrame:
     """E5: every non-empty document encoded and followed by the end-of-text
-    token: ``(shard_idx, row_idx, n_tokens, tokens)``. The result is backed
-    by a persisted (memory-and-disk) token table."""
+    token: ``(shard_idx, row_idx, n_tokens, tokens)``. With ``on_oov='null'`` the
+    result also feeds :func:`oov_rejects`."""
     require_columns(docs, [*DOC_KEYS, "text"], "shard_tokens")
     eot = eot_token(vocab, eot_text)
     nonempty = docs.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    enc = encode_docs(nonempty.select(*DOC_KEYS, "text"), vocab, merges, specials,
-                      special_mode, dictionary)
-    # Kept: the OOV filter and every consumer (sizes, offsets, windows, sink)
-    # read the token table again; without it the optimizer would copy the
-    # encoding expression into each of them.
-    enc = enc.select(*DOC_KEYS, F.concat("tokens", F.array(F.lit(eot))).alias("tokens")).persist()
-    enc = apply_oov(enc, on_oov)
+    enc = encode_docs(nonempty.select(*DOC_KEYS, "text"), vocab, merges, specials, special_mode)
+    enc = apply_oov(enc.select(*DOC_KEYS, F.concat("tokens", F.array(F.lit(eot))).alias("tokens")), on_oov)
     return enc.select(*DOC_KEYS, F.size("tokens").alias("n_tokens"), "tokens")

@@ -2,12 +2,12 @@
 
 The token stream of a shard is the concatenation of its documents' token
 arrays in row order. Nothing is exploded per token: each document is cut
-into the slices that fall into each window, and windows are rebuilt by a
-grouping on ``(split, shard_idx, chunk_idx)``.
+into the slices that fall into each window, and the slices of a window are
+put together again.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..validation import require, require_columns
@@ -15,6 +15,8 @@ from ..validation import require, require_columns
 SPLITS = ("train", "val", "test")
 # Rows per bucket of the two-level running sum (a bucket is summed in one task).
 PREFIX_BUCKET_ROWS = 1 << 16
+# Rows with their token arrays that are packed together.
+PACK_BUCKET_ROWS = 1 << 13
 
 
 def running_offsets(df: DataFrame, part: str, order: str, value: str,
@@ -51,26 +53,23 @@ def split_ranges(shard_totals: DataFrame, n_val: int, n_test: int) -> DataFrame:
     shard 0 only, by token offset (clamped when the shard is short); the
     rest of shard 0 and all other shards are training data."""
     require(n_val >= 0 and n_test >= 0, "n_val and n_test must be >= 0")
-    t = F.col("n_tokens")
-    s0 = F.col("shard_idx") == 0
-    val_len = F.least(t, F.lit(n_val))
-    test_len = F.least(F.greatest(t - n_val, F.lit(0)), F.lit(n_test))
-    skip = F.least(t, F.lit(n_val + n_test))
-    ranges = F.array(
-        F.struct(F.lit("val").alias("split"), F.lit(0).cast("long").alias("start"),
-                 val_len.cast("long").alias("length")),
-        F.struct(F.lit("test").alias("split"), F.lit(n_val).cast("long").alias("start"),
-                 test_len.cast("long").alias("length")),
-        F.struct(F.lit("train").alias("split"), skip.cast("long").alias("start"),
-                 (t - skip).cast("long").alias("length")),
-    )
-    train_only = F.array(F.struct(F.lit("train").alias("split"), F.lit(0).cast("long").alias("start"),
-                                  t.cast("long").alias("length")))
-    r = shard_totals.select("shard_idx", F.explode(F.when(s0, ranges).otherwise(train_only)).alias("r"))
+    r = shard_totals.select("shard_idx", F.explode(
+        _split_array(F.col("shard_idx"), F.col("n_tokens"), n_val, n_test)).alias("r"))
     return r.select(F.col("r.split").alias("split"), "shard_idx", F.col("r.start").alias("start"),
                     F.col("r.length").alias("length"))
 
 
+def _split_array(shard: Column, total: Column, n_val: int, n_test: int) -> Column:
+    """The split ranges of a shard with ``total`` tokens as an array of structs."""
+    def part(name: str, start: Column, length: Column) -> Column:
+        return F.struct(F.lit(name).alias("split"), start.cast("long").alias("start"), length.cast("long").alias("length"))
+    skip = F.least(total, F.lit(n_val + n_test))
+    head = F.array(part("val", F.lit(0), F.least(total, F.lit(n_val))),
+                   part("test", F.lit(n_val), F.least(F.greatest(total - n_val, F.lit(0)), F.lit(n_test))),
+                   part("train", skip, total - skip))
+    return F.when(shard == 0, head).otherwise(F.array(part("train", F.lit(0), total)))
+
+
 def shard_totals(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("shard_idx").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
 
@@ -85,59 +84,67 @@ def split_sizes(tokens: DataFrame, context_length: int, n_val: int, n_test: int)
 
 
 def token_windows(tokens: DataFrame, context_length: int, n_val: int = 5_120_000,
-                  n_test: int = 5_120_000) -> DataFrame:
+                  n_test: int = 5_120_000, bucket_rows: int = PACK_BUCKET_ROWS) -> DataFrame:
     """Non-overlapping windows of ``context_length + 1`` tokens per split
     and shard, the incomplete tail of each split dropped; returns
     ``(split, shard_idx, chunk_idx, input_ids, target_ids)`` with targets
     shifted by one.
 
     A document crossing a split boundary contributes a slice to each side;
-    chunk numbers restart at each split's start.
+    chunk numbers restart at each split's start. Token arrays are shuffled once,
+    by (shard, bucket of rows): a bucket's complete windows are cut there, and only
+    the slices of windows that straddle buckets are shuffled again. Offsets and split
+    ranges come from one narrow row per bucket.
     """
     require(context_length >= 1, "context_length must be >= 1")
+    require(n_val >= 0 and n_test >= 0, "n_val and n_test must be >= 0")
     require_columns(tokens, ["shard_idx", "row_idx", "n_tokens", "tokens"], "token_windows")
     w = context_length + 1
-    ranges = split_ranges(shard_totals(tokens), n_val, n_test) \
-        .filter(F.col("length") >= w) \
-        .withColumn("n_win", F.floor(F.col("length") / w).cast("long"))
-    # One row per (document, split it overlaps): ranges is one row per split
-    # and shard, so this join is against a tiny table.
-    docs = running_offsets(tokens.select("shard_idx", "row_idx", "n_tokens", "tokens"),
-                           "shard_idx", "row_idx", "n_tokens")
-    d = docs.join(F.broadcast(ranges), "shard_idx")
-    lo = F.greatest(F.col("offset"), F.col("start"))
-    hi = F.least(F.col("offset") + F.col("n_tokens"), F.col("start") + F.col("n_win") * w)
+    bucket = F.floor(F.col("row_idx") / bucket_rows).cast("long")
+    sums = tokens.groupBy("shard_idx", bucket.alias("bucket")).agg(F.sum("n_tokens").cast("long").alias("n"))
+    shard = Window.partitionBy("shard_idx")
+    bases = sums.select(
+        F.col("shard_idx").alias("b_shard"), F.col("bucket").alias("b_bucket"),
+        F.coalesce(F.sum("n").over(shard.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
+        F.sum("n").over(shard).alias("total"))
+    inside = Window.partitionBy("shard_idx", "bucket").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
+    d = (tokens.select("shard_idx", "row_idx", "n_tokens", "tokens", bucket.alias("bucket"))
+         .withColumn("before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+         .join(bases, (F.col("shard_idx") == F.col("b_shard")) & (F.col("bucket") == F.col("b_bucket"))))
+    d = d.select("shard_idx", "bucket", "n_tokens", "tokens", (F.col("base") + F.col("before")).alias("offset"),
+                 F.explode(_split_array(F.col("shard_idx"), F.col("total"), n_val, n_test)).alias("r"))
+    start = F.col("r.start")
+    lo = F.greatest(F.col("offset"), start)
+    hi = F.least(F.col("offset") + F.col("n_tokens"), start + F.floor(F.col("r.length") / w).cast("long") * w)
     d = d.withColumn("lo", lo).withColumn("hi", hi).filter(F.col("lo") < F.col("hi"))
-    c0 = F.floor((F.col("lo") - F.col("start")) / w).cast("long")
-    c1 = F.floor((F.col("hi") - 1 - F.col("start")) / w).cast("long")
+    c0 = F.floor((F.col("lo") - start) / w).cast("long")
+    c1 = F.floor((F.col("hi") - 1 - start) / w).cast("long")
     d = d.withColumn("chunk_idx", F.explode(F.sequence(c0, c1)))
-    a = F.greatest(F.col("lo"), F.col("start") + F.col("chunk_idx") * w)
-    b = F.least(F.col("hi"), F.col("start") + (F.col("chunk_idx") + 1) * w)
+    a = F.greatest(F.col("lo"), start + F.col("chunk_idx") * w)
+    b = F.least(F.col("hi"), start + (F.col("chunk_idx") + 1) * w)
     piece = F.slice("tokens", (a - F.col("offset") + 1).cast("int"), (b - a).cast("int"))
-    parts = d.select("split", "shard_idx", "chunk_idx", a.alias("at"), piece.alias("piece"))
-    win = parts.groupBy("split", "shard_idx", "chunk_idx").agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "piece"))),
-                              lambda x: x["piece"])).alias("window"))
-    return win.select("split", "shard_idx", "chunk_idx",
-                      F.slice("window", 1, context_length).alias("input_ids"),
+    keys = ["split", "shard_idx", "chunk_idx"]
+    joined = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]))
+    parts = (d.select(F.col("r.split").alias("split"), "shard_idx", "bucket", "chunk_idx", a.alias("at"), piece.alias("piece"))
+             .groupBy("shard_idx", "bucket", "split", "chunk_idx")
+             .agg(F.min("at").alias("at"), joined.alias("piece")))
+    whole = F.size("piece") == w
+    straddling = parts.filter(~whole).groupBy(*keys).agg(joined.alias("window"))
+    win = parts.filter(whole).select(*keys, F.col("piece").alias("window")).unionByName(straddling)
+    return win.select(*keys, F.slice("window", 1, context_length).alias("input_ids"),
                       F.slice("window", 2, context_length).alias("target_ids"))
 
 
 def select_split(windows: DataFrame, split: str, num_workers: int = 1) -> DataFrame:
-    """C4/P5: one split, with the loader worker of each window. Training
-    windows belong to worker ``shard_idx mod num_workers``; validation and
-    test are read whole by every worker, so they are kept once (worker 0)."""
-    require(split in SPLITS, f"split must be 'train', 'val', or 'test'; got {split!r}")
-    require(num_workers >= 1, "num_workers must be >= 1")
-    out = windows.filter(F.col("split") == split)
-    worker = F.pmod(F.col("shard_idx"), F.lit(num_workers)) if split == "train" else F.lit(0)
-    return out.withColumn("worker", worker.cast("int"))
+    """C4/P5: one split, with the loader worker of each window."""
+    require(split in SPLITS, f"no split is called {split!r}; there are {', '.join(SPLITS)}")
+    return worker_stripes(windows.filter(F.col("split") == split), num_workers)
 
 
 def worker_stripes(windows: DataFrame, num_workers: int) -> DataFrame:
-    """All splits with their worker column ``(…, worker)``."""
-    parts = [select_split(windows, s, num_workers) for s in SPLITS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All splits with their loader worker ``(…, worker)``. Training windows belong to
+    worker ``shard_idx mod num_workers``; validation and test are read whole by every
+    worker, so they are kept once (worker 0)."""
+    require(num_workers >= 1, "num_workers must be >= 1")
+    worker = F.when(F.col("split") == "train", F.pmod(F.col("shard_idx"), F.lit(num_workers))).otherwise(0)
+    return windows.withColumn("worker", worker.cast("int"))

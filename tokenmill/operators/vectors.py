@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..functions import vectors as V
-from ..plans.strategy import bounded_broadcast
+from ..session import Written
 from ..validation import TokenmillError, require, require_columns
 
 
@@ -34,7 +34,7 @@ def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
     require_columns(b, ["batch", "k", "j", "v"], "matmul_cells")
     ba, bb = a.select("batch").distinct(), b.select("batch").distinct()
     if not ba.join(bb, "batch", "left_anti").isEmpty() or not bb.join(ba, "batch", "left_anti").isEmpty():
-        raise TokenmillError("strict matmul disallows broadcasting: batch keys differ")
+        raise TokenmillError("both sides must hold the same batches")
     j = a.select("batch", "i", "k", F.col("v").alias("av")).join(
         b.select("batch", "k", "j", F.col("v").alias("bv")), ["batch", "k"])
     return j.groupBy("batch", "i", "j").agg(F.sum(F.col("av") * F.col("bv")).alias("v"))
@@ -43,10 +43,12 @@ def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
 # --- V2, V3, V6: per-vector kernels --------------------------------------------
 
 def _dim_split(df: DataFrame, col: str, dim: int) -> tuple[DataFrame, DataFrame]:
-    ok = df.filter(F.size(col) == dim)
-    bad = df.filter(F.size(col) != dim).withColumn(
-        "reason", F.format_string(f"expected last dim {dim}, got %d", F.size(col)))
-    return ok, bad
+    """(rows whose vector has ``dim`` entries, the others with a ``reason``); a NULL
+    vector, or one with a NULL entry, is among the others."""
+    fits = F.coalesce((F.size(col) == dim) & F.forall(col, lambda x: x.isNotNull()), F.lit(False))
+    why = F.when(F.col(col).isNull(), "the vector is NULL").when(
+        F.size(col) != dim, F.format_string(f"%d entries instead of {dim}", F.size(col))).otherwise("an entry is NULL")
+    return df.filter(fits), df.filter(~fits).withColumn("reason", why)
 
 
 def standardize_vectors(df: DataFrame, col: str, dim: int, scale: Sequence[float] | None = None,
@@ -57,15 +59,7 @@ def standardize_vectors(df: DataFrame, col: str, dim: int, scale: Sequence[float
     ``(result, rejects)``; rows whose vector does not have ``dim`` entries
     are rejected."""
     ok, bad = _dim_split(df, col, dim)
-    g = np.ones(dim) if scale is None else np.asarray(scale, dtype=np.float64)
-    b = np.zeros(dim) if shift is None else np.asarray(shift, dtype=np.float64)
-    ddof = 1 if unbiased else 0
-
-    def norm(x: np.ndarray) -> np.ndarray:
-        mu = x.mean(axis=1, keepdims=True)
-        var = ((x - mu) ** 2).sum(axis=1, keepdims=True) / (x.shape[1] - ddof)
-        return (x - mu) / np.sqrt(var + V.LAYER_NORM_EPS) * g + b
-    return _dense_map(ok, col, out, norm), bad
+    return ok.withColumn(out, V.standardize(V.as_double(F.col(col)), scale, shift, unbiased)), bad
 
 
 def _dense_map(df: DataFrame, col: str, out: str, fn) -> DataFrame:
@@ -86,13 +80,14 @@ def _dense_map(df: DataFrame, col: str, out: str, fn) -> DataFrame:
 
 
 def project_vectors(df: DataFrame, col: str, weight_t: Sequence[Sequence[float]],
-                    bias: Sequence[float] | None = None, out: str = "out") -> DataFrame:
-    """V6: linear projection ``x W (+ b)``; ``weight_t[j]`` is column j of W."""
+                    bias: Sequence[float] | None = None, out: str = "out") -> tuple[DataFrame, DataFrame]:
+    """V6: linear projection ``x W (+ b)``; ``weight_t[j]`` is column j of W. Returns
+    ``(result, rejects)`` like V2."""
     w = np.asarray(weight_t, dtype=np.float64).T
     b = None if bias is None else np.asarray(bias, dtype=np.float64)
     require(all(len(r) == w.shape[0] for r in weight_t), "ragged weight matrix")
-    ok, _ = _dim_split(df, col, w.shape[0])
-    return _dense_map(ok, col, out, lambda x: x @ w + (0.0 if b is None else b))
+    ok, bad = _dim_split(df, col, w.shape[0])
+    return _dense_map(ok, col, out, lambda x: x @ w + (0.0 if b is None else b)), bad
 
 
 def gelu_np(x: np.ndarray) -> np.ndarray:
@@ -115,15 +110,13 @@ def embed_tokens(windows: DataFrame, token_emb: DataFrame, pos_emb: DataFrame,
     """Per window position: ``token_emb[token] + pos_emb[pos]``.
 
     Returns ``(keys…, pos, emb array<double>)``. Embedding tables are
-    ``(token, vec)`` / ``(pos, vec)`` and parameter-sized (size-checked
-    broadcast). A position past the position table is an error; an unknown
+    ``(token, vec)`` / ``(pos, vec)``; they are joined as their size allows. A position past the position table is an error; an unknown
     token yields NULL.
     """
     keys = [c for c in windows.columns if c not in (ids_col, "target_ids")]
     ex = windows.select(*keys, F.posexplode(ids_col).alias("pos", "token"))
-    te = bounded_broadcast(token_emb.select("token", V.as_double(F.col("vec")).alias("te")))
-    pe = bounded_broadcast(pos_emb.select(F.col("pos").cast("int").alias("pos"),
-                                          V.as_double(F.col("vec")).alias("pe")))
+    te = token_emb.select("token", V.as_double(F.col("vec")).alias("te"))
+    pe = pos_emb.select(F.col("pos").cast("int").alias("pos"), V.as_double(F.col("vec")).alias("pe"))
     j = ex.join(te, "token", "left").join(pe, "pos", "left")
     # Checked in the same job: a position past the table fails the query.
     pe_checked = F.when(F.col("pe").isNull(), F.raise_error(
@@ -138,95 +131,113 @@ def group_softmax(df: DataFrame, group: str, score: str, out: str = "p") -> Data
     """``exp(s - max) / sum(exp(s - max))`` within each group.
 
     Two partial aggregations (max, then sum) joined back, instead of a
-    window: a hot group is reduced map-side rather than sorted in one task.
-    The per-group tables are broadcast when their size check passes.
+    window: a hot group is reduced map-side rather than sorted in one task, and
+    as a skewed join side it can be split.
     """
-    m = bounded_broadcast(df.groupBy(group).agg(F.max(score).alias("_m")))
-    e = df.join(m, group).withColumn("_e", F.exp(F.col(score) - F.col("_m")))
-    z = bounded_broadcast(e.groupBy(group).agg(F.sum("_e").alias("_z")))
-    return e.join(z, group).withColumn(out, F.col("_e") / F.col("_z")).drop("_m", "_e", "_z")
+    m = df.groupBy(F.col(group).alias("_g")).agg(F.max(score).alias("_m"))
+    e = df.join(m, F.col(group) == F.col("_g")).drop("_g").withColumn("_e", F.exp(F.col(score) - F.col("_m")))
+    z = e.groupBy(F.col(group).alias("_g")).agg(F.sum("_e").alias("_z"))
+    return e.join(z, F.col(group) == F.col("_g")).withColumn(out, F.col("_e") / F.col("_z")).drop("_g", "_m", "_e", "_z")
 
 
 # --- V5: causal softmax-weighted pooling ------------------------------------------
 
-_PARTIAL_SCHEMA = "seq long, pos long, head int, m double, l double, o array<double>"
+_PARTIAL_SCHEMA = "seq long, pos long, m array<double>, l array<double>, o array<double>"
+# Earlier key tiles that one task walks for a query tile.
+KEY_TILES = 16
 
 
-def _tile_partials(n_heads: int):
+def _walk(n_heads: int):
+    """One query tile against a block of key tiles: the partials ``(m, l, o)`` of its rows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                qpos = np.asarray(r.qpos, dtype=np.int64)
-                kpos = np.asarray(r.kpos, dtype=np.int64)
+                qrank = np.asarray(r.qrank, dtype=np.int64)
                 q = np.stack([np.asarray(x, dtype=np.float64) for x in r.qv])
-                k = np.stack([np.asarray(x, dtype=np.float64) for x in r.kv])
-                v = np.stack([np.asarray(x, dtype=np.float64) for x in r.vv])
-                hd = q.shape[1] // n_heads
-                visible = kpos[None, :] <= qpos[:, None]
-                rows = np.nonzero(visible.any(axis=1))[0]
-                if rows.size == 0:
-                    continue
-                for h in range(n_heads):
-                    sl = slice(h * hd, (h + 1) * hd)
-                    s = (q[rows, sl] @ k[:, sl].T) / math.sqrt(hd)
-                    s = np.where(visible[rows], s, -np.inf)
-                    m = s.max(axis=1)
-                    p = np.exp(s - m[:, None])
-                    l_ = p.sum(axis=1)
-                    o = p @ v[:, sl]
-                    for t, qi in enumerate(rows):
-                        out.append((r.seq, int(qpos[qi]), h, float(m[t]), float(l_[t]), o[t].tolist()))
-            if out:
-                yield pd.DataFrame(out, columns=["seq", "pos", "head", "m", "l", "o"])
+                krank = np.concatenate([np.asarray(t["rank"], dtype=np.int64) for t in r.tiles])
+                k = np.stack([np.asarray(x, dtype=np.float64) for t in r.tiles for x in t["kv"]])
+                v = np.stack([np.asarray(x, dtype=np.float64) for t in r.tiles for x in t["vv"]])
+                hidden = krank[None, :] > qrank[:, None]
+                rows = np.nonzero(~hidden.all(axis=1))[0]
+                ms, ls, os = [], [], []
+                for qh, kh, vh in zip(np.split(q[rows], n_heads, 1), np.split(k, n_heads, 1), np.split(v, n_heads, 1)):
+                    s = np.where(hidden[rows], -np.inf, qh @ kh.T / math.sqrt(qh.shape[1]))
+                    ms.append(s.max(axis=1))
+                    p = np.exp(s - ms[-1][:, None])
+                    ls.append(p.sum(axis=1))
+                    os.append(p @ vh)
+                for t, at in enumerate(rows):
+                    out.append((r.seq, int(r.qpos[at]), [float(x[t]) for x in ms], [float(x[t]) for x in ls],
+                                np.concatenate([x[t] for x in os]).tolist()))
+            yield pd.DataFrame(out, columns=["seq", "pos", "m", "l", "o"])
     return run
 
 
+def sequence_ranks(rows: DataFrame, tile_rows: int = 1 << 14) -> DataFrame:
+    """``rows`` (seq, pos, …) with ``rank``, the position's place in its sequence from 0.
+
+    Positions are range-partitioned, so that a long sequence spreads over tasks; ranks
+    inside a (sequence, range) are offset by the counts of the ranges before.
+    """
+    n = max(1, rows.sparkSession.sparkContext.defaultParallelism)
+    dealt = Written(rows.repartitionByRange(n, "seq", "pos").withColumn("part", F.spark_partition_id()), "ranked-rows").df
+    counts = dealt.groupBy("seq", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("seq").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(F.col("seq").alias("b_seq"), F.col("part").alias("b_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("seq", "part").orderBy("pos")) - 1
+    return (dealt.withColumn("inside", inside).join(base, (F.col("seq") == F.col("b_seq")) & (F.col("part") == F.col("b_part")))
+            .withColumn("rank", F.col("base") + F.col("inside")).drop("part", "inside", "b_seq", "b_part", "base"))
+
+
 def causal_pool(df: DataFrame, seq: str, pos: str, q: str, k: str | None = None,
                 v: str | None = None, n_heads: int = 1, tile: int = 64) -> DataFrame:
     """V5: every row summarises its own history: per head,
-    ``softmax(q.k / sqrt(d_head))`` over the rows of its sequence with
-    ``pos <= own pos``, weighting the ``v`` vectors. Exact, no cap.
-
-    Sequences are cut into position tiles; each (query tile, earlier-or-same
-    key tile) pair is one task-sized unit computed with numpy, giving
-    per-row partials ``(m, l, o)`` that are merged by a max and rescaled
-    sums (the tiled online-softmax merge). A hot sequence is spread over
-    its tile pairs; the work is inherently quadratic per sequence.
+    ``softmax(q.k / sqrt(d_head))`` over the rows of its sequence up to its own,
+    weighting the ``v`` vectors. Exact, no cap. Rows of equal position see each
+    other in one order only (the order of a repeated position is not defined).
+
+    Sequences are cut into tiles of ``tile`` rows by rank, so sparse positions cost
+    nothing. A task holds one query tile and a block of ``KEY_TILES`` earlier key tiles
+    and gives one partial ``(m, l, o)`` per query row; the partials of a row, one per
+    block of its history, are merged by a max and rescaled sums (the tiled
+    online-softmax merge). A hot sequence is spread over its (tile, block) pairs; the
+    work is inherently quadratic per sequence.
     Returns ``(seq, pos, out array<double>)``.
     """
     k = k or q
     v = v or q
     require(tile >= 1 and n_heads >= 1, "tile and n_heads must be >= 1")
-    dims = df.select(F.size(q).alias("d")).distinct().collect()
-    require(len(dims) == 1, "all vectors must have the same size")
-    d = dims[0]["d"]
-    require(d % n_heads == 0, "d_out must be divisible by num_heads")
-    rows = df.select(F.col(seq).cast("long").alias("seq"), F.col(pos).cast("long").alias("pos"),
-                     F.floor(F.col(pos) / tile).cast("long").alias("tile"),
-                     V.as_double(F.col(q)).alias("q"), V.as_double(F.col(k)).alias("k"),
-                     V.as_double(F.col(v)).alias("v"))
-    qt = rows.groupBy("seq", "tile").agg(F.collect_list("pos").alias("qpos"),
-                                         F.collect_list("q").alias("qv"))
-    kt = rows.groupBy("seq", "tile").agg(F.collect_list("pos").alias("kpos"),
-                                         F.collect_list("k").alias("kv"), F.collect_list("v").alias("vv"))
-    # Which key tiles each query tile sees: the tile index of a sequence
-    # (one row per tile), running list in tile order.
-    w = Window.partitionBy("seq").orderBy("tile").rowsBetween(Window.unboundedPreceding, 0)
-    plan = kt.select("seq", "tile").withColumn("ktiles", F.collect_list("tile").over(w))
-    plan = plan.select("seq", F.col("tile").alias("qtile"), F.explode("ktiles").alias("ktile"))
-    pairs = (plan.join(qt.withColumnRenamed("tile", "qtile"), ["seq", "qtile"])
-             .join(kt.withColumnRenamed("tile", "ktile"), ["seq", "ktile"]))
-    parts = pairs.select("seq", "qpos", "qv", "kpos", "kv", "vv").mapInPandas(
-        _tile_partials(n_heads), _PARTIAL_SCHEMA)
-    wq = Window.partitionBy("seq", "pos", "head")
-    scaled = parts.withColumn("_a", F.exp(F.col("m") - F.max("m").over(wq)))
-    merged = scaled.groupBy("seq", "pos", "head").agg(
-        F.sum(F.col("l") * F.col("_a")).alias("L"),
-        F.collect_list(F.transform("o", lambda x: x * F.col("_a"))).alias("os"))
+    sizes = df.agg(F.min(F.size(q)).alias("lo"), F.max(F.size(q)).alias("hi")).first()
+    if sizes["lo"] is None:
+        return df.sparkSession.createDataFrame([], "seq long, pos long, out array<double>")
+    require(sizes["lo"] == sizes["hi"] >= 1, "all vectors must have the same size")
+    d = sizes["hi"]
+    require(d % n_heads == 0, "the heads must divide the vector size evenly")
+    rows = sequence_ranks(df.select(
+        F.col(seq).cast("long").alias("seq"), F.col(pos).cast("long").alias("pos"), V.as_double(F.col(q)).alias("q"),
+        V.as_double(F.col(k)).alias("k"), V.as_double(F.col(v)).alias("v")))
+    rows = rows.withColumn("tile", F.floor(F.col("rank") / tile).cast("long"))
+    tiles = Written(rows.groupBy("seq", "tile").agg(
+        F.collect_list("pos").alias("pos"), F.collect_list("rank").alias("rank"), F.collect_list("q").alias("qv"),
+        F.collect_list("k").alias("kv"), F.collect_list("v").alias("vv")), "pool-tiles").df
+    # A key block goes to every query tile of its sequence from its own tiles on.
+    blocks = tiles.groupBy("seq", F.floor(F.col("tile") / KEY_TILES).cast("long").alias("block")).agg(
+        F.collect_list(F.struct("rank", "kv", "vv")).alias("tiles"))
+    queries = tiles.select("seq", "tile", F.col("pos").alias("qpos"), F.col("rank").alias("qrank"), "qv", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor(F.col("tile") / KEY_TILES).cast("long"))).alias("block"))
+    pairs = queries.join(blocks, ["seq", "block"])
+    parts = pairs.select("seq", "qpos", "qrank", "qv", "tiles").mapInPandas(_walk(n_heads), _PARTIAL_SCHEMA)
+    # A row's partials: one per KEY_TILES * tile rows of its history, summed element by element.
     hd = d // n_heads
-    zero = F.array_repeat(F.lit(0.0), hd)
-    summed = merged.select("seq", "pos", "head", F.transform(
-        F.aggregate("os", zero, lambda acc, x: V.vadd(acc, x)), lambda x: x / F.col("L")).alias("o"))
-    return summed.groupBy("seq", "pos").agg(F.flatten(F.transform(
-        F.sort_array(F.collect_list(F.struct("head", "o"))), lambda x: x["o"])).alias("out"))
+    at = F.explode(F.sequence(F.lit(0), F.lit(n_heads - 1)))
+    heads = parts.select("seq", "pos", "m", "l", "o", at.alias("h")).select(
+        "seq", "pos", "h", F.element_at("m", F.col("h") + 1).alias("m"), F.element_at("l", F.col("h") + 1).alias("l"),
+        *[F.element_at("o", F.col("h") * hd + i + 1).alias(f"o{i}") for i in range(hd)])
+    top = heads.groupBy("seq", "pos", "h").agg(F.max("m").alias("top"))
+    scale = F.exp(F.col("m") - F.col("top"))
+    total = heads.join(top, ["seq", "pos", "h"]).groupBy("seq", "pos", "h").agg(
+        F.sum(F.col("l") * scale).alias("l"), *[F.sum(F.col(f"o{i}") * scale).alias(f"o{i}") for i in range(hd)])
+    one = total.select("seq", "pos", "h", F.array(*[F.col(f"o{i}") / F.col("l") for i in range(hd)]).alias("o"))
+    return one.groupBy("seq", "pos").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("h", "o"))), lambda x: x["o"])).alias("out"))

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import N_BASE, SPACE_MARK, preprocess_chars
-from ..plans.strategy import bounded_broadcast
-from ..session import cut_lineage
+from ..plans.strategy import collect_checked
 from ..validation import TokenmillError, require_columns
+from .tokenizer import lookup_chars
 
 
 def distinct_chars(docs: DataFrame) -> DataFrame:
@@ -72,96 +72,32 @@ def vocab_size(vocab: DataFrame) -> DataFrame:
     return vocab.agg(F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("text").alias("n_texts"))
 
 
-# A vocabulary is looked up through map literals when the part that is not
-# "character c (0..255) has id c" has at most this many entries (map
-# literals are searched linearly, so this stays small).
-MAX_MAP_ENTRIES = 256
-
-
-def char_id_maps(vocab: DataFrame) -> tuple[dict, dict] | None:
-    """For a vocabulary whose characters 0..255 have their code point as id
-    (as :func:`initial_vocab` builds it): the remaining entries split into
-    ``(single-character texts, longer texts)`` -> id, or None when that does
-    not hold or the rest is too large for literals (bounded by the count)."""
-    t2t = text_to_token(vocab)
-    is_base = (F.length("text") == 1) & (F.ascii("text") < 256) & (F.col("token") == F.ascii("text"))
-    if t2t.filter(is_base).count() != 256:
-        return None
-    rest = t2t.filter(~is_base)
-    if rest.count() > MAX_MAP_ENTRIES:
-        return None
-    rows = rest.collect()  # bounded above
-    return ({r["text"]: r["token"] for r in rows if len(r["text"]) == 1},
-            {r["text"]: r["token"] for r in rows if len(r["text"]) != 1})
-
-
-def map_literal(d: dict) -> Column:
-    if not d:
-        return F.create_map().cast("map<string,int>")
-    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v).cast("int"))])
-
-
-def char_id(c: Column, singles: Column) -> Column:
-    """Token id of a one-character string: its code point below 256, else
-    the single-character map (NULL when unknown)."""
-    cp = F.ascii(c)
-    return F.when(cp < 256, cp).otherwise(F.element_at(singles, c))
-
-
 def char_tokens(docs: DataFrame, vocab: DataFrame, strict: bool = True) -> DataFrame:
     """Training-time characters of each document as token ids
-    ``(…keys, tokens array<int>)``; a character missing from the vocabulary
-    is NULL, and with ``strict`` any miss raises.
+    ``(…keys, tokens array<int>)``, one row per input row; NULL for a NULL text.
 
-    With a character vocabulary the lookup is a map-only expression (code
-    point, or a literal map bounded by the alphabet). Otherwise characters
-    are exploded, joined to the (size-checked, broadcast) lookup and
-    regrouped per document.
+    A character missing from the vocabulary is NULL, and with ``strict`` it
+    fails the job. One map-only stage at every vocabulary size.
     """
     require_columns(docs, ["text"], "char_tokens")
     keys = [c for c in docs.columns if c != "text"]
-    maps = char_id_maps(vocab)
-    if maps is not None:
-        sm = map_literal(maps[0])
-        out = docs.select(*keys, F.transform(preprocess_chars(F.col("text")), lambda c: char_id(c, sm))
-                          .alias("tokens"))
-        missing = out.filter(F.exists("tokens", lambda t: t.isNull()))
-    else:
-        lookup = bounded_broadcast(text_to_token(vocab).withColumnRenamed("text", "ch"))
-        exploded = docs.select(*keys, F.posexplode_outer(preprocess_chars(F.col("text"))).alias("pos", "ch"))
-        joined = exploded.join(lookup, "ch", "left")
-        out = joined.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(),
-                                               F.struct("pos", "token")))).alias("pt"))
-        out = out.select(*keys, F.transform("pt", lambda x: x["token"]).alias("tokens"))
-        missing = joined.filter(F.col("pos").isNotNull() & F.col("token").isNull())
-    if strict and missing.limit(1).count():
-        raise TokenmillError("char_tokens: a character is missing from the vocabulary")
-    return out
+    chars = F.when(F.col("text").isNotNull(), preprocess_chars(F.col("text")))
+    return lookup_chars(docs.select(*keys, chars.alias("__chars")), "__chars", vocab, strict)
 
 
 def extend_vocab(vocab: DataFrame, merges: DataFrame) -> DataFrame:
     """Add one ``merge`` row per merge, text = text(t1) + text(t2).
 
-    Merges may build on earlier merges, so texts are resolved level by
-    level (each round joins the still-unresolved merges to the known
-    texts); the number of rounds is the depth of the merge tree.
+    Merges may build on earlier merges, whose ids are smaller. Both tables are
+    vocabulary-sized, so the texts are put together on the driver.
     """
     require_columns(merges, ["t1", "t2", "new_token"], "extend_vocab")
-    # Each level is checkpointed: the known table appears twice in the next
-    # level's plan, so an uncut loop would double its plan every level.
-    known = cut_lineage(vocab.select("token", "text", "kind"))
-    pending = cut_lineage(merges.select("t1", "t2", "new_token"))
-    while not pending.isEmpty():
-        k = known.select("token", "text")
-        step = cut_lineage(
-            pending.join(k.select(F.col("token").alias("t1"), F.col("text").alias("x1")), "t1", "left")
-            .join(k.select(F.col("token").alias("t2"), F.col("text").alias("x2")), "t2", "left"))
-        both = F.col("x1").isNotNull() & F.col("x2").isNotNull()
-        ready = step.filter(both).select(F.col("new_token").alias("token"),
-                                         F.concat("x1", "x2").alias("text"), F.lit("merge").alias("kind"))
-        if ready.isEmpty():
+    texts = {r["token"]: r["text"] for r in collect_checked(vocab.select("token", "text"), "the vocabulary")}
+    added = []
+    for r in sorted(collect_checked(merges.select("t1", "t2", "new_token"), "the merge table"), key=lambda r: r["new_token"]):
+        if r["t1"] not in texts or r["t2"] not in texts:
             raise TokenmillError("extend_vocab: a merge refers to an unknown token")
-        known = cut_lineage(known.unionByName(ready))
-        pending = step.filter(~both).select("t1", "t2", "new_token")
-    return known
+        texts[r["new_token"]] = texts[r["t1"]] + texts[r["t2"]]
+        added.append((r["new_token"], texts[r["new_token"]], "merge"))
+    known = vocab.select("token", "text", "kind")
+    return known.unionByName(vocab.sparkSession.createDataFrame(added, "token int, text string, kind string"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments
 from ..functions.vectors import rule_matrix
 from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
-from ..session import cut_lineage
+from ..session import written
 from ..sources import shards
 
 # Parameters of the registered queries.
@@ -29,6 +29,13 @@ SAMPLE_TIGHT = (0.2, 20_000)  # exercises the truncating character budget
 N_MERGES = 48                # merges learned by the registered training query
 N_TOP_PAIRS = 5
 N_PASS_MERGES = 30           # data-derived merge table for the one-pass query
+N_TRIGRAMS = 20              # three-character strings whose merges collide
+N_MANY_SHARDS = 64
+WIDE_ALPHABET = 3000         # characters added to the alphabet
+WIDE_VOCAB = 50_257          # whole pieces in the vocabulary
+MULTI_SPECIALS = ("of", "<|end", EOT)
+# Replacements that put unusual white space and characters into the documents.
+INJECTED = ((". ", ".\t \u00a0  "), (", ", ",   "), ("\n", " \r\n\t\n"), ("th", "Ω中"), (" a ", "\u2003a\x0b \u3000"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +52,8 @@ def char_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_shard_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode.shard_tokens(docs(spark, sf_dir), char_vocab(spark, sf_dir).cache(),
-                               None, SPECIALS)
+    """Written, because sizes, offsets and windows each read the token table."""
+    return written(encode.shard_tokens(docs(spark, sf_dir), char_vocab(spark, sf_dir), None, SPECIALS), "char-tokens")
 
 
 def _tokens_text(df: DataFrame, col: str = "tokens") -> DataFrame:
@@ -115,8 +122,8 @@ def q_char_tokens(spark, d):
 
 
 def q_shard_tokens(spark, d):
-    return _tokens_text(char_shard_tokens(spark, d).withColumn(
-        "n_tokens", F.col("n_tokens").cast("long")))
+    toks = encode.shard_tokens(docs(spark, d), char_vocab(spark, d), None, SPECIALS)
+    return _tokens_text(toks.withColumn("n_tokens", F.col("n_tokens").cast("long")))
 
 
 def q_shard_stats(spark, d):
@@ -173,70 +180,160 @@ def q_worker_stripes(spark, d):
 
 # --- BPE: training, encoding and decoding with merges -------------------------
 
-_TRAINED: dict[tuple, bpe.TrainedBPE] = {}
-
-
 def trained(spark: SparkSession, d: str) -> bpe.TrainedBPE:
-    """Tokenizer trained on the sample of shard 0 (reference semantics):
-    the initial vocabulary plus ``N_MERGES`` merges."""
-    key = (id(spark), d)
-    if key not in _TRAINED:
-        smp = sampling.training_sample(docs(spark, d), *SAMPLE)
-        blocks = cut_lineage(bpe.sequence_blocks(smp))
-        n0 = vocab.initial_vocab(blocks.select(F.explode(F.split("s", "")).alias("ch")), SPECIALS).count()
-        res = bpe.train_bpe(blocks, n0 + N_MERGES, SPECIALS, "sequence")
-        res.vocab = res.vocab.cache()
-        res.merges = res.merges.cache()
-        _TRAINED[key] = res
-    return _TRAINED[key]
+    """Tokenizer trained on every piece of the corpus (piece scope): the
+    initial vocabulary plus ``N_MERGES`` merges."""
+    return bpe.train_bpe(_corpus_piece_blocks(spark, d), specials=SPECIALS, scope="piece", n_merges=N_MERGES)
 
 
-def q_bpe_merges_piece(spark, d):
-    """B1 in the scale mode: merges learned over every piece of the corpus."""
-    blocks = cut_lineage(_corpus_piece_blocks(spark, d))
-    n0 = vocab.initial_vocab(blocks.select(F.explode(F.split("s", "")).alias("ch")), SPECIALS).count()
-    res = bpe.train_bpe(blocks, n0 + N_MERGES, SPECIALS, "piece")
-    v = res.vocab.select(F.col("token").alias("new_token"), "text")
-    return res.merges.join(v, "new_token").select("rank", "t1", "t2", "new_token", "text")
+def _merge_texts(t: bpe.TrainedBPE) -> DataFrame:
+    v = t.vocab.select(F.col("token").alias("new_token"), "text")
+    return t.merges.join(v, "new_token").select("rank", "t1", "t2", "new_token", "text")
 
 
-def bpe_shard_tokens(spark, d):
-    t = trained(spark, d)
-    return encode.shard_tokens(docs(spark, d), t.vocab, t.merges, SPECIALS)
+def q_bpe_merges(spark, d):
+    """B1 in the reference's scope: all documents, in the order of their ids, are one sequence."""
+    text = table(spark, d, "documents").select(F.col("doc_id").alias("row_idx"), "text")
+    return _merge_texts(bpe.train_bpe(bpe.sequence_blocks(text), specials=SPECIALS, scope="sequence", n_merges=N_MERGES))
 
 
-def q_bpe_merges(spark, d):
-    t = trained(spark, d)
-    v = t.vocab.select(F.col("token").alias("new_token"), "text")
-    return t.merges.join(v, "new_token").select("rank", "t1", "t2", "new_token", "text")
+def q_bpe_merges_piece(spark, d):
+    """B1 in the scale mode: merges learned over every piece of the corpus."""
+    return _merge_texts(trained(spark, d))
 
 
 def q_vocab_after_merges(spark, d):
     return trained(spark, d).vocab
 
 
+def trigram_merges(spark, d):
+    """Merges whose texts collide: for each of the most frequent three-character strings
+    xyz of the corpus pieces, (x,y), (y,z) and both ways to xyz, ids from 10000."""
+    blocks = _corpus_piece_blocks(spark, d).filter(F.length("s") >= 3)
+    at = F.explode(F.sequence(F.lit(1), F.length("s") - 2))
+    grams = blocks.select("w", "s", at.alias("i")).select("w", F.expr("substring(s, i, 3)").alias("gram"))
+    counts = grams.groupBy("gram").agg(F.sum("w").alias("n")).orderBy(F.desc("n"), "gram").limit(N_TRIGRAMS)
+    ranked = counts.withColumn("r", F.row_number().over(Window.orderBy(F.desc("n"), "gram")) - 1)
+    ids = vocab.text_to_token(char_vocab(spark, d)).filter(F.length("text") == 1)
+    for i, name in enumerate(("x", "y", "z"), 1):
+        ranked = ranked.join(ids.select(F.col("text").alias(f"c{i}"), F.col("token").alias(name)),
+                             F.substring("gram", i, 1) == F.col(f"c{i}"))
+    base = (F.lit(10000) + 4 * F.col("r")).cast("int")
+    rows = F.array(*[F.struct(a.cast("int").alias("t1"), b.cast("int").alias("t2"), (base + k).alias("new_token")) for k, (a, b) in enumerate(
+        [(F.col("x"), F.col("y")), (F.col("y"), F.col("z")), (base, F.col("z")), (F.col("x"), base + 1)])])
+    return ranked.select(F.explode(rows).alias("m")).select("m.*")
+
+
 def q_vocab_collisions(spark, d):
-    c = vocab.vocab_collisions(trained(spark, d).vocab)
-    return c.select("text", "n_tokens", ints_to_text(F.col("tokens")).alias("tokens"))
+    ext = vocab.extend_vocab(char_vocab(spark, d), trigram_merges(spark, d))
+    c = vocab.vocab_collisions(ext)
+    return c.select("text", F.col("n_tokens").cast("long").alias("n_tokens"), ints_to_text(F.col("tokens")).alias("tokens"))
 
 
 def q_encode_docs(spark, d):
-    return _tokens_text(bpe_shard_tokens(spark, d).withColumn("n_tokens", F.col("n_tokens").cast("long")))
+    t = trained(spark, d)
+    toks = encode.shard_tokens(docs(spark, d), t.vocab, t.merges, SPECIALS)
+    return _tokens_text(toks.withColumn("n_tokens", F.col("n_tokens").cast("long")))
 
 
 def q_decode_docs(spark, d):
     """Round trip: decode(encode(text)) of every document with the trained
     tokenizer; equals the text without dropped whitespace, plus EOT."""
-    return decode.decode_tokens(bpe_shard_tokens(spark, d), trained(spark, d).vocab)
+    t = trained(spark, d)
+    return decode.decode_tokens(encode.shard_tokens(docs(spark, d), t.vocab, t.merges, SPECIALS), t.vocab)
 
 
 def q_piece_codes(spark, d):
     t = trained(spark, d)
-    occ = encode.piece_occurrences(encode.doc_pieces(docs(spark, d), SPECIALS))
-    pc = encode.piece_codes(occ.filter(~F.col("special")), t.vocab, t.merges)
+    pc = encode.piece_codes(encode.distinct_pieces(docs(spark, d), SPECIALS), t.vocab, t.merges)
     return pc.select("piece", ints_to_text(F.col("codes")).alias("codes"))
 
 
+# --- one behaviour at every vocabulary size, injected text ------------------------
+
+def _wide(spark, d):
+    """Every document followed by one of ``WIDE_ALPHABET`` characters from U+4E00 on."""
+    code = F.lpad(F.hex(F.lit(0x4E00) + F.pmod(F.col("shard_idx") + N_SHARDS * F.col("row_idx"), F.lit(WIDE_ALPHABET))), 4, "0")
+    return docs(spark, d).withColumn("text", F.concat("text", F.lit(" "), F.decode(F.unhex(code), "UTF-16BE")))
+
+
+def q_encode_wide_alphabet(spark, d):
+    """E5 at character level with an alphabet of thousands of characters."""
+    wide = _wide(spark, d)
+    v = vocab.initial_vocab(vocab.distinct_chars(wide), SPECIALS)
+    return _tokens_text(encode.shard_tokens(wide, v, None, SPECIALS).withColumn("n_tokens", F.col("n_tokens").cast("long")))
+
+
+def q_decode_wide_vocab(spark, d):
+    """E1 and E4 with ``WIDE_VOCAB`` whole pieces as vocabulary entries, the most frequent ones."""
+    base = char_vocab(spark, d)
+    top = (_corpus_piece_blocks(spark, d).filter(F.length("s") > 1).orderBy(F.desc("w"), "s").limit(WIDE_VOCAB)
+           .select("s", F.row_number().over(Window.orderBy(F.desc("w"), "s")).alias("r")))
+    words = top.select((F.lit(99_999) + F.col("r")).cast("int").alias("token"), F.col("s").alias("text"), F.lit("merge").alias("kind"))
+    v = written(base.unionByName(words), "wide-vocab")
+    toks = written(encode.shard_tokens(docs(spark, d), v, None, SPECIALS), "wide-tokens")
+    text = decode.decode_tokens(toks, v)
+    return text.join(toks.select("shard_idx", "row_idx", F.col("n_tokens").cast("long").alias("n_tokens")), ["shard_idx", "row_idx"])
+
+
+def q_oov_rejects(spark, d):
+    """Q5: documents with a character that the vocabulary lacks."""
+    v = char_vocab(spark, d)
+    other = docs(spark, d).withColumn("text", F.replace("text", F.lit("worthless"), F.lit("Ω")))
+    return encode.oov_rejects(encode.shard_tokens(other, v, None, SPECIALS, on_oov="null"))
+
+
+def _mixed_text(spark, d):
+    """Documents with tabs, no-break and repeated spaces, CR LF and characters above U+00FF."""
+    t = F.col("text")
+    for a, b in INJECTED:
+        t = F.replace(t, F.lit(a), F.lit(b))
+    return docs(spark, d).withColumn("text", t)
+
+
+def q_pieces_injected(spark, d):
+    p = encode.doc_pieces(_mixed_text(spark, d), ())
+    return p.select("shard_idx", "row_idx", F.size("pieces").cast("long").alias("n_pieces"),
+                    F.array_join(F.transform("pieces", lambda x: x["piece"]), "|").alias("pieces"))
+
+
+def q_special_segments_multi(spark, d):
+    """T1 + L3 with special texts that hold each other: the longest wins."""
+    t = F.replace(F.replace("text", F.lit("\n"), F.lit(EOT)), F.lit(" the "), F.lit(" <|end "))
+    s = docs(spark, d).select("shard_idx", "row_idx", F.posexplode(special_segments(t, MULTI_SPECIALS, "all")).alias("seg_idx", "seg"))
+    return s.select("shard_idx", "row_idx", F.col("seg_idx").cast("int").alias("seg_idx"),
+                    F.col("seg.special").alias("special"), F.col("seg.text").alias("seg_text"))
+
+
+# --- registered building blocks -----------------------------------------------------
+
+def q_scan_shards(spark, d):
+    """S1 on the given file: its name holds no shard number, so the index is NULL."""
+    return shards.scan_shards(spark, f"{d}/documents.parquet")
+
+
+def q_pending_shards(spark, d):
+    """Shards of the documents (by id) for which the benchmark holds no item."""
+    by = lambda c: F.pmod(F.col(c), F.lit(N_MANY_SHARDS)).cast("int").alias("shard_idx")
+    raw = table(spark, d, "documents").select(by("doc_id")).distinct()
+    return shards.pending_shards(raw, table(spark, d, "benchmark").select(by("item_id")))
+
+
+def _pass_rows(spark, d):
+    return encode._char_rows(encode.distinct_pieces(docs(spark, d), SPECIALS), vocab.text_to_token(char_vocab(spark, d)))
+
+
+def q_piece_lookup(spark, d):
+    """Whole pieces in the vocabulary extended by the data-derived merges."""
+    ext = vocab.extend_vocab(char_vocab(spark, d), pass_merges(spark, d))
+    return encode.piece_lookup(encode.distinct_pieces(docs(spark, d), SPECIALS), ext)
+
+
+def q_mergeable_pairs(spark, d):
+    """J4 + W3: neighbours in a piece that the data-derived merge table holds."""
+    return encode.mergeable_pairs(_pass_rows(spark, d), pass_merges(spark, d))
+
+
 def _corpus_piece_blocks(spark, d):
     return bpe.piece_blocks(docs(spark, d), SPECIALS)
 
@@ -271,11 +368,7 @@ def pass_merges(spark, d):
 def q_merge_pass(spark, d):
     """W3 + J4 + W4: one greedy pass of the data-derived merge table over
     every distinct piece of the corpus."""
-    v = vocab.text_to_token(char_vocab(spark, d))
-    occ = encode.piece_occurrences(encode.doc_pieces(docs(spark, d), SPECIALS))
-    pcs = occ.filter(~F.col("special")).select("piece").distinct()
-    rows = encode._char_rows(pcs, v)
-    out = encode.merge_pass(rows, F.broadcast(pass_merges(spark, d)))
+    out = encode.merge_pass(_pass_rows(spark, d), pass_merges(spark, d))
     return out.groupBy("piece").agg(ints_to_text(F.transform(
         F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
 
@@ -324,7 +417,7 @@ def q_ffn_scores(spark, d):
 
 def q_project_vectors(spark, d):
     emb = table(spark, d, "embeddings")
-    out = vectors.project_vectors(emb, "embedding", PROJ_W_T, PROJ_B)
+    out, _ = vectors.project_vectors(emb, "embedding", PROJ_W_T, PROJ_B)
     return _explode_vec(out, ["vec_id"], "out", "j")
 
 
@@ -364,9 +457,9 @@ def two_level_merges(spark, d):
     cv = char_vocab(spark, d)
     v = vocab.text_to_token(cv)
     blocks = _corpus_piece_blocks(spark, d)
-    l1 = pass_merges(spark, d).cache()
+    l1 = written(pass_merges(spark, d), "level-1")
     rows = encode._char_rows(blocks.select(F.col("s").alias("piece")), v)
-    passed = encode.merge_pass(rows, F.broadcast(l1))
+    passed = encode.merge_pass(rows, l1)
     w = Window.partitionBy("piece").orderBy("pos")
     adj = passed.withColumn("nxt", F.lead("tok").over(w)).filter(
         F.col("nxt").isNotNull() & ((F.col("tok") >= 1000) | (F.col("nxt") >= 1000)))
@@ -376,7 +469,7 @@ def two_level_merges(spark, d):
     order = [F.desc("n"), F.asc("t1"), F.asc("t2")]
     l2 = cnt.orderBy(*order).limit(N_LEVEL2_MERGES).select(
         "t1", "t2", (F.lit(1999) + F.row_number().over(Window.orderBy(*order))).cast("int").alias("new_token"))
-    merges = l1.unionByName(l2).withColumn("rank", F.col("new_token")).cache()
+    merges = written(l1.unionByName(l2).withColumn("rank", F.col("new_token")), "two-levels")
     ext = vocab.extend_vocab(cv.select("token", "text", "kind"), merges)
     return ext, merges
 
@@ -385,8 +478,7 @@ def q_encode_two_level(spark, d):
     """E2 + E3 to the fixpoint with merges on merges: every distinct piece of
     the corpus, whole-piece lookup first."""
     ext, merges = two_level_merges(spark, d)
-    occ = encode.piece_occurrences(encode.doc_pieces(docs(spark, d), SPECIALS))
-    pc = encode.piece_codes(occ.filter(~F.col("special")), ext, merges)
+    pc = encode.piece_codes(encode.distinct_pieces(docs(spark, d), SPECIALS), ext, merges)
     return pc.select("piece", ints_to_text(F.col("codes")).alias("codes"))
 
 
@@ -428,4 +520,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "embed_tokens": q_embed_tokens,
     "causal_pool": q_causal_pool,
     "group_softmax": q_group_softmax,
+    "scan_shards": q_scan_shards,
+    "pending_shards": q_pending_shards,
+    "piece_lookup": q_piece_lookup,
+    "mergeable_pairs": q_mergeable_pairs,
+    "encode_wide_alphabet": q_encode_wide_alphabet,
+    "decode_wide_vocab": q_decode_wide_vocab,
+    "oov_rejects": q_oov_rejects,
+    "pieces_injected": q_pieces_injected,
+    "special_segments_multi": q_special_segments_multi,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EOT
 from ..operators import bpe, encode, packing, sampling
+from ..session import Written
 from ..sources import sinks
 from ..sources.shards import pending_shards
 
@@ -24,21 +25,38 @@ def train_tokenizer_job(docs: DataFrame, vocab_size: int, out_path: str | None =
     return res
 
 
+def tokenize_into(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None, token_dir: str,
+                  specials: Sequence[str] = (EOT,), on_oov: str = "reject") -> DataFrame:
+    """E5 + S4: tokenise the shards of ``docs`` into the cache ``token_dir``.
+
+    Accepted documents, rejected documents and one finished record per shard are
+    written, also for a shard that yields no tokens. Returns the totals
+    ``(shard_idx, n_tokens, n_docs, n_rejected)`` of these shards.
+    """
+    mode = "fail" if on_oov == "fail" else "null"
+    held = Written(encode.shard_tokens(docs, vocab, merges, specials, on_oov=mode), "shard-tokens")
+    rejects = encode.oov_rejects(held.df) if on_oov == "reject" else held.df.filter("false").select(
+        *encode.DOC_KEYS, F.lit("").alias("reason"))
+    accepted = encode.apply_oov(held.df, on_oov) if on_oov == "reject" else held.df
+    sinks.write_token_shards(accepted, token_dir)
+    sinks.write_rejects(rejects, token_dir)
+    refused = rejects.groupBy("shard_idx").agg(F.count("*").alias("n_rejected"))
+    totals = Written(sampling.shard_stats(docs, accepted).join(refused, "shard_idx", "left").select(
+        "shard_idx", "n_tokens", "n_docs", F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected")), "shard-totals")
+    sinks.write_done(totals.df, token_dir)
+    held.drop()
+    return totals.df
+
+
 def tokenize_and_cache_shards(spark: SparkSession, docs: DataFrame, vocab: DataFrame,
                               merges: DataFrame | None, token_dir: str,
                               specials: Sequence[str] = (EOT,), on_oov: str = "reject") -> DataFrame:
-    """Tokenise every shard that has no cached output yet (J6) and write
-    it (S4). Returns the per-shard statistics of the shards written
-    ``(shard_idx, n_tokens, n_docs)`` (empty when nothing was pending)."""
-    todo = pending_shards(docs.select("shard_idx").distinct(), sinks.cached_shards(spark, token_dir))
-    todo_ids = [r["shard_idx"] for r in todo.collect()]  # one row per shard
-    if not todo_ids:
-        return spark.createDataFrame([], "shard_idx int, n_tokens long, n_docs long")
-    work = docs.filter(F.col("shard_idx").isin(todo_ids))
-    toks = encode.shard_tokens(work, vocab, merges, specials, on_oov=on_oov)
-    sinks.write_token_shards(toks, token_dir)
-    written = sinks.read_token_shards(spark, token_dir, todo_ids)
-    return sampling.shard_stats(work, written)
+    """Tokenise every shard that is not finished yet (J6) into the cache.
+    Returns the totals of the shards written (empty when nothing was pending)."""
+    todo = pending_shards(docs, sinks.finished_shards(spark, token_dir))
+    if todo.isEmpty():
+        return spark.createDataFrame([], "shard_idx int, n_tokens long, n_docs long, n_rejected long")
+    return tokenize_into(todo, vocab, merges, token_dir, specials, on_oov)
 
 
 def windows_job(spark: SparkSession, token_dir: str, context_length: int,

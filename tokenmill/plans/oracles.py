@@ -11,7 +11,7 @@ from . import catalog as C
 
 EOT = "<|endoftext|>"
 MARK = "Ġ"
-_WS_RE2 = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in OTHER_WHITESPACE) + "]"
+_OTHER_WS = ", ".join(f"chr({ord(c)})" for c in OTHER_WHITESPACE)
 
 DOCS = f"""docs AS (
   SELECT CAST(doc_id % {C.N_SHARDS} AS INTEGER) AS shard_idx,
@@ -32,23 +32,49 @@ extra AS (
   FROM cand WHERE text NOT IN (SELECT text FROM base)),
 vocab AS (SELECT * FROM base UNION ALL SELECT * FROM extra)"""
 
-PIECES = f"""pc AS (
-  SELECT shard_idx, row_idx, list_transform(regexp_extract_all(
-           regexp_replace(regexp_replace(text, '{_WS_RE2}', chr(9), 'g'), '\\t* \\t*', ' ', 'g'),
-           '(\\r|\\n| ?[^ \\t\\r\\n]+| )', 1), lambda x: replace(x, ' ', '{MARK}')) AS pieces
-  FROM docs)"""
+
+
+def _pieces(docs: str = "docs") -> str:
+    """Pieces by character classes: every character is a line break (n), space (s), other
+    white space (o) or part of a word (w). A space whose next character, other white
+    space aside, is of a word belongs to that word; any other is a piece."""
+    return f"""pch AS (
+  SELECT shard_idx, row_idx, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS i
+  FROM {docs} WHERE text <> ''),
+pcl AS (
+  SELECT *, CASE WHEN ch IN (chr(10), chr(13)) THEN 'n' WHEN ch = ' ' THEN 's' WHEN ch IN ({_OTHER_WS}) THEN 'o' ELSE 'w' END AS c
+  FROM pch),
+pnb AS (
+  SELECT *, lag(c) OVER w AS before, lag(i) OVER w AS before_i, lead(c) OVER w AS after
+  FROM pcl WHERE c <> 'o' WINDOW w AS (PARTITION BY shard_idx, row_idx ORDER BY i)),
+pst AS (
+  SELECT *, c <> 'w' OR before IS DISTINCT FROM 'w' OR before_i <> i - 1 AS starts
+  FROM pnb WHERE c <> 's' OR after IS DISTINCT FROM 'w'),
+pno AS (
+  SELECT *, sum(starts::INTEGER) OVER (PARTITION BY shard_idx, row_idx ORDER BY i) AS no FROM pst),
+pone AS (
+  SELECT shard_idx, row_idx, no, string_agg(CASE WHEN c = 's' THEN '{MARK}' WHEN c = 'w' AND starts AND before = 's' THEN '{MARK}' || ch
+         ELSE ch END, '' ORDER BY i) AS piece FROM pno GROUP BY ALL),
+pall AS (SELECT shard_idx, row_idx, list(piece ORDER BY no) AS pieces FROM pone GROUP BY ALL),
+pc AS MATERIALIZED (
+  SELECT d.shard_idx, d.row_idx, coalesce(p.pieces, []) AS pieces
+  FROM {docs} d LEFT JOIN pall p ON p.shard_idx = d.shard_idx AND p.row_idx = d.row_idx)"""
+
+
+PIECES = _pieces()
 
 # Char-level encoding: every character of every piece is one token, then EOT.
-SHARD_TOKENS = f"""{DOCS},
+def _shard_tokens(docs: str) -> str:
+    return f"""{docs},
 {PREP},
 {VOCAB},
 {PIECES},
-pch AS (
+pcs AS (
   SELECT shard_idx, row_idx, string_split(array_to_string(pieces, ''), '') AS cs FROM pc),
 ptok AS (
   SELECT u.shard_idx, u.row_idx, list(v.token ORDER BY u.pos) AS toks
   FROM (SELECT shard_idx, row_idx, unnest(cs) AS ch, generate_subscripts(cs, 1) AS pos
-        FROM pch WHERE cs <> ['']) u
+        FROM pcs WHERE cs <> ['']) u
   JOIN vocab v ON v.text = u.ch GROUP BY u.shard_idx, u.row_idx),
 st AS (
   SELECT d.shard_idx, d.row_idx,
@@ -62,6 +88,9 @@ offs AS (
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off
   FROM st)"""
 
+
+SHARD_TOKENS = _shard_tokens(DOCS)
+
 V, T, W = C.N_VAL, C.N_TEST, C.CONTEXT + 1
 
 WINDOWS = f"""{SHARD_TOKENS},
@@ -370,3 +399,153 @@ e0 AS (SELECT * FROM c0 WHERE piece NOT IN (SELECT piece FROM whole)),
 SELECT piece, CAST(token AS VARCHAR) AS codes FROM whole
 UNION ALL
 SELECT piece, array_to_string(list(tok ORDER BY i), ' ') AS codes FROM e3 GROUP BY piece"""
+
+
+# --- training, and encoding with what was trained -----------------------------------
+# Unrolled: one CTE per merge. A merged token is a fresh character, so replace() is the
+# greedy left-to-right replacement.
+
+def _sym(k: int) -> str:
+    return f"chr({0x40000 + k})"
+
+
+def _symbols(n: int, vocab: str = "vocab") -> str:
+    """``sy_n``: symbol, token, text and parts of the characters and merges, from the best pairs ``b_k``."""
+    out = [f"""n0 AS (SELECT CAST(count(*) AS INTEGER) AS n FROM {vocab}),
+sy_0 AS (SELECT text AS sym, token, text, NULL::INTEGER AS t1, NULL::INTEGER AS t2, NULL::INTEGER AS rank FROM {vocab} WHERE length(text) = 1)"""]
+    out += [f"""sy_{k + 1} AS MATERIALIZED (SELECT * FROM sy_{k} UNION ALL
+  SELECT {_sym(k)}, CAST(n + {k} AS INTEGER), x.text || y.text, x.token, y.token, {k}
+  FROM b_{k}, n0, sy_{k} x, sy_{k} y WHERE x.sym = substring(pair, 1, 1) AND y.sym = substring(pair, 2, 1))""" for k in range(n)]
+    return ",\n".join(out)
+
+
+def _piece_training(n: int) -> str:
+    out = ["""s_0 AS MATERIALIZED (
+  SELECT piece, piece AS s, count(*) AS w, min({'s': shard_idx, 'r': row_idx, 'p': piece_idx}) AS first FROM occ GROUP BY piece)"""]
+    for k in range(n):
+        out.append(f"""b_{k} AS MATERIALIZED (
+  SELECT pair FROM (SELECT substring(s, i, 2) AS pair, sum(w) AS n, min({{'f': first, 'i': i}}) AS f
+                    FROM (SELECT s, w, first, unnest(range(1, length(s))) AS i FROM s_{k}) GROUP BY 1)
+  ORDER BY n DESC, f LIMIT 1)""")
+        out.append(f"s_{k + 1} AS MATERIALIZED (SELECT piece, replace(s, pair, {_sym(k)}) AS s, w, first FROM s_{k}, b_{k})")
+    return ",\n".join(out)
+
+
+def _sequence_training(n: int) -> str:
+    out = [f"""s_0 AS MATERIALIZED (
+  SELECT replace(CASE WHEN t[1] = ' ' THEN t[2:] ELSE t END, ' ', '{MARK}') AS s
+  FROM (SELECT string_agg(text, chr(10) ORDER BY doc_id) AS t FROM documents WHERE text <> ''))"""]
+    for k in range(n):
+        out.append(f"""b_{k} AS MATERIALIZED (
+  SELECT a || b AS pair FROM (
+    SELECT unnest(l) AS a, unnest(l[2:]) AS b, generate_subscripts(l, 1) AS i FROM (SELECT string_split(s, '') AS l FROM s_{k}))
+  WHERE b IS NOT NULL GROUP BY a, b ORDER BY count(*) DESC, min(i) LIMIT 1)""")
+        out.append(f"s_{k + 1} AS MATERIALIZED (SELECT replace(s, pair, {_sym(k)}) AS s FROM s_{k}, b_{k})")
+    return ",\n".join(out)
+
+
+_N = C.N_MERGES
+_MERGES = f"SELECT rank, t1, t2, token AS new_token, text FROM sy_{_N} WHERE rank IS NOT NULL"
+_TRAINED = f"""{OCC}, {PREP}, {VOCAB},
+{_piece_training(_N)},
+{_symbols(_N)},
+tv AS MATERIALIZED (
+  SELECT token, text, kind FROM vocab UNION ALL SELECT token, text, 'merge' FROM sy_{_N} WHERE rank IS NOT NULL)"""
+
+ORACLES["bpe_merges_piece"] = f"WITH {_TRAINED} {_MERGES}"
+ORACLES["vocab_after_merges"] = f"WITH {_TRAINED} SELECT token, text, kind FROM tv"
+ORACLES["bpe_merges"] = f"""WITH {DOCS}, {PREP}, {VOCAB},
+{_sequence_training(_N)},
+{_symbols(_N)}
+{_MERGES}"""
+
+# More passes than any piece of the corpus needs: a pass after the fixpoint changes nothing.
+_PASSES = 8
+_CODED = f"""{_TRAINED},
+allm AS MATERIALIZED (SELECT t1, t2, token AS new_token FROM sy_{_N} WHERE rank IS NOT NULL),
+t2t AS (SELECT text, max(token) AS token FROM tv GROUP BY text),
+dp AS (SELECT DISTINCT piece FROM occ),
+whole AS (SELECT dp.piece, t2t.token FROM dp JOIN t2t ON t2t.text = dp.piece),
+e0 AS MATERIALIZED (
+  SELECT c.piece, c.i, v.token AS tok
+  FROM (SELECT piece, i, substring(piece, i, 1) AS ch FROM (SELECT piece, unnest(range(1, length(piece) + 1)) AS i FROM dp)) c
+  LEFT JOIN t2t v ON v.text = c.ch WHERE c.piece NOT IN (SELECT piece FROM whole)),
+{",".join(_pass(f"e{k}", f"e{k + 1}", "allm").replace(f"e{k + 1} AS (", f"e{k + 1} AS MATERIALIZED (") for k in range(_PASSES))},
+coded AS MATERIALIZED (
+  SELECT piece, [token] AS codes FROM whole UNION ALL SELECT piece, list(tok ORDER BY i) FROM e{_PASSES} GROUP BY piece)"""
+
+ORACLES["piece_codes"] = f"WITH {_CODED} SELECT piece, array_to_string(codes, ' ') AS codes FROM coded"
+ORACLES["encode_docs"] = f"""WITH {_CODED},
+dt AS (SELECT o.shard_idx, o.row_idx, flatten(list(c.codes ORDER BY o.piece_idx)) AS toks
+       FROM occ o JOIN coded c ON c.piece = o.piece GROUP BY ALL)
+SELECT shard_idx, row_idx, CAST(len(toks) + 1 AS BIGINT) AS n_tokens,
+       array_to_string(toks, ' ') || ' ' || (SELECT token FROM vocab WHERE text = '{EOT}') AS tokens FROM dt"""
+
+ORACLES["vocab_collisions"] = f"""WITH {OCC}, {PREP}, {VOCAB},
+g AS (SELECT substring(piece, i, 3) AS gram, count(*) AS n
+      FROM (SELECT piece, unnest(range(1, length(piece) - 1)) AS i FROM occ WHERE length(piece) >= 3) GROUP BY 1),
+r AS (SELECT gram, 10000 + 4 * (row_number() OVER (ORDER BY n DESC, gram) - 1) AS base FROM g ORDER BY n DESC, gram LIMIT {C.N_TRIGRAMS}),
+every AS (SELECT text, token FROM vocab
+  UNION ALL SELECT substring(gram, 1, 2), base FROM r UNION ALL SELECT substring(gram, 2, 2), base + 1 FROM r
+  UNION ALL SELECT gram, base + 2 FROM r UNION ALL SELECT gram, base + 3 FROM r)
+SELECT text, count(*) AS n_tokens, array_to_string(list(token ORDER BY token), ' ') AS tokens FROM every GROUP BY text HAVING count(*) > 1"""
+
+# --- every vocabulary size, injected text --------------------------------------------
+_WIDE_DOCS = DOCS.replace(" text\n", f" text || ' ' || chr(CAST({0x4E00} + doc_id % {C.WIDE_ALPHABET} AS INTEGER)) AS text\n")
+ORACLES["encode_wide_alphabet"] = f"""WITH {_shard_tokens(_WIDE_DOCS)}
+SELECT shard_idx, row_idx, CAST(len(toks) AS BIGINT) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM st"""
+
+ORACLES["decode_wide_vocab"] = f"""WITH {OCC},
+top AS (SELECT piece FROM (SELECT piece, count(*) AS w FROM occ WHERE length(piece) > 1 GROUP BY piece) ORDER BY w DESC, piece LIMIT {C.WIDE_VOCAB}),
+n AS (SELECT shard_idx, row_idx, sum(CASE WHEN top.piece IS NULL THEN length(occ.piece) ELSE 1 END) + 1 AS n_tokens
+      FROM occ LEFT JOIN top ON top.piece = occ.piece GROUP BY ALL)
+SELECT pc.shard_idx, pc.row_idx, replace(array_to_string(pc.pieces, ''), '{MARK}', ' ') || '{EOT}' AS text, CAST(n.n_tokens AS BIGINT) AS n_tokens
+FROM pc JOIN n ON n.shard_idx = pc.shard_idx AND n.row_idx = pc.row_idx"""
+
+ORACLES["oov_rejects"] = f"""WITH {DOCS}
+SELECT shard_idx, row_idx, 'unknown character' AS reason FROM docs WHERE contains(text, 'worthless')"""
+
+
+def _literal(text: str) -> str:
+    return " || ".join(f"chr({ord(c)})" for c in text)
+
+
+_mixed = "text"
+for _a, _b in C.INJECTED:
+    _mixed = f"replace({_mixed}, {_literal(_a)}, {_literal(_b)})"
+ORACLES["pieces_injected"] = f"""WITH {DOCS},
+mixed AS (SELECT shard_idx, row_idx, {_mixed} AS text FROM docs),
+{_pieces("mixed")}
+SELECT shard_idx, row_idx, CAST(len(pieces) AS BIGINT) AS n_pieces, array_to_string(pieces, '|') AS pieces FROM pc"""
+
+# The longest special is marked first, so the others are only sought in what is left.
+_marked = f"replace(replace(text, chr(10), '{EOT}'), ' the ', ' <|end ')"
+for _k, _s in enumerate(sorted(C.MULTI_SPECIALS, key=len, reverse=True)):
+    _marked = f"replace({_marked}, '{_s}', chr({0x50000 + _k}))"
+_unmark = "".join(f" WHEN chr({0x50000 + k}) THEN '{t}'" for k, t in enumerate(sorted(C.MULTI_SPECIALS, key=len, reverse=True)))
+ORACLES["special_segments_multi"] = f"""WITH {DOCS},
+m AS (SELECT shard_idx, row_idx, string_split({_marked}, '') AS l FROM docs WHERE text <> ''),
+c AS (SELECT shard_idx, row_idx, unnest(l) AS ch, generate_subscripts(l, 1) AS i FROM m),
+f AS (SELECT *, ch >= chr({0x50000}) AND ch <= chr({0x50000 + 9}) AS special FROM c),
+b AS (SELECT *, special OR coalesce(lag(special) OVER w, true) AS starts FROM f WINDOW w AS (PARTITION BY shard_idx, row_idx ORDER BY i)),
+n AS (SELECT *, sum(starts::INTEGER) OVER (PARTITION BY shard_idx, row_idx ORDER BY i) - 1 AS no FROM b)
+SELECT shard_idx, row_idx, CAST(no AS INTEGER) AS seg_idx, special,
+       string_agg(CASE ch{_unmark} ELSE ch END, '' ORDER BY i) AS seg_text FROM n GROUP BY ALL"""
+
+ORACLES["scan_shards"] = "SELECT NULL::INTEGER AS shard_idx, doc_id AS row_idx, text FROM documents"
+ORACLES["pending_shards"] = f"""SELECT DISTINCT CAST(doc_id % {C.N_MANY_SHARDS} AS INTEGER) AS shard_idx FROM documents
+WHERE doc_id % {C.N_MANY_SHARDS} NOT IN (SELECT item_id % {C.N_MANY_SHARDS} FROM benchmark)"""
+
+_PASS_MERGES = f"""{OCC}, {PREP}, {VOCAB},
+mtop AS (SELECT pair, row_number() OVER (ORDER BY n DESC, first) AS r FROM pcount ORDER BY n DESC, first LIMIT {C.N_PASS_MERGES}),
+merges AS (
+  SELECT a.token AS t1, b.token AS t2, CAST(999 + r AS INTEGER) AS new_token, pair AS text
+  FROM mtop JOIN vocab a ON a.text = substring(pair, 1, 1) JOIN vocab b ON b.text = substring(pair, 2, 1)),
+dp AS (SELECT DISTINCT piece FROM occ)"""
+ORACLES["piece_lookup"] = f"""WITH {_PASS_MERGES},
+t2t AS (SELECT text, max(token) AS token FROM (SELECT text, token FROM vocab UNION ALL SELECT text, new_token FROM merges) GROUP BY text)
+SELECT dp.piece, t2t.token FROM dp LEFT JOIN t2t ON t2t.text = dp.piece"""
+ORACLES["mergeable_pairs"] = f"""WITH {_PASS_MERGES}
+SELECT x.piece, CAST(x.i - 1 AS INTEGER) AS pos, m.t1 AS tok, m.t2 AS nxt, m.new_token
+FROM (SELECT piece, i, substring(piece, i, 2) AS pair FROM (SELECT piece, unnest(range(1, length(piece))) AS i FROM dp)) x
+JOIN merges m ON m.text = x.pair"""

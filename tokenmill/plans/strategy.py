@@ -1,18 +1,31 @@
-"""Physical-plan helpers: size-checked broadcast of dimension tables."""
+"""Physical-plan helpers: size-checked broadcasts."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
-# Dimension tables (vocabulary, merge table, weights) are bounded by a user
-# parameter, not by the corpus. They are broadcast only when a row count
-# proves them small; otherwise the join is left to the planner / AQE.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 
+from ..validation import require
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it
-    unchanged (shuffle join, AQE may still convert at run time)."""
-    kept = df.persist()
-    n = kept.count()
-    return F.broadcast(kept) if n <= max_rows else kept
+# A parameter table (vocabulary, merge table) is shipped to the executors up
+# to this many bytes.
+SHIPPED_BYTES = 256 << 20
+
+
+def ship(spark: SparkSession, value: object, n_bytes: int, what: str) -> Broadcast:
+    """Broadcast a driver-side parameter table whose size is known."""
+    require(n_bytes <= SHIPPED_BYTES, f"{what} takes {n_bytes} bytes; at most {SHIPPED_BYTES} are shipped")
+    return spark.sparkContext.broadcast(value)
+
+
+def collect_checked(df: DataFrame, what: str) -> list:
+    """Rows of a parameter-sized table; an error if they are too many to ship."""
+    limit = SHIPPED_BYTES // 64
+    rows = df.limit(limit + 1).collect()
+    require(len(rows) <= limit, f"{what} has more than {limit} rows")
+    return rows
+
+
+def text_bytes(texts: Iterable[str]) -> int:
+    return sum(64 + 4 * len(t) for t in texts)

@@ -7,9 +7,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .validation import require
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tokenmill") -> SparkSession:
@@ -36,8 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Uses ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Only when neither exists -- local tests -- a fresh scratch
-    folder is created and registered.
+    context). Only a local master may go without: there a fresh scratch
+    folder is created and registered. A cluster without the setting is an
+    error, because executors do not share a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,37 +49,58 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    local = tempfile.mkdtemp(prefix="tokenmill-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not conf_dir:
+        require(sc.master.startswith("local[") or sc.master == "local",
+                "set spark.checkpoint.dir to a folder that driver and executors share")
+        conf_dir = tempfile.mkdtemp(prefix="tokenmill-ckpt-", dir="/tmp")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def _filesystem(spark: SparkSession, path: str):
+    """(Hadoop filesystem, Hadoop path) of ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
-    Survives executor loss (unlike a local checkpoint) and keeps the
-    output partitioning, so a loop that re-partitions on the same key
-    does not shuffle again.
-    """
-    checkpoint_dir(df.sparkSession)
-    # Persist first so the checkpoint write does not recompute the plan.
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _filesystem(spark, path)
+    return fs.exists(hadoop)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder; none if it does not exist."""
+    fs, hadoop = _filesystem(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, hadoop = _filesystem(spark, path)
+    fs.create(hadoop).close()
+
+
+class Written:
+    """A table written once to the shared folder; ``drop()`` deletes its files."""
+
+    def __init__(self, df: DataFrame, tag: str):
+        self._spark = df.sparkSession
+        self.path = f"{checkpoint_dir(self._spark)}/{tag}-{uuid.uuid4().hex}"
+        df.write.parquet(self.path)
+        fs, hadoop = _filesystem(self._spark, self.path)
+        fs.deleteOnExit(hadoop)
+        self.df = self._spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        fs, hadoop = _filesystem(self._spark, self.path)
+        fs.delete(hadoop, True)
 
 
-def cut_lineage_lazily(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Reliable checkpoint written by the *next* action on the result.
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back.
 
-    Returns ``(checkpointed, cached)``: the checkpointed frame's plan is a
-    leaf at once (loops do not grow their plans), and the first job that
-    reads it also fills ``cached``, from which the checkpoint files are
-    then written. Release ``cached`` with ``unpersist()`` after that job.
+    Cuts the lineage without recomputation, survives lost executors, and gives
+    the planner the real size of the table for its broadcast decisions. The
+    folder goes when the driver's JVM ends.
     """
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    return cached.checkpoint(eager=False), cached
+    return Written(df, tag).df

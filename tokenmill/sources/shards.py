@@ -39,14 +39,14 @@ def spread(df: DataFrame) -> DataFrame:
 def scan_shards(spark: SparkSession, path: str, text_column: str = TEXT_COLUMN) -> DataFrame:
     """Column-pruned scan of a directory of shard files.
 
-    ``shard_idx`` comes from the file name, ``row_idx`` from the row's
+    ``shard_idx`` comes from the file name (NULL if that holds no number), ``row_idx`` from the row's
     position in its file (``_metadata.row_index``), so the order of the
     reference's file-by-file read is kept as columns, not as row order.
     """
     raw = spark.read.parquet(path)
     return spread(raw.select(
         F.regexp_extract(F.col("_metadata.file_name"), SHARD_NAME_PATTERN, 1)
-        .cast("int").alias("shard_idx"),
+        .try_cast("int").alias("shard_idx"),
         F.col("_metadata.row_index").cast("long").alias("row_idx"),
         F.col(text_column).alias("text"),
     ))

@@ -1,55 +1,96 @@
-"""Token-shard and tokenizer tables on disk."""
+"""Token-shard cache and tokenizer tables on disk.
+
+A token cache is a folder of three tables, each partitioned by ``shard_idx``:
+``tokens`` (the accepted documents), ``rejects`` (the others, with a reason) and
+``done`` (one row per finished shard with its totals, written last). A shard whose
+documents were all empty or rejected is done too, and not tokenised again.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..validation import require_columns
+from ..session import child_names, path_exists, touch
+from ..validation import TokenmillError, require_columns
 
 # Rows per output file inside a shard partition: a huge shard is written by
 # several tasks instead of one.
 ROWS_PER_FILE = 200_000
 
+TOKENS_SCHEMA = "row_idx long, n_tokens int, tokens array<int>, shard_idx int"
+REJECTS_SCHEMA = "row_idx long, reason string, shard_idx int"
+DONE_SCHEMA = "n_tokens long, n_docs long, n_rejected long, shard_idx int"
+FINISHED = "FINISHED"
 
-def write_token_shards(tokens: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """One ``shard_idx=…`` partition per input shard. Dynamic partition
-    overwrite replaces exactly the shards present in ``tokens``, so
+
+def _write_shards(df: DataFrame, path: str) -> None:
+    """Dynamic partition overwrite replaces exactly the shards in ``df``, so
     re-running a shard is idempotent and other shards are untouched."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("shard_idx").parquet(path))
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_token_shards(tokens: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One ``shard_idx=…`` partition per input shard."""
     require_columns(tokens, ["shard_idx", "row_idx", "n_tokens", "tokens"], "write_token_shards")
     part = F.floor(F.col("row_idx") / rows_per_file)
-    (tokens.repartition("shard_idx", part)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("shard_idx").parquet(path))
+    _write_shards(tokens.repartition("shard_idx", part).select("row_idx", "n_tokens", "tokens", "shard_idx"),
+                  f"{path}/tokens")
+
+
+def write_rejects(rejects: DataFrame, path: str) -> None:
+    """The documents that E5 refused ``(shard_idx, row_idx, reason)``."""
+    require_columns(rejects, ["shard_idx", "row_idx", "reason"], "write_rejects")
+    _write_shards(rejects.repartition("shard_idx", F.floor(F.col("row_idx") / ROWS_PER_FILE))
+                  .select("row_idx", "reason", "shard_idx"), f"{path}/rejects")
+
+
+def write_done(stats: DataFrame, path: str) -> None:
+    """Mark shards as finished; their totals ``(shard_idx, n_tokens, n_docs, n_rejected)``."""
+    _write_shards(stats.repartition("shard_idx").select("n_tokens", "n_docs", "n_rejected", "shard_idx"), f"{path}/done")
 
 
 def read_token_shards(spark: SparkSession, path: str, shards: list[int] | None = None) -> DataFrame:
     """The token table; a shard list becomes a partition filter (only
     those directories are listed and read)."""
-    df = spark.read.parquet(path)
+    df = _read(spark, f"{path}/tokens", TOKENS_SCHEMA)
     if shards is not None:
         df = df.filter(F.col("shard_idx").isin(list(shards)))
     return df.select("shard_idx", "row_idx", "n_tokens", "tokens")
 
 
-def cached_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Shards that already have token output ``(shard_idx)`` (empty if the
-    directory does not exist yet)."""
-    try:
-        return spark.read.parquet(path).select("shard_idx").distinct()
-    except Exception as e:  # noqa: BLE001 - a missing directory means nothing cached
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "shard_idx int")
-        raise
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, f"{path}/rejects", REJECTS_SCHEMA).select("shard_idx", "row_idx", "reason")
+
+
+def finished_shards(spark: SparkSession, path: str) -> DataFrame:
+    """Totals of the finished shards ``(shard_idx, n_tokens, n_docs, n_rejected)``."""
+    return _read(spark, f"{path}/done", DONE_SCHEMA).select("shard_idx", "n_tokens", "n_docs", "n_rejected")
 
 
 def write_tokenizer(vocab: DataFrame, merges: DataFrame, path: str) -> None:
-    """A tokenizer is two small tables, ``vocab`` and ``merges``."""
-    vocab.select("token", "text", "kind").write.mode("overwrite").parquet(f"{path}/vocab")
-    merges.select("rank", "t1", "t2", "new_token").write.mode("overwrite").parquet(f"{path}/merges")
+    """A tokenizer is two small tables, ``vocab`` and ``merges``, in a new version
+    folder; readers see the version only once both are complete."""
+    spark = vocab.sparkSession
+    taken = [int(n[1:]) for n in child_names(spark, path) if n[:1] == "v" and n[1:].isdigit()]
+    version = f"{path}/v{max(taken, default=0) + 1:06d}"
+    vocab.select("token", "text", "kind").write.parquet(f"{version}/vocab")
+    merges.select("rank", "t1", "t2", "new_token").write.parquet(f"{version}/merges")
+    touch(spark, f"{version}/{FINISHED}")
 
 
 def read_tokenizer(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges")
+    """The latest finished version."""
+    for name in reversed(child_names(spark, path)):
+        if path_exists(spark, f"{path}/{name}/{FINISHED}"):
+            return spark.read.parquet(f"{path}/{name}/vocab"), spark.read.parquet(f"{path}/{name}/merges")
+    raise TokenmillError(f"no finished tokenizer in {path}")
 
 
 def write_windows(windows: DataFrame, path: str, num_workers: int) -> None:

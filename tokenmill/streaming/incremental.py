@@ -15,14 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import EOT
-from ..operators import encode
-from ..sources import sinks
+from ..plans.corpus import tokenize_into
 from ..sources.shards import SHARD_NAME_PATTERN, TEXT_COLUMN
 
 RAW_SCHEMA = StructType([StructField(TEXT_COLUMN, StringType())])
+# New shard files that one micro-batch takes at most; the rest follow in the next.
+FILES_PER_BATCH = 1000
 
 
-def shard_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+def shard_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
     """Streaming canonical document table ``(shard_idx, row_idx, text)``."""
     raw = (spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(raw_dir))
@@ -38,14 +39,9 @@ def tokenize_new_shards(spark: SparkSession, raw_dir: str, vocab: DataFrame, mer
     """Start an available-now stream that tokenises every raw shard file not
     yet seen by ``checkpoint`` into ``token_dir``; returns the query (call
     ``awaitTermination()``)."""
-    vocab = vocab.cache()
-    merges = merges.cache() if merges is not None else None
-
     def batch(df: DataFrame, epoch_id: int) -> None:
-        if df.isEmpty():
-            return
-        toks = encode.shard_tokens(df, vocab, merges, specials, on_oov=on_oov)
-        sinks.write_token_shards(toks, token_dir)
+        if not df.isEmpty():
+            tokenize_into(df, vocab, merges, token_dir, specials, on_oov)
 
     return (shard_stream(spark, raw_dir).writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
