@@ -45,6 +45,7 @@ def test_against_a_plain_computation(spark, small):
     c, n, v = plain(rows)
     # the same model, from plainly counted pairs
     words = [L.END] + sorted((w for w in c if w != L.END), key=lambda w: (-c[w], w))
+    assert len(words) > 60  # more than the head
     own = words[:20]
     known = {w: i for i, w in enumerate(own)}
     out_of = lambda w: known[w] if w in known else 20 + zlib.crc32(w[-2:]) % L.CLASSES

@@ -1,12 +1,13 @@
-"""Shared helpers of the corpus operators: table access, tokens, written tables."""
+"""Shared helpers of the corpus operators: table access, tokens, clashing columns; ``materialise``
+writes a table once to the shared folder."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import written as materialise
+
+__all__ = ["TOKEN", "UPPER", "ascii_lower", "materialise", "packed", "table", "token_count", "unpacked"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A token is a run without space, tab, LF, VT, FF and CR.
@@ -40,24 +41,3 @@ def unpacked(df: DataFrame, like: DataFrame, **new: Column) -> DataFrame:
     input column of its name."""
     keep = [c for c in like.columns if c.lower() not in {n.lower() for n in new}]
     return df.select(*[F.col("__row").getField(c).alias(c) for c in keep], *[c.alias(n) for n, c in new.items()])
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared checkpoint folder and read back.
-
-    Cuts the lineage without recomputation, survives lost executors, and gives
-    the planner the real size of the table for its broadcast decisions. The
-    folder goes when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def rows_of(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
-    """A small parameter table from literals."""
-    return spark.createDataFrame(values, schema)

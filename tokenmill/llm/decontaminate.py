@@ -140,8 +140,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def remove_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      **kw) -> DataFrame:
     """The rows of ``docs`` in whose text no benchmark window occurs."""
-    bad = find_hits(docs, items, id_col, text_col, **kw).filter(F.size("spans") > 0).select(
-        F.col("id").alias("__id"), F.col("digest").alias("__digest"))
+    bad = materialise(find_hits(docs, items, id_col, text_col, **kw).filter(F.size("spans") > 0).select(
+        F.col("id").alias("__id"), F.col("digest").alias("__digest")), "bench-hits")
     # A hit has a text, hence a digest; the id may be null.
     rows = packed(docs, F.md5(F.col(text_col)).alias("__text"), F.col(id_col).alias("__key"))
     return unpacked(rows.join(bad, (F.col("__text") == F.col("__digest")) & F.col("__key").eqNullSafe(F.col("__id")),
@@ -154,8 +154,8 @@ def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     Words before and after a cut keep what separated them. Rows without hits are unchanged.
     """
-    spans = find_hits(docs, items, id_col, text_col, **kw).filter(F.size("spans") > 0).select(
-        F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
+    spans = materialise(find_hits(docs, items, id_col, text_col, **kw).filter(F.size("spans") > 0).select(
+        F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans")), "bench-spans")
     rows = packed(docs, F.md5(F.col(text_col)).alias("__text"), F.col(id_col).alias("__key"))
     joined = rows.join(spans, (F.col("__text") == F.col("__digest")) & F.col("__key").eqNullSafe(F.col("__id")), "left")
     # Pieces: each word with the separators before it, then the tail.

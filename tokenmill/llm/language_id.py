@@ -5,9 +5,9 @@ boundaries included) by rank. A text is compared to each language's profile by
 out-of-place distance: the sum over the text's own top n-grams of the difference in
 rank, with a fixed penalty for an n-gram that the profile lacks.
 
-Language profiles are learned from at most ``PER_LANGUAGE`` documents of each
-language value (those with the smallest MD5 of the id), counted in Spark. A
-prediction always reads the whole text.
+Language profiles are learned from about ``PER_LANGUAGE`` documents of each language
+value, all if there are fewer: a share of them, drawn by the MD5 of the id. Their
+n-grams are counted in Spark. A prediction always reads the whole text.
 """
 from __future__ import annotations
 
@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, unpacked
+from .common import materialise, packed, unpacked
 
 UNKNOWN = "und"
 #: N-grams of a profile; also the penalty for a missing one.
 PROFILE = 400
-#: Documents from which a language's profile is learned, at most.
+#: Documents from which a language's profile is learned, about, at most.
 PER_LANGUAGE = 1000
 #: Stands for the edge of a word. Not a letter.
 EDGE = 1
@@ -98,12 +98,10 @@ def fold(id_col: Column, folds: int = FOLDS) -> Column:
 
 def learn_profiles(labelled: DataFrame, per_language: int = PER_LANGUAGE, size: int = PROFILE) -> Profiles:
     """Profiles from ``labelled`` (id, text, lang); rows with a null text or lang don't count."""
-    rows = labelled.filter("text is not null and lang is not null").select(
-        "lang", "text", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("order"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    last = (rows.select("lang", "order").withColumn("nth", nth).filter(F.col("nth") <= per_language)
-            .groupBy("lang").agg(F.max("order").alias("last")))
-    sample = rows.join(last, "lang").filter("order <= last").select("lang", "text")
+    rows = labelled.filter("text is not null and lang is not null")
+    share = materialise(rows.groupBy("lang").agg((F.lit(per_language) / F.count("*")).alias("share")), "language-shares")
+    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") / 2 ** 52
+    sample = rows.withColumn("draw", draw).join(share, "lang").filter("draw < share").select("lang", "text")
     letters = letter_table()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

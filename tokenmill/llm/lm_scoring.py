@@ -119,7 +119,8 @@ class Vocabulary:
     """The head of the word counts, and what the classes hold besides the model's own words."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray):
-        """``words`` by falling count, the end first; class totals over all words of training."""
+        """``words``: the model's own by falling count, the end first, then the others; class totals
+        over all words of training."""
         self.words, self.counts = words, counts
         self.own = min(MODEL_WORDS, len(words))
         self.class_of = np.fromiter((word_class(w) for w in words), np.int64, len(words))
@@ -141,13 +142,33 @@ class Vocabulary:
 
 
 def learn_vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
-    top = counts.orderBy((F.col("word") != F.lit(END)), F.col("n").desc(), F.col("word")).limit(head).toPandas()
-    words = [bytes(w) for w in top["word"]]
+    """The model's words and the most frequent others, about ``head`` at most.
+
+    The others are all words above a count; it is found from the number of words per
+    class of counts (eight classes to a doubling), so nothing is sorted.
+    """
+    own = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(
+        F.col("word") != F.lit(END), F.col("n").desc(), "word").limit(MODEL_WORDS).collect()]
+    size = F.floor(F.log2("n") * 8).cast("int")
+    sizes = sorted(((r["size"], r["n"]) for r in counts.groupBy(size.alias("size")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    total, least = 0, None
+    for c, n in sizes:
+        total += n
+        if total > head:
+            break
+        least = c
+    known = {w for w, _ in own}
+    words, n = [w for w, _ in own], [c for _, c in own]
+    if least is not None:
+        rest = counts.filter(size >= least).select("word", "n").toArrow()
+        more = [(w, c) for w, c in zip(rest["word"].to_pylist(), rest["n"].to_pylist()) if w not in known]
+        words += [w for w, _ in more]
+        n += [c for _, c in more]
     by_class = counts.groupBy(_class_column(F.col("word")).alias("u")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    n, v = np.zeros(CLASSES), np.zeros(CLASSES)
+    tokens_of, words_of = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in by_class:
-        n[r["u"]], v[r["u"]] = r["n"], r["v"]
-    return Vocabulary(words, top["n"].to_numpy(np.int64), n, v)
+        tokens_of[r["u"]], words_of[r["u"]] = r["n"], r["v"]
+    return Vocabulary(words, np.array(n, np.int64), tokens_of, words_of)
 
 
 def _class_column(word: Column) -> Column:
@@ -174,9 +195,10 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
             code = np.nonzero(table)[0]
             yield pd.DataFrame({"code": code.astype(np.int32), "n": table[code]})
 
-    pairs = texts.mapInPandas(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    pairs = texts.mapInPandas(count, "code int, n long").groupBy("code").agg(F.sum("n").cast("float").alias("n")).toArrow()
     out = np.zeros(vocabulary.size ** 2, np.float32)
-    out[pairs["code"]] = pairs["n"]
+    for batch in pairs.to_batches():
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return out.reshape(vocabulary.size, vocabulary.size)
 
 
