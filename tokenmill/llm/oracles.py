@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from .mixing import BLOCKS_PER_SHARD, N_SHARDS, SEED
 from .sharding import SHARDS, SIZE
+from .warc import TRACKING
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -61,6 +62,36 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
+_TRACKED = ", ".join(f"'{t}'" for t in TRACKING)
+REVISITS = f"""
+WITH p AS (SELECT page_id, url, coalesce(length(html), 0) AS n_chars, md5(coalesce(html, '')) AS base,
+             ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT AS h FROM pages),
+v AS (SELECT *, unnest(range(0, h % 4 + 1)) AS visit FROM p),
+k AS (SELECT *, page_id * 4 + visit AS record_id, ('0x' || substr(md5((page_id * 4 + visit)::VARCHAR), 1, 8))::BIGINT AS kind FROM v),
+c AS (SELECT *, visit > 0 AND kind % 7 <> 0 AS again, CASE WHEN visit = 0 THEN '0' ELSE '1' END AS version,
+        1700000000 + (page_id * 37 % 86400) * 30 + visit * 40000 AS t FROM k),
+r AS (SELECT *, CASE WHEN h % 5 <> 0 THEN substr(md5(base || CASE WHEN again THEN CASE WHEN kind % 11 = 0 THEN 'stale' ELSE '0' END ELSE version END), 1, 12) END AS tag,
+        CASE WHEN h % 3 <> 0 THEN 'm' || CASE WHEN again THEN '0' ELSE version END END AS modified,
+        CASE WHEN contains(url, '://') THEN regexp_extract(url, '^.*?://([^#]*)', 1, 's') END AS rest FROM c),
+u AS (SELECT *, regexp_replace(regexp_replace(translate(regexp_extract(rest, '^[^/?]*'), '{_UP}', '{_LOW}'), '^www[.]', ''), ':(80|443)$', '')
+          || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS site,
+        list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'),
+          lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ({_TRACKED}))) AS params FROM r),
+s AS (SELECT *, site || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical FROM u),
+f AS (SELECT *, last_value(CASE WHEN NOT again THEN {{'id': record_id, 'tag': tag, 'modified': modified, 'digest': base || '-' || version, 'n': n_chars}} END IGNORE NULLS)
+        OVER (PARTITION BY canonical ORDER BY t, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS found FROM s),
+o AS (SELECT *, CASE WHEN NOT again THEN 'full' WHEN found IS NULL OR canonical IS NULL THEN 'orphan'
+        WHEN tag IS NOT NULL AND found.tag IS NOT NULL THEN CASE WHEN tag = found.tag THEN 'resolved' ELSE 'mismatch' END
+        WHEN modified IS NOT NULL AND found.modified IS NOT NULL THEN CASE WHEN modified = found.modified THEN 'resolved' ELSE 'mismatch' END
+        ELSE 'unvalidated' END AS outcome FROM f)
+SELECT record_id, canonical, CASE WHEN again THEN 304 ELSE 200 END AS status,
+  CASE WHEN outcome = 'full' THEN record_id WHEN outcome <> 'orphan' THEN found.id END AS refers_to, outcome,
+  CASE outcome WHEN 'full' THEN base || '-' || version WHEN 'resolved' THEN found.digest END AS digest,
+  CASE outcome WHEN 'full' THEN n_chars WHEN 'resolved' THEN found.n END::BIGINT AS n_chars,
+  'content-length=' || CASE WHEN outcome = 'resolved' THEN found.n WHEN again THEN 0 ELSE n_chars END || ';date=t' || t || ';x-visit=' || visit AS headers
+FROM o
+"""
+
 TOP_K = """
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -70,4 +101,4 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s) WHERE rank <= 5
 """
 
-ORACLES = {"op10_top_k": TOP_K, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}
+ORACLES = {"op6_warc_revisits": REVISITS, "op10_top_k": TOP_K, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}

@@ -129,12 +129,14 @@ def captures_of_pages(pages: DataFrame) -> DataFrame:
     revisits, missing for one page in five, and outdated on some revisits; times
     follow the page id. All values derive from page_id, url and html.
     """
-    h = F.crc32(F.col("page_id").cast("string"))
+    def number(c: Column) -> Column:
+        return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("long")
+    h = number(F.col("page_id"))
     base = F.md5(F.coalesce(F.col("html"), F.lit("")))
     each = pages.select("page_id", "url", F.coalesce(F.length("html"), F.lit(0)).alias("n_chars"), base.alias("digest"),
                         h.alias("h"), F.explode(F.sequence(F.lit(0), (h % 4).cast("int"))).alias("visit"))
     record = F.col("page_id") * 4 + F.col("visit")
-    kind = F.crc32(record.cast("string"))
+    kind = number(record)
     again = (F.col("visit") > 0) & (kind % 7 != 0)
     version = F.when(F.col("visit") == 0, F.lit("0")).otherwise(F.lit("1"))
     # What a fresh fetch serves; a revisit repeats the first version, one in eleven a stale tag.
