@@ -3,8 +3,6 @@ evaluated inside the JVM; weights are small literal arrays)."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,32 +18,10 @@ def as_double(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double"))
 
 
-def vsum(v: Column) -> Column:
-    return F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
 def vadd(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
-def standardize(v: Column, scale: Sequence[float] | None = None,
-                shift: Sequence[float] | None = None, unbiased: bool = False,
-                eps: float = LAYER_NORM_EPS) -> Column:
-    """(x - mean) / sqrt(var + eps) * scale + shift over one vector;
-    population variance unless ``unbiased``."""
-    n = F.size(v)
-    mean = vsum(v) / n
-    sq = F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + (x - mean) * (x - mean))
-    var = sq / ((n - 1) if unbiased else n)
-    denom = F.sqrt(var + F.lit(eps))
-    out = F.transform(v, lambda x: (x - mean) / denom)
-    if scale is not None:
-        out = F.zip_with(out, F.array(*[F.lit(float(s)) for s in scale]), lambda x, s: x * s)
-    if shift is not None:
-        out = F.zip_with(out, F.array(*[F.lit(float(s)) for s in shift]), lambda x, s: x + s)
-    return out
-
-
 def rule_matrix(n_rows: int, n_cols: int, seed: float, scale: float) -> list[list[float]]:
     """Deterministic weights ``scale * sin(seed + 0.37 r + 0.11 c)`` (parameters
     of the registered vector queries; the SQL oracle builds the same)."""

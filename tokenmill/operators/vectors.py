@@ -59,7 +59,14 @@ def standardize_vectors(df: DataFrame, col: str, dim: int, scale: Sequence[float
     ``(result, rejects)``; rows whose vector does not have ``dim`` entries
     are rejected."""
     ok, bad = _dim_split(df, col, dim)
-    return ok.withColumn(out, V.standardize(V.as_double(F.col(col)), scale, shift, unbiased)), bad
+    g = np.ones(dim) if scale is None else np.asarray(scale, dtype=np.float64)
+    b = np.zeros(dim) if shift is None else np.asarray(shift, dtype=np.float64)
+
+    def norm(x: np.ndarray) -> np.ndarray:
+        # Higher-order functions would evaluate mean and deviation once per entry.
+        return (x - x.mean(axis=1, keepdims=True)) / np.sqrt(
+            x.var(axis=1, ddof=int(unbiased), keepdims=True) + V.LAYER_NORM_EPS) * g + b
+    return _dense_map(ok, col, out, norm), bad
 
 
 def _dense_map(df: DataFrame, col: str, out: str, fn) -> DataFrame:
