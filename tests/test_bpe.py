@@ -110,6 +110,26 @@ def test_piece_scope_matches_model(spark):
     assert [r.text for r in res.vocab.orderBy("token").collect()] == mt
 
 
+def test_maintained_counts_and_ties(spark, monkeypatch):
+    """Adjusted counts equal a recount after any replacements; cut-off and tied lists rank as in the model."""
+    rng = random.Random(11)
+    for ranked, every, n_merges in ((1, 1, 9), (2, 3, 12), (4, 2, 12), (64, 5, 14)):
+        monkeypatch.setattr(bpe, "RANKED", ranked)
+        monkeypatch.setattr(bpe, "WRITE_EVERY", every)
+        texts = ["".join(rng.choice("aaab bcd\n") for _ in range(rng.randint(0, 40))) for _ in range(6)]
+        docs = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "shard_idx int, row_idx long, text string")
+        in_order = [p for t in texts for p in M.pieces(t)]
+        n0 = len(M.initial_vocab(sorted({c for p in in_order for c in p}), [EOT]))
+        mt, mm = M.train_pieces(in_order, n0 + n_merges)
+        res = bpe.train_bpe(bpe.piece_blocks(docs), scope="piece", n_merges=n_merges)
+        assert [(r.t1, r.t2, r.new_token) for r in res.merges.orderBy("rank").collect()] == mm, texts
+    blocks = bpe.piece_blocks(docs)
+    pending = {"aa": "\U00040000", "\U00040000a": "\U00040001", "ab": "\U00040002"}
+    start = bpe.pair_counts(blocks, False).select("pair", "n")
+    again = bpe.pair_counts(bpe.apply_round(blocks, pending, False), False).select("pair", "n")
+    assert sorted(bpe.maintained_counts(start, blocks, pending).collect()) == sorted(again.collect())
+
+
 def test_extend_vocab_rebuilds_trained_texts(spark):
     res, merges, texts_v, _ = _train(spark, ["the cat sat on the mat", "that hat"], 12)
     base = res.vocab.filter("kind != 'merge'")

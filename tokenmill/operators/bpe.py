@@ -32,12 +32,16 @@ ranks after the prefix. This gives the same merges, ids and order as one-at-a-ti
 training.
 
 The state between rounds is the last written table plus the replacements since
-then; it is written again every ``WRITE_EVERY`` rounds, and the table before goes.
+then; it is written again every ``WRITE_EVERY`` rounds, and the table before goes. In
+the piece scope the pair counts are kept in the same way: a round counts only the pieces
+that the replacements since the last write change, and adjusts the written counts.
 """
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +58,8 @@ SCOPES = ("sequence", "piece")
 _SYMBOL_BASE, _SYMBOL_LIMIT = 0x40000, 0x10FFFD
 # Rounds between two writes of the piece scope's state.
 WRITE_EVERY = 4
+# Most frequent pairs that a round of the piece scope looks at.
+RANKED = 64
 # Blocks of the sequence scope whose edges are compared in one task.
 EDGE_BLOCKS = 4096
 
@@ -112,15 +118,20 @@ def piece_blocks(docs: DataFrame, specials: Sequence[str] = (EOT,)) -> DataFrame
 
 # --- one round -------------------------------------------------------------------
 
-def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
-    """A2: ``(pair, n, first)`` -- ``pair`` is the two symbols, ``n`` the
-    weighted count (overlapping occurrences counted), ``first`` the first
-    occurrence ``(bkey, idx)``."""
+def _neighbours(blocks: DataFrame) -> DataFrame:
+    """``(bkey, w, idx, pair)`` of every two neighbours inside a block."""
     arr = F.split("s", "")
-    inner = blocks.filter(F.length("s") >= 2).select(
+    return blocks.filter(F.length("s") >= 2).select(
         "bkey", "w", F.posexplode(F.zip_with(F.slice(arr, 1, F.length("s") - 1),
                                              F.slice(arr, 2, F.length("s") - 1),
                                              lambda x, y: F.concat(x, y))).alias("idx", "pair"))
+
+
+def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
+    """A2: ``(pair, n, first)`` -- ``pair`` is the two symbols, ``n`` the
+    weighted count (overlapping occurrences counted), ``first`` the first
+    occurrence ``(bkey, idx)``."""
+    inner = _neighbours(blocks)
     if boundaries:
         summ = _summary(blocks)
         edge = summ.filter(F.col("next_first").isNotNull()).select(
@@ -195,6 +206,53 @@ def choose_round(ranked: list[tuple[str, int]], room: int) -> list[str]:
     return taken
 
 
+def maintained_counts(counts: DataFrame, blocks: DataFrame, pending: dict[str, str]) -> DataFrame:
+    """``(pair, n)`` after ``pending`` replacements, from the ``counts`` (pair, n) before them.
+
+    Only blocks that a replacement changes are cut into pairs: their old pairs are
+    taken off the counts and their new ones added.
+    """
+    if not pending:
+        return counts
+    changed = blocks.select("w", "s", replace_pairs(F.col("s"), list(pending.items())).alias("t")).filter("s <> t")
+    sides = changed.select(F.lit(0).alias("bkey"), F.explode(F.array(
+        F.struct("s", (-F.col("w")).alias("w")), F.struct(F.col("t").alias("s"), "w"))).alias("side")).select(
+        "bkey", "side.s", "side.w")
+    deltas = _neighbours(sides).select("pair", F.col("w").alias("n"))
+    return counts.select("pair", "n").union(deltas).groupBy("pair").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def first_places(blocks: DataFrame, pairs: Sequence[str]) -> dict[str, tuple]:
+    """First occurrence ``(bkey, idx)`` of each of a few pairs."""
+    holds = F.exists(F.array(*[F.lit(p) for p in pairs]), lambda p: F.contains(F.col("s"), p))
+    found = (_neighbours(blocks.filter(holds)).filter(F.col("pair").isin(list(pairs)))
+             .groupBy("pair").agg(F.min(F.struct("bkey", "idx")).alias("first")))
+    return {r["pair"]: r["first"] for r in found.collect()}
+
+
+def choose_maintained(counts: DataFrame, blocks: DataFrame, room: int) -> list[str]:
+    """The pairs that :func:`choose_round` takes, from counts without places.
+
+    First occurrences decide among equal counts only, so they are looked up just for
+    equal counts that the prefix reaches. A run of equal counts that the list cuts off
+    waits for a later round; if all of the list is one such run, everything is ranked.
+    """
+    top = [(r["pair"], r["n"]) for r in counts.orderBy(F.desc("n")).limit(RANKED + 1).collect()]
+    if len(top) > RANKED:
+        top = [x for x in top if x[1] > top[-1][1]]
+        if not top:
+            every = pair_counts(blocks, False).orderBy(F.desc("n"), F.asc("first")).limit(room).collect()
+            return choose_round([(r["pair"], r["n"]) for r in every], room)
+    times = Counter(n for _, n in top)
+    clear = list(takewhile(lambda x: times[x[1]] == 1, top))
+    chosen = choose_round(clear, room)
+    if len(chosen) == room or len(chosen) < len(clear) or len(clear) == len(top) or (
+            chosen and chosen[0][0] == chosen[0][1]):
+        return chosen
+    place = first_places(blocks, [p for p, n in top if times[n] > 1])
+    return choose_round(sorted(top, key=lambda x: (-x[1], place.get(x[0], ()))), room)
+
+
 def replace_pairs(s: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Every pair (two symbols -> one) replaced in turn, each greedily left to right.
     One expression of constant size, whose code is compiled once for all rounds."""
@@ -272,14 +330,19 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
     require(goal - len(rows) <= room, f"at most {room} merges can be trained")
     merges: list[tuple[int, int, int, int]] = []
     now, rounds = state.df, 0
+    known = None if boundaries else Written(pair_counts(now, False).select("pair", "n"), "bpe-counts")
     pending: dict[str, str] = {}
     while (left := goal - len(rows) - len(merges)) > 0:
-        counts = pair_counts(now, boundaries)
-        top = counts.orderBy(F.desc("n"), F.asc("first")).limit(min(max_per_round, left)).collect()
-        if not top:
+        if boundaries:
+            counts = pair_counts(now, True)
+            top = counts.orderBy(F.desc("n"), F.asc("first")).limit(min(max_per_round, left)).collect()
+            pairs = choose_round([(r["pair"], r["n"]) for r in top], left)
+        else:
+            pairs = choose_maintained(maintained_counts(known.df, state.df, pending), now, min(max_per_round, left))
+        if not pairs:
             break
         chosen = {}
-        for pair in choose_round([(r["pair"], r["n"]) for r in top], left):
+        for pair in pairs:
             token, symbol = len(rows) + len(merges), next(symbols)
             t1, t2 = tok_of_sym[pair[0]], tok_of_sym[pair[1]]
             merges.append((len(merges), t1, t2, token))
@@ -291,10 +354,15 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
         rounds += 1
         # A sequence's round reads its state several times, a piece's round once.
         if boundaries or rounds % WRITE_EVERY == 0:
+            if known:
+                before, known = known, Written(maintained_counts(known.df, state.df, pending), "bpe-counts")
+                before.drop()
             before, state = state, Written(now, "bpe-state")
             now, pending = state.df, {}
             before.drop()
     state.drop()
+    if known:
+        known.drop()
     kinds = {r["token"]: r["kind"] for r in rows}
     vocab = spark.createDataFrame([(t, text_of[t], kinds.get(t, "merge")) for t in sorted(text_of)],
                                   "token int, text string, kind string")
