@@ -107,3 +107,30 @@ def test_mixed_documents_follow_targets(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     n = {s: k for s, k in [(r["source"], r["count"]) for r in M.mixed_documents(df).groupBy("source").count().collect()]}
     assert n["b"] == 120 and abs(n["a"] - 280) <= 1
+
+
+def test_small_sources_beside_a_hot_one_are_near_their_targets(spark):
+    sizes = {"hot": 2_000_000, **{f"s{i}": n for i, n in enumerate([1, 2, 7, 30, 100, 400, 500, 600, 3000])}, None: 3}
+    rows = [(i, "w " * 50_000, "hot") for i in range(sizes["hot"] // 50_000)]
+    rows += [(1000 * k + i, "w", s) for k, (s, n) in enumerate(sizes.items(), 1) if s != "hot" for i in range(n)]
+    got = M.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    taken = {r["source"]: r["t"] for r in got.groupBy("source").agg({"taken": "sum"}).withColumnRenamed("sum(taken)", "t").collect()}
+    for s, t in plain_targets(sizes).items():
+        assert abs(taken[s] - t) <= max(1, t / 16), (s, taken[s], float(t))
+
+
+def test_more_sources_than_blocks(spark):
+    rows = [(i, "w " * 20, f"s{i // 2:05d}") for i in range(10_000)]
+    got = M.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    r = got.groupBy("source", "target").agg({"taken": "sum"}).collect()
+    assert len(r) == 5000 and all(abs(x["sum(taken)"] - x["target"]) <= x["target"] / 16 for x in r)
+
+
+def test_quotas_of_many_blocks_equal_a_plain_apportionment(spark):
+    rng = random.Random(8)
+    sizes = [(f"s{i:02d}", rng.choice([3, 50, 900, 40_000])) for i in range(30)]
+    targets = M.source_targets(spark.createDataFrame(sizes, "source string, source_size long"))
+    t = {r["source"]: r["target"] for r in targets.collect()}
+    won, _ = plain_quotas(dict(sorted(t.items())), 3000)
+    got = M.shard_quotas(targets, 3, 1000).groupBy("source").agg({"quota": "sum"}).collect()
+    assert {r["source"]: r["sum(quota)"] for r in got} == {s: n for s, n in won.items() if n}

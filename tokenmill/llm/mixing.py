@@ -4,21 +4,24 @@
    share all words by weight; a source's target stops at ``max_repeat`` times its
    size and the excess is shared again by weight until no target is above.
 2. Quotas. The mix is a sequence of ``n_shards * blocks_per_shard`` blocks of equal
-   size. Block after block goes to the source with the highest quotient
-   ``target / (2 * blocks so far + 1)``; the blocks of shard s are the s-th part of
-   that sequence, so every shard has integer quotas and all shards together are
-   apportioned too.
+   size. If they leave a source off its target by more than one part in ``MIN_BLOCKS``
+   (and a word), blocks are halved until the smallest positive target has that many or
+   a block is about a word. Block after block goes to the source with the highest
+   quotient ``target / (2 * blocks so far + 1)``; the blocks of shard s are the s-th
+   part of that sequence, so every shard has integer quotas and all shards together
+   are apportioned too. Blocks that a source has in any case are computed, so the
+   rows compared are a few per source, however many blocks there are.
 3. Selection. The seeded order of a source's documents (MD5 of seed and id) deals
    its words into blocks; a quota of q takes blocks 0 to q - 1 and goes around
    again after the last one. The end of a block may cut a document.
 
 Nothing gathers a source in one task: word offsets are two running sums, one
 inside (source, bucket of the seeded order) and one over the at most 4096 bucket
-totals of a source. Sources and blocks are summaries of one row each.
+totals of a source. Sources are summaries of one row each.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, packed, token_count, unpacked
@@ -28,6 +31,8 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 N_SHARDS = 16
 BLOCKS_PER_SHARD = 256
+#: Targets are met up to one part in so many, or about a word.
+MIN_BLOCKS = 16
 SEED = "mix-1"
 #: Hex digits of the seeded order that make a bucket: 4096 buckets a source.
 BUCKET_DIGITS = 3
@@ -63,25 +68,66 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
             .select("source", "source_size", "rank", "weight", "target", "total"))
 
 
-def shard_quotas(targets: DataFrame, n_shards: int = N_SHARDS,
-                 blocks_per_shard: int = BLOCKS_PER_SHARD) -> DataFrame:
-    """``(shard, source, rank, quota)``: blocks that each shard takes from each source.
+def apportioned(targets: DataFrame, houses: Column) -> DataFrame:
+    """``(house, source, rank, quota)``: blocks of each source, for each number of blocks in the array ``houses``.
 
     A source's k-th block has the quotient target / (2k - 1). With S sources and H
-    blocks none gets more than target * (H + S/2) / total + 1/2, which bounds the
-    candidates by H + 2S rows in all.
+    blocks none gets more than target * (H + S/2) / total + 1/2 or, up to rounding,
+    less than target * (H - S/2) / total - 1/2; only the blocks between are compared,
+    some 5S rows.
     """
-    blocks = n_shards * blocks_per_shard
-    n = F.count("*").over(Window.partitionBy(F.lit(0)))
-    most = F.floor(F.col("target") * (F.lit(blocks) + F.col("n") / 2) / F.col("total") + 0.5) + 1
-    order = Window.orderBy(F.col("quotient").desc(), F.col("rank"), F.col("k"))
-    return (targets.withColumn("n", n).filter("target > 0")
-            .withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), most.cast("long"))))
+    every = Window.partitionBy("house")
+    share = F.col("target") / F.col("total")
+    sure = F.greatest(F.floor(share * (F.col("house") - F.col("n") / 2) + 0.5) - 1, F.lit(0).cast("long"))
+    most = F.floor(share * (F.col("house") + F.col("n") / 2) + 0.5) + 1
+    order = Window.partitionBy("house").orderBy(F.col("quotient").desc(), F.col("rank"), F.col("k"))
+    return (targets.filter("target > 0").withColumn("house", F.explode(houses))
+            .withColumn("n", F.count("*").over(every))
+            .withColumn("sure", sure).withColumn("left", F.col("house") - F.sum("sure").over(every))
+            .withColumn("k", F.explode(F.sequence(F.col("sure") + 1, F.greatest(most, F.col("sure") + 1))))
             .withColumn("quotient", F.col("target") / (2 * F.col("k") - 1))
-            .withColumn("seat", F.row_number().over(order))
-            .filter(F.col("seat") <= blocks)
-            .withColumn("shard", F.floor((F.col("seat") - 1) / blocks_per_shard).cast("int"))
-            .groupBy("shard", "source", "rank").agg(F.count("*").alias("quota")))
+            .withColumn("won", (F.row_number().over(order) <= F.col("left")).cast("long"))
+            .groupBy("house", "source", "rank").agg((F.max("sure") + F.sum("won")).alias("quota")))
+
+
+def shard_quotas(targets: DataFrame, n_shards: int = N_SHARDS,
+                 blocks_per_shard: int = BLOCKS_PER_SHARD) -> DataFrame:
+    """``(shard, source, rank, quota)``: blocks that each shard takes from each source,
+    what the shards up to it take less what those before it do."""
+    houses = F.sequence(*[F.lit(x).cast("long") for x in (blocks_per_shard, n_shards * blocks_per_shard, blocks_per_shard)])
+    before = F.coalesce(F.lag("quota").over(Window.partitionBy("rank").orderBy("house")), F.lit(0))
+    return (apportioned(targets, houses).withColumn("quota", F.col("quota") - before).filter("quota > 0")
+            .select((F.col("house") / blocks_per_shard - 1).cast("int").alias("shard"), "source", "rank", "quota"))
+
+
+def fine_blocks(targets: DataFrame, n_shards: int = N_SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD) -> int:
+    """Blocks a shard: doubled until the smallest positive target has ``MIN_BLOCKS``, or blocks are about a word.
+
+    With S sources, H blocks and ``MIN_BLOCKS`` for the smallest target, S is at most
+    H / ``MIN_BLOCKS``: rounding and the share taken by other sources' rounding
+    (``apportioned``) are each at most half of one part in ``MIN_BLOCKS``.
+    """
+    least, total = targets.filter("target > 0").agg(F.min("target"), F.max("total")).first()
+    fine = max(blocks_per_shard, (total or 0) // n_shards)
+    while least is not None and least * n_shards * blocks_per_shard < MIN_BLOCKS * total and blocks_per_shard < fine:
+        blocks_per_shard = min(2 * blocks_per_shard, fine)
+    return blocks_per_shard
+
+
+def source_plan(targets: DataFrame, max_repeat: int = MAX_REPEAT, n_shards: int = N_SHARDS,
+                blocks_per_shard: int = BLOCKS_PER_SHARD) -> DataFrame:
+    """``targets`` with ``take``, the words that the mix takes from each source."""
+    def plan(blocks: int) -> DataFrame:
+        quotas = apportioned(targets, F.array(F.lit(blocks).cast("long"))).select("rank", "quota")
+        # quota * total may be beyond a long
+        take = F.expr(f"(cast(coalesce(quota, 0L) as decimal(19,0)) * cast(total as decimal(19,0))) div cast({blocks} as decimal(19,0))")
+        return materialise(targets.join(quotas, "rank", "left").withColumn(
+            "take", F.least(F.col("source_size") * max_repeat, take)).drop("quota"), "mix-plan")
+
+    out = plan(n_shards * blocks_per_shard)
+    off = F.abs(F.col("take") - F.col("target")) > F.greatest(F.lit(1.0), F.col("target") / MIN_BLOCKS)
+    fine = blocks_per_shard if out.filter(off).isEmpty() else fine_blocks(out, n_shards, blocks_per_shard)
+    return out if fine == blocks_per_shard else plan(n_shards * fine)
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -95,7 +141,6 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ordered by their text and each counts; an empty table stays empty; input
     columns named like an output are replaced.
     """
-    blocks = n_shards * blocks_per_shard
     order = F.md5(F.concat(F.lit(f"{seed}:"), document_key(F.col(id_col), F.col(text_col))))
     # A null source gets a key of its own, so that plain equality can join it.
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
@@ -107,12 +152,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "__source", F.when(F.col("__source") != "", F.substring("__source", 2, 2 ** 31 - 1)).alias("source"),
         "source_size")
     targets = source_targets(sizes.select("source", "source_size"), weights, max_repeat)
-    quotas = shard_quotas(targets, n_shards, blocks_per_shard).groupBy("rank").agg(F.sum("quota").alias("quota"))
-    take = F.least(F.col("source_size") * max_repeat, F.expr(f"(coalesce(quota, 0L) * total) div {blocks}"))
-    plan = materialise(
-        targets.join(quotas, "rank", "left").select(
-            F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("__source"),
-            "source_size", "target", take.alias("take")), "mix-plan")
+    plan = source_plan(targets, max_repeat, n_shards, blocks_per_shard).select(
+        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("__source"), "source_size", "target", "take")
 
     start = F.coalesce(F.sum("words").over(
         Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
