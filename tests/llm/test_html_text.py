@@ -74,3 +74,12 @@ def test_copies_of_articles_and_shared_passages_stay(spark):
 
 def test_empty(spark):
     assert H.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_template_on_a_small_share_of_a_hot_host(spark):
+    rows = [(i, f"http://hot.org/{i}", f"<body><div>{'<p>Section menu of the ninth part.</p>' if i % 12 == 0 else ''}</div><div><p>Body {i}</p></div></body>")
+            for i in range(1200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for more in ({}, {"shipped": 0}):  # shipped, and joined
+        got = H.extract_text(df, **more).collect()
+        assert len(got) == 1200 and all(r["text"] == f"Body {r['page_id']}" for r in got)

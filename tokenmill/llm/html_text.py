@@ -2,8 +2,8 @@
 
 1. Every page is parsed into an element tree and each element's subtree gets a hash of
    its tags and texts. Spark counts on how many pages of its host each hash occurs; a
-   subtree on at least ``MIN_PAGES`` pages and a share of ``MIN_SHARE`` of the host's
-   pages is part of the site's template.
+   subtree on at least ``MIN_PAGES`` pages is part of the site's template. On hosts of
+   more than ``SMALL_HOST`` pages that floor rises by ``MIN_PAGES`` with each doubling.
 2. From each page the template's subtrees are deleted, and those that their tag, role or
    class names as menu, header, footer, sidebar, notice, advert, form or comment. What is
    left of the article (else of ``main``, else of the body) is the text.
@@ -13,8 +13,9 @@ subtree is deleted only if it carries links or controls and no prose: copies of
 article, and passages that many articles share, stay.
 
 Counting is a partial aggregation by (host, hash), so a host with a third of all pages is
-spread over tasks. A host's template has at most (subtrees a page) / ``MIN_SHARE``
-entries; the table of templates is written, and joined to the pages as its size allows.
+spread over tasks. The table of templates is written, and shipped to the executors if it
+has at most ``SHIPPED`` entries. A larger one is joined to the pages' subtrees, and what
+is found goes back to each page; no task holds a whole host's template then.
 """
 from __future__ import annotations
 
@@ -22,16 +23,19 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 from .url_rules import host_of
 
 MIN_PAGES = 5
-MIN_SHARE = 0.1
+SMALL_HOST = 50
+#: Template entries of all hosts that are shipped to the executors.
+SHIPPED = 1 << 20
 
 _TAG = re.compile(r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -215,9 +219,9 @@ class Tree:
         return "\n\n".join(blocks)
 
 
-def template_hashes(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-                    min_share: float = MIN_SHARE) -> DataFrame:
-    """``(host, template array<long>)`` of the hosts that have recurring subtrees."""
+def template_hashes(pages: DataFrame, url_col: str = "url", html_col: str = "html",
+                    min_pages: int = MIN_PAGES) -> DataFrame:
+    """``(host, hash)`` of the recurring subtrees of each host."""
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             host, out = [], []
@@ -234,29 +238,69 @@ def template_hashes(pages: DataFrame, url_col: str = "url", html_col: str = "htm
     counted = materialise(source.mapInPandas(hashes, "host string, hash long").groupBy("host", "hash")
                           .agg(F.count("*").alias("n")).filter(f"n >= {min_pages}"), "html-counts")
     size = counted.filter("hash = 0").select(F.col("host").alias("p_host"), F.col("n").alias("pages"))
+    floor = min_pages * (1 + F.log2(F.greatest(F.col("pages") / SMALL_HOST, F.lit(1.0))))
     return (counted.filter("hash <> 0").join(size, F.col("host") == F.col("p_host"))
-            .filter(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(F.collect_list("hash").alias("template")))
+            .filter(F.col("n") >= floor).select("host", "hash"))
+
+
+def page_key(html: Column) -> Column:
+    """Pages of a host with equal html have equal subtrees, so one entry does for them."""
+    return F.md5(F.coalesce(html, F.lit("")))
+
+
+def page_templates(source: DataFrame, templates: DataFrame) -> DataFrame:
+    """``(t_host, t_key, template array<long>)``: the template's subtrees on each page of ``source`` (host, html) that has any."""
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            host, key, out = [], [], []
+            for h, k, html_source in zip(batch["host"], batch["key"], batch["html"]):
+                tree = Tree(html_source or "")
+                tree.summarise()
+                mine = {tree.hash[i] for i in range(len(tree.tag)) if tree.candidate(i)}
+                host.extend([h] * len(mine))
+                key.extend([k] * len(mine))
+                out.extend(mine)
+            yield pd.DataFrame({"t_host": pd.Series(host, dtype=object), "t_key": pd.Series(key, dtype=object),
+                                "t_hash": pd.Series(out, dtype="int64")})
+
+    each = source.select("host", page_key(F.col("html")).alias("key"), "html").mapInPandas(
+        hashes, "t_host string, t_key string, t_hash long")
+    return (each.join(templates, (F.col("t_host") == F.col("host")) & (F.col("t_hash") == F.col("hash")))
+            .groupBy("t_host", "t_key").agg(F.collect_set("t_hash").alias("template")))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                 min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+                 min_pages: int = MIN_PAGES, shipped: int = SHIPPED) -> DataFrame:
     """Per row of ``pages``: id, url, ``text``, ``n_chars``.
 
     A null or empty html gives the empty text; a page without ``://`` in its url belongs
     to the empty host; repeated rows count each and give equal texts; hosts with fewer
     than ``min_pages`` pages have no template; an empty table stays empty.
     """
-    templates = materialise(template_hashes(pages, url_col, html_col, min_pages, min_share), "html-templates")
+    templates = materialise(template_hashes(pages, url_col, html_col, min_pages), "html-templates")
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                           host_of(F.col(url_col)).alias("host"))
-    joined = source.join(templates, "host", "left").select("id", "url", "html", "template")
+    by_host = {}
+    if templates.limit(shipped + 1).count() <= shipped:
+        by_host = {r["host"]: np.array(r["hashes"], np.int64) for r in templates.groupBy("host").agg(
+            F.sort_array(F.collect_list("hash")).alias("hashes")).collect()}
+        joined = source.select("id", "url", "html", "host", F.lit(None).cast("array<bigint>").alias("template"))
+    else:
+        found = page_templates(source, templates)
+        joined = source.join(found, (F.col("host") == F.col("t_host")) & (page_key(F.col("html")) == F.col("t_key")), "left").select(
+            "id", "url", "html", "host", "template")
+    shared = pages.sparkSession.sparkContext.broadcast(by_host)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for source, template in zip(batch["html"], batch["template"]):
+            for source, host, template in zip(batch["html"], batch["host"], batch["template"]):
                 tree = Tree(source or "")
                 tree.summarise()
+                if template is None and host in shared.value:
+                    own, known = np.array(tree.hash, np.int64), shared.value[host]
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    template = own[known[at] == own]
                 texts.append(tree.text(set() if template is None else set(template.tolist())))
             yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]},
                                columns=["id", "url", "text", "n_chars"]).astype({"text": object, "n_chars": "int64"})
