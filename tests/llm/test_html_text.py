@@ -83,3 +83,27 @@ def test_template_on_a_small_share_of_a_hot_host(spark):
     for more in ({}, {"shipped": 0}):  # shipped, and joined
         got = H.extract_text(df, **more).collect()
         assert len(got) == 1200 and all(r["text"] == f"Body {r['page_id']}" for r in got)
+
+
+def test_copies_without_article_stay(spark):
+    def body(i):
+        return (f"<html><body><div><ul><li><a href='/'>home</a></li></ul></div><div>Host line</div>"
+                f"<div><h1>T{i}</h1><p>Body {i} with a <a>link</a></p>and loose text</div></body></html>")
+    rows = [(i, f"http://copy.org/{i}", body(0)) for i in range(12)]
+    rows += [(100 + i, f"http://mix.org/{i}", body(i if i < 10 else 0)) for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):  # one text on the whole host: only the menu goes
+        assert got[i] == "Host line\n\nT0\n\nBody 0 with a link\n\nand loose text"
+    for i in range(30):  # ten texts
+        j = i if i < 10 else 0
+        assert got[100 + i] == f"T{j}\n\nBody {j} with a link\n\nand loose text"
+
+
+@pytest.mark.parametrize("source,want", [
+    ("<body><div class='content has-sidebar'><p>The text of the page.</p><div class=sidebar>s</div></div></body>", "The text of the page."),
+    ("<body><form><div class=menu><a>m</a></div><p>The text of the page.</p><button>go</button></form></body>", "The text of the page."),
+    ("<body><div class=social><p>like</p></div><p>The text of the page.</p></body>", "The text of the page."),
+    ("<body><div class=widget hidden><p>The text of the page.</p></div><p>x</p></body>", "x"),
+])
+def test_names_do_not_drop_most_of_a_page(source, want):
+    assert text(source) == want

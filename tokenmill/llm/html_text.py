@@ -10,7 +10,10 @@
 
 An element that holds the article is never deleted, and inside the article a recurring
 subtree is deleted only if it carries links or controls and no prose: copies of an
-article, and passages that many articles share, stay.
+article, and passages that many articles share, stay. Elsewhere a subtree that is not a
+mere menu (prose, or more text outside of links than in them) counts once for each
+different text around it, so copies of a page without ``article`` stay too; and on such a
+page no class, role or ``form`` drops the element that holds most of the page's text.
 
 Counting is a partial aggregation by (host, hash), so a host with a third of all pages is
 spread over tasks. The table of templates is written, and shipped to the executors if it
@@ -64,6 +67,8 @@ DROPPED_NAMES = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond "
     "footer masthead login search searchbox widget widgets copyright disclaimer skip".split())
 CONTROLS = frozenset("a button input select textarea form img iframe".split())
+#: Text inside these is no part of a page's own text.
+LINKS = frozenset("a button select textarea option".split())
 CONTENT = frozenset(("article", "main"))
 
 
@@ -72,6 +77,7 @@ class Tree:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.drop, self.items = ["#page"], [-1], [False], [[]]
+        self.by_name = [False]  # dropped, but only by class, id, role or as a form
         open_at, opened = [0], {"#page": 1}
         at = 0
 
@@ -118,7 +124,9 @@ class Tree:
             self.tag.append(name)
             self.parent.append(open_at[-1])
             self.items.append([])
-            self.drop.append(name in DROPPED_TAGS or bool(attrs) and self._named(name, attrs))
+            named, hidden = self._named(name, attrs) if attrs else (False, False)
+            self.drop.append(name in DROPPED_TAGS or named or hidden)
+            self.by_name.append((name == "form" or named and name not in DROPPED_TAGS) and not hidden)
             self.items[open_at[-1]].append(k)
             if name in _RAW:  # no markup inside; none of these is part of the article's text
                 end = _RAW[name].search(source, at)
@@ -129,19 +137,22 @@ class Tree:
         text(source[at:])
 
     @staticmethod
-    def _named(tag: str, attrs: str) -> bool:
+    def _named(tag: str, attrs: str) -> tuple[bool, bool]:
+        """Whether class, id or role name what is not the article, and whether the element is hidden."""
+        named = hidden = False
         if tag in ("html", "body", "main"):
-            return False
+            return named, hidden
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                if any(w in DROPPED_NAMES for w in re.split(r"[^a-z0-9]+", value)):
-                    return True
-            elif key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
+                named = named or any(w in DROPPED_NAMES for w in re.split(r"[^a-z0-9]+", value))
+            elif key == "role":
+                named = named or value in DROPPED_ROLES
+            elif key == "hidden" or key == "aria-hidden" and value == "true":
+                hidden = True
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        return False
+                hidden = True
+        return named, hidden
 
     def summarise(self) -> None:
         """Bottom-up: subtree hash, and whether a subtree has text, content roots, controls or prose."""
@@ -149,7 +160,12 @@ class Tree:
         self.hash, self.full = [0] * n, [False] * n
         self.holds_content, self.has_control, self.has_prose = [False] * n, [False] * n, [False] * n
         self.inside, self.in_article = [False] * n, [False] * n
+        # a subtree's characters outside of links and in them, and a sum of hashes of the former texts
+        self.loose, self.linked, self.around = [0] * n, [0] * n, [0] * n
+        silent, link = [False] * n, [False] * n
         for k in range(1, n):
+            silent[k] = silent[self.parent[k]] or self.drop[k] and not self.by_name[k]
+            link[k] = link[self.parent[k]] or self.tag[k] in LINKS
             self.in_article[k] = self.in_article[self.parent[k]] or self.tag[self.parent[k]] == "article"
             self.inside[k] = self.inside[self.parent[k]] or self.tag[k] in CONTENT
         for k in range(n - 1, -1, -1):
@@ -160,7 +176,15 @@ class Tree:
                     x = " ".join(x.split())
                     full = full or bool(x)
                     parts.append("t" + x)
+                    if x and link[k]:
+                        self.linked[k] += len(x)
+                    elif x and not silent[k]:
+                        self.loose[k] += len(x)
+                        self.around[k] += xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))
                 else:
+                    self.linked[k] += self.linked[x]
+                    self.loose[k] += self.loose[x]
+                    self.around[k] += self.around[x]
                     parts.append(f"e{self.hash[x]}")
                     full, content = full or self.full[x], content or self.holds_content[x]
                     control, prose = control or self.has_control[x], prose or self.has_prose[x]
@@ -173,10 +197,26 @@ class Tree:
             return False
         return not self.inside[k] or self.has_control[k] and not self.has_prose[k]
 
+    def candidates(self) -> dict[int, int]:
+        """The subtrees that recurrence may delete: 0 if each page counts, else a hash of the text around."""
+        out: dict[int, int] = {}
+        for k in range(len(self.tag)):
+            if self.candidate(k):
+                menu = self.inside[k] or not self.has_prose[k] and self.has_control[k] and self.linked[k] >= self.loose[k]
+                around = 0 if menu else (self.around[0] - self.around[k]) % ((1 << 63) - 1) + 1
+                out[self.hash[k]] = min(around, out.get(self.hash[k], around))
+        return out
+
+    def dropped(self, k: int) -> bool:
+        """Whether its tag or a name drops element k. What holds the article stays whatever it is called, and so
+        does what holds most of the text of a page without one; reader comments inside an article may be articles too."""
+        if self.drop[k] and not self.holds_content[0] and self.by_name[k] and 2 * self.loose[k] > self.loose[0]:
+            return False
+        return self.drop[k] and (self.in_article[k] or not self.holds_content[k])
+
     def text(self, template: set[int]) -> str:
         """Blocks of what is left, joined by an empty line."""
-        # What holds the article stays whatever it is called; reader comments inside one may be articles too.
-        gone = [self.drop[k] and (self.in_article[k] or not self.holds_content[k]) or bool(template) and self.hash[k] in template and self.candidate(k)
+        gone = [self.dropped(k) or bool(template) and self.hash[k] in template and self.candidate(k)
                 for k in range(len(self.tag))]
         for k in range(1, len(gone)):
             gone[k] = gone[k] or gone[self.parent[k]]
@@ -224,19 +264,22 @@ def template_hashes(pages: DataFrame, url_col: str = "url", html_col: str = "htm
     """``(host, hash)`` of the recurring subtrees of each host."""
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            host, out = [], []
+            host, out, around = [], [], []
             for h, source in zip(batch["host"], batch["html"]):
                 tree = Tree(source or "")
                 tree.summarise()
                 # 0 stands for the page itself
-                mine = {0} | {tree.hash[k] for k in range(len(tree.tag)) if tree.candidate(k)}
+                mine = tree.candidates() | {0: 0}
                 host.extend([h] * len(mine))
-                out.extend(mine)
-            yield pd.DataFrame({"host": pd.Series(host, dtype=object), "hash": pd.Series(out, dtype="int64")})
+                out.extend(mine.keys())
+                around.extend(mine.values())
+            yield pd.DataFrame({"host": pd.Series(host, dtype=object), "hash": pd.Series(out, dtype="int64"),
+                                "around": pd.Series(around, dtype="int64")})
 
     source = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    counted = materialise(source.mapInPandas(hashes, "host string, hash long").groupBy("host", "hash")
-                          .agg(F.count("*").alias("n")).filter(f"n >= {min_pages}"), "html-counts")
+    counted = materialise(source.mapInPandas(hashes, "host string, hash long, around long")
+                          .groupBy("host", "hash", "around").agg(F.count("*").alias("n")).groupBy("host", "hash")
+                          .agg(F.sum(F.when(F.col("around") == 0, F.col("n")).otherwise(1)).alias("n")).filter(f"n >= {min_pages}"), "html-counts")
     size = counted.filter("hash = 0").select(F.col("host").alias("p_host"), F.col("n").alias("pages"))
     floor = min_pages * (1 + F.log2(F.greatest(F.col("pages") / SMALL_HOST, F.lit(1.0))))
     return (counted.filter("hash <> 0").join(size, F.col("host") == F.col("p_host"))
@@ -256,10 +299,10 @@ def page_templates(source: DataFrame, templates: DataFrame) -> DataFrame:
             for h, k, html_source in zip(batch["host"], batch["key"], batch["html"]):
                 tree = Tree(html_source or "")
                 tree.summarise()
-                mine = {tree.hash[i] for i in range(len(tree.tag)) if tree.candidate(i)}
+                mine = tree.candidates()
                 host.extend([h] * len(mine))
                 key.extend([k] * len(mine))
-                out.extend(mine)
+                out.extend(mine.keys())
             yield pd.DataFrame({"t_host": pd.Series(host, dtype=object), "t_key": pd.Series(key, dtype=object),
                                 "t_hash": pd.Series(out, dtype="int64")})
 
