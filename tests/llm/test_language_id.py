@@ -95,3 +95,12 @@ def test_nothing_learned(spark):
     assert tuple(L.identify_languages(df).select("lang_pred", "score").first()) == ("und", 0.0)
     assert L.identify_languages(df.limit(0)).count() == 0
     assert L.identify_languages(df.limit(0)).select(F.count("*")).first()[0] == 0
+
+
+def test_null_and_repeated_ids_leave_no_language_out(spark):
+    rows = [(None if k == "xx" else 1 if k == "yy" else i, t, k) for i, t, k, _ in corpus(600)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    for per_language in (20, 0):  # with 0, one row of each language is left
+        assert L.learn_profiles(df, per_language).langs == ["xx", "yy", "zz"]
+    got = L.identify_languages(df, "id", per_language=20).collect()
+    assert len(got) == 600 and all(r["lang_pred"] == r["lang"] for r in got)

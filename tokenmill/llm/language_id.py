@@ -97,11 +97,18 @@ def fold(id_col: Column, folds: int = FOLDS) -> Column:
 
 
 def learn_profiles(labelled: DataFrame, per_language: int = PER_LANGUAGE, size: int = PROFILE) -> Profiles:
-    """Profiles from ``labelled`` (id, text, lang); rows with a null text or lang don't count."""
+    """Profiles from ``labelled`` (id, text, lang); rows with a null text or lang don't count.
+
+    The sample is drawn by a hash of id and text, so null and repeated ids don't matter;
+    the row with the lowest draw is always in, so every language value has a profile.
+    """
     rows = labelled.filter("text is not null and lang is not null")
-    share = materialise(rows.groupBy("lang").agg((F.lit(per_language) / F.count("*")).alias("share")), "language-shares")
-    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") / 2 ** 52
-    sample = rows.withColumn("draw", draw).join(share, "lang").filter("draw < share").select("lang", "text")
+    # A number below 1 from id and text; rows alike in both are drawn alike.
+    draw = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("text")), 11) / F.lit(float(2 ** 53))
+    rows = rows.withColumn("draw", draw)
+    share = materialise(rows.groupBy("lang").agg((F.lit(per_language) / F.count("*")).alias("share"), F.min("draw").alias("least")),
+                        "language-shares")
+    sample = rows.join(share, "lang").filter("draw < share or draw = least").select("lang", "text")
     letters = letter_table()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
