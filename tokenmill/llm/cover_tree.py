@@ -1,11 +1,12 @@
-"""Exact top-k by inner product with a dual-tree cover-tree search.
+"""Exact top-k by inner product with a dual-tree search over farthest-first ball trees.
 
 Vectors are dealt to blocks around pivots (a bounded, documented sample of the
 vectors); a large block is split, so that a block never exceeds about ``BLOCK``
-rows. In each block the data and a group of queries are both indexed by a cover
+rows. In each block the data and a group of queries are both indexed by a ball
 tree: a node covers its points with a radius around one of them, and its children
 are points that are far apart (farthest-first), each covering the points nearest to
-it. Pairs of nodes are descended best bound first; a pair goes when
+it. A lopsided split is made by distance ranks instead. This is not a cover tree: there
+are no levels with halving radii, and no separation of centers is kept. Pairs of nodes are descended best bound first; a pair goes when
 
     <cq, cx> + Rq |cx| + Rx |cq| + Rq Rx
 
@@ -50,7 +51,7 @@ class Node:
 
 
 def build(points: np.ndarray) -> tuple[np.ndarray, Node | None]:
-    """``(order, root)``: a cover tree whose nodes are ranges of ``points[order]``."""
+    """``(order, root)``: a farthest-first ball tree whose nodes are ranges of ``points[order]``."""
     n = len(points)
     if not n:
         return np.zeros(0, np.int64), None
