@@ -1,10 +1,11 @@
 """Registered queries of the corpus operators, with production parameters on whole tables."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontaminate, html_text, language_id, lm_scoring, mixing, sharding, simhash, url_rules, warc
+from . import byte_bpe, cover_tree, decontaminate, html_text, language_id, lm_scoring, mixing, sharding, simhash, url_rules, warc
 from .common import table
 
 
@@ -60,6 +61,15 @@ def op10_top_k(spark: SparkSession, d: str) -> DataFrame:
     return cover_tree.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = byte_bpe.encode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
+    digests = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    return byte_bpe.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digests.alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sharding": op2_sharding,
@@ -71,4 +81,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_html_text": op9_html_text,
     "op10_top_k": op10_top_k,
+    "op12_byte_bpe": op12_byte_bpe,
 }
