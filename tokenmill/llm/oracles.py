@@ -101,4 +101,19 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s) WHERE rank <= 5
 """
 
-ORACLES = {"op6_warc_revisits": REVISITS, "op10_top_k": TOP_K, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}
+HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, x.vec_id, x.label = a.label AS same,
+        coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * x.v[i])), 0)::BIGINT AS score
+      FROM e a JOIN e x ON a.vec_id % 100 = 0 AND a.vec_id <> x.vec_id AND len(a.v) = len(x.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+ORACLES = {"op6_warc_revisits": REVISITS, "op10_top_k": TOP_K, "op13_hard_negatives": HARD_NEGATIVES, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}

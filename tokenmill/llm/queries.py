@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, cover_tree, decontaminate, html_text, language_id, lm_scoring, mixing, sharding, simhash, url_rules, warc
+from . import byte_bpe, cover_tree, decontaminate, hard_negatives, html_text, language_id, lm_scoring, mixing, sharding, simhash, url_rules, warc
 from .common import table
 
 
@@ -70,6 +70,12 @@ def op12_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine_negatives(table(spark, d, "embeddings"), vec_id % 100 == 0, moved)
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sharding": op2_sharding,
@@ -82,4 +88,5 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_top_k": op10_top_k,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
