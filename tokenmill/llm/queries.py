@@ -5,8 +5,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, cover_tree, decontaminate, hard_negatives, html_text, language_id, lm_scoring, mixing, sharding, simhash, url_rules, warc
-from .common import table
+from . import byte_bpe, cover_tree, decontaminate, hard_negatives, html_text, language_id, lm_scoring, mixing, sharding, simhash, spelling, url_rules, warc
+from .common import ascii_lower, table
 
 
 def op1_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
@@ -61,6 +61,15 @@ def op10_top_k(spark: SparkSession, d: str) -> DataFrame:
     return cover_tree.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    runs = F.explode(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(r"[a-z\u00C0-\u00FF]+"), F.lit(0)))
+    found = table(spark, d, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), runs.alias("run"))
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = F.pmod(h, F.length("run")).cast("int")
+    missed = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    return spelling.group_variants(found.select(F.when(h % 97 == 0, missed).otherwise(F.col("run")).alias("word")))
+
+
 def op12_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     encoded = byte_bpe.encode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
@@ -87,6 +96,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_html_text": op9_html_text,
     "op10_top_k": op10_top_k,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_hard_negatives": op13_hard_negatives,
 }
