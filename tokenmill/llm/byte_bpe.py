@@ -5,10 +5,11 @@ keeps its documents together in *chunks* of about ``CHUNK_WORDS`` words: a chunk
 dictionary of its distinct words, and each document is the list of dictionary places of
 its words, in order. Then
 
-1. the dictionaries are exploded to rows ``(chunk, place, word)`` and shuffled by word.
-   A word is in a chunk's dictionary once, however often it occurs, so no word is hot;
-2. each distinct word is encoded once, where its rows meet, sorted, and its ids join
-   every row of the word;
+1. the dictionaries' words are shuffled by a hash of the word. The words of a chunk with
+   the same bucket of the hash travel as one row, with their places in the dictionary. A
+   word is in a chunk's dictionary once, however often it occurs, so no word is hot;
+2. each distinct word is encoded once, in its bucket, and its ids join every row that
+   holds the word;
 3. ids and documents meet again by chunk, and documents are put together by position.
 
 The word rows and the document rows come from two runs of one function over the input,
@@ -25,6 +26,7 @@ import base64
 import heapq
 import os
 from collections.abc import Iterator, Sequence
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,10 @@ from ..validation import require
 from .common import packed, unpacked
 
 #: Words of a chunk, about, and bytes at which it ends earlier.
-CHUNK_WORDS, CHUNK_BYTES = 1 << 23, 1 << 28
+CHUNK_WORDS, CHUNK_BYTES = 1 << 21, 1 << 27
+#: Buckets that distinct words are shuffled to, for each shuffle partition. The words of a
+#: bucket are kept while it is encoded.
+BUCKETS = 4
 #: A rank file beyond this is refused: its table goes to all tasks.
 RANK_FILE_BYTES = 64 << 20
 #: A word of more bytes is merged with a heap.
@@ -157,6 +162,21 @@ def from_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, last + 1
 
 
+def _sliced(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binaries of the varints of ``values[cuts[i]:cuts[i + 1]]``."""
+    data, ends = to_varints(values)
+    offsets = np.concatenate([[0], ends])[cuts].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _unsliced(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """``(values, number in each binary)`` of :func:`_sliced`."""
+    parts = column.to_pylist()
+    values, ends = from_varints(np.frombuffer(b"".join(parts), np.uint8))
+    stops = np.searchsorted(ends, np.cumsum([len(p) for p in parts]), side="right")
+    return values, np.diff(stops, prepend=0)
+
+
 def _words(batch: pa.RecordBatch, pattern: str) -> tuple[pa.Array, np.ndarray]:
     """``(words, number of each row)`` of a batch; each word with its mark at the end."""
     marked, texts = batch.column("marked"), batch.column("text")
@@ -219,6 +239,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     """
     require("ids" not in [k.lower() for k in keep], "a column to keep may not be called ids")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    buckets = BUCKETS * max(256, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     row = F.struct(*[F.col(f"`{k}`") for k in keep]) if keep else F.struct(F.lit(0))
 
     def split(*more: Column) -> DataFrame:
@@ -232,56 +253,69 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
     def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, dictionary, _, _, _ in _chunks(batches, pattern, words):
-            for at in range(0, len(dictionary), 1 << 17):
-                part = dictionary.slice(at, 1 << 17)
-                yield pa.record_batch([pa.array(np.full(len(part), name, np.int64)),
-                                       pa.array(np.arange(at, at + len(part), dtype=np.int32)), part], ["chunk", "place", "word"])
+            n = len(dictionary)
+            bucket = np.fromiter(map(crc32, dictionary.to_pylist()), np.int64, n) % buckets
+            order = np.argsort(bucket, kind="stable")
+            used, first = np.unique(bucket[order], return_index=True)
+            cuts = np.append(first, n)
+            step = np.diff(order, prepend=0)
+            step[first] = order[first]  # the first place of a bucket, then the distances
+            lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), dictionary.take(pa.array(order)))
+            yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), name, np.int64)),
+                                   _sliced(step, cuts), lists], ["bucket", "chunk", "places", "words"])
 
     def document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, places, each, rows in _chunks(batches, pattern, words):
-            data, ends = to_varints(places)
-            cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(each)])].astype(np.int64)
-            codes = pa.Array.from_buffers(pa.large_binary(), len(each), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(data.tobytes())])
+            codes = _sliced(places, np.concatenate([[0], np.cumsum(each)]))
             at = 0
             for r in rows:
-                part = codes.slice(at, r.num_rows).cast(pa.binary())
+                part = codes.slice(at, r.num_rows)
                 at += r.num_rows
                 yield pa.record_batch([pa.array(np.full(r.num_rows, name, np.int64)), r.column("__row"), part], ["chunk", "__row", "codes"])
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, last = shared.value, (None, [])
+        table, now, known = shared.value, None, {}
         for b in batches:
-            coded = b.column("word").dictionary_encode()
-            ids = []
-            for w in coded.dictionary.to_pylist():
-                if w != last[0]:
-                    last = (w, merge(w[:-1], table))
-                ids.append(last[1])
-            lists = pa.array(ids, pa.list_(pa.int32())).take(coded.indices)
-            yield pa.record_batch([b.column("chunk"), b.column("place"), lists], ["chunk", "place", "ids"])
+            sizes, ids, cuts, id_cuts = [], [], [0], [0]
+            for bucket, listed in zip(b.column("bucket").to_pylist(), b.column("words").to_pylist()):
+                if bucket != now:
+                    now, known = bucket, {}
+                for w in listed:
+                    found = known.get(w)
+                    if found is None:
+                        found = known[w] = merge(w[:-1], table)
+                    sizes.append(len(found))
+                    ids += found
+                cuts.append(len(sizes))
+                id_cuts.append(len(ids))
+            yield pa.record_batch([b.column("chunk"), b.column("places"), _sliced(np.array(sizes, np.int64), np.array(cuts)),
+                                   _sliced(np.array(ids, np.int64), np.array(id_cuts))], ["chunk", "places", "sizes", "ids"])
 
     def assemble(documents: pa.Table, dictionary: pa.Table) -> pa.Table:
-        documents, dictionary = documents.combine_chunks(), dictionary.combine_chunks()
-        codes = documents.column("codes").combine_chunks()
-        n_bytes = np.array([len(c) for c in codes.to_pylist()], np.int64)
-        places, ends = from_varints(np.frombuffer(b"".join(codes.to_pylist()), np.uint8))
-        at = dictionary.column("place").to_numpy()
-        lists = dictionary.column("ids").combine_chunks()
-        where = np.full(int(places.max(initial=-1)) + 1, -1, np.int64)
-        known = at < len(where)
-        where[at[known]] = np.flatnonzero(known)
+        codes, n_codes = _unsliced(documents.column("codes"))
+        steps, n_steps = _unsliced(dictionary.column("places"))
+        sizes, (ids, _) = _unsliced(dictionary.column("sizes"))[0], _unsliced(dictionary.column("ids"))
+        # Places are sums of the distances in their row.
+        before = np.concatenate([[0], np.cumsum(steps)])
+        starts = np.concatenate([[0], np.cumsum(n_steps)])[:-1]
+        at = before[1:] - np.repeat(before[starts], n_steps)
+        where = np.full(int(codes.max(initial=-1)) + 1, -1, np.int64)
+        known = np.flatnonzero(at < len(where))
+        where[at[known]] = known
         if len(where) and where.min() < 0:
             raise ValueError("the documents changed between two readings; write them to a table first")
-        found = lists.take(pa.array(where[places]))
-        sizes = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
-        first = np.concatenate([[0], np.searchsorted(ends, np.cumsum(n_bytes), side="right")])
-        offsets = pa.array(sizes[first].astype(np.int32))
-        return pa.table({"__row": documents.column("__row"), "ids": pa.ListArray.from_arrays(offsets, found.flatten())})
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(ids.astype(np.int32)))
+        found = lists.take(pa.array(where[codes]))
+        ends = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
+        offsets = ends[np.concatenate([[0], np.cumsum(n_codes)])]
+        return pa.table({"__row": documents.column("__row").combine_chunks(),
+                         "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), found.flatten())})
 
     kept = split(row.alias("__row"))
     row_type = kept.schema["__row"]
-    words_of = split().mapInArrow(word_rows, "chunk long, place int, word binary")
-    ids_of = words_of.repartition("word").sortWithinPartitions("word").mapInArrow(encode_words, "chunk long, place int, ids array<int>")
+    words_of = split().mapInArrow(word_rows, "bucket int, chunk long, places binary, words array<binary>")
+    ids_of = words_of.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        encode_words, "chunk long, places binary, sizes binary, ids binary")
     coded = kept.mapInArrow(document_rows, StructType([StructField("chunk", LongType()), row_type, StructField("codes", BinaryType())]))
     out = coded.groupBy("chunk").cogroup(ids_of.groupBy("chunk")).applyInArrow(
         assemble, StructType([row_type, StructField("ids", ArrayType(IntegerType()))]))
