@@ -42,7 +42,7 @@ from ..validation import require
 from .common import packed, unpacked
 
 #: Words of a chunk, about, and bytes at which it ends earlier.
-CHUNK_WORDS, CHUNK_BYTES = 1 << 21, 1 << 27
+CHUNK_WORDS, CHUNK_BYTES = 1 << 20, 1 << 26
 #: Buckets that distinct words are shuffled to, for each shuffle partition. The words of a
 #: bucket are kept while it is encoded.
 BUCKETS = 4
@@ -169,7 +169,7 @@ def _sliced(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def _unsliced(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def _unsliced(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """``(values, number in each binary)`` of :func:`_sliced`."""
     parts = column.to_pylist()
     values, ends = from_varints(np.frombuffer(b"".join(parts), np.uint8))
@@ -260,9 +260,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             cuts = np.append(first, n)
             step = np.diff(order, prepend=0)
             step[first] = order[first]  # the first place of a bucket, then the distances
-            lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), dictionary.take(pa.array(order)))
-            yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), name, np.int64)),
-                                   _sliced(step, cuts), lists], ["bucket", "chunk", "places", "words"])
+            dealt = dictionary.take(pa.array(order))
+            lengths = pc.binary_length(dealt).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(lengths)])[cuts].astype(np.int32)
+            joined = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(at.tobytes()), dealt.buffers()[2]])
+            yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), name, np.int64)), _sliced(step, cuts),
+                                   _sliced(lengths, cuts), joined], ["bucket", "chunk", "places", "lengths", "words"])
 
     def document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, places, each, rows in _chunks(batches, pattern, words):
@@ -277,15 +280,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         table, now, known = shared.value, None, {}
         for b in batches:
             sizes, ids, cuts, id_cuts = [], [], [0], [0]
-            for bucket, listed in zip(b.column("bucket").to_pylist(), b.column("words").to_pylist()):
+            lengths, n_words = _unsliced(b.column("lengths"))
+            stops, at = np.cumsum(n_words).tolist(), 0
+            for bucket, joined, stop in zip(b.column("bucket").to_pylist(), b.column("words").to_pylist(), stops):
                 if bucket != now:
                     now, known = bucket, {}
-                for w in listed:
+                start = 0
+                for n in lengths[at:stop].tolist():
+                    w = joined[start:start + n]
+                    start += n
                     found = known.get(w)
                     if found is None:
                         found = known[w] = merge(w[:-1], table)
                     sizes.append(len(found))
                     ids += found
+                at = stop
                 cuts.append(len(sizes))
                 id_cuts.append(len(ids))
             yield pa.record_batch([b.column("chunk"), b.column("places"), _sliced(np.array(sizes, np.int64), np.array(cuts)),
@@ -313,7 +322,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
     kept = split(row.alias("__row"))
     row_type = kept.schema["__row"]
-    words_of = split().mapInArrow(word_rows, "bucket int, chunk long, places binary, words array<binary>")
+    words_of = split().mapInArrow(word_rows, "bucket int, chunk long, places binary, lengths binary, words binary")
     ids_of = words_of.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         encode_words, "chunk long, places binary, sizes binary, ids binary")
     coded = kept.mapInArrow(document_rows, StructType([StructField("chunk", LongType()), row_type, StructField("codes", BinaryType())]))
