@@ -17,8 +17,8 @@ so that the much larger document rows are shuffled once and never written. A chu
 name is a hash of its content. An input that changes between the runs (a frame that is
 not deterministic) is an error, not a wrong result: write such a frame to a table first.
 
-Decoding joins ids to the table of token bytes. The table has one row an id of the rank
-file, whose size is checked, so it goes to all tasks.
+Decoding looks ids up in the table of token bytes, in the JVM. The table has one entry an
+id of the rank file, whose size is checked, so it goes to all tasks.
 """
 from __future__ import annotations
 
@@ -31,8 +31,6 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
-import tiktoken
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +40,7 @@ from ..validation import require
 from .common import packed, unpacked
 
 #: Words of a chunk, about, and bytes at which it ends earlier.
-CHUNK_WORDS, CHUNK_BYTES = 1 << 20, 1 << 26
+CHUNK_WORDS, CHUNK_BYTES = 1 << 21, 1 << 27
 #: Buckets that distinct words are shuffled to, for each shuffle partition. The words of a
 #: bucket are kept while it is encoded.
 BUCKETS = 4
@@ -127,6 +125,9 @@ def split_pattern(pattern: str) -> str:
 def split_unknown(text: str, pattern: str) -> list[str]:
     """Pre-tokens of a text with code points that are newer than the JVM: the tokenizer
     library tells each one's class, a stand-in of that class takes its place for the split."""
+    import regex  # seldom needed, so tasks do without
+    import tiktoken
+
     single = {bytes([b]): b for b in range(256)}
     stand_in = {}
     chars = "".join({c for c in text if ord(c) > 0x377})
@@ -334,32 +335,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with ``out``: the bytes of ``ids`` joined (binary). No ids give no bytes,
     null ids null, and so does a list that holds a null or an id that is no token. An input
-    column called ``out`` is replaced."""
-    table = np.full(max(ranks.values()) + 1, None, object)
+    column called ``out`` is replaced. The token bytes are a constant array in the plan,
+    as hexadecimal text, which the JVM looks ids up in."""
+    by_id = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        table[rank] = token
-    shared = encoded.sparkSession.sparkContext.broadcast(table.tolist())
-    before = packed(encoded, F.col(f"`{ids}`").cast("array<long>").alias("ids"))
-    row_type = before.schema["__row"]
-
-    def join_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = pa.array(shared.value, pa.binary())
-        for b in batches:
-            lists = b.column("ids")
-            flat = lists.flatten()
-            at = flat.to_numpy(zero_copy_only=False) if not flat.null_count else flat.fill_null(-1).to_numpy(zero_copy_only=False)
-            good = (at >= 0) & (at < len(tokens))
-            parts = tokens.take(pa.array(np.where(good, at, 0)))
-            good &= parts.is_valid().to_numpy(zero_copy_only=False)
-            parts = parts.fill_null(b"")
-            sizes = np.concatenate([[0], np.cumsum(pc.binary_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))])
-            data = memoryview(parts.buffers()[2] or b"")  # the tokens of all rows, end to end
-            counts = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))])
-            bad = np.concatenate([[0], np.cumsum(~good)])
-            whole = lists.is_valid().to_numpy(zero_copy_only=False) & (bad[counts[1:]] == bad[counts[:-1]])
-            cut = sizes[counts]
-            joined = [bytes(data[i:j]) if ok else None for i, j, ok in zip(cut[:-1].tolist(), cut[1:].tolist(), whole.tolist())]
-            yield pa.record_batch([b.column("__row"), pa.array(joined, pa.binary())], ["__row", "decoded"])
-
-    done = before.mapInArrow(join_bytes, StructType([row_type, StructField("decoded", BinaryType())]))
-    return unpacked(done, encoded, **{out: F.col("decoded")})
+        by_id[rank] = token.hex()
+    table = F.split(F.lit(",".join(by_id)), ",")
+    before = packed(encoded, F.transform(F.col(f"`{ids}`"), lambda i: F.get(table, i.cast("int"))).alias("parts"))
+    whole = F.forall("parts", lambda p: F.coalesce(p != "", F.lit(False)))
+    return unpacked(before, encoded, **{out: F.when(whole, F.unhex(F.array_join("parts", "")))})
