@@ -1,10 +1,12 @@
 """BPE training, encoding and decoding vs the pure-Python model."""
 import random
+from collections import Counter
+from itertools import groupby
 
 from pyspark.sql import functions as F
 
 import models as M
-from tokenmill.operators import bpe, decode, encode, sampling, vocab
+from tokenmill.operators import bpe, decode, encode, pair_index, sampling, segments, vocab
 from tokenmill.plans import catalog as C
 
 EOT = M.EOT
@@ -35,16 +37,14 @@ def test_training_golden_aaa(spark):
     assert merges == [(a, a, n), (n, a, n + 1)] == mm
 
 
-def test_training_matches_model_any_block_size(spark):
+def test_training_matches_model_any_block_size(spark, monkeypatch):
     rng = random.Random(3)
-    bpe_edges = bpe.EDGE_BLOCKS
     for trial in range(5):
-        bpe.EDGE_BLOCKS = (2, 3, bpe_edges)[trial % 3]
+        monkeypatch.setattr(segments, "GROUP", (2, 3, 4096)[trial % 3])
         texts = ["".join(rng.choice("aab c" if trial else "aaaab") for _ in range(rng.randint(0, 25)))
                  for _ in range(rng.randint(1, 4))]
         bc = rng.choice([2, 3, 7, 4096])
         res, merges, texts_v, (mt, mm) = _train(spark, texts, 12, bc)
-        bpe.EDGE_BLOCKS = bpe_edges
         assert merges == mm, (texts, bc)
         assert texts_v == mt
 
@@ -64,6 +64,42 @@ def test_merge_pass_order_and_fixpoint(spark):
     assert got == [400, 400, 98]
 
 
+def test_pass_over_chunked_sequences_equals_the_loop(spark, monkeypatch):
+    """Runs that cross any number of chunks and groups of chunks."""
+    rng = random.Random(8)
+    table = {(1, 1): 10, (1, 2): 11, (2, 1): 12}
+    merges = spark.createDataFrame([(a, b, n) for (a, b), n in table.items()], "t1 int, t2 int, new_token int")
+    seqs = {f"s{k}": [rng.choice((1, 1, 1, 2, 3)) for _ in range(rng.randint(1, 60))] for k in range(12)}
+    seqs |= {"ones": [1] * 67, "twice": [1] * 64 + [3] + [1] * 31, "none": [3] * 40}
+    rows = spark.createDataFrame([(k, 2 * i, t) for k, s in seqs.items() for i, t in enumerate(s)], "piece string, pos int, tok int")
+    for chunk, group in ((2, 2), (6, 3), (10, 4096), (1 << 16, 4096)):
+        monkeypatch.setattr(segments, "GROUP", group)
+        got = encode.merge_pass(rows, merges, chunk=chunk).orderBy("piece", "pos").collect()
+        for k, s in seqs.items():
+            hits = [i for i, p in enumerate(zip(s, s[1:])) if p in table]
+            at = M.chosen_positions(hits)
+            mine = [r for r in got if r.piece == k]
+            assert [r.tok for r in mine] == M.replace_at(s, at, {i: table[s[i], s[i + 1]] for i in at}), (k, chunk)
+            assert {r.hit for r in mine} == {bool(hits)}
+        pairs = encode.mergeable_pairs(rows, merges, chunk=chunk).collect()
+        assert sorted((r.piece, r.pos, r.new_token) for r in pairs) == sorted(
+            (k, 2 * i, table[p]) for k, s in seqs.items() for i, p in enumerate(zip(s, s[1:])) if p in table)
+
+
+def test_a_long_sequence_spreads_over_tasks(spark):
+    """A million tokens in one sequence: windows hold chunks, and the result is the loop's."""
+    n = 1_000_000
+    rows = spark.range(n).select(F.lit("x").alias("piece"), F.col("id").alias("pos"), F.when(F.col("id") % 70_000 == 30_000, 2).otherwise(1).alias("tok"))
+    merges = spark.createDataFrame([(1, 1, 10)], "t1 int, t2 int, new_token int")
+    out = encode.merge_pass(rows, merges)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    specs = [line for line in plan.splitlines() if "Window [row_number" in line]
+    assert specs and all("chunk" in line.split("], [")[1] for line in specs)
+    seq = [2 if i % 70_000 == 30_000 else 1 for i in range(n)]
+    want = sum(len(list(g)) // 2 for k, g in groupby(seq) if k == 1)
+    assert dict(out.groupBy("tok").count().collect()) == {10: want, 2: seq.count(2), 1: sum(len(list(g)) % 2 for k, g in groupby(seq) if k == 1)}
+
+
 def test_encode_decode_real_documents_match_model(spark):
     d = "/root/testdata/sf0.001"
     docs = C.docs(spark, d)
@@ -110,24 +146,66 @@ def test_piece_scope_matches_model(spark):
     assert [r.text for r in res.vocab.orderBy("token").collect()] == mt
 
 
-def test_maintained_counts_and_ties(spark, monkeypatch):
-    """Adjusted counts equal a recount after any replacements; cut-off and tied lists rank as in the model."""
+def _piece_corpus(rng, spark, alphabet="aaab bcd\n", n=6, most=40):
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, most))) for _ in range(n)]
+    docs = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "shard_idx int, row_idx long, text string")
+    return docs, [p for t in texts for p in M.pieces(t)]
+
+
+def test_index_training_matches_model(spark, monkeypatch):
+    """Short lists, ties, many runs, long pieces, a frontier that is too small: always the model's merges."""
     rng = random.Random(11)
-    for ranked, every, n_merges in ((1, 1, 9), (2, 3, 12), (4, 2, 12), (64, 5, 14)):
-        monkeypatch.setattr(bpe, "RANKED", ranked)
-        monkeypatch.setattr(bpe, "WRITE_EVERY", every)
-        texts = ["".join(rng.choice("aaab bcd\n") for _ in range(rng.randint(0, 40))) for _ in range(6)]
-        docs = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "shard_idx int, row_idx long, text string")
-        in_order = [p for t in texts for p in M.pieces(t)]
+    for ranked, fan, frontier, long, n_merges in ((1, 2, 1 << 16, 256, 9), (2, 3, 4, 256, 12), (4, 8, 1, 256, 10), (64, 2, 1 << 16, 3, 14), (3, 2, 3, 2, 12)):
+        for name, value in (("RANKED", ranked), ("FAN", fan), ("FRONTIER", frontier), ("LONG", long), ("WRITE_LONG", 2)):
+            monkeypatch.setattr(pair_index, name, value)
+        docs, in_order = _piece_corpus(rng, spark)
         n0 = len(M.initial_vocab(sorted({c for p in in_order for c in p}), [EOT]))
         mt, mm = M.train_pieces(in_order, n0 + n_merges)
         res = bpe.train_bpe(bpe.piece_blocks(docs), scope="piece", n_merges=n_merges)
-        assert [(r.t1, r.t2, r.new_token) for r in res.merges.orderBy("rank").collect()] == mm, texts
-    blocks = bpe.piece_blocks(docs)
-    pending = {"aa": "\U00040000", "\U00040000a": "\U00040001", "ab": "\U00040002"}
-    start = bpe.pair_counts(blocks, False).select("pair", "n")
-    again = bpe.pair_counts(bpe.apply_round(blocks, pending, False), False).select("pair", "n")
-    assert sorted(bpe.maintained_counts(start, blocks, pending).collect()) == sorted(again.collect())
+        assert [(r.t1, r.t2, r.new_token) for r in res.merges.orderBy("rank").collect()] == mm, in_order
+        assert [r.text for r in res.vocab.orderBy("token").collect()] == mt
+
+
+def _index(spark, pieces):
+    return pair_index.PairIndex(spark.createDataFrame([(i, s, w) for i, (s, w) in enumerate(pieces)], "pid long, s string, w long"))
+
+
+def test_index_counts_equal_a_recount(spark, monkeypatch):
+    monkeypatch.setattr(pair_index, "FAN", 3)
+    monkeypatch.setattr(pair_index, "LONG", 9)
+    rng = random.Random(7)
+    pieces = [("".join(rng.choice("aabc") for _ in range(rng.randint(1, 14))), rng.randint(1, 5)) for _ in range(60)]
+    index = _index(spark, pieces)
+    for merges in ({"aa": "X"}, {"Xb": "Y", "cb": "Z"}, {"ca": "U"}, {"bb": "V"}, {"YX": "W"}, {"ab": "T"}):
+        index.choose(1)
+        index.merge(merges)
+        for p, n in merges.items():
+            pieces = [(s.replace(p, n), w) for s, w in pieces]
+        want = Counter()
+        for s, w in pieces:
+            for a, b in zip(s, s[1:]):
+                want[a + b] += w
+        assert dict(index.counts().collect()) == want
+        assert index.frontier == {p: n for p, n in want.items() if n >= index.least}
+    index.close()
+
+
+def test_a_round_reads_the_postings_of_its_merges(spark):
+    """Postings read and pieces changed are those that hold the merged pairs, not the corpus."""
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(3000)] + ["xyq", "pxy"]
+    index = _index(spark, [(s, 1) for s in pieces])
+    assert index.runs[0].rows == sum(len({s[i:i + 2] for i in range(len(s) - 1)}) for s in pieces)
+    index.choose(1)
+    index.merge({"xy": "X"})
+    index.merge({"ab": "Y", "hi": "Z"})
+    holding = [s for s in pieces if "ab" in s or "hi" in s]
+    both = sum("ab" in s for s in pieces) + sum("hi" in s for s in pieces)
+    assert (index.work[0].read, index.work[0].changed, index.work[0].written) == (2, 2, 6)
+    assert (index.work[1].read, index.work[1].changed) == (both, len(holding)) and both < len(pieces) / 3
+    plan = index.postings().filter(pair_index.any_of(["ab", "hi"]))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(pair,ab)" in plan and "EqualTo(pair,hi)" in plan
+    index.close()
 
 
 def test_extend_vocab_rebuilds_trained_texts(spark):

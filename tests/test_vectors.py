@@ -18,14 +18,14 @@ def test_strict_matmul(spark):
     assert got == [(1, 0, 0, 6.0), (2, 0, 1, 4.0)]
 
 
-def _direct(x, seqs, heads):
+def _direct(x, seqs, heads, history=None):
     out = {}
     d = x.shape[1]
     hd = d // heads
     for s in set(seqs):
         idx = [i for i in range(len(seqs)) if seqs[i] == s]
         for qi in idx:
-            vis = [k for k in idx if k <= qi]
+            vis = [k for k in idx if k <= qi][-(history or len(idx)):]
             res = []
             for h in range(heads):
                 sl = slice(h * hd, (h + 1) * hd)
@@ -52,6 +52,31 @@ def test_causal_pool_tile_invariance(spark, tile):
         assert np.allclose(got[k], want[k], atol=1e-12)
 
 
+@pytest.mark.parametrize("tile,history", [(1, 1), (1, 5), (2, 3), (3, 1000), (64, 4)])
+def test_bounded_history(spark, monkeypatch, tile, history):
+    monkeypatch.setattr(vectors, "KEY_TILES", 2)
+    monkeypatch.setattr(vectors, "QUERY_TILES", 3)
+    rng = np.random.default_rng(7)
+    n, d = 40, 4
+    x = rng.normal(size=(n, d))
+    seqs = [0 if i % 4 else 1 for i in range(n)]
+    df = spark.createDataFrame([(seqs[i], i * 1000, x[i].tolist()) for i in range(n)], "seq long, pos long, v array<double>")
+    got = {r.pos // 1000: np.array(r.out) for r in vectors.causal_pool(df, "seq", "pos", "v", n_heads=2, tile=tile, max_history=history).collect()}
+    want = _direct(x, seqs, 2, history)
+    assert set(got) == set(want) and all(np.allclose(got[k], want[k], atol=1e-12) for k in want)
+    with pytest.raises(TokenmillError):
+        vectors.causal_pool(df, "seq", "pos", "v", max_history=0)
+
+
+def test_a_band_is_linear_in_the_sequence(spark):
+    """Rows times key blocks: as many a row in a band, growing with the sequence without one."""
+    def pairs(n, history):
+        return vectors.query_blocks(spark.range(n).withColumnRenamed("id", "rank"), 4, history).count()
+    block = 4 * vectors.KEY_TILES
+    assert pairs(64 * block, 10) < 1.2 * 64 * block and pairs(256 * block, 10) < 1.2 * 256 * block
+    assert pairs(64 * block, None) == sum(block * (b + 1) for b in range(64))
+
+
 def test_causal_pool_heads_must_divide(spark):
     df = spark.createDataFrame([(0, 0, [1.0, 2.0, 3.0])], "seq long, pos long, v array<double>")
     with pytest.raises(TokenmillError):

@@ -31,17 +31,14 @@ an occurrence of ``(x, a)`` or ``(b, y)``, which chains with the merge and there
 ranks after the prefix. This gives the same merges, ids and order as one-at-a-time
 training.
 
-The state between rounds is the last written table plus the replacements since
-then; it is written again every ``WRITE_EVERY`` rounds, and the table before goes. In
-the piece scope the pair counts are kept in the same way: a round counts only the pieces
-that the replacements since the last write change, and adjusts the written counts.
+In the sequence scope the state is written after each round, and the table before goes.
+The piece scope works on an index from pairs to the pieces that hold them
+(:mod:`.pair_index`): a round reads and writes the pieces that its merges change.
 """
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Sequence
-from dataclasses import dataclass
-from itertools import takewhile
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,19 +46,15 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, SPACE_MARK, split_pieces, special_segments
 from ..session import Written
 from ..validation import require, require_columns
+from . import segments
 from .packing import running_offsets
+from .pair_index import Work, choose_round, replace_pairs, train
 from .vocab import initial_vocab
 
 SCOPES = ("sequence", "piece")
 # Code points of merged tokens while training: planes 4 to 16, which hold no assigned
 # characters but private ones. A vocabulary must fit; this is checked before the start.
 _SYMBOL_BASE, _SYMBOL_LIMIT = 0x40000, 0x10FFFD
-# Rounds between two writes of the piece scope's state.
-WRITE_EVERY = 4
-# Most frequent pairs that a round of the piece scope looks at.
-RANKED = 64
-# Blocks of the sequence scope whose edges are compared in one task.
-EDGE_BLOCKS = 4096
 
 
 def _jq(s: str) -> str:
@@ -143,121 +136,24 @@ def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
 
 
 def _summary(blocks: DataFrame) -> DataFrame:
-    """One row per block with its neighbours' edge symbols (block order).
+    """One row per block with its neighbours' edge symbols (block order)."""
+    s = blocks.select("bkey", F.length("s").alias("len"), F.substring("s", 1, 1).alias("first"), F.substring(F.reverse("s"), 1, 1).alias("last"))
+    return segments.neighbour_edges(s, [], "bkey")
 
-    Two levels: neighbours inside a group of ``EDGE_BLOCKS`` blocks, then the edges of
-    the groups, one row a group.
-    """
-    s = blocks.select("bkey", F.floor(F.col("bkey") / EDGE_BLOCKS).cast("long").alias("grp"), F.length("s").alias("len"),
-                      F.substring("s", 1, 1).alias("first"), F.substring(F.reverse("s"), 1, 1).alias("last"))
-    groups = s.groupBy("grp").agg(F.min_by("first", "bkey").alias("g_first"), F.max_by("last", "bkey").alias("g_last"))
-    over = Window.orderBy("grp")
-    groups = groups.select("grp", F.lead("g_first").over(over).alias("after"), F.lag("g_last").over(over).alias("before"))
-    o = Window.partitionBy("grp").orderBy("bkey")
-    near = s.select("*", F.lead("first").over(o).alias("near_first"), F.lag("last").over(o).alias("near_last"))
-    return near.join(groups, "grp").select("bkey", "grp", "len", "first", "last",
-                                           F.coalesce("near_first", "after").alias("next_first"),
-                                           F.coalesce("near_last", "before").alias("prev_last"))
-
-
-def _carried_runs(blocks: DataFrame, symbol: str) -> DataFrame:
-    """``(bkey, first, carried)``: length of the run of ``symbol`` that reaches a block's start.
-
-    A block is summarised by its length and its trailing run; a group of blocks in the
-    same way, so the run is carried over groups first and then inside each.
-    """
-    tail = F.length(F.regexp_extract(F.reverse("s"), "^(?:" + _jq(symbol) + ")*", 0)).cast("long")
-    runs = blocks.select("bkey", F.floor(F.col("bkey") / EDGE_BLOCKS).cast("long").alias("grp"),
-                         F.substring("s", 1, 1).alias("first"), F.length("s").cast("long").alias("len"), tail.alias("tail"))
-
-    def carry(df: DataFrame, w, out: str) -> DataFrame:
-        """Run reaching each row's start from the rows before it; NULL if they are one run as far as known."""
-        so_far = F.sum("len").over(w.rowsBetween(Window.unboundedPreceding, 0))
-        df = df.withColumn("so_far", so_far)
-        broken = F.when(F.col("tail") < F.col("len"), F.col("tail") - F.col("so_far"))
-        last = F.last(broken, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        return df.withColumn("ahead", F.col("so_far") - F.col("len")).withColumn(out, last + F.col("ahead"))
-
-    inside = carry(runs, Window.partitionBy("grp").orderBy("bkey"), "own")
-    # A group's trailing run: that of its last blocks, back to the first broken one.
-    end = F.max_by(F.coalesce(F.when(F.col("tail") < F.col("len"), F.col("tail")), F.col("own") + F.col("len")), "bkey")
-    groups = inside.groupBy("grp").agg(F.sum("len").alias("len"), end.alias("t")).select(
-        "grp", "len", F.coalesce("t", "len").alias("tail"))
-    groups = carry(groups, Window.orderBy("grp"), "over").select("grp", F.coalesce("over", "ahead").alias("reach"))
-    return inside.join(groups, "grp").select(
-        "bkey", "grp", "first", F.coalesce(F.col("own"), F.col("ahead") + F.col("reach")).alias("carried"))
-
-
-def choose_round(ranked: list[tuple[str, int]], room: int) -> list[str]:
-    """The longest prefix of the ranked pairs that can be merged at once (no token both
-    starts one pair and ends another; a self-pair only on its own), at most ``room``."""
-    taken: list[str] = []
-    starts: set[str] = set()
-    ends: set[str] = set()
-    for pair, _ in ranked[:room]:
-        a, b = pair[0], pair[1]
-        if a == b and not taken:
-            return [pair]
-        if a == b or a in ends or b in starts:
-            break
-        taken.append(pair)
-        starts.add(a)
-        ends.add(b)
-    return taken
 
-
-def maintained_counts(counts: DataFrame, blocks: DataFrame, pending: dict[str, str]) -> DataFrame:
-    """``(pair, n)`` after ``pending`` replacements, from the ``counts`` (pair, n) before them.
-
-    Only blocks that a replacement changes are cut into pairs: their old pairs are
-    taken off the counts and their new ones added.
-    """
-    if not pending:
-        return counts
-    changed = blocks.select("w", "s", replace_pairs(F.col("s"), list(pending.items())).alias("t")).filter("s <> t")
-    sides = changed.select(F.lit(0).alias("bkey"), F.explode(F.array(
-        F.struct("s", (-F.col("w")).alias("w")), F.struct(F.col("t").alias("s"), "w"))).alias("side")).select(
-        "bkey", "side.s", "side.w")
-    deltas = _neighbours(sides).select("pair", F.col("w").alias("n"))
-    return counts.select("pair", "n").union(deltas).groupBy("pair").agg(F.sum("n").alias("n")).filter("n > 0")
-
-
-def first_places(blocks: DataFrame, pairs: Sequence[str]) -> dict[str, tuple]:
-    """First occurrence ``(bkey, idx)`` of each of a few pairs."""
-    holds = F.exists(F.array(*[F.lit(p) for p in pairs]), lambda p: F.contains(F.col("s"), p))
-    found = (_neighbours(blocks.filter(holds)).filter(F.col("pair").isin(list(pairs)))
-             .groupBy("pair").agg(F.min(F.struct("bkey", "idx")).alias("first")))
-    return {r["pair"]: r["first"] for r in found.collect()}
-
-
-def choose_maintained(counts: DataFrame, blocks: DataFrame, room: int) -> list[str]:
-    """The pairs that :func:`choose_round` takes, from counts without places.
-
-    First occurrences decide among equal counts only, so they are looked up just for
-    equal counts that the prefix reaches. A run of equal counts that the list cuts off
-    waits for a later round; if all of the list is one such run, everything is ranked.
-    """
-    top = [(r["pair"], r["n"]) for r in counts.orderBy(F.desc("n")).limit(RANKED + 1).collect()]
-    if len(top) > RANKED:
-        top = [x for x in top if x[1] > top[-1][1]]
-        if not top:
-            every = pair_counts(blocks, False).orderBy(F.desc("n"), F.asc("first")).limit(room).collect()
-            return choose_round([(r["pair"], r["n"]) for r in every], room)
-    times = Counter(n for _, n in top)
-    clear = list(takewhile(lambda x: times[x[1]] == 1, top))
-    chosen = choose_round(clear, room)
-    if len(chosen) == room or len(chosen) < len(clear) or len(clear) == len(top) or (
-            chosen and chosen[0][0] == chosen[0][1]):
-        return chosen
-    place = first_places(blocks, [p for p, n in top if times[n] > 1])
-    return choose_round(sorted(top, key=lambda x: (-x[1], place.get(x[0], ()))), room)
+def _trailing(symbol: str) -> Column:
+    """Length of the run of ``symbol`` at the end of a block."""
+    return F.length(F.regexp_extract(F.reverse("s"), "^(?:" + _jq(symbol) + ")*", 0))
 
 
-def replace_pairs(s: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Every pair (two symbols -> one) replaced in turn, each greedily left to right.
-    One expression of constant size, whose code is compiled once for all rounds."""
-    table = F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(n).alias("new")) for p, n in pairs])
-    return F.aggregate(table, s, lambda acc, x: F.replace(acc, x["pair"], x["new"]))
+def _open_runs(blocks: DataFrame, symbol: str) -> DataFrame:
+    """``(bkey, first, state)``: state is 1 if a run of ``symbol`` of odd length reaches a block's start,
+    so that its last symbol is free for the block's first. A block that is one run keeps or turns over
+    the parity that reaches it; another's trailing run fixes the parity after it."""
+    tail, n = _trailing(symbol), F.length("s")
+    runs = blocks.select("bkey", F.substring("s", 1, 1).alias("first"),
+                         F.when(tail < n, tail % 2).alias("fixed"), (n % 2).alias("flips"))
+    return segments.states_before(runs, [], "bkey").select("bkey", "first", "state")
 
 
 def apply_round(blocks: DataFrame, merges: dict[str, str], boundaries: bool) -> DataFrame:
@@ -272,14 +168,12 @@ def apply_round(blocks: DataFrame, merges: dict[str, str], boundaries: bool) ->
 
     if self_pair:
         (p, new), = pairs
-        flags = _carried_runs(blocks, p[0])
-        flags = flags.withColumn("drop_first", (F.col("first") == p[0]) & (F.pmod("carried", F.lit(2)) == 1))
+        flags = _open_runs(blocks, p[0]).withColumn("drop_first", (F.col("first") == p[0]) & (F.col("state") == 1))
         # The block before a block that loses its first symbol ends in the merged one.
-        summ = _summary(blocks).select("bkey", F.col("next_first") == p[0], F.col("len")).toDF("bkey", "goes_on", "len")
-        tail = F.length(F.regexp_extract(F.reverse("s"), "^(?:" + _jq(p[0]) + ")*", 0))
-        run = blocks.select("bkey", tail.alias("tail"), F.length("s").alias("n")).join(
-            flags.select("bkey", "drop_first", "carried"), "bkey").join(summ, "bkey")
-        whole = F.col("tail") + F.when(F.col("tail") == F.col("n"), F.col("carried")).otherwise(0)
+        summ = _summary(blocks).select("bkey", (F.col("next_first") == p[0]).alias("goes_on"))
+        run = blocks.select("bkey", _trailing(p[0]).alias("tail"), F.length("s").alias("n")).join(
+            flags.select("bkey", "drop_first", "state"), "bkey").join(summ, "bkey")
+        whole = F.col("tail") + F.when(F.col("tail") == F.col("n"), F.col("state")).otherwise(0)
         flags = run.select("bkey", "drop_first", F.when(F.col("goes_on") & (F.pmod(whole, F.lit(2)) == 1), F.lit(new)).alias("new_last"))
     else:
         mp = F.create_map(*[x for p, n in pairs for x in (F.lit(p), F.lit(n))])
@@ -303,6 +197,7 @@ class TrainedBPE:
     vocab: DataFrame    # (token, text, kind)
     merges: DataFrame   # (rank, t1, t2, new_token)
     rounds: int
+    work: list[Work] = field(default_factory=list)  # of each round, in the piece scope
 
 
 def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequence[str] = (EOT,),
@@ -312,14 +207,17 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
 
     ``blocks`` comes from :func:`sequence_blocks` or :func:`piece_blocks`
     (matching ``scope``). The initial vocabulary is built from the blocks'
-    characters (U1). The driver only holds the chosen pairs of each round
-    and the symbol table of the vocabulary (bounded by ``vocab_size``).
+    characters (U1). The driver only holds the chosen pairs of each round, the most
+    frequent pairs and the symbol table of the vocabulary (bounded by ``vocab_size``).
     """
     require(scope in SCOPES, f"scope must be one of {SCOPES}")
     require(max_per_round >= 1, "max_per_round must be >= 1")
     spark = blocks.sparkSession
-    boundaries = scope == "sequence"
-    state = Written(blocks.select("bkey", "s", "w").filter(F.length("s") > 0).repartition("bkey"), "bpe-state")
+    blocks = blocks.select("bkey", "s", "w").filter(F.length("s") > 0)
+    if scope == "sequence":
+        state = Written(blocks.repartition("bkey"), "bpe-state")
+    else:  # ids in the order of first occurrences
+        state = Written(blocks.orderBy("bkey").select(F.monotonically_increasing_id().alias("pid"), "s", "w"), "bpe-pieces")
     chars = state.df.select(F.explode(F.array_distinct(F.split("s", ""))).alias("ch")).filter(F.col("ch") != "").distinct()
     rows = sorted(initial_vocab(chars, specials).collect(), key=lambda r: r["token"])  # 256 + alphabet + specials
     text_of = {r["token"]: r["text"] for r in rows}
@@ -329,18 +227,11 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
     room = _SYMBOL_LIMIT + 1 - _SYMBOL_BASE - sum(_SYMBOL_BASE <= ord(c) <= _SYMBOL_LIMIT for c in tok_of_sym)
     require(goal - len(rows) <= room, f"at most {room} merges can be trained")
     merges: list[tuple[int, int, int, int]] = []
-    now, rounds = state.df, 0
-    known = None if boundaries else Written(pair_counts(now, False).select("pair", "n"), "bpe-counts")
-    pending: dict[str, str] = {}
-    while (left := goal - len(rows) - len(merges)) > 0:
-        if boundaries:
-            counts = pair_counts(now, True)
-            top = counts.orderBy(F.desc("n"), F.asc("first")).limit(min(max_per_round, left)).collect()
-            pairs = choose_round([(r["pair"], r["n"]) for r in top], left)
-        else:
-            pairs = choose_maintained(maintained_counts(known.df, state.df, pending), now, min(max_per_round, left))
-        if not pairs:
-            break
+
+    def left() -> int:
+        return goal - len(rows) - len(merges)
+
+    def take(pairs: list[str]) -> dict[str, str]:
         chosen = {}
         for pair in pairs:
             token, symbol = len(rows) + len(merges), next(symbols)
@@ -349,25 +240,34 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
             text_of[token] = text_of[t1] + text_of[t2]
             tok_of_sym[symbol] = token
             chosen[pair] = symbol
-        pending.update(chosen)
-        now = apply_round(state.df, pending, boundaries)
-        rounds += 1
-        # A sequence's round reads its state several times, a piece's round once.
-        if boundaries or rounds % WRITE_EVERY == 0:
-            if known:
-                before, known = known, Written(maintained_counts(known.df, state.df, pending), "bpe-counts")
-                before.drop()
-            before, state = state, Written(now, "bpe-state")
-            now, pending = state.df, {}
-            before.drop()
-    state.drop()
-    if known:
-        known.drop()
+        return chosen
+
+    if scope == "sequence":
+        rounds, work = _train_sequence(state, left, take, max_per_round), []
+    else:
+        work = train(state.df, left, take, max_per_round)
+        rounds = len(work)
+        state.drop()
     kinds = {r["token"]: r["kind"] for r in rows}
     vocab = spark.createDataFrame([(t, text_of[t], kinds.get(t, "merge")) for t in sorted(text_of)],
                                   "token int, text string, kind string")
     return TrainedBPE(vocab=vocab, merges=spark.createDataFrame(merges, "rank int, t1 int, t2 int, new_token int"),
-                      rounds=rounds)
+                      rounds=rounds, work=work)
+
+
+def _train_sequence(state: Written, left: Callable[[], int], take: Callable[[list[str]], dict[str, str]], max_per_round: int) -> int:
+    """Rounds over the blocks of one sequence; returns their number."""
+    rounds = 0
+    while (n := left()) > 0:
+        top = pair_counts(state.df, True).orderBy(F.desc("n"), F.asc("first")).limit(min(max_per_round, n)).collect()
+        pairs = choose_round([(r["pair"], r["n"]) for r in top], n)
+        if not pairs:
+            break
+        before, state = state, Written(apply_round(state.df, take(pairs), True), "bpe-state")
+        before.drop()
+        rounds += 1
+    state.drop()
+    return rounds
 
 
 def train_tokenizer(sample: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT,),

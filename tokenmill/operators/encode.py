@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EOT, segment_pieces, special_segments
 from ..validation import TokenmillError, require, require_columns
+from . import segments
 from .tokenizer import SPECIAL_MARK, encode_lists
 from .vocab import text_to_token
 
 DOC_KEYS = ("shard_idx", "row_idx")
+# Positions of a sequence that are scanned in one task.
+CHUNK_TOKENS = 1 << 16
 OOV_MODES = ("reject", "null", "fail")
 
 
@@ -53,7 +56,21 @@ def _char_rows(pieces: DataFrame, lookup: DataFrame) -> DataFrame:
             .select("piece", F.col("pos").cast("int").alias("pos"), "tok"))
 
 
-def merge_pass(rows: DataFrame, merges: DataFrame, key: str = "piece") -> DataFrame:
+def _neighbour(rows: DataFrame, keys: list[str], chunk: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (keys…, pos, tok) with ``chunk`` and ``nxt``, the token that follows; and the keys of
+    the sequences that have more than one chunk."""
+    rows = rows.withColumn("chunk", F.floor(F.col("pos") / chunk).cast("long"))
+    long = rows.filter("chunk > 0").select(*keys).distinct()
+    edges = rows.join(long, keys, "left_semi").groupBy(*keys, "chunk").agg(
+        F.min_by("tok", "pos").alias("first"), F.max_by("tok", "pos").alias("last"))
+    edges = segments.neighbour_edges(edges, keys, "chunk").select(*keys, "chunk", "next_first")
+    w = Window.partitionBy(*keys, "chunk").orderBy("pos")
+    inner = rows.withColumn("nxt", F.lead("tok").over(w)).withColumn("ends", F.lead("pos").over(w).isNull())
+    nxt = F.when(F.col("ends"), F.col("next_first")).otherwise(F.col("nxt"))
+    return inner.join(edges, [*keys, "chunk"], "left").withColumn("nxt", nxt).drop("next_first", "ends"), long
+
+
+def merge_pass(rows: DataFrame, merges: DataFrame, key: str | Sequence[str] = "piece", chunk: int = CHUNK_TOKENS) -> DataFrame:
     """W3 + J4 + W4: one left-to-right pass over every sequence.
 
     ``rows`` is ``(key, pos, tok)``. A pair (tok, next tok) that is in the
@@ -61,27 +78,41 @@ def merge_pass(rows: DataFrame, merges: DataFrame, key: str = "piece") -> DataFr
     the left (within a run of consecutive mergeable positions every second
     one is taken, starting with the first). Returns the new rows plus
     ``hit`` (the sequence had at least one mergeable pair this pass).
+
+    Sequences are scanned in chunks of ``chunk`` positions. What reaches a chunk from the
+    chunks before it, its first position being taken or not, is composed from their
+    summaries (:mod:`.segments`), so a sequence of any length spreads over tasks.
     """
-    w = Window.partitionBy(key).orderBy("pos")
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys, "chunk").orderBy("pos")
     m = merges.select(F.col("t1").alias("tok"), F.col("t2").alias("nxt"), "new_token")
-    step = rows.withColumn("nxt", F.lead("tok").over(w)).join(m, ["tok", "nxt"], "left")
+    step, long = _neighbour(rows.select(*keys, "pos", "tok"), keys, chunk)
+    step = step.join(m, ["tok", "nxt"], "left")
     h = F.col("new_token").isNotNull()
     step = step.withColumn("rn", F.row_number().over(w))
     step = step.withColumn("last_miss", F.max(F.when(~h, F.col("rn")).otherwise(F.lit(0)))
                            .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    pick = h & (F.pmod(F.col("rn") - F.col("last_miss") - 1, F.lit(2)) == 0)
-    step = step.withColumn("pick", pick)
-    step = step.withColumn("consumed", F.lag("pick", 1, False).over(w))
-    step = step.withColumn("hit", F.max(h.cast("int")).over(Window.partitionBy(key)) == 1)
-    return step.filter(~F.col("consumed")).select(
-        key, "pos", F.when(F.col("pick"), F.col("new_token")).otherwise(F.col("tok")).alias("tok"), "hit")
-
-
-def mergeable_pairs(rows: DataFrame, merges: DataFrame, key: str = "piece") -> DataFrame:
+    # After a miss a chunk's last run decides; without one, an odd chunk turns the bit over.
+    chunks = step.join(long, keys, "left_semi").groupBy(*keys, "chunk").agg(
+        F.count("*").alias("n"), F.max("last_miss").alias("miss"), F.max(h).alias("hit"))
+    odd = F.pmod(F.col("n") - F.col("miss"), F.lit(2))
+    chunks = chunks.withColumn("fixed", F.when(F.col("miss") > 0, odd)).withColumn("flips", odd)
+    states = segments.states_before(chunks, keys, "chunk").select(*keys, "chunk", "state")
+    step = step.join(states, [*keys, "chunk"], "left").withColumn("state", F.coalesce("state", F.lit(0)))
+    open_run = F.when(F.col("last_miss") == 0, F.col("state")).otherwise(0)
+    step = step.withColumn("pick", h & (F.pmod(F.col("rn") - F.col("last_miss") - 1 + open_run, F.lit(2)) == 0))
+    step = step.withColumn("consumed", F.coalesce(F.lag("pick", 1).over(w), F.col("state") == 1))
+    step = step.withColumn("hit", F.max(h).over(Window.partitionBy(*keys, "chunk")))
+    hits = chunks.groupBy(*keys).agg(F.max("hit").alias("any_hit"))
+    return step.filter(~F.col("consumed")).join(hits, keys, "left").select(
+        *keys, "pos", F.when(F.col("pick"), F.col("new_token")).otherwise(F.col("tok")).alias("tok"),
+        F.coalesce("any_hit", "hit").alias("hit"))
+
+
+def mergeable_pairs(rows: DataFrame, merges: DataFrame, key: str = "piece", chunk: int = CHUNK_TOKENS) -> DataFrame:
     """J4 + W3: ``(key, pos, tok, nxt, new_token)`` of the neighbours that the merge table holds."""
-    w = Window.partitionBy(key).orderBy("pos")
     m = merges.select(F.col("t1").alias("tok"), F.col("t2").alias("nxt"), "new_token")
-    return rows.withColumn("nxt", F.lead("tok").over(w)).join(m, ["tok", "nxt"]).select(key, "pos", "tok", "nxt", "new_token")
+    return _neighbour(rows.select(key, "pos", "tok"), [key], chunk)[0].join(m, ["tok", "nxt"]).select(key, "pos", "tok", "nxt", "new_token")
 
 
 def piece_lookup(pieces: DataFrame, vocab: DataFrame) -> DataFrame:

@@ -150,37 +150,56 @@ def group_softmax(df: DataFrame, group: str, score: str, out: str = "p") -> Data
 # --- V5: causal softmax-weighted pooling ------------------------------------------
 
 _PARTIAL_SCHEMA = "seq long, pos long, m array<double>, l array<double>, o array<double>"
-# Earlier key tiles that one task walks for a query tile.
-KEY_TILES = 16
-
-
-def _walk(n_heads: int):
-    """One query tile against a block of key tiles: the partials ``(m, l, o)`` of its rows."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                qrank = np.asarray(r.qrank, dtype=np.int64)
-                q = np.stack([np.asarray(x, dtype=np.float64) for x in r.qv])
-                krank = np.concatenate([np.asarray(t["rank"], dtype=np.int64) for t in r.tiles])
-                k = np.stack([np.asarray(x, dtype=np.float64) for t in r.tiles for x in t["kv"]])
-                v = np.stack([np.asarray(x, dtype=np.float64) for t in r.tiles for x in t["vv"]])
+# Tiles of a key block, and of a group of queries that meet it in one task.
+KEY_TILES, QUERY_TILES = 16, 64
+
+
+def _rows_of(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_list()).astype(np.float64)
+
+
+def _attend(n_heads: int, tile: int, history: int | None):
+    """A group of query rows against a block of key rows: the partials ``(m, l, o)`` of the
+    query rows, a tile of them at a time."""
+    def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(queries) and len(block):
+            krank, k, v = block["rank"].to_numpy(np.int64), _rows_of(block["k"]), _rows_of(block["v"])
+            heads = list(zip(np.split(k, n_heads, 1), np.split(v, n_heads, 1)))
+            queries = queries.sort_values("rank")
+            for at in range(0, len(queries), tile):
+                part = queries.iloc[at:at + tile]
+                qrank, q = part["rank"].to_numpy(np.int64), _rows_of(part["q"])
                 hidden = krank[None, :] > qrank[:, None]
+                if history is not None:
+                    hidden |= krank[None, :] <= qrank[:, None] - history
                 rows = np.nonzero(~hidden.all(axis=1))[0]
                 ms, ls, os = [], [], []
-                for qh, kh, vh in zip(np.split(q[rows], n_heads, 1), np.split(k, n_heads, 1), np.split(v, n_heads, 1)):
+                for qh, (kh, vh) in zip(np.split(q[rows], n_heads, 1), heads):
                     s = np.where(hidden[rows], -np.inf, qh @ kh.T / math.sqrt(qh.shape[1]))
                     ms.append(s.max(axis=1))
                     p = np.exp(s - ms[-1][:, None])
                     ls.append(p.sum(axis=1))
                     os.append(p @ vh)
-                for t, at in enumerate(rows):
-                    out.append((r.seq, int(r.qpos[at]), [float(x[t]) for x in ms], [float(x[t]) for x in ls],
+                seq, pos = int(part["seq"].iloc[0]), part["pos"].to_numpy(np.int64)[rows].tolist()
+                for t, place in enumerate(pos):
+                    out.append((seq, place, [float(x[t]) for x in ms], [float(x[t]) for x in ls],
                                 np.concatenate([x[t] for x in os]).tolist()))
-            yield pd.DataFrame(out, columns=["seq", "pos", "m", "l", "o"])
+        return pd.DataFrame(out, columns=["seq", "pos", "m", "l", "o"])
     return run
 
 
+def query_blocks(rows: DataFrame, tile: int, max_history: int | None) -> DataFrame:
+    """``rows`` (rank, …) once for each key ``block`` that holds some of their history, with the
+    group of queries ``grp`` they belong to. In a band these are as many for every row,
+    however long the sequence; without one, all blocks up to the row's own."""
+    size = F.lit(KEY_TILES * tile).cast("long")
+    first = F.lit(0).cast("long") if max_history is None else F.floor(
+        F.greatest(F.col("rank") - (max_history - 1), F.lit(0)) / size).cast("long")
+    return rows.withColumn("block", F.explode(F.sequence(first, F.floor(F.col("rank") / size).cast("long")))).withColumn(
+        "grp", F.floor(F.col("rank") / (QUERY_TILES * tile)).cast("long"))
+
+
 def sequence_ranks(rows: DataFrame, tile_rows: int = 1 << 14) -> DataFrame:
     """``rows`` (seq, pos, …) with ``rank``, the position's place in its sequence from 0.
 
@@ -198,23 +217,27 @@ def sequence_ranks(rows: DataFrame, tile_rows: int = 1 << 14) -> DataFrame:
 
 
 def causal_pool(df: DataFrame, seq: str, pos: str, q: str, k: str | None = None,
-                v: str | None = None, n_heads: int = 1, tile: int = 64) -> DataFrame:
+                v: str | None = None, n_heads: int = 1, tile: int = 64, max_history: int | None = None) -> DataFrame:
     """V5: every row summarises its own history: per head,
     ``softmax(q.k / sqrt(d_head))`` over the rows of its sequence up to its own,
     weighting the ``v`` vectors. Exact, no cap. Rows of equal position see each
     other in one order only (the order of a repeated position is not defined).
 
-    Sequences are cut into tiles of ``tile`` rows by rank, so sparse positions cost
-    nothing. A task holds one query tile and a block of ``KEY_TILES`` earlier key tiles
-    and gives one partial ``(m, l, o)`` per query row; the partials of a row, one per
-    block of its history, are merged by a max and rescaled sums (the tiled
-    online-softmax merge). A hot sequence is spread over its (tile, block) pairs; the
-    work is inherently quadratic per sequence.
+    With ``max_history`` a row sees the last ``max_history`` rows only, its own among
+    them, and the work is linear in the length of a sequence; without, quadratic.
+
+    Rows are ranked in their sequence, so sparse positions cost nothing. A task holds a
+    block of ``KEY_TILES`` key tiles and the rows of up to ``QUERY_TILES`` query tiles that
+    see some of it, and gives one partial ``(m, l, o)`` per query row; a key block
+    crosses to Python once for that many query tiles. The partials of a row, one per block
+    of its history, are merged by a max and rescaled sums (the tiled online-softmax merge).
+    A hot sequence is spread over its (query group, block) pairs.
     Returns ``(seq, pos, out array<double>)``.
     """
     k = k or q
     v = v or q
     require(tile >= 1 and n_heads >= 1, "tile and n_heads must be >= 1")
+    require(max_history is None or max_history >= 1, "max_history must be >= 1")
     sizes = df.agg(F.min(F.size(q)).alias("lo"), F.max(F.size(q)).alias("hi")).first()
     if sizes["lo"] is None:
         return df.sparkSession.createDataFrame([], "seq long, pos long, out array<double>")
@@ -224,18 +247,16 @@ def causal_pool(df: DataFrame, seq: str, pos: str, q: str, k: str | None = None,
     rows = sequence_ranks(df.select(
         F.col(seq).cast("long").alias("seq"), F.col(pos).cast("long").alias("pos"), V.as_double(F.col(q)).alias("q"),
         V.as_double(F.col(k)).alias("k"), V.as_double(F.col(v)).alias("v")))
-    rows = rows.withColumn("tile", F.floor(F.col("rank") / tile).cast("long"))
-    tiles = Written(rows.groupBy("seq", "tile").agg(
-        F.collect_list("pos").alias("pos"), F.collect_list("rank").alias("rank"), F.collect_list("q").alias("qv"),
-        F.collect_list("k").alias("kv"), F.collect_list("v").alias("vv")), "pool-tiles").df
-    # A key block goes to every query tile of its sequence from its own tiles on.
-    blocks = tiles.groupBy("seq", F.floor(F.col("tile") / KEY_TILES).cast("long").alias("block")).agg(
-        F.collect_list(F.struct("rank", "kv", "vv")).alias("tiles"))
-    queries = tiles.select("seq", "tile", F.col("pos").alias("qpos"), F.col("rank").alias("qrank"), "qv", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.floor(F.col("tile") / KEY_TILES).cast("long"))).alias("block"))
-    pairs = queries.join(blocks, ["seq", "block"])
-    parts = pairs.select("seq", "qpos", "qrank", "qv", "tiles").mapInPandas(_walk(n_heads), _PARTIAL_SCHEMA)
-    # A row's partials: one per KEY_TILES * tile rows of its history, summed element by element.
+    held = Written(rows, "pool-rows")
+    rows, again = held.df, held.read()
+    asked = query_blocks(rows.select("seq", "pos", "rank", "q"), tile, max_history)
+    # A key block goes to the groups of queries that see some of it.
+    wanted = query_blocks(again.select("seq", "rank"), tile, max_history).select("seq", "block", "grp").distinct()
+    keys = again.select("seq", "rank", "k", "v", F.floor(F.col("rank") / (KEY_TILES * tile)).cast("long").alias("block")).join(
+        wanted, ["seq", "block"])
+    on = ["seq", "block", "grp"]
+    parts = asked.groupBy(*on).cogroup(keys.groupBy(*on)).applyInPandas(_attend(n_heads, tile, max_history), _PARTIAL_SCHEMA)
+    # A row's partials: one per key block of its history, summed element by element.
     hd = d // n_heads
     at = F.explode(F.sequence(F.lit(0), F.lit(n_heads - 1)))
     heads = parts.select("seq", "pos", "m", "l", "o", at.alias("h")).select(

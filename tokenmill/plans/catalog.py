@@ -29,6 +29,7 @@ SAMPLE_TIGHT = (0.2, 20_000)  # exercises the truncating character budget
 N_MERGES = 48                # merges learned by the registered training query
 N_TOP_PAIRS = 5
 N_PASS_MERGES = 30           # data-derived merge table for the one-pass query
+PASS_CHUNK = 256             # characters of a document that are scanned together
 N_TRIGRAMS = 20              # three-character strings whose merges collide
 N_MANY_SHARDS = 64
 WIDE_ALPHABET = 3000         # characters added to the alphabet
@@ -373,11 +374,22 @@ def q_merge_pass(spark, d):
         F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
 
 
+def q_merge_pass_docs(spark, d):
+    """The same pass over whole documents: each is one sequence of characters, scanned in chunks."""
+    keys = ["shard_idx", "row_idx"]
+    chars = docs(spark, d).select(*keys, F.posexplode(F.split("text", "")).alias("pos", "ch")).filter("ch <> ''")
+    ids = vocab.text_to_token(char_vocab(spark, d)).select(F.col("text").alias("ch"), F.col("token").alias("tok"))
+    out = encode.merge_pass(chars.join(ids, "ch", "left"), pass_merges(spark, d), keys, chunk=PASS_CHUNK)
+    return out.groupBy(*keys).agg(F.count("*").alias("n_tokens"), ints_to_text(F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
+
+
 # --- vector tables ----------------------------------------------------------------
 
 DIM = 64
 HEADS = 4
 TILE = 64
+HISTORY, WINDOW_TILE = 12, 2
 # Weights of the vector queries (deterministic parameters, rule_matrix).
 FFN_W1_T = rule_matrix(4 * DIM, DIM, 0.5, 0.125)
 FFN_B1 = rule_matrix(1, 4 * DIM, 1.5, 0.01)[0]
@@ -439,6 +451,14 @@ def q_causal_pool(spark, d):
     return _explode_vec(out, ["label", "vec_id"], "out")
 
 
+def q_causal_pool_window(spark, d):
+    """V5 with a bounded history: the last ``HISTORY`` rows of the label."""
+    emb = table(spark, d, "embeddings")
+    out = vectors.causal_pool(emb, "label", "vec_id", "embedding", n_heads=HEADS, tile=WINDOW_TILE, max_history=HISTORY)
+    out = out.select(F.col("seq").cast("int").alias("label"), F.col("pos").alias("vec_id"), "out")
+    return _explode_vec(out, ["label", "vec_id"], "out")
+
+
 def q_group_softmax(spark, d):
     ev = table(spark, d, "events")
     p = vectors.group_softmax(ev.select("event_id", "user_id", "value"), "user_id", "value")
@@ -505,6 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_counts": q_pair_counts,
     "top_pairs": q_top_pairs,
     "merge_pass": q_merge_pass,
+    "merge_pass_docs": q_merge_pass_docs,
     "encode_two_level": q_encode_two_level,
     "bpe_merges": q_bpe_merges,
     "bpe_merges_piece": q_bpe_merges_piece,
@@ -519,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "project_vectors": q_project_vectors,
     "embed_tokens": q_embed_tokens,
     "causal_pool": q_causal_pool,
+    "causal_pool_window": q_causal_pool_window,
     "group_softmax": q_group_softmax,
     "scan_shards": q_scan_shards,
     "pending_shards": q_pending_shards,

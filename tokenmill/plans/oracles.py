@@ -265,6 +265,14 @@ cons AS (SELECT *, coalesce(lag(pick) OVER (PARTITION BY piece ORDER BY i), fals
 SELECT piece, array_to_string(list(CASE WHEN pick THEN new_token ELSE tok END ORDER BY i), ' ') AS codes
 FROM cons WHERE NOT consumed GROUP BY piece"""
 
+# The same pass with a document's characters as its sequence.
+ORACLES["merge_pass_docs"] = (
+    ORACLES["merge_pass"].replace("dp AS (SELECT DISTINCT piece FROM occ)", "dp AS (SELECT shard_idx || ':' || row_idx AS piece, text FROM docs)")
+    .replace("SELECT piece, i, substring(piece, i, 1) AS ch", "SELECT piece, i, substring(text, i, 1) AS ch")
+    .replace("SELECT piece, unnest(range(1, length(piece) + 1)) AS i FROM dp", "SELECT piece, text, unnest(range(1, length(text) + 1)) AS i FROM dp")
+    .replace("SELECT piece, array_to_string", "SELECT CAST(split_part(piece, ':', 1) AS INTEGER) AS shard_idx, "
+             "CAST(split_part(piece, ':', 2) AS BIGINT) AS row_idx, count(*) AS n_tokens, array_to_string"))
+
 ORACLES["decode_docs"] = f"""WITH {DOCS}, {PIECES}
 SELECT d.shard_idx, d.row_idx, replace(array_to_string(pc.pieces, ''), '{MARK}', ' ') || '{EOT}' AS text
 FROM docs d JOIN pc ON pc.shard_idx = d.shard_idx AND pc.row_idx = d.row_idx
@@ -341,6 +349,11 @@ o AS (SELECT wt.label, wt.qid, v.d, sum(wt.a * v.x) AS y
       FROM wt JOIN e v ON v.vec_id = wt.kid AND v.d // {_HD} = wt.h GROUP BY wt.label, wt.qid, v.d)
 SELECT label, qid AS vec_id, d, round(y, 6) + 0.0 AS val FROM o"""
 
+ORACLES["causal_pool_window"] = ORACLES["causal_pool"].replace("sc AS (", """rk AS (
+  SELECT vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings),
+sc AS (""", 1).replace("GROUP BY q.label, q.vec_id, k.vec_id", f"""JOIN rk a ON a.vec_id = q.vec_id JOIN rk b ON b.vec_id = k.vec_id
+  WHERE b.r > a.r - {C.HISTORY} GROUP BY q.label, q.vec_id, k.vec_id""", 1)
+
 ORACLES["group_softmax"] = """WITH
 m AS (SELECT event_id, user_id, exp(value - max(value) OVER (PARTITION BY user_id)) AS ev FROM events)
 SELECT event_id, user_id, round(ev / sum(ev) OVER (PARTITION BY user_id), 9) + 0.0 AS p FROM m"""

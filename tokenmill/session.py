@@ -89,7 +89,12 @@ class Written:
         df.write.parquet(self.path)
         fs, hadoop = _filesystem(self._spark, self.path)
         fs.deleteOnExit(hadoop)
-        self.df = self._spark.read.schema(df.schema).parquet(self.path)
+        self._schema = df.schema
+        self.df = self.read()
+
+    def read(self) -> DataFrame:
+        """The table as a frame of its own, for joins with itself."""
+        return self._spark.read.schema(self._schema).parquet(self.path)
 
     def drop(self) -> None:
         fs, hadoop = _filesystem(self._spark, self.path)
