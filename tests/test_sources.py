@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.operators import encode, sampling, vocab
 from tokenmill.plans import corpus
-from tokenmill.sources import shards, sinks
+from tokenmill.sources import dictionary, manifest, shards, sinks
 from tokenmill.streaming import incremental
 
 EOT = "<|endoftext|>"
@@ -116,6 +116,121 @@ def test_rejects_and_finished_shards(spark, scratch):
     assert [r.shard_idx for r in corpus.tokenize_and_cache_shards(spark, more, v, None, out).collect()] == [3]
 
 
+def _cache(spark, path, rows_per_file=3):
+    """Shards 0 to 2 with 10, 4 and 7 documents of known tokens."""
+    rows = [(s, r, 1 + r % 4, [100 * s + r] * (1 + r % 4)) for s, n in ((0, 10), (1, 4), (2, 7)) for r in range(n)]
+    tokens = spark.createDataFrame(rows, "shard_idx int, row_idx long, n_tokens int, tokens array<int>")
+    totals = tokens.groupBy("shard_idx").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"), F.lit(0).cast("long").alias("n_rejected"))
+    rejects = tokens.filter("false").select("shard_idx", "row_idx", F.lit("").alias("reason"))
+    return tokens, rejects, totals, lambda t=tokens, key=None: sinks.write_run(
+        t, rejects, totals.join(t.select("shard_idx").distinct(), "shard_idx"), path, key, rows_per_file)
+
+
+def test_a_split_is_read_from_its_files(spark, scratch):
+    from tokenmill.operators import packing
+    tokens, _, _, write = _cache(spark, scratch + "/cache")
+    write(tokens.filter("shard_idx = 1"))
+    write(tokens.filter("shard_idx <> 1"))
+    every = packing.token_windows(tokens, 2, 5, 8)
+    key = ["split", "shard_idx", "chunk_idx"]
+    for split in ("train", "val", "test"):
+        got = sinks.read_split_windows(spark, scratch + "/cache", split, 2, 5, 8).orderBy(key).collect()
+        assert got == every.filter(F.col("split") == split).orderBy(key).collect() and got
+    # The first 5 tokens are in the first bucket of shard 0: one directory, and offsets inside.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = sinks.read_split(spark, scratch + "/cache", "val", 5, 8)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "offset#" in line]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert len(scans) == 1, plan
+    assert re.search(r"shard_idx#\d+ = 0", scans[0]) and re.search(r"bucket#\d+L (=|<=) 0", scans[0]), scans[0]
+    assert "PartitionFilters: [" in scans[0] and "LessThan(offset,5)" in scans[0], scans[0]
+    zones = sorted(map(tuple, sinks.token_zones(spark, scratch + "/cache").filter("shard_idx = 0").collect()))
+    assert zones == [(0, 0, 0, 6, 3), (0, 1, 6, 7, 3), (0, 2, 13, 8, 3), (0, 3, 21, 2, 1)]
+    assert sinks.read_split(spark, scratch + "/cache", "val", 0, 0).count() == 0
+    assert sinks.read_split(spark, scratch + "/cache", "test", 1000, 8).count() == 0
+
+
+def test_a_killed_run_shows_nothing(spark, scratch, monkeypatch):
+    import pytest
+    path = scratch + "/cache"
+    tokens, _, totals, write = _cache(spark, path)
+    write(tokens.filter("shard_idx = 0"))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(manifest.Manifest, "publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            write(tokens)
+    assert len(os.listdir(path + "/tokens")) == 2
+    for read in (sinks.read_token_shards, sinks.finished_shards, sinks.token_zones):
+        assert {r.shard_idx for r in read(spark, path).collect()} == {0}
+    write(tokens)  # repeated: shard 0 stays with its run, the others are new
+    assert sorted(map(tuple, sinks.read_token_shards(spark, path).collect())) == sorted(map(tuple, tokens.collect()))
+    assert sorted(map(tuple, sinks.finished_shards(spark, path).collect())) == sorted(map(tuple, totals.collect()))
+
+
+def test_two_writers_at_once(spark, scratch):
+    """A version is published once; the slower writer decides again and keeps what is its own."""
+    path = scratch + "/cache"
+    tokens, _, _, write = _cache(spark, path)
+    seen = []
+
+    def decide(version, entries):
+        if not seen:
+            write(tokens.filter("shard_idx < 2"))  # another job, between this one's look and its publishing
+        seen.append((version, len(entries)))
+        return {"run": "none", "key": None, "shards": [], "all": True} if version == 0 else None
+    m = manifest.Manifest(spark, path)
+    assert not m.publish(decide) and seen == [(0, 0), (1, 1)] and m.latest()[0] == 1
+    assert write(tokens.filter("shard_idx > 0"), "k") and not write(tokens, "k")
+    assert sorted(map(tuple, sinks.read_token_shards(spark, path).collect())) == sorted(map(tuple, tokens.collect()))
+    assert m.latest()[1][1]["shards"] == [2]
+
+
+def test_dictionary_runs(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame([(0, 0, "ab ab"), (0, 1, "b <|endoftext|>ab"), (1, 0, "ab  zab b"), (1, 1, ""), (1, 2, None), (1, 3, "?")],
+                                 "shard_idx int, row_idx long, text string")
+    v = vocab.initial_vocab(spark.createDataFrame([("a",), ("b",), ("z",)], "ch string"), [EOT])
+    path = scratch + "/dictionary"
+    add = lambda some, key: dictionary.extend_dictionary(docs.filter(some), v, None, path, key)
+    assert add("shard_idx = 0", "one") == 4 and add("shard_idx = 0", "one") == 0 and add("shard_idx = 0", "again") == 0
+    with monkeypatch.context() as m:
+        m.setattr(manifest.Manifest, "publish", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        try:
+            add("true", "two")
+        except KeyboardInterrupt:
+            pass
+    before = dictionary.read_dictionary(spark, path).count()
+    assert before == 4 and add("true", "two") == 3 and add("true", "two") == 0
+    table = dictionary.read_dictionary(spark, path)
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, encode.piece_codes(encode.distinct_pieces(docs), v, None).collect()))
+    want = encode.shard_tokens(docs, v, None, on_oov="null").collect()
+    got = encode.shard_tokens(docs, v, None, on_oov="null", dictionary=table).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 4
+
+
+def test_stream_with_dictionary_and_a_nameless_file(spark, scratch):
+    os.makedirs(os.path.join(scratch, "raw"))
+    _write_raw(spark, scratch, 2)
+    raw = os.path.join(scratch, "raw")
+    v = vocab.initial_vocab(vocab.distinct_chars(shards.scan_shards(spark, raw)), [EOT])
+    want = encode.shard_tokens(shards.scan_shards(spark, raw), v, None, [EOT]).collect()
+    os.link(os.path.join(raw, "shard_00000.parquet"), os.path.join(raw, "other.parquet"))
+    out, ck, book = (os.path.join(scratch, n) for n in ("out", "ck", "book"))
+    run = lambda: incremental.tokenize_new_shards(spark, raw, v, None, out, ck, dictionary_dir=book).awaitTermination()
+    run()
+    assert sorted(map(tuple, sinks.read_token_shards(spark, out).collect())) == sorted(map(tuple, want))
+    assert [tuple(r) for r in sinks.read_rejects(spark, out).collect()] == [(None, None, "no shard number in the file name other.parquet")]
+    n, version = dictionary.read_dictionary(spark, book).count(), manifest.Manifest(spark, book).latest()[0]
+    run()
+    assert (dictionary.read_dictionary(spark, book).count(), manifest.Manifest(spark, book).latest()[0]) == (n, version)
+    # The batch repeated, as after a crash: nothing changes.
+    batch = shards.scan_shards(spark, raw).withColumn("file", F.lit("other.parquet"))
+    incremental.tokenize_batch(batch, f"{ck}#0", v, None, out, dictionary_dir=book)
+    assert manifest.Manifest(spark, out).latest()[0] == 1 and manifest.Manifest(spark, book).latest()[0] == version
+
+
 def test_tokenizer_versions(spark, scratch):
     """Readers see a version once it is complete."""
     v = spark.createDataFrame([(0, "a", "base")], "token int, text string, kind string")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, segment_pieces, special_segments
 from ..validation import TokenmillError, require, require_columns
 from . import segments
-from .tokenizer import SPECIAL_MARK, encode_lists
+from .tokenizer import SPECIAL_MARK, collect_checked, encode_lists
 from .vocab import text_to_token
 
 DOC_KEYS = ("shard_idx", "row_idx")
@@ -153,6 +153,29 @@ def encode_docs(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = No
     return encode_lists(pieces, "__pieces", vocab, merges)
 
 
+def encode_from_dictionary(docs: DataFrame, dictionary: DataFrame, vocab: DataFrame, specials: Sequence[str] = (EOT,),
+                           special_mode: str = "all") -> DataFrame:
+    """E1 by a piece dictionary ``(piece, codes)`` that holds every piece of ``docs``: as
+    :func:`encode_docs`, for documents with distinct keys. Pieces are exploded, joined, and put
+    together by position; the dictionary has a row a piece, so a frequent piece is a skewed
+    side of the join that can be split."""
+    keys = [c for c in docs.columns if c != "text"]
+    rows = piece_occurrences(doc_pieces(docs, specials, special_mode))
+    texts = text_to_token(vocab).filter(F.col("text").isin(list(specials))).select(
+        F.col("text").alias("piece"), F.array("token").alias("codes"), F.lit(True).alias("special"))
+    table = dictionary.select("piece", "codes", F.lit(False).alias("special")).unionByName(texts)
+    found = rows.join(table, ["piece", "special"], "left")
+    unknown = F.when(F.col("piece").isNotNull(), F.array(F.lit(None).cast("int"))).otherwise(F.array().cast("array<int>"))
+    parts = F.sort_array(F.collect_list(F.struct("piece_idx", F.coalesce("codes", unknown).alias("codes"))))
+    return found.groupBy(*keys).agg(F.flatten(F.transform(parts, lambda p: p["codes"])).alias("tokens"))
+
+
+def held_vocab(vocab: DataFrame) -> DataFrame:
+    """The vocabulary as a table of its own rows: what it is derived from (a corpus scan, often) is
+    run once, not for every lookup. Bounded by the size of a vocabulary, which the driver holds anyway."""
+    return vocab.sparkSession.createDataFrame(collect_checked(vocab, "the vocabulary"), vocab.schema)
+
+
 def eot_token(vocab: DataFrame, eot_text: str = EOT) -> int:
     """Id of the end-of-text special (a vocabulary without it is an error)."""
     row = text_to_token(vocab).filter(F.col("text") == eot_text).select("token").first()
@@ -187,13 +210,15 @@ def oov_rejects(tokens: DataFrame) -> DataFrame:
 
 def shard_tokens(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = None,
                  specials: Sequence[str] = (EOT,), special_mode: str = "all",
-                 on_oov: str = "reject", eot_text: str = EOT) -> DataFrame:
+                 on_oov: str = "reject", eot_text: str = EOT, dictionary: DataFrame | None = None) -> DataFrame:
     """E5: every non-empty document encoded and followed by the end-of-text
     token: ``(shard_idx, row_idx, n_tokens, tokens)``. With ``on_oov='null'`` the
-    result also feeds :func:`oov_rejects`."""
+    result also feeds :func:`oov_rejects`. ``dictionary``: as in :func:`encode_from_dictionary`."""
     require_columns(docs, [*DOC_KEYS, "text"], "shard_tokens")
+    vocab = held_vocab(vocab)
     eot = eot_token(vocab, eot_text)
-    nonempty = docs.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    enc = encode_docs(nonempty.select(*DOC_KEYS, "text"), vocab, merges, specials, special_mode)
+    nonempty = docs.filter(F.col("text").isNotNull() & (F.col("text") != "")).select(*DOC_KEYS, "text")
+    enc = encode_docs(nonempty, vocab, merges, specials, special_mode) if dictionary is None else encode_from_dictionary(
+        nonempty, dictionary, vocab, specials, special_mode)
     enc = apply_oov(enc.select(*DOC_KEYS, F.concat("tokens", F.array(F.lit(eot))).alias("tokens")), on_oov)
     return enc.select(*DOC_KEYS, F.size("tokens").alias("n_tokens"), "tokens")

@@ -54,12 +54,12 @@ def split_ranges(shard_totals: DataFrame, n_val: int, n_test: int) -> DataFrame:
     rest of shard 0 and all other shards are training data."""
     require(n_val >= 0 and n_test >= 0, "n_val and n_test must be >= 0")
     r = shard_totals.select("shard_idx", F.explode(
-        _split_array(F.col("shard_idx"), F.col("n_tokens"), n_val, n_test)).alias("r"))
+        split_array(F.col("shard_idx"), F.col("n_tokens"), n_val, n_test)).alias("r"))
     return r.select(F.col("r.split").alias("split"), "shard_idx", F.col("r.start").alias("start"),
                     F.col("r.length").alias("length"))
 
 
-def _split_array(shard: Column, total: Column, n_val: int, n_test: int) -> Column:
+def split_array(shard: Column, total: Column, n_val: int, n_test: int) -> Column:
     """The split ranges of a shard with ``total`` tokens as an array of structs."""
     def part(name: str, start: Column, length: Column) -> Column:
         return F.struct(F.lit(name).alias("split"), start.cast("long").alias("start"), length.cast("long").alias("length"))
@@ -99,7 +99,6 @@ def token_windows(tokens: DataFrame, context_length: int, n_val: int = 5_120_000
     require(context_length >= 1, "context_length must be >= 1")
     require(n_val >= 0 and n_test >= 0, "n_val and n_test must be >= 0")
     require_columns(tokens, ["shard_idx", "row_idx", "n_tokens", "tokens"], "token_windows")
-    w = context_length + 1
     bucket = F.floor(F.col("row_idx") / bucket_rows).cast("long")
     sums = tokens.groupBy("shard_idx", bucket.alias("bucket")).agg(F.sum("n_tokens").cast("long").alias("n"))
     shard = Window.partitionBy("shard_idx")
@@ -112,7 +111,16 @@ def token_windows(tokens: DataFrame, context_length: int, n_val: int = 5_120_000
          .withColumn("before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
          .join(bases, (F.col("shard_idx") == F.col("b_shard")) & (F.col("bucket") == F.col("b_bucket"))))
     d = d.select("shard_idx", "bucket", "n_tokens", "tokens", (F.col("base") + F.col("before")).alias("offset"),
-                 F.explode(_split_array(F.col("shard_idx"), F.col("total"), n_val, n_test)).alias("r"))
+                 F.explode(split_array(F.col("shard_idx"), F.col("total"), n_val, n_test)).alias("r"))
+    return cut_windows(d, context_length)
+
+
+def cut_windows(d: DataFrame, context_length: int) -> DataFrame:
+    """The complete windows of documents ``(shard_idx, bucket, n_tokens, tokens, offset, r)``: each
+    with its token offset in the shard and a range ``r`` (split, start, length) it has tokens in.
+    Every document of a range must be there."""
+    require(context_length >= 1, "context_length must be >= 1")
+    w = context_length + 1
     start = F.col("r.start")
     lo = F.greatest(F.col("offset"), start)
     hi = F.least(F.col("offset") + F.col("n_tokens"), start + F.floor(F.col("r.length") / w).cast("long") * w)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments
 from ..functions.vectors import rule_matrix
 from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
-from ..session import written
-from ..sources import shards
+from ..session import checkpoint_dir, delete_on_exit, written
+from ..sources import dictionary, shards, sinks
+from ..sources.manifest import new_run
+from . import corpus
 
 # Parameters of the registered queries.
 N_SHARDS = 4                 # document i -> shard i mod 4, row i div 4
@@ -22,6 +24,7 @@ CONTEXT = 64
 N_VAL = 2_000
 N_TEST = 2_000
 N_WORKERS = 3
+CACHE_ROWS = 20              # documents of a bucket of the token cache
 MODEL_PARAMS = 124_000_000   # planning estimate -> expected shard count
 BUDGET_PARAMS = 50_000       # measured budget: 20 tokens per parameter
 SAMPLE = (0.01, 200_000)     # reference defaults
@@ -179,6 +182,29 @@ def q_worker_stripes(spark, d):
     return s.groupBy("split", "worker").agg(F.count(F.lit(1)).alias("n_windows"))
 
 
+def _cache(spark, d, rows_per_file=CACHE_ROWS):
+    """A token cache of the documents, in the shared folder: shards 0 and 1 by one run, then the others by E6."""
+    path = f"{checkpoint_dir(spark)}/token-cache-{new_run()}"
+    delete_on_exit(spark, path)
+    every, v = docs(spark, d), written(char_vocab(spark, d), "cache-vocab")
+    corpus.tokenize_into(every.filter("shard_idx < 2"), v, None, path, SPECIALS, rows_per_file=rows_per_file)
+    corpus.tokenize_and_cache_shards(spark, every, v, None, path, SPECIALS, rows_per_file=rows_per_file)
+    return path
+
+
+def q_cached_tokens(spark, d):
+    """The tokens read back from a cache that two jobs published."""
+    return _tokens_text(sinks.read_token_shards(spark, _cache(spark, d)).withColumn("n_tokens", F.col("n_tokens").cast("long")))
+
+
+def q_split_windows(spark, d):
+    """S5 + P4 + C4: validation and test windows, read from the files that hold these splits."""
+    path = _cache(spark, d)
+    val, test = (sinks.read_split_windows(spark, path, split, CONTEXT, N_VAL, N_TEST) for split in ("val", "test"))
+    return val.unionByName(test).select("split", "shard_idx", "chunk_idx", ints_to_text(F.col("input_ids")).alias("input_ids"),
+                                        ints_to_text(F.col("target_ids")).alias("target_ids"))
+
+
 # --- BPE: training, encoding and decoding with merges -------------------------
 
 def trained(spark: SparkSession, d: str) -> bpe.TrainedBPE:
@@ -250,6 +276,16 @@ def q_piece_codes(spark, d):
     return pc.select("piece", ints_to_text(F.col("codes")).alias("codes"))
 
 
+def q_piece_dictionary(spark, d):
+    """The piece dictionary that two batches of shards have extended, the first one repeated."""
+    path = f"{checkpoint_dir(spark)}/piece-dictionary-{new_run()}"
+    delete_on_exit(spark, path)
+    t, every = trained(spark, d), docs(spark, d)
+    for key, some in (("first", "shard_idx < 2"), ("first", "shard_idx < 2"), ("second", "true")):
+        dictionary.extend_dictionary(every.filter(some), t.vocab, t.merges, path, key, SPECIALS)
+    return dictionary.read_dictionary(spark, path).select("piece", ints_to_text(F.col("codes")).alias("codes"))
+
+
 # --- one behaviour at every vocabulary size, injected text ------------------------
 
 def _wide(spark, d):
@@ -521,6 +557,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_budget": q_shard_budget,
     "split_sizes": q_split_sizes,
     "token_windows": q_token_windows,
+    "cached_tokens": q_cached_tokens,
+    "split_windows": q_split_windows,
     "worker_stripes": q_worker_stripes,
     "pair_counts": q_pair_counts,
     "top_pairs": q_top_pairs,
@@ -532,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_after_merges": q_vocab_after_merges,
     "vocab_collisions": q_vocab_collisions,
     "piece_codes": q_piece_codes,
+    "piece_dictionary": q_piece_dictionary,
     "encode_docs": q_encode_docs,
     "decode_docs": q_decode_docs,
     "matmul_cells": q_matmul_cells,

@@ -26,37 +26,39 @@ def train_tokenizer_job(docs: DataFrame, vocab_size: int, out_path: str | None =
 
 
 def tokenize_into(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None, token_dir: str,
-                  specials: Sequence[str] = (EOT,), on_oov: str = "reject") -> DataFrame:
+                  specials: Sequence[str] = (EOT,), on_oov: str = "reject", key: str | None = None,
+                  refused: DataFrame | None = None, dictionary: DataFrame | None = None,
+                  rows_per_file: int = sinks.ROWS_PER_FILE) -> DataFrame:
     """E5 + S4: tokenise the shards of ``docs`` into the cache ``token_dir``.
 
-    Accepted documents, rejected documents and one finished record per shard are
-    written, also for a shard that yields no tokens. Returns the totals
-    ``(shard_idx, n_tokens, n_docs, n_rejected)`` of these shards.
+    Accepted documents, rejected documents (with those of ``refused``) and one finished
+    record per shard, also for a shard that yields no tokens, are published together, once
+    for a ``key``. With a piece ``dictionary`` (piece, codes) pieces are looked up there.
+    Returns the totals ``(shard_idx, n_tokens, n_docs, n_rejected)`` of these shards.
     """
     mode = "fail" if on_oov == "fail" else "null"
-    held = Written(encode.shard_tokens(docs, vocab, merges, specials, on_oov=mode), "shard-tokens")
+    held = Written(encode.shard_tokens(docs, vocab, merges, specials, on_oov=mode, dictionary=dictionary), "shard-tokens")
     rejects = encode.oov_rejects(held.df) if on_oov == "reject" else held.df.filter("false").select(
         *encode.DOC_KEYS, F.lit("").alias("reason"))
     accepted = encode.apply_oov(held.df, on_oov) if on_oov == "reject" else held.df
-    sinks.write_token_shards(accepted, token_dir)
-    sinks.write_rejects(rejects, token_dir)
-    refused = rejects.groupBy("shard_idx").agg(F.count("*").alias("n_rejected"))
-    totals = Written(sampling.shard_stats(docs, accepted).join(refused, "shard_idx", "left").select(
+    n_refused = rejects.groupBy("shard_idx").agg(F.count("*").alias("n_rejected"))
+    totals = Written(sampling.shard_stats(docs, accepted).join(n_refused, "shard_idx", "left").select(
         "shard_idx", "n_tokens", "n_docs", F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected")), "shard-totals")
-    sinks.write_done(totals.df, token_dir)
+    sinks.write_run(accepted, rejects if refused is None else rejects.unionByName(refused), totals.df, token_dir, key, rows_per_file)
     held.drop()
     return totals.df
 
 
 def tokenize_and_cache_shards(spark: SparkSession, docs: DataFrame, vocab: DataFrame,
                               merges: DataFrame | None, token_dir: str,
-                              specials: Sequence[str] = (EOT,), on_oov: str = "reject") -> DataFrame:
+                              specials: Sequence[str] = (EOT,), on_oov: str = "reject",
+                              rows_per_file: int = sinks.ROWS_PER_FILE) -> DataFrame:
     """Tokenise every shard that is not finished yet (J6) into the cache.
     Returns the totals of the shards written (empty when nothing was pending)."""
     todo = pending_shards(docs, sinks.finished_shards(spark, token_dir))
     if todo.isEmpty():
         return spark.createDataFrame([], "shard_idx int, n_tokens long, n_docs long, n_rejected long")
-    return tokenize_into(todo, vocab, merges, token_dir, specials, on_oov)
+    return tokenize_into(todo, vocab, merges, token_dir, specials, on_oov, rows_per_file=rows_per_file)
 
 
 def windows_job(spark: SparkSession, token_dir: str, context_length: int,

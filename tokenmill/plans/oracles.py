@@ -562,3 +562,8 @@ ORACLES["mergeable_pairs"] = f"""WITH {_PASS_MERGES}
 SELECT x.piece, CAST(x.i - 1 AS INTEGER) AS pos, m.t1 AS tok, m.t2 AS nxt, m.new_token
 FROM (SELECT piece, i, substring(piece, i, 2) AS pair FROM (SELECT piece, unnest(range(1, length(piece))) AS i FROM dp)) x
 JOIN merges m ON m.text = x.pair"""
+
+# The same tables by way of a published cache or dictionary.
+ORACLES["cached_tokens"] = ORACLES["shard_tokens"]
+ORACLES["split_windows"] = f"SELECT * FROM ({ORACLES['token_windows']}) WHERE split <> 'train'"
+ORACLES["piece_dictionary"] = ORACLES["piece_codes"]

@@ -80,6 +80,12 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop).close()
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the driver's JVM ends."""
+    fs, hadoop = _filesystem(spark, path)
+    fs.deleteOnExit(hadoop)
+
+
 class Written:
     """A table written once to the shared folder; ``drop()`` deletes its files."""
 
@@ -87,8 +93,7 @@ class Written:
         self._spark = df.sparkSession
         self.path = f"{checkpoint_dir(self._spark)}/{tag}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
-        fs, hadoop = _filesystem(self._spark, self.path)
-        fs.deleteOnExit(hadoop)
+        delete_on_exit(self._spark, self.path)
         self._schema = df.schema
         self.df = self.read()
 
