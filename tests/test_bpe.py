@@ -155,8 +155,9 @@ def _piece_corpus(rng, spark, alphabet="aaab bcd\n", n=6, most=40):
 def test_index_training_matches_model(spark, monkeypatch):
     """Short lists, ties, many runs, long pieces, a frontier that is too small: always the model's merges."""
     rng = random.Random(11)
-    for ranked, fan, frontier, long, n_merges in ((1, 2, 1 << 16, 256, 9), (2, 3, 4, 256, 12), (4, 8, 1, 256, 10), (64, 2, 1 << 16, 3, 14), (3, 2, 3, 2, 12)):
-        for name, value in (("RANKED", ranked), ("FAN", fan), ("FRONTIER", frontier), ("LONG", long), ("WRITE_LONG", 2)):
+    for ranked, fan, frontier, long, dense, n_merges in ((1, 2, 1 << 16, 256, 0, 9), (2, 3, 4, 256, 8, 12), (4, 8, 1, 256, 3, 10), (64, 2, 1 << 16, 3, 0, 14),
+                                                         (3, 2, 3, 2, 5, 12), (64, 8, 1 << 16, 256, 1000, 12)):
+        for name, value in (("RANKED", ranked), ("FAN", fan), ("FRONTIER", frontier), ("LONG", long), ("DENSE", dense), ("RECENT", 2), ("WRITE_TABLE", 2), ("COLLECTED", 9)):
             monkeypatch.setattr(pair_index, name, value)
         docs, in_order = _piece_corpus(rng, spark)
         n0 = len(M.initial_vocab(sorted({c for p in in_order for c in p}), [EOT]))
@@ -173,6 +174,8 @@ def _index(spark, pieces):
 def test_index_counts_equal_a_recount(spark, monkeypatch):
     monkeypatch.setattr(pair_index, "FAN", 3)
     monkeypatch.setattr(pair_index, "LONG", 9)
+    monkeypatch.setattr(pair_index, "DENSE", 3)
+    monkeypatch.setattr(pair_index, "RECENT", 2)
     rng = random.Random(7)
     pieces = [("".join(rng.choice("aabc") for _ in range(rng.randint(1, 14))), rng.randint(1, 5)) for _ in range(60)]
     index = _index(spark, pieces)
@@ -190,8 +193,9 @@ def test_index_counts_equal_a_recount(spark, monkeypatch):
     index.close()
 
 
-def test_a_round_reads_the_postings_of_its_merges(spark):
+def test_a_round_reads_the_postings_of_its_merges(spark, monkeypatch):
     """Postings read and pieces changed are those that hold the merged pairs, not the corpus."""
+    monkeypatch.setattr(pair_index, "DENSE", 0)
     rng = random.Random(3)
     pieces = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(3000)] + ["xyq", "pxy"]
     index = _index(spark, [(s, 1) for s in pieces])

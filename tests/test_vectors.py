@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tokenmill.operators import vectors
 from tokenmill.validation import TokenmillError
@@ -89,6 +90,36 @@ def test_group_softmax_sums_to_one(spark):
     assert all(abs(r[1] - 1.0) < 1e-12 for r in got)
 
 
+def test_the_null_group_has_shares(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (0, 1.0), (1, None)], "g int, s double")
+    got = vectors.group_softmax(df, "g", "s").collect()
+    assert len(got) == 4 and abs(sum(r.p for r in got if r.g is None) - 1) < 1e-12
+    assert [r.p for r in got if r.g == 0] == [1.0] and [r.p for r in got if r.g == 1] == [None]
+
+
+def test_hot_tokens_are_not_shuffled(spark, monkeypatch):
+    """A table too large for a broadcast: hot tokens by broadcast, the others by shuffle, the same result."""
+    rows = [(k, [0] * 50 + [k, 7, 99, None, 0, 1]) for k in range(40)]
+    windows = spark.createDataFrame(rows, "chunk_idx int, input_ids array<int>")
+    tok = spark.createDataFrame([(t, [float(t), 1.0]) for t in range(45)], "token int, vec array<double>")
+    pos = spark.createDataFrame([(p, [0.5, float(p)]) for p in range(60)], "pos int, vec array<double>")
+    small = vectors.embed_tokens(windows, tok, pos).collect()
+    monkeypatch.setattr(vectors, "BROADCAST_BYTES", 100)
+    monkeypatch.setattr(vectors, "HOT_SHARE", 20)
+    large = vectors.embed_tokens(windows, tok, pos)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert any("BroadcastHashJoin" in j for j in joins) and any("SortMergeJoin" in j for j in joins), joins
+        assert vectors.frequent_keys(windows.select(F.explode("input_ids").alias("token")), "token", 20) == [0]
+        key = lambda r: (r.chunk_idx, r.pos)
+        assert sorted(large.collect(), key=key) == sorted(small, key=key)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(r.pos, r.emb is None) for r in small} == {(p, p in (52, 53)) for p in range(56)}
+
+
 def test_standardize_rejects_wrong_dim(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0, 3.0])], "id int, v array<double>")
     ok, bad = vectors.standardize_vectors(df, "v", 2)

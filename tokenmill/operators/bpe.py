@@ -245,7 +245,7 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
     if scope == "sequence":
         rounds, work = _train_sequence(state, left, take, max_per_round), []
     else:
-        work = train(state.df, left, take, max_per_round)
+        work = train(state.df, len(rows), left, take, max_per_round)
         rounds = len(work)
         state.drop()
     kinds = {r["token"]: r["kind"] for r in rows}

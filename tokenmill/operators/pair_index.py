@@ -19,8 +19,12 @@ postings of a round hold every occurrence of its new pairs, so the frontier stay
 each round's sums of ``d``. Only when no pair of it is left is the whole index summed up
 again, for a lower ``least``.
 
-Long pieces would repeat their string in each posting. Pieces beyond ``LONG`` symbols are
-kept as a table instead, which each round goes through.
+The first merges are in a good part of all pieces, and writing the postings of these over
+and over would cost more than it saves. So training starts on the plain table of pieces,
+which a round goes through whole; the replacements since it was last written are applied on
+the way. The index is built once rounds (the mean of the last ``RECENT``) change at most one
+in ``DENSE`` pieces. Pieces beyond ``LONG`` symbols, which would repeat their string in very many
+postings, stay in the table.
 """
 from __future__ import annotations
 
@@ -39,12 +43,16 @@ from ..session import Written
 FAN = 8
 FRONTIER = 1 << 16
 LONG = 256
+#: The index is built once the last rounds change at most one in this many pieces; 0: at the
+#: start. A changed piece costs some ten postings, written; an unchanged one a look at its string.
+DENSE, RECENT = 128, 8
 #: Most frequent pairs that a round looks at.
 RANKED = 64
-#: Rounds between two writes of the long pieces.
-WRITE_LONG = 8
-#: Count changes that are collected without asking first whose they are.
-COLLECTED = 1 << 18
+#: Rounds between two writes of the table.
+WRITE_TABLE = 4
+#: Count changes, at most, that are collected without asking first whether the frontier has the
+#: pair. A round changes at most two pairs a merge for each symbol.
+COLLECTED = 1 << 20
 #: Least count of an empty frontier: no pair belongs to it.
 NEVER = 1 << 62
 POSTING = "pair string, pid long, ver int, s string, w long, d long"
@@ -65,7 +73,10 @@ def replace_pairs(s: Column, pairs: Sequence[tuple[str, str]]) -> Column:
 
 
 def any_of(pairs: Iterable[str]) -> Column:
-    """``pair`` is one of a few; as equalities, which the scan can use to skip row groups and pages."""
+    """``pair`` is one of a few; as equalities, which the scan can use to skip row groups and pages.
+    Their number is filled up to a power of two, so that rounds share their compiled code."""
+    pairs = list(pairs)
+    pairs += pairs[:1] * ((1 << (len(pairs) - 1).bit_length()) - len(pairs))
     return reduce(lambda a, b: a | b, [F.col("pair") == F.lit(p) for p in pairs])
 
 
@@ -95,7 +106,8 @@ class Run:
 
 @dataclass
 class Work:
-    """What a round did: pairs merged, postings read for them, pieces changed, postings written."""
+    """What a round did: pairs merged, postings read for them (all pieces, before there is an index),
+    pieces changed, postings written."""
     pairs: int
     read: int
     changed: int
@@ -105,19 +117,31 @@ class Work:
 class PairIndex:
     """The index over ``pieces`` (pid, s, w), where pids are distinct and in the order that decides ties."""
 
-    def __init__(self, pieces: DataFrame):
+    def __init__(self, pieces: DataFrame, alphabet: int = 0):
         self.spark = pieces.sparkSession
+        self.symbols = alphabet
         self.round = 0
         self.work: list[Work] = []
         self.recounts = 0
-        self._long: Written | None = Written(pieces.filter(F.length("s") > LONG), "bpe-long")
-        if self._long.df.isEmpty():
-            self._drop_long()
+        self.runs: list[Run] = []
+        seen = Observation()
+        self._table: Written | None = Written(pieces.filter(F.length("s") > 1).observe(seen, F.count(F.lit(1)).alias("rows")), "bpe-table")
+        self.pieces = seen.get["rows"]
         self._pending: dict[str, str] = {}
-        short = pieces.filter(F.length("s").between(2, LONG)).withColumn("now", F.lit(None).cast("string"))
-        self.runs = [self._write(self._sorted(self._changes(short, "now", "s", 0)))]
         self.frontier: dict[str, int] = {}
         self.least = NEVER
+        if DENSE == 0:
+            self._build()
+
+    def _build(self) -> None:
+        """Postings for the pieces of the table that are not too long."""
+        now = self._table_now().withColumn("was", F.lit(None).cast("string"))
+        short = now.filter(F.length("s").between(2, LONG))
+        self.runs = [self._write(self._sorted(self._changes(short, "was", "s", self.round)))]
+        self._write_table(now.filter(F.length("s") > LONG).select("pid", "w", "s"))
+        if self._table.df.isEmpty():
+            self._table.drop()
+            self._table = None
 
     # --- tables -------------------------------------------------------------------
 
@@ -161,48 +185,38 @@ class PairIndex:
             for run in old:
                 run.table.drop()
 
-    def _drop_long(self) -> None:
-        if self._long:
-            self._long.drop()
-        self._long = None
-
     def close(self) -> None:
-        self._drop_long()
+        if self._table:
+            self._table.drop()
         for run in self.runs:
             run.table.drop()
 
-    # --- long pieces ----------------------------------------------------------------
+    # --- pieces without postings ---------------------------------------------------------
 
-    def _long_now(self) -> DataFrame:
+    def _table_now(self) -> DataFrame:
         s = replace_pairs(F.col("s"), list(self._pending.items())) if self._pending else F.col("s")
-        return self._long.df.select("pid", "w", s.alias("s"))
-
-    def _long_counts(self, rows: DataFrame, sign: int) -> DataFrame:
-        return rows.select(F.explode(neighbours(F.col("s"))).alias("pair"), (F.col("w") * sign).alias("d"))
-
-    def _merge_long(self, merges: dict[str, str]) -> list[DataFrame]:
-        """Count changes ``(pair, d)`` of the long pieces."""
-        if not self._long:
-            return []
-        now = self._long_now().withColumn("t", replace_pairs(F.col("s"), list(merges.items()))).filter("s <> t")
-        out = [self._long_counts(now, -1), self._long_counts(now.select("w", F.col("t").alias("s")), 1)]
-        self._pending.update(merges)
-        return out
-
-    def _write_long(self) -> None:
-        if self._long and self.round % WRITE_LONG == 0:
-            old, self._long = self._long, Written(self._long_now(), "bpe-long")
-            self._pending = {}
-            old.drop()
+        return self._table.df.select("pid", "w", s.alias("s"))
+
+    def _write_table(self, now: DataFrame) -> None:
+        before, self._table = self._table, Written(now, "bpe-table")
+        self._pending = {}
+        before.drop()
+
+    def _merge_table(self, merges: dict[str, str], seen: Observation) -> DataFrame:
+        """Count changes ``(pair, d)`` in the table."""
+        now = self._table_now().withColumn("t", replace_pairs(F.col("s"), list(merges.items()))).filter("s <> t")
+        now = now.observe(seen, F.count(F.lit(1)).alias("rows"))
+        sides = now.select(F.explode(F.array(F.struct("s", (-F.col("w")).alias("d")), F.struct(F.col("t").alias("s"), F.col("w").alias("d")))).alias("x"))
+        return sides.select(F.explode(neighbours(F.col("x.s"))).alias("pair"), "x.d")
 
     # --- counts -----------------------------------------------------------------------
 
     def counts(self) -> DataFrame:
         """``(pair, n)`` of all pairs."""
-        every = self.postings().select("pair", "d")
-        if self._long:
-            every = every.union(self._long_counts(self._long_now(), 1))
-        return every.groupBy("pair").agg(F.sum("d").alias("n")).filter("n > 0")
+        every = [self.postings().select("pair", "d")] if self.runs else []
+        if self._table:
+            every.append(self._table_now().select(F.explode(neighbours(F.col("s"))).alias("pair"), F.col("w").alias("d")))
+        return reduce(DataFrame.union, every).groupBy("pair").agg(F.sum("d").alias("n")).filter("n > 0")
 
     def _recount(self) -> bool:
         """Fill the frontier with the most frequent pairs; false if there are none."""
@@ -224,15 +238,20 @@ class PairIndex:
 
     def first_places(self, pairs: DataFrame | Sequence[str]) -> DataFrame:
         """``(pair, place)``: the first occurrence (pid, idx) of pairs, given as a list of a few or as a table (pair)."""
-        few = not isinstance(pairs, DataFrame)
-        found = self.postings().filter(any_of(pairs)) if few else self.postings().join(pairs, "pair", "left_semi")
-        found = found.groupBy("pair", "pid").agg(F.max_by("s", "ver").alias("s")).filter("s is not null")
-        found = found.select("pair", "pid", F.expr("instr(s, pair)").cast("int").alias("idx"))
-        if self._long:
-            long = self._long_now().select("pid", F.posexplode(neighbours(F.col("s"))).alias("idx", "pair"))
-            long = long.filter(any_of(pairs)) if few else long.join(pairs, "pair", "left_semi")
-            found = found.union(long.select("pair", "pid", (F.col("idx") + 1).alias("idx")))
-        return found.groupBy("pair").agg(F.min(F.struct("pid", "idx")).alias("place"))
+        def of(df: DataFrame) -> DataFrame:
+            return df.join(pairs, "pair", "left_semi") if isinstance(pairs, DataFrame) else df.filter(any_of(pairs))
+
+        found = []
+        if self.runs:
+            latest = of(self.postings()).groupBy("pair", "pid").agg(F.max_by("s", "ver").alias("s")).filter("s is not null")
+            found.append(latest.select("pair", "pid", F.expr("instr(s, pair)").cast("int").alias("idx")))
+        if self._table:
+            at = self._table_now()
+            if not isinstance(pairs, DataFrame):
+                at = at.filter(F.exists(F.array(*[F.lit(p) for p in pairs]), lambda p: F.contains(F.col("s"), p)))
+            at = of(at.select("pid", F.posexplode(neighbours(F.col("s"))).alias("idx", "pair")))
+            found.append(at.select("pair", "pid", (F.col("idx") + 1).alias("idx")))
+        return reduce(DataFrame.union, found).groupBy("pair").agg(F.min(F.struct("pid", "idx")).alias("place"))
 
     def choose(self, room: int) -> list[str]:
         """The pairs that :func:`choose_round` takes from all pairs, ranked by count and first place.
@@ -272,27 +291,49 @@ class PairIndex:
     def merge(self, merges: dict[str, str]) -> None:
         """Replace the chosen pairs (two symbols -> one) in the pieces that hold them."""
         self.round += 1
+        self.symbols += len(merges)
+        work, changes, in_table = Work(len(merges), 0, 0, 0), [], Observation()
+        if self.runs:
+            run = self._merge_postings(merges, work)
+            changes.append(self.postings([run]).select("pair", "d"))
+            self.runs.append(run)
+        if self._table:
+            changes.append(self._merge_table(merges, in_table))
+        self._update(reduce(DataFrame.union, changes), merges, work.written if not self._table else None)
+        if self._table:
+            self._pending.update(merges)
+            work.read += self.pieces if not self.runs else 0
+            work.changed += in_table.get["rows"]
+        self.work.append(work)
+        if self.runs:
+            self._settle()
+        elif len(self.work) >= RECENT and sum(w.changed for w in self.work[-RECENT:]) * DENSE <= self.pieces * RECENT:
+            self._build()
+        if self._table and len(self._pending) and self.round % WRITE_TABLE == 0:
+            self._write_table(self._table_now())
+
+    def _merge_postings(self, merges: dict[str, str], work: Work) -> Run:
         read, seen = Observation(), Observation()
         found = self.postings().filter(any_of(merges)).observe(read, F.count(F.lit(1)).alias("rows"))
         latest = found.groupBy("pid").agg(F.max_by(F.struct("s", "w"), F.struct("ver", F.col("s").isNotNull())).alias("p")).select("pid", "p.*")
         held = latest.filter("s is not null").observe(seen, F.count(F.lit(1)).alias("rows"))
         held = held.withColumn("t", replace_pairs(F.col("s"), list(merges.items())))
         run = self._write(self._changes(held, "s", "t", self.round).sortWithinPartitions("pair"))
-        self.work.append(Work(len(merges), read.get["rows"], seen.get["rows"], run.rows))
-        changes = reduce(DataFrame.union, self._merge_long(merges), self.postings([run]).select("pair", "d"))
-        self.runs.append(run)
-        self._update(changes, set(merges.values()), run.rows)
-        self._settle()
-        self._write_long()
-
-    def _update(self, changes: DataFrame, new: set[str], rows: int) -> None:
+        work.read, work.changed, work.written = read.get["rows"], seen.get["rows"], run.rows
+        return run
+
+    def _update(self, changes: DataFrame, merges: dict[str, str], rows: int | None) -> None:
         sums = changes.groupBy("pair").agg(F.sum("d").alias("d"))
-        fresh = F.substring("pair", 1, 1).isin(*new) | F.substring("pair", 2, 1).isin(*new)
-        if rows > COLLECTED or self._long:
+        new = list(merges.values())
+        new += new[:1] * ((1 << (len(new) - 1).bit_length()) - len(new))
+        is_new = lambda c: reduce(lambda a, b: a | b, [c == F.lit(n) for n in new])
+        fresh = is_new(F.substring("pair", 1, 1)) | is_new(F.substring("pair", 2, 1))
+        most = 2 * self.symbols * len(merges)
+        if min(most, most if rows is None else rows) > COLLECTED:
             known = self.spark.createDataFrame([(p,) for p in self.frontier] or [("",)], "pair string").withColumn("known", F.lit(True))
             sums = sums.join(F.broadcast(known), "pair", "left").filter(F.col("known") | (fresh & (F.col("d") >= self.least)))
-        for r in sums.filter(F.when(fresh, F.col("d") >= self.least).otherwise(F.col("d") != 0)).collect():
-            pair, d = r["pair"], r["d"]
+        least = F.lit(self.least)
+        for pair, d in sums.filter(F.when(fresh, F.col("d") >= least).otherwise(F.col("d") != 0)).select("pair", "d").collect():
             if pair in self.frontier:
                 self.frontier[pair] += d
             elif pair[0] in new or pair[1] in new:
@@ -300,10 +341,11 @@ class PairIndex:
         self.frontier = {p: n for p, n in self.frontier.items() if n >= self.least}
 
 
-def train(pieces: DataFrame, goal: Callable[[], int], take: Callable[[list[str]], dict[str, str]], max_per_round: int) -> list[Work]:
+def train(pieces: DataFrame, alphabet: int, goal: Callable[[], int], take: Callable[[list[str]], dict[str, str]],
+          max_per_round: int) -> list[Work]:
     """Choose and merge until ``goal()`` merges are left none, or no pair is. ``take`` turns the
     chosen pairs into their new symbols. Returns the work of each round."""
-    index = PairIndex(pieces)
+    index = PairIndex(pieces, alphabet)
     while (left := goal()) > 0 and (pairs := index.choose(min(max_per_round, left))):
         index.merge(take(pairs))
     index.close()

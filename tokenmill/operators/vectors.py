@@ -112,39 +112,81 @@ def score_ffn(df: DataFrame, col: str, w1_t, b1, w2_t, b2, out: str = "out") ->
 
 # --- V4: token + position embedding ---------------------------------------------
 
+# A token table up to this size goes to every task; so do the positions of a window.
+BROADCAST_BYTES = 32 << 20
+# Tokens beyond one in this many of all tokens are hot; there are fewer of them than that.
+HOT_SHARE = 256
+
+
+def frequent_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> list:
+    """Values of ``key`` in more than one in ``share`` of the rows: fewer than ``share`` values. Counts
+    are merged from the partial counts of the tasks, one row a value."""
+    counts = rows.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    seen = Written(counts, "key-counts")
+    n = seen.df.agg(F.sum("n")).first()[0] or 0
+    hot = [r["key"] for r in seen.df.filter((F.col("n") * share > n) & F.col("key").isNotNull()).collect()]
+    seen.drop()
+    return hot
+
+
+def join_skewed(rows: DataFrame, table: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
+    """``rows`` left-joined with ``table`` (distinct ``key``), which is too large for every task.
+
+    The hot keys' rows stay where they are and get their fewer than ``share`` table rows by
+    broadcast; only the rows of other keys are shuffled, so no task gathers a hot key.
+    """
+    hot = frequent_keys(rows, key, share)
+    if not hot:
+        return rows.join(table, key, "left")
+    is_hot = F.col(key).isin(hot)
+    cold = rows.filter(~F.coalesce(is_hot, F.lit(False))).join(table, key, "left")
+    return rows.filter(is_hot).join(F.broadcast(table.filter(is_hot)), key, "left").unionByName(cold)
+
+
+def _table_bytes(table: DataFrame, vec: str) -> int:
+    n, size = table.agg(F.count("*"), F.max(F.size(vec))).first()
+    return n * 8 * max(size or 0, 1)
+
+
 def embed_tokens(windows: DataFrame, token_emb: DataFrame, pos_emb: DataFrame,
                  ids_col: str = "input_ids") -> DataFrame:
     """Per window position: ``token_emb[token] + pos_emb[pos]``.
 
-    Returns ``(keys…, pos, emb array<double>)``. Embedding tables are
-    ``(token, vec)`` / ``(pos, vec)``; they are joined as their size allows. A position past the position table is an error; an unknown
-    token yields NULL.
+    Returns ``(keys…, pos, token, emb array<double>)``. Embedding tables are
+    ``(token, vec)`` / ``(pos, vec)`` with distinct keys. A position past the position table is an
+    error; an unknown token yields NULL. A token table beyond ``BROADCAST_BYTES`` is joined
+    by :func:`join_skewed`; ``windows`` are then read more than once. Positions are joined
+    last, by broadcast if they are few, so vectors are not shuffled.
     """
     keys = [c for c in windows.columns if c not in (ids_col, "target_ids")]
-    ex = windows.select(*keys, F.posexplode(ids_col).alias("pos", "token"))
     te = token_emb.select("token", V.as_double(F.col("vec")).alias("te"))
     pe = pos_emb.select(F.col("pos").cast("int").alias("pos"), V.as_double(F.col("vec")).alias("pe"))
-    j = ex.join(te, "token", "left").join(pe, "pos", "left")
+    small = _table_bytes(token_emb, "vec") <= BROADCAST_BYTES
+    ids = windows.select(*keys, ids_col)
+    ex = (ids if small else Written(ids, "windows").df).select(*keys, F.posexplode(ids_col).alias("pos", "token"))
+    j = ex.join(F.broadcast(te), "token", "left") if small else join_skewed(ex, te, "token")
+    j = j.join(F.broadcast(pe) if _table_bytes(pos_emb, "vec") <= BROADCAST_BYTES else pe, "pos", "left")
     # Checked in the same job: a position past the table fails the query.
     pe_checked = F.when(F.col("pe").isNull(), F.raise_error(
         F.format_string("position %d exceeds the position table", F.col("pos")))
     ).otherwise(F.col("pe"))
-    return j.select(*keys, "pos", V.vadd(F.col("te"), pe_checked).alias("emb"))
+    return j.select(*keys, "pos", "token", V.vadd(F.col("te"), pe_checked).alias("emb"))
 
 
 # --- V7: softmax inside groups ---------------------------------------------------
 
 def group_softmax(df: DataFrame, group: str, score: str, out: str = "p") -> DataFrame:
-    """``exp(s - max) / sum(exp(s - max))`` within each group.
+    """``exp(s - max) / sum(exp(s - max))`` within each group; NULL is a group of its own,
+    and a NULL score has a NULL share.
 
     Two partial aggregations (max, then sum) joined back, instead of a
     window: a hot group is reduced map-side rather than sorted in one task, and
     as a skewed join side it can be split.
     """
     m = df.groupBy(F.col(group).alias("_g")).agg(F.max(score).alias("_m"))
-    e = df.join(m, F.col(group) == F.col("_g")).drop("_g").withColumn("_e", F.exp(F.col(score) - F.col("_m")))
+    e = df.join(m, F.col(group).eqNullSafe(F.col("_g"))).drop("_g").withColumn("_e", F.exp(F.col(score) - F.col("_m")))
     z = e.groupBy(F.col(group).alias("_g")).agg(F.sum("_e").alias("_z"))
-    return e.join(z, F.col(group) == F.col("_g")).withColumn(out, F.col("_e") / F.col("_z")).drop("_g", "_m", "_e", "_z")
+    return e.join(z, F.col(group).eqNullSafe(F.col("_g"))).withColumn(out, F.col("_e") / F.col("_z")).drop("_g", "_m", "_e", "_z")
 
 
 # --- V5: causal softmax-weighted pooling ------------------------------------------

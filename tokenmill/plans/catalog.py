@@ -426,6 +426,9 @@ DIM = 64
 HEADS = 4
 TILE = 64
 HISTORY, WINDOW_TILE = 12, 2
+GAPS = 41                    # vec_id modulo this: 1 no vector, 2 a short one, 3 a missing entry
+UNKNOWN = 40                 # tokens with remainder 10 have no vector
+UNKNOWN_USER = "view"        # event type whose events have no user
 # Weights of the vector queries (deterministic parameters, rule_matrix).
 FFN_W1_T = rule_matrix(4 * DIM, DIM, 0.5, 0.125)
 FFN_B1 = rule_matrix(1, 4 * DIM, 1.5, 0.01)[0]
@@ -451,33 +454,43 @@ def q_matmul_cells(spark, d):
     return c.select("batch", "i", "j", (F.round("v", 4) + F.lit(0.0)).alias("v"))
 
 
+def _gappy(spark, d):
+    """The embeddings, some without a vector, with a short one, or with a missing entry."""
+    case, at = F.col("vec_id") % GAPS, F.col("embedding")
+    vec = F.when(case == 1, F.lit(None)).when(case == 2, F.slice(at, 1, DIM - 1)).when(
+        case == 3, F.transform(at, lambda x, i: F.when(i != 5, x))).otherwise(at)
+    return table(spark, d, "embeddings").withColumn("embedding", vec)
+
+
+def _with_rejects(pair: tuple[DataFrame, DataFrame], idx: str = "d") -> DataFrame:
+    """A vector's entries, or one row with the reason why it has none."""
+    out, bad = pair
+    none = bad.select("vec_id", F.lit(None).cast("int").alias(idx), F.lit(None).cast("double").alias("val"), "reason")
+    return _explode_vec(out, ["vec_id"], "out", idx).withColumn("reason", F.lit(None).cast("string")).unionByName(none)
+
+
 def q_vector_standardize(spark, d):
-    emb = table(spark, d, "embeddings")
-    out, _ = vectors.standardize_vectors(emb, "embedding", DIM)
-    return _explode_vec(out, ["vec_id"], "out")
+    return _with_rejects(vectors.standardize_vectors(_gappy(spark, d), "embedding", DIM))
 
 
 def q_ffn_scores(spark, d):
-    emb = table(spark, d, "embeddings")
-    out, _ = vectors.score_ffn(emb, "embedding", FFN_W1_T, FFN_B1, FFN_W2_T, FFN_B2)
-    return _explode_vec(out, ["vec_id"], "out")
+    return _with_rejects(vectors.score_ffn(_gappy(spark, d), "embedding", FFN_W1_T, FFN_B1, FFN_W2_T, FFN_B2))
 
 
 def q_project_vectors(spark, d):
-    emb = table(spark, d, "embeddings")
-    out, _ = vectors.project_vectors(emb, "embedding", PROJ_W_T, PROJ_B)
-    return _explode_vec(out, ["vec_id"], "out", "j")
+    return _with_rejects(vectors.project_vectors(_gappy(spark, d), "embedding", PROJ_W_T, PROJ_B), "j")
 
 
 def q_embed_tokens(spark, d):
     """Char-level windows embedded with the embeddings table as token table
-    (token t = row vec_id t) and as position table (position p = row p)."""
+    (token t = row vec_id t, some tokens unknown) and as position table (position p = row p)."""
     emb = table(spark, d, "embeddings")
-    tok = emb.select(F.col("vec_id").cast("int").alias("token"), F.col("embedding").alias("vec"))
+    tok = emb.filter(F.col("vec_id") % UNKNOWN != 10).select(F.col("vec_id").cast("int").alias("token"), F.col("embedding").alias("vec"))
     pos = emb.select(F.col("vec_id").cast("int").alias("pos"), F.col("embedding").alias("vec"))
     e = vectors.embed_tokens(_windows(spark, d), tok, pos)
     sq = F.aggregate("emb", F.lit(0.0).cast("double"), lambda acc, x: acc + x * x)
-    return e.groupBy("split", "shard_idx", "chunk_idx").agg(F.round(F.sum(sq), 4).alias("sumsq"))
+    return e.groupBy("split", "shard_idx", "chunk_idx").agg(
+        F.round(F.sum(sq), 4).alias("sumsq"), F.count(F.when(F.col("emb").isNull(), 1)).alias("n_unknown"))
 
 
 def q_causal_pool(spark, d):
@@ -496,8 +509,10 @@ def q_causal_pool_window(spark, d):
 
 
 def q_group_softmax(spark, d):
+    """Shares of the events of a user; those of one event type as if their user were unknown."""
     ev = table(spark, d, "events")
-    p = vectors.group_softmax(ev.select("event_id", "user_id", "value"), "user_id", "value")
+    user = F.when(F.col("event_type") != UNKNOWN_USER, F.col("user_id"))
+    p = vectors.group_softmax(ev.select("event_id", user.alias("user_id"), "value"), "user_id", "value")
     return p.select("event_id", "user_id", (F.round("p", 9) + F.lit(0.0)).alias("p"))
 
 

@@ -299,12 +299,27 @@ b AS (SELECT l_returnflag AS batch, l_linenumber AS k, l_linestatus AS j, sum(l_
 SELECT a.batch, a.i, b.j, round(sum(a.v * b.v), 4) + 0.0 AS v
 FROM a JOIN b ON a.batch = b.batch AND a.k = b.k GROUP BY ALL"""
 
-ORACLES["vector_standardize"] = f"""WITH {EMB},
+# Vectors of the right size without gaps, and the others with the reason.
+GAPPY = f"""g AS (
+  SELECT vec_id, CASE vec_id % {C.GAPS} WHEN 1 THEN NULL WHEN 2 THEN embedding[1:{C.DIM - 1}]
+    WHEN 3 THEN list_concat(embedding[1:5], [NULL::FLOAT], embedding[7:]) ELSE embedding END AS v FROM embeddings),
+e AS (SELECT vec_id, CAST(unnest(v) AS DOUBLE) AS x, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS d
+      FROM g WHERE len(v) = {C.DIM} AND len(list_filter(v, lambda x: x IS NULL)) = 0),
+bad AS (SELECT vec_id, CASE WHEN v IS NULL THEN 'the vector is NULL' WHEN len(v) <> {C.DIM} THEN len(v) || ' entries instead of {C.DIM}'
+          ELSE 'an entry is NULL' END AS reason
+        FROM g WHERE v IS NULL OR len(v) <> {C.DIM} OR len(list_filter(v, lambda x: x IS NULL)) > 0)"""
+
+
+def _rejects(idx: str) -> str:
+    return f"UNION ALL SELECT vec_id, NULL::INTEGER AS {idx}, NULL::DOUBLE AS val, reason FROM bad"
+
+
+ORACLES["vector_standardize"] = f"""WITH {GAPPY},
 st AS (SELECT vec_id, avg(x) AS mu, var_pop(x) AS var FROM e GROUP BY vec_id)
-SELECT e.vec_id, e.d, round((e.x - st.mu) / sqrt(st.var + 1e-5), 6) + 0.0 AS val
-FROM e JOIN st ON st.vec_id = e.vec_id"""
+SELECT e.vec_id, e.d, round((e.x - st.mu) / sqrt(st.var + 1e-5), 6) + 0.0 AS val, NULL AS reason
+FROM e JOIN st ON st.vec_id = e.vec_id {_rejects('d')}"""
 
-ORACLES["ffn_scores"] = f"""WITH {EMB},
+ORACLES["ffn_scores"] = f"""WITH {GAPPY},
 {_rule('w1', C.DIM * 4, C.DIM, 0.5, 0.125, 'j', 'k')},
 {_rule('b1', 1, C.DIM * 4, 1.5, 0.01, 'z', 'j')},
 {_rule('w2', C.DIM, C.DIM * 4, 2.5, 0.0625, 'c', 'j')},
@@ -312,18 +327,18 @@ ORACLES["ffn_scores"] = f"""WITH {EMB},
 h AS (
   SELECT e.vec_id, w1.j, sum(e.x * w1.w) + any_value(b1.w) AS y
   FROM e JOIN w1 ON w1.k = e.d JOIN b1 ON b1.j = w1.j GROUP BY e.vec_id, w1.j),
-g AS (SELECT vec_id, j, 0.5 * y * (1 + tanh(sqrt(2 / pi()) * (y + 0.044715 * y * y * y))) AS y FROM h),
+a AS (SELECT vec_id, j, 0.5 * y * (1 + tanh(sqrt(2 / pi()) * (y + 0.044715 * y * y * y))) AS y FROM h),
 o AS (
-  SELECT g.vec_id, w2.c, sum(g.y * w2.w) + any_value(b2.w) AS y
-  FROM g JOIN w2 ON w2.j = g.j JOIN b2 ON b2.c = w2.c GROUP BY g.vec_id, w2.c)
-SELECT vec_id, c AS d, round(y, 6) + 0.0 AS val FROM o"""
+  SELECT a.vec_id, w2.c, sum(a.y * w2.w) + any_value(b2.w) AS y
+  FROM a JOIN w2 ON w2.j = a.j JOIN b2 ON b2.c = w2.c GROUP BY a.vec_id, w2.c)
+SELECT vec_id, c AS d, round(y, 6) + 0.0 AS val, NULL AS reason FROM o {_rejects('d')}"""
 
-ORACLES["project_vectors"] = f"""WITH {EMB},
+ORACLES["project_vectors"] = f"""WITH {GAPPY},
 {_rule('w', 16, C.DIM, 4.5, 0.125, 'j', 'k')},
 {_rule('b', 1, 16, 5.5, 0.01, 'z', 'j')},
 o AS (SELECT e.vec_id, w.j, sum(e.x * w.w) + any_value(b.w) AS y
       FROM e JOIN w ON w.k = e.d JOIN b ON b.j = w.j GROUP BY e.vec_id, w.j)
-SELECT vec_id, j, round(y, 6) + 0.0 AS val FROM o"""
+SELECT vec_id, j, round(y, 6) + 0.0 AS val, NULL AS reason FROM o {_rejects('j')}"""
 
 ORACLES["embed_tokens"] = f"""WITH {WINDOWS},
 {EMB},
@@ -331,10 +346,10 @@ ids AS (SELECT split, shard_idx, chunk_idx, unnest(w[1:{W - 1}]) AS token,
                generate_subscripts(w[1:{W - 1}], 1) - 1 AS pos FROM windows),
 combo AS (
   SELECT t.vec_id AS token, p.vec_id AS pos, sum((t.x + p.x) * (t.x + p.x)) AS ss
-  FROM e t JOIN e p ON p.d = t.d AND p.vec_id < {W - 1}
+  FROM e t JOIN e p ON p.d = t.d AND p.vec_id < {W - 1} AND t.vec_id % {C.UNKNOWN} <> 10
   GROUP BY t.vec_id, p.vec_id)
-SELECT split, shard_idx, chunk_idx, round(sum(combo.ss), 4) + 0.0 AS sumsq
-FROM ids JOIN combo ON combo.token = ids.token AND combo.pos = ids.pos
+SELECT split, shard_idx, chunk_idx, round(sum(combo.ss), 4) + 0.0 AS sumsq, count(*) FILTER (combo.ss IS NULL) AS n_unknown
+FROM ids LEFT JOIN combo ON combo.token = ids.token AND combo.pos = ids.pos
 GROUP BY split, shard_idx, chunk_idx"""
 
 _HD = C.DIM // C.HEADS
@@ -354,8 +369,9 @@ ORACLES["causal_pool_window"] = ORACLES["causal_pool"].replace("sc AS (", """rk
 sc AS (""", 1).replace("GROUP BY q.label, q.vec_id, k.vec_id", f"""JOIN rk a ON a.vec_id = q.vec_id JOIN rk b ON b.vec_id = k.vec_id
   WHERE b.r > a.r - {C.HISTORY} GROUP BY q.label, q.vec_id, k.vec_id""", 1)
 
-ORACLES["group_softmax"] = """WITH
-m AS (SELECT event_id, user_id, exp(value - max(value) OVER (PARTITION BY user_id)) AS ev FROM events)
+ORACLES["group_softmax"] = f"""WITH
+ev AS (SELECT event_id, CASE WHEN event_type <> '{C.UNKNOWN_USER}' THEN user_id END AS user_id, value FROM events),
+m AS (SELECT event_id, user_id, exp(value - max(value) OVER (PARTITION BY user_id)) AS ev FROM ev)
 SELECT event_id, user_id, round(ev / sum(ev) OVER (PARTITION BY user_id), 9) + 0.0 AS p FROM m"""
 
 
