@@ -1,5 +1,6 @@
 """URL rules: parsing, explicit rules, mining and matching against plain versions."""
 import random
+import time
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -94,3 +95,19 @@ def test_index_by_shuffle_gives_the_same(spark, monkeypatch):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert U.judge_urls(pages, spark.createDataFrame(labelled_urls(), "url string, bad boolean")).count() == 0
+
+
+def test_a_long_url_does_not_explode(spark):
+    """Copies of a url of 200 segments, half of them bad, and another one all bad: rules in seconds, as by counting."""
+    long = "http://a.b/" + "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200))
+    rows = [(f"http://x{chr(97 + i % 26)}.org/p{chr(97 + i % 7)}/q", i % 9 == 0) for i in range(300)]
+    rows += [(long, i % 2 == 0) for i in range(40)] + [(long.replace("a.b/s", "c.d/t"), True)] * 20
+    start = time.time()
+    rules = U.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert time.time() - start < 60
+    sets = [(set(U_tokens), bad) for U_tokens, bad in spark.createDataFrame(rows, "url string, bad boolean").select(U.url_tokens(F.col("url")), "bad").collect()]
+    for r in rules:
+        n = [b for s, b in sets if set(r.tokens) <= s]
+        assert abs(r.confidence - sum(n) / len(n)) < 1e-12 and len(r.tokens) <= 3
+    singles = {tuple(r.tokens) for r in rules if len(r.tokens) == 1}
+    assert ("path:saa",) in singles and ("path:taa",) in singles and ("site:a.b",) in singles

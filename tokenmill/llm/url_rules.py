@@ -1,8 +1,8 @@
 """URL filtering: explicit prefix rules first, association rules for the rest.
 
 Explicit rules are (host, path) prefixes; the longest that fits decides. Every
-other url is judged by association rules: FP-growth mines the combinations of URL
-tokens that labelled pages share, and a combination that is frequent enough and
+other url is judged by association rules: FP-growth, bounded in length, mines the combinations of
+URL tokens that labelled pages share, and a combination that is frequent enough and
 mostly bad becomes a rule. A url that holds all tokens of a rule is blocked.
 
 Rules match by an inverted index: each rule is filed under its rarest token, so
@@ -12,7 +12,8 @@ bounded by the support: ``MIN_SUPPORT`` and ``MAX_LENGTH`` allow no more than
 """
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,6 @@ MIN_CONFIDENCE = 0.5
 MAX_LENGTH = 3
 #: A rule set is broadcast up to this many rules; beyond that the index is joined by shuffle.
 BROADCAST_RULES = 100_000
-BAD = "\u0000bad"  # the label's item; no URL token holds a NUL
 
 
 def host_of(url: Column) -> Column:
@@ -76,6 +76,45 @@ def url_tokens(url: Column) -> Column:
     return F.coalesce(F.array_distinct(clean), F.array().cast("array<string>"))
 
 
+def free_sets(baskets: DataFrame, least: int, max_length: int) -> DataFrame:
+    """``(tokens, n, n_bad)``: combinations of up to ``max_length`` tokens with at least ``least`` bad pages.
+
+    FP-growth on conditional bases: a base holds, for a combination, what follows its last
+    token in the (sorted) baskets, equal rests as one row with their numbers of pages. Growing
+    it by one token gives the bases of the next length, which ends the growth at
+    ``max_length`` whatever the baskets' lengths. A combination on the same pages as one of its
+    parts, and with it all that contain it, adds nothing: its part is as confident a rule and
+    shorter. So copies of a long url grow to pairs and stop.
+    """
+    base = baskets.select(F.array().cast("array<string>").alias("tokens"), F.col("items").alias("rest"), "n", "n_bad")
+    out, last = None, None
+    for length in range(1, max_length + 1):
+        grown = base.select("tokens", "rest", "n", "n_bad", F.posexplode("rest").alias("at", "token")).select(
+            F.concat("tokens", F.array("token")).alias("tokens"), F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"), "n", "n_bad")
+        grown = materialise(grown.groupBy("tokens", "rest").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")), f"url-base-{length}")
+        sets = grown.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")).filter(F.col("n_bad") >= least)
+        if last is not None:
+            # All parts that lack one token must be there, with more pages.
+            drop = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: F.filter("tokens", lambda t, j: j != i))
+            parts = sets.select("tokens", "n", F.explode(drop).alias("part")).join(
+                last.select(F.col("tokens").alias("part"), F.col("n").alias("part_n")), "part")
+            free = parts.filter("part_n > n").groupBy("tokens").agg(F.count("*").alias("parts")).filter(F.col("parts") == length).select("tokens")
+            sets = sets.join(free, "tokens", "left_semi")
+        last = materialise(sets, f"url-sets-{length}")
+        out = last if out is None else out.unionByName(last)
+        # Go on from the free combinations, with the rests' tokens that are frequent by themselves.
+        if length == 1:
+            frequent = last.select(F.col("tokens")[0].alias("token"))
+            kept = baskets.select("items", "n", "n_bad", F.explode("items").alias("token")).join(frequent, "token", "left_semi")
+            kept = kept.groupBy("items", "n", "n_bad").agg(F.array_sort(F.collect_list("token")).alias("kept"))
+            base = kept.select(F.posexplode("kept").alias("at", "token"), "kept", "n", "n_bad").select(
+                F.array("token").alias("tokens"), F.slice("kept", F.col("at") + 2, F.size("kept")).alias("rest"), "n", "n_bad")
+            base = base.groupBy("tokens", "rest").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
+        else:
+            base = grown.join(last.select("tokens"), "tokens", "left_semi")
+    return out
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                max_length: int = MAX_LENGTH) -> DataFrame:
     """``(tokens, confidence, lift, support)`` of the combinations that predict a bad page.
@@ -83,19 +122,20 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     ``labelled`` has ``url`` and ``bad`` (boolean; null rows are left out). Rules
     that a shorter rule with at least their confidence contains are pruned.
     """
-    baskets = labelled.filter("url is not null and bad is not null").select(F.when(
-        F.col("bad"), F.concat(url_tokens(F.col("url")), F.array(F.lit(BAD)))).otherwise(
-        url_tokens(F.col("url"))).alias("items"))
     schema = "tokens array<string>, confidence double, lift double, support double"
-    baskets = materialise(baskets.filter(F.size("items") > 0), "url-baskets")
-    if baskets.isEmpty():
+    baskets = labelled.filter("url is not null and bad is not null").select(url_tokens(F.col("url")).alias("items"), "bad")
+    # Equal baskets are one row with their numbers of pages and of bad pages.
+    baskets = materialise(baskets.filter((F.size("items") > 0) | F.col("bad")).groupBy(F.array_sort("items").alias("items")).agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("bad"), 1)).alias("n_bad")), "url-baskets")
+    total, bad = baskets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_bad"), F.lit(0))).first()
+    least = max(1, ceil(min_support * total))
+    if bad < least:
         return labelled.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = (model.associationRules
-             .filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
-             .filter(F.size("antecedent") <= max_length)
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"))
-    rules = materialise(rules.filter("lift > 1"), "url-rules")
+    sets = free_sets(baskets, least, max_length)
+    confidence = F.col("n_bad") / F.col("n")
+    rules = sets.select(F.array_sort("tokens").alias("tokens"), confidence.alias("confidence"), (confidence / F.lit(bad / total)).alias("lift"),
+                        (F.col("n_bad") / F.lit(total)).alias("support"))
+    rules = materialise(rules.filter((F.col("confidence") >= min_confidence) & (F.col("lift") > 1)), "url-rules")
     a, b = rules.alias("a"), rules.select(F.col("tokens").alias("t"), F.col("confidence").alias("c"),
                                           F.explode("tokens").alias("one")).alias("b")
     # A shorter rule that this one contains shares a token with it.
