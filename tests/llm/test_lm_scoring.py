@@ -95,3 +95,14 @@ def test_empty_and_untrained(spark, small):
     r = L.score_texts(spark.createDataFrame([(only, "a b")], "doc_id long, text string"), steps=2).first()
     assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (True, 3, 0, 0, 0.0)
     assert np.isfinite(r["score"])
+
+
+def test_broadcasts_are_plain(spark, monkeypatch):
+    """What tasks get is data, not classes of this package, which need not be installed there."""
+    import pickle
+    sent = []
+    before = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, v: (sent.append(v), before(sc, v))[1])
+    df = spark.createDataFrame([(i, f"a b c{i % 3}") for i in range(30)], "doc_id long, text string")
+    assert L.score_texts(df).count() == 30
+    assert sent and all(b"tokenmill" not in pickle.dumps(v) for v in sent)

@@ -94,14 +94,17 @@ class LogBilinear:
         self.p = p
 
     def log10_table(self) -> np.ndarray:
-        """Normalised log10 P(output | context) for all contexts, by batched matrix products."""
-        p = self.p
-        out = np.empty((len(p["r"]), len(p["r"])), np.float32)
-        for at in range(0, len(out), ROWS):
-            logits = (p["r"][at:at + ROWS] @ p["c"]).astype(np.float64) @ p["q"].T.astype(np.float64) + p["b"]
-            top = logits.max(axis=1, keepdims=True)
-            out[at:at + ROWS] = (logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))) / np.log(10)
-        return out
+        return log10_table(self.p)
+
+
+def log10_table(p: dict[str, np.ndarray]) -> np.ndarray:
+    """Normalised log10 P(output | context) for all contexts, by batched matrix products."""
+    out = np.empty((len(p["r"]), len(p["r"])), np.float32)
+    for at in range(0, len(out), ROWS):
+        logits = (p["r"][at:at + ROWS] @ p["c"]).astype(np.float64) @ p["q"].T.astype(np.float64) + p["b"]
+        top = logits.max(axis=1, keepdims=True)
+        out[at:at + ROWS] = (logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))) / np.log(10)
+    return out
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -217,15 +220,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_all, v_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     vocabulary = learn_vocabulary(counts, head)
     model = LogBilinear(count_pairs(train, vocabulary), **training)
-    shared = spark.sparkContext.broadcast((vocabulary, model))
+    # Plain lists and arrays: the classes need not be importable on the executors.
+    shared = spark.sparkContext.broadcast((vocabulary.words, vocabulary.counts, vocabulary.outputs(), vocabulary.class_of,
+                                           vocabulary.class_log, vocabulary.own, model.p))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        voc, lbl = shared.value
-        index, outputs, own = voc.index(), np.append(voc.outputs(), 0), voc.own
-        table = lbl.log10_table()
-        base_log = np.append(np.log10(voc.counts + 1.0), 0.0)
+        head, n, outputs, class_of, class_log, own, parameters = shared.value
+        index, outputs = {w: i for i, w in enumerate(head)}, np.append(outputs, 0)
+        table = log10_table(parameters)
+        base_log = np.append(np.log10(n + 1.0), 0.0)
         # A class word's share of its class; 0 for the model's own words and, for now, beyond the head.
-        within = np.append(np.where(np.arange(len(voc.words)) < own, 0.0, base_log[:-1] - voc.class_log[voc.class_of]), 0.0)
+        within = np.append(np.where(np.arange(len(head)) < own, 0.0, base_log[:-1] - class_log[class_of]), 0.0)
         end = index.get(END, None)
         start = outputs[end] if end is not None else own
         for batch in batches:
