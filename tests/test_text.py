@@ -1,11 +1,12 @@
 """Text splitting: golden micro-cases and random strings vs the Python model."""
 import random
+import time
 
 from pyspark.sql import functions as F
 
 import models as M
 from tokenmill.functions.text import (EOT, SPACE_MARK, preprocess_chars, special_segments,
-                                      split_pieces)
+                                      special_segments_many, split_pieces)
 from tokenmill.operators.vocab import initial_vocab
 
 G = SPACE_MARK
@@ -66,3 +67,29 @@ def test_long_runs_split_in_linear_time(spark):
     began = time.time()
     assert _one(spark, split_pieces, [text]) == [["a", "b", G + "c"]]
     assert time.time() - began < 20
+
+
+def test_automaton_equals_the_alternation(spark):
+    """Specials that hold, overlap and follow each other, in both modes, NULL and empty texts."""
+    rng = random.Random(4)
+    for trial in range(4):
+        specials = ["".join(rng.choice("ab<") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 9))]
+        texts = ["".join(rng.choice("ab<c") for _ in range(rng.randint(0, 25))) for _ in range(60)] + ["", "\n\n", "🙂ab", None]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        for mode in ("all", "leading"):
+            got = {r.i: r.s for r in df.select("i", special_segments_many(F.col("t"), specials, mode).alias("s")).collect()}
+            for i, t in enumerate(texts):
+                assert (got[i] is None) == (t is None)
+                assert t is None or [(s.text, s.special) for s in got[i]] == M.segments(t, specials, mode), (t, specials, mode)
+
+
+def test_thousands_of_specials_in_linear_time(spark):
+    specials = [f"<{i}>" for i in range(5000)]
+    seconds = []
+    for n in (20_000, 80_000):
+        text = "".join(f"word <{i % 7000}> " for i in range(n))
+        df = spark.createDataFrame([(text,)], "t string").select(F.size(special_segments(F.col("t"), specials)).alias("n"))
+        start = time.time()
+        assert df.first()["n"] == 2 * sum(i % 7000 < 5000 for i in range(n)) + 1
+        seconds.append(time.time() - start)
+    assert seconds[1] < 20 * max(seconds[0], 0.5)

@@ -19,6 +19,27 @@ def test_strict_matmul(spark):
     assert got == [(1, 0, 0, 6.0), (2, 0, 1, 4.0)]
 
 
+@pytest.mark.parametrize("tile", [2, 5, 256])
+def test_blocks_give_the_cells_of_the_product(spark, tile):
+    rng = np.random.default_rng(tile)
+    a = [(s, f"r{i}", int(k), float(v)) for s in (0, 1) for i in range(9) for k, v in enumerate(rng.integers(-2, 3, 11)) if rng.random() < 0.5]
+    b = [(s, int(k), j * 10, float(v)) for s in (0, 1) for j in range(7) for k, v in enumerate(rng.integers(-2, 3, 13)) if rng.random() < 0.5]
+    a += [a[0], (0, "lone", 99, 1.0), (0, "r0", 5, None)]  # a cell twice, no inner partner, no value
+    left, right = spark.createDataFrame(a, "batch int, i string, k long, v double"), spark.createDataFrame(b, "batch int, k long, j int, v double")
+    got = {(r.batch, r.i, r.j): r.v for r in vectors.matmul_blocks(left, right, tile).collect()}
+    want = {(r.batch, r.i, r.j): r.v for r in vectors.matmul_cells(left.filter("v is not null"), right).collect()}
+    assert got == want and got
+    with pytest.raises(TokenmillError):
+        vectors.matmul_blocks(left, right.filter("batch = 0"))
+
+
+def test_block_rows_not_product_rows_are_shuffled(spark):
+    cells = spark.range(64 * 64).select(F.lit(0).alias("batch"), (F.col("id") % 64).alias("i"), F.floor(F.col("id") / 64).alias("k"), F.lit(1.0).alias("v"))
+    assert vectors.matrix_blocks(cells, "i", "k", 4, 4, 4).count() == 4 * 4 * 4
+    got = vectors.matmul_blocks(cells, cells.withColumnRenamed("k", "j").withColumnRenamed("i", "k"), 16)
+    assert got.count() == 64 * 64 and got.agg(F.min("v"), F.max("v")).first() == (64.0, 64.0)
+
+
 def _direct(x, seqs, heads, history=None):
     out = {}
     d = x.shape[1]

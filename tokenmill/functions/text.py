@@ -1,12 +1,15 @@
 """Column expressions for the text side: space marking, pieces, specials.
 
-Everything here is a built-in Spark expression (regex, translate, HOFs),
-so it runs inside whole-stage codegen on the executors; no Python UDF.
+Nearly everything here is a built-in Spark expression (regex, translate, HOFs),
+so it runs inside whole-stage codegen on the executors; only very many specials are found
+by an automaton in Arrow batches.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +32,8 @@ OTHER_WHITESPACE = (
 N_BASE = 256
 # ---------------------------------------------------------------------------
 
+# More specials than this are found by an automaton: an alternation tries them one by one at each character.
+AUTOMATON = 64
 # Java regex character class of OTHER_WHITESPACE.
 _OTHER_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in OTHER_WHITESPACE) + "]"
 
@@ -75,6 +80,45 @@ def _special_alternation(specials: Sequence[str]) -> str:
     return "|".join(_java_quote(s) for s in ordered)
 
 
+def _cut_at(text: str, found: list[tuple[int, int]], mode: str) -> list[dict]:
+    """Segments of a text with specials at ``found`` (start, end), by the rules of :func:`special_segments`."""
+    out, at, leading = [], 0, True
+    for start, end in found:
+        leading = leading and start == at
+        if mode == "all" or leading:
+            if start > at:
+                out.append({"text": text[at:start], "special": False})
+            out.append({"text": text[start:end], "special": True})
+            at = end
+        elif start > at:
+            out.append({"text": text[at:start], "special": False})
+            at = start
+    if at < len(text):
+        out.append({"text": text[at:], "special": False})
+    return out
+
+
+def special_segments_many(text: Column, specials: Sequence[str], mode: str = "all") -> Column:
+    """:func:`special_segments` for any number of specials: an Aho-Corasick automaton finds the
+    leftmost longest occurrences in one pass over the text. The list of specials goes to
+    every task. NULL for NULL."""
+    require(mode in ("all", "leading"), f"unknown special_mode {mode!r}")
+    require(all(len(s) > 0 for s in specials), "special token texts must be non-empty")
+    words = list(dict.fromkeys(specials))
+
+    @F.pandas_udf("array<struct<text:string,special:boolean>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for w in words:
+            automaton.add_word(w, len(w))
+        if words:
+            automaton.make_automaton()
+        for batch in batches:
+            yield batch.map(lambda t: None if t is None else _cut_at(
+                t, [(end + 1 - n, end + 1) for end, n in automaton.iter_long(t)] if words else [], mode))
+    return run(text)
+
+
 def special_segments(text: Column, specials: Sequence[str], mode: str = "all") -> Column:
     """Split a text into ``array<struct<text:string, special:boolean>>``.
 
@@ -87,6 +131,8 @@ def special_segments(text: Column, specials: Sequence[str], mode: str = "all") -
     require(mode in ("all", "leading"), f"unknown special_mode {mode!r}")
     seg_type = "array<struct<text:string,special:boolean>>"
     empty = F.array().cast(seg_type)
+    if len(specials) > AUTOMATON:
+        return special_segments_many(text, specials, mode)
     if not specials:
         whole = F.array(F.struct(text.alias("text"), F.lit(False).alias("special")))
         return F.when(F.length(text) == 0, empty).otherwise(whole)

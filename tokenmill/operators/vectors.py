@@ -23,6 +23,14 @@ from ..validation import TokenmillError, require, require_columns
 
 # --- V1: strict batched matrix product over cell tables ------------------------
 
+def _same_batches(a: DataFrame, b: DataFrame, who: str) -> None:
+    require_columns(a, ["batch", "i", "k", "v"], who)
+    require_columns(b, ["batch", "k", "j", "v"], who)
+    ba, bb = a.select("batch").distinct(), b.select("batch").distinct()
+    if not ba.join(bb, "batch", "left_anti").isEmpty() or not bb.join(ba, "batch", "left_anti").isEmpty():
+        raise TokenmillError("both sides must hold the same batches")
+
+
 def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
     """``C[batch,i,j] = sum_k A[batch,i,k] * B[batch,k,j]``.
 
@@ -30,16 +38,71 @@ def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
     match exactly on both sides (no broadcasting over batch), otherwise an
     error is raised. Join on ``(batch, k)``, then a partial+final sum.
     """
-    require_columns(a, ["batch", "i", "k", "v"], "matmul_cells")
-    require_columns(b, ["batch", "k", "j", "v"], "matmul_cells")
-    ba, bb = a.select("batch").distinct(), b.select("batch").distinct()
-    if not ba.join(bb, "batch", "left_anti").isEmpty() or not bb.join(ba, "batch", "left_anti").isEmpty():
-        raise TokenmillError("both sides must hold the same batches")
+    _same_batches(a, b, "matmul_cells")
     j = a.select("batch", "i", "k", F.col("v").alias("av")).join(
         b.select("batch", "k", "j", F.col("v").alias("bv")), ["batch", "k"])
     return j.groupBy("batch", "i", "j").agg(F.sum(F.col("av") * F.col("bv")).alias("v"))
 
 
+# Rows and columns of a matrix block, about.
+MATRIX_TILE = 256
+
+
+def matrix_blocks(cells: DataFrame, row: str, col: str, n_rows: int, n_cols: int, copies: int) -> DataFrame:
+    """``cells`` (batch, row, col, v) packed into one row a block ``(batch, rb, cb, cells)``, once for each
+    ``copy`` that the other side's blocks need. Cells without a value have no part."""
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).alias
+    packed = cells.filter(F.col("v").isNotNull()).groupBy("batch", block(row, n_rows)("rb"), block(col, n_cols)("cb")).agg(
+        F.collect_list(F.struct(F.col(row).alias("r"), F.col(col).alias("c"), F.col("v").cast("double").alias("v"))).alias("cells"))
+    return packed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+
+def matmul_blocks(a: DataFrame, b: DataFrame, tile: int = MATRIX_TILE) -> DataFrame:
+    """:func:`matmul_cells` for large dense matrices, as double products of blocks.
+
+    Rows, inner index and columns are dealt to blocks of about ``tile`` by hash, so that
+    neither skew nor sparse keys matter. The replication is three-dimensional: a block of
+    ``a`` goes to every block column of ``b``, a block of ``b`` to every block row of ``a``,
+    and each (row, inner, column) triple of blocks is one dense product in numpy. Block rows
+    are shuffled, not one row per product; the partial cells of the inner blocks are summed.
+    """
+    require(tile >= 1, "tile must be >= 1")
+    _same_batches(a, b, "matmul_blocks")
+
+    def count(df: DataFrame, col: str) -> int:
+        return max(1, -(-(df.select("batch", col).distinct().groupBy("batch").count().agg(F.max("count")).first()[0] or 1) // tile))
+
+    ni, nk, nj = count(a, "i"), max(count(a, "k"), count(b, "k")), count(b, "j")
+    left = matrix_blocks(a, "i", "k", ni, nk, nj).select("batch", F.col("rb").alias("bi"), F.col("cb").alias("bk"), F.col("copy").cast("long").alias("bj"), F.col("cells").alias("left"))
+    right = matrix_blocks(b, "k", "j", nk, nj, ni).select("batch", F.col("copy").cast("long").alias("bi"), F.col("rb").alias("bk"), F.col("cb").alias("bj"), F.col("cells").alias("right"))
+    pairs = left.join(right, ["batch", "bi", "bk", "bj"]).select("batch", "left", "right")
+    types = {f.name: f.dataType for f in (*a.schema.fields, *b.schema.fields)}
+    schema = StructType([StructField("batch", types["batch"]), StructField("i", types["i"]), StructField("j", types["j"]), StructField("v", DoubleType())])
+
+    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, x, y in zip(batch["batch"], batch["left"], batch["right"]):
+                (rows, inner, xv), (inner2, cols, yv) = ([[e[n] for e in cells] for n in ("r", "c", "v")] for cells in (x, y))
+                ri, r_names = pd.factorize(np.array([*rows, None], object)[:-1])
+                ci, c_names = pd.factorize(np.array([*cols, None], object)[:-1])
+                both, _ = pd.factorize(np.array([*inner, *inner2, None], object)[:-1])
+                k = int(both.max()) + 1
+                m, n = np.zeros((len(r_names), k)), np.zeros((k, len(c_names)))
+                np.add.at(m, (ri, both[:len(inner)]), xv)
+                np.add.at(n, (both[len(inner):], ci), yv)
+                # Cells that share no inner index are not part of the result.
+                met = _held(m.shape, ri, both[:len(inner)]).astype(float) @ _held(n.shape, both[len(inner):], ci).astype(float) > 0
+                i, j = np.nonzero(met)
+                yield pd.DataFrame({"batch": [key] * len(i), "i": r_names[i], "j": c_names[j], "v": (m @ n)[i, j]})
+    return pairs.mapInPandas(product, schema).groupBy("batch", "i", "j").agg(F.sum("v").alias("v"))
+
+
+def _held(shape: tuple[int, int], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    out = np.zeros(shape, bool)
+    out[rows, cols] = True
+    return out
+
+
 # --- V2, V3, V6: per-vector kernels --------------------------------------------
 
 def _dim_split(df: DataFrame, col: str, dim: int) -> tuple[DataFrame, DataFrame]:

@@ -9,12 +9,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments
+from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments, special_segments_many
 from ..functions.vectors import rule_matrix
 from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
 from ..session import checkpoint_dir, delete_on_exit, written
 from ..sources import dictionary, shards, sinks
 from ..sources.manifest import new_run
+from ..validation import require
 from . import corpus
 
 # Parameters of the registered queries.
@@ -37,6 +38,7 @@ N_TRIGRAMS = 20              # three-character strings whose merges collide
 N_MANY_SHARDS = 64
 WIDE_ALPHABET = 3000         # characters added to the alphabet
 WIDE_VOCAB = 50_257          # whole pieces in the vocabulary
+MANY_SPECIALS, SPECIALS_AT_MOST = "[A-Z][a-z][a-z][a-z]", 100_000
 MULTI_SPECIALS = ("of", "<|end", EOT)
 # Replacements that put unusual white space and characters into the documents.
 INJECTED = ((". ", ".\t \u00a0  "), (", ", ",   "), ("\n", " \r\n\t\n"), ("th", "Ω中"), (" a ", "\u2003a\x0b \u3000"))
@@ -342,6 +344,16 @@ def q_special_segments_multi(spark, d):
                     F.col("seg.special").alias("special"), F.col("seg.text").alias("seg_text"))
 
 
+def q_special_segments_many(spark, d):
+    """T1 with hundreds of specials: every capital with three small letters that the benchmark holds."""
+    found = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(MANY_SPECIALS), F.lit(0))).alias("s")).distinct()
+    specials = sorted(r["s"] for r in found.limit(SPECIALS_AT_MOST + 1).collect())
+    require(len(specials) <= SPECIALS_AT_MOST, "too many specials for one list")
+    s = docs(spark, d).select("shard_idx", "row_idx", F.posexplode(special_segments_many(F.col("text"), specials)).alias("seg_idx", "seg"))
+    return s.select("shard_idx", "row_idx", F.col("seg_idx").cast("int").alias("seg_idx"),
+                    F.col("seg.special").alias("special"), F.col("seg.text").alias("seg_text"))
+
+
 # --- registered building blocks -----------------------------------------------------
 
 def q_scan_shards(spark, d):
@@ -424,6 +436,7 @@ def q_merge_pass_docs(spark, d):
 
 DIM = 64
 HEADS = 4
+MATRIX_INNER, MATRIX_TILE = 90, 32
 TILE = 64
 HISTORY, WINDOW_TILE = 12, 2
 GAPS = 41                    # vec_id modulo this: 1 no vector, 2 a short one, 3 a missing entry
@@ -454,6 +467,16 @@ def q_matmul_cells(spark, d):
     return c.select("batch", "i", "j", (F.round("v", 4) + F.lit(0.0)).alias("v"))
 
 
+def q_matmul_blocks(spark, d):
+    """V1 by blocks: suppliers by residues of parts, times residues of parts by line numbers."""
+    li = table(spark, d, "lineitem")
+    inner = F.pmod("l_partkey", F.lit(MATRIX_INNER)).alias("k")
+    a = li.groupBy(F.col("l_returnflag").alias("batch"), F.col("l_suppkey").alias("i"), inner).agg(F.sum("l_quantity").alias("v"))
+    b = li.groupBy(F.col("l_returnflag").alias("batch"), inner, F.col("l_linenumber").alias("j")).agg(F.sum("l_discount").alias("v"))
+    c = vectors.matmul_blocks(a, b, MATRIX_TILE)
+    return c.select("batch", "i", "j", (F.round("v", 4) + F.lit(0.0)).alias("v"))
+
+
 def _gappy(spark, d):
     """The embeddings, some without a vector, with a short one, or with a missing entry."""
     case, at = F.col("vec_id") % GAPS, F.col("embedding")
@@ -589,6 +612,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_docs": q_encode_docs,
     "decode_docs": q_decode_docs,
     "matmul_cells": q_matmul_cells,
+    "matmul_blocks": q_matmul_blocks,
     "vector_standardize": q_vector_standardize,
     "ffn_scores": q_ffn_scores,
     "project_vectors": q_project_vectors,
@@ -605,4 +629,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "oov_rejects": q_oov_rejects,
     "pieces_injected": q_pieces_injected,
     "special_segments_multi": q_special_segments_multi,
+    "special_segments_many": q_special_segments_many,
 }

@@ -583,3 +583,20 @@ JOIN merges m ON m.text = x.pair"""
 ORACLES["cached_tokens"] = ORACLES["shard_tokens"]
 ORACLES["split_windows"] = f"SELECT * FROM ({ORACLES['token_windows']}) WHERE split <> 'train'"
 ORACLES["piece_dictionary"] = ORACLES["piece_codes"]
+
+ORACLES["matmul_blocks"] = f"""WITH
+a AS (SELECT l_returnflag AS batch, l_suppkey AS i, l_partkey % {C.MATRIX_INNER} AS k, sum(l_quantity) AS v FROM lineitem GROUP BY ALL),
+b AS (SELECT l_returnflag AS batch, l_partkey % {C.MATRIX_INNER} AS k, l_linenumber AS j, sum(l_discount) AS v FROM lineitem GROUP BY ALL)
+SELECT a.batch, a.i, b.j, round(sum(a.v * b.v), 4) + 0.0 AS v
+FROM a JOIN b ON a.batch = b.batch AND a.k = b.k GROUP BY ALL"""
+
+# Such specials cannot overlap; candidates are marked off, those that are no specials join their neighbours.
+ORACLES["special_segments_many"] = f"""WITH {DOCS},
+s AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{C.MANY_SPECIALS}')) AS w FROM benchmark),
+l AS (SELECT shard_idx, row_idx, string_split(regexp_replace(text, '({C.MANY_SPECIALS})', chr({0x50000}) || '\\1' || chr({0x50000}), 'g'), chr({0x50000})) AS l
+      FROM docs WHERE text <> ''),
+p AS (SELECT shard_idx, row_idx, unnest(l) AS part, generate_subscripts(l, 1) AS i FROM l),
+f AS (SELECT p.*, p.i % 2 = 0 AND s.w IS NOT NULL AS special FROM p LEFT JOIN s ON s.w = p.part WHERE part <> ''),
+b AS (SELECT *, special OR coalesce(lag(special) OVER w, true) AS starts FROM f WINDOW w AS (PARTITION BY shard_idx, row_idx ORDER BY i)),
+n AS (SELECT *, sum(starts::INTEGER) OVER (PARTITION BY shard_idx, row_idx ORDER BY i) - 1 AS no FROM b)
+SELECT shard_idx, row_idx, CAST(no AS INTEGER) AS seg_idx, special, string_agg(part, '' ORDER BY i) AS seg_text FROM n GROUP BY ALL"""
