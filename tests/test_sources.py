@@ -19,6 +19,27 @@ def test_character_budget_golden(spark):
     assert [r.text for r in got] == ["abc", "de"]
 
 
+def test_negative_ids_have_places_of_their_own(spark):
+    docs = spark.createDataFrame([(i, str(i)) for i in range(-9, 10)], "doc_id long, text string")
+    got = shards.documents_as_shards(docs, 4).collect()
+    assert len({(r.shard_idx, r.row_idx) for r in got}) == 19 and all(4 * r.row_idx + r.shard_idx == int(r.text) for r in got)
+
+
+def test_budget_over_buckets(spark):
+    """Any bucket size and budget gives the running cut; rows behind the cut are filtered before the window."""
+    texts = ["abc", "", None, "defg", "x" * 7, "", "yz", "w" * 11, "v", "u" * 5] * 3
+    docs = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)] + [(1, 0, "zzz")], "shard_idx int, row_idx long, text string")
+    for rows, most in ((1, 5), (2, 8), (4, 30), (7, 31), (64, 33), (3, 1000), (2, 1)):
+        got = sampling.training_sample(docs, 1.0, most, bucket_rows=rows).orderBy("row_idx").collect()
+        assert "".join(r.text for r in got) == "".join(t or "" for t in texts)[:most]
+        assert all(r.text and r.n_chars == len(r.text) for r in got)
+    head = docs.filter("shard_idx = 0 AND text <> ''")
+    assert sampling.bucket_totals(head, 30, 9, 2) == [(0, 3), (1, 4), (2, 7), (3, 13)]  # rows 0-1, then 2-3, then 4-7
+    plan = sampling.training_sample(docs, 1.0, 5, bucket_rows=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"row_idx#\d+L < 4\)", plan)
+    assert sampling.training_sample(docs, 1.0, 5, shard=9).count() == 0
+
+
 def test_budget_estimate_and_missing(spark):
     assert shards.estimate_shards_needed(124_000_000) == 50
     present = spark.createDataFrame([(0,), (2,)], "shard_idx int")

@@ -8,8 +8,25 @@ from pyspark.sql import functions as F
 from ..validation import require, require_columns
 
 
+# Rows whose lengths are summed together.
+BUCKET_ROWS = 1 << 13
+
+
+def bucket_totals(head: DataFrame, n_rows: int, max_chars: int, bucket_rows: int = BUCKET_ROWS) -> list[tuple[int, int]]:
+    """``(bucket, characters)`` of the first buckets of rows, in order, until ``max_chars`` are
+    reached. The range of rows looked at doubles, so not much more than the prefix is read."""
+    bucket = F.floor(F.col("row_idx") / bucket_rows).cast("long")
+    out, lo, hi = [], 0, bucket_rows
+    while True:
+        part = head.filter((F.col("row_idx") >= lo) & (F.col("row_idx") < hi)).groupBy(bucket.alias("b")).agg(F.sum(F.length("text")).alias("n"))
+        out += sorted(map(tuple, part.collect()))
+        if hi >= n_rows or sum(n for _, n in out) >= max_chars:
+            return out
+        lo, hi = hi, 2 * hi
+
+
 def training_sample(docs: DataFrame, shard_fraction: float = 0.01,
-                    max_chars: int = 200_000, shard: int = 0) -> DataFrame:
+                    max_chars: int = 200_000, shard: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """L1 + L2 + W2: the first ``max(1, int(n * fraction))`` rows of the shard
     (empty ones count but are skipped), cut to a running character budget;
     the document that crosses the budget is truncated.
@@ -17,8 +34,8 @@ def training_sample(docs: DataFrame, shard_fraction: float = 0.01,
     Returns ``(row_idx, text, n_chars)``; joined with newlines these rows
     are the tokenizer's training text. ``row_idx`` is the dense row
     position in the shard, so the head is a pushed-down range filter.
-    The budget window runs over the sampled rows only (one shard, a
-    fraction of it).
+    The bucket in which the budget ends comes from the characters of buckets of rows; rows
+    behind it are not read again, and the running sum is taken inside each bucket.
     """
     require(0 < shard_fraction <= 1, "shard_fraction must be in (0, 1]")
     require(max_chars > 0, "max_chars must be > 0")
@@ -27,10 +44,18 @@ def training_sample(docs: DataFrame, shard_fraction: float = 0.01,
     n_rows = in_shard.count()
     n_sample = max(1, int(n_rows * shard_fraction))
     head = in_shard.filter((F.col("row_idx") < n_sample) & F.col("text").isNotNull() & (F.col("text") != ""))
-    w = Window.partitionBy("shard_idx").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.length("text")).over(w), F.lit(0))
-    budget = head.select("row_idx", "text", before.alias("before")).filter(F.col("before") < max_chars)
-    cut = F.expr(f"substring(text, 1, {max_chars} - before)")
+    bases, total = [], 0
+    for b, n in bucket_totals(head, n_sample, max_chars, bucket_rows):
+        if total < max_chars:
+            bases.append((b, total))
+        total += n
+    end = (bases[-1][0] + 1) * bucket_rows if bases else 0
+    table = docs.sparkSession.createDataFrame(bases, "bucket long, base long")  # one row for each bucket before the cut
+    rows = head.filter(F.col("row_idx") < end).withColumn("bucket", F.floor(F.col("row_idx") / bucket_rows).cast("long")).join(F.broadcast(table), "bucket")
+    w = Window.partitionBy("bucket").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("base") + F.coalesce(F.sum(F.length("text")).over(w), F.lit(0))
+    budget = rows.select("row_idx", "text", before.alias("before")).filter(F.col("before") < max_chars)
+    cut = F.expr(f"substring(text, 1, int({max_chars} - before))")
     return budget.select("row_idx", cut.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 

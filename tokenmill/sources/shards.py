@@ -61,7 +61,7 @@ def documents_as_shards(docs: DataFrame, n_shards: int, id_column: str = "doc_id
     doc_id = F.col(id_column).cast("long")
     return spread(docs.select(
         F.pmod(doc_id, F.lit(n_shards)).cast("int").alias("shard_idx"),
-        F.expr(f"CAST(`{id_column}` AS BIGINT) div {int(n_shards)}").alias("row_idx"),
+        F.expr(f"(CAST(`{id_column}` AS BIGINT) - pmod(CAST(`{id_column}` AS BIGINT), {int(n_shards)})) div {int(n_shards)}").alias("row_idx"),
         F.col(text_column).alias("text"),
     ))
 
