@@ -76,3 +76,15 @@ def test_repeated_and_empty(spark):
     out = W.resolve_revisits(spark.createDataFrame([row, row, rev, rev], SCHEMA), payload=("body",)).collect()
     assert sorted((r["record_id"], r["outcome"], r["body"], r["refers_to"]) for r in out) == [(1, "full", "b", 1)] * 2 + [(2, "resolved", "b", 1)] * 2
     assert W.resolve_revisits(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_columns_with_any_name(spark):
+    """Inner names, dots and payloads of any name come back as they were."""
+    schema = SCHEMA.replace("body string", "`__p1.x` string") + ", __key string, __slice int, __near string, __found string, __rest int, `a.b` int, p0 string"
+    full = (1, "http://a.com/", T0, 200, '"x"', None, None, "b", "o", "keep", 7, "n", "f", 3, 5, "p")
+    again = (2, "http://a.com/", T0 + timedelta(days=9), 304, 'W/"x"', None, {"date": "d"}, None, "o", "mine", 8, None, "g", 4, 6, None)
+    df = spark.createDataFrame([full, again], schema)
+    out = W.resolve_revisits(df, payload=("__p1.x", "p0")).orderBy("record_id").collect()
+    assert list(out[0].asDict()) == [c for c in df.columns if c != "outcome"] + ["refers_to", "outcome"]
+    assert tuple(out[0])[7:] == ("b", "keep", 7, "n", "f", 3, 5, "p", 1, "full")
+    assert tuple(out[1])[7:] == ("b", "mine", 8, None, "g", 4, 6, "p", 1, "resolved")

@@ -39,6 +39,10 @@ def canonical_url(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), out)
 
 
+#: What a record must have.
+RECORD = ("record_id", "url", "ts", "status", "etag", "last_modified", "headers")
+
+
 def _weak(etag: Column) -> Column:
     """Weak comparison: the opaque tag alone."""
     return F.regexp_replace(etag, "^W/", "")
@@ -73,21 +77,25 @@ def resolve_revisits(records: DataFrame, payload: tuple[str, ...] = (), slice_se
     output are replaced.
     """
     cols = [c for c in records.columns if c not in ("refers_to", "outcome")]
+    # Other columns, whatever they are called, travel in one struct.
+    others = [c for c in cols if c not in RECORD and c not in payload]
+    records = records.select(*RECORD, *[F.col(f"`{c}`").alias(f"__p{i}") for i, c in enumerate(payload)],
+                             F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in others]).alias("__rest"))
     key = canonical_url(F.col("url"))
     # Without a key nothing can match, so those rows are dealt by record id.
     at = F.coalesce(F.floor(F.col("ts").cast("double") / slice_seconds), F.lit(-2 ** 62)).cast("long")
-    rows = (records.select(*cols).withColumn("__key", key)
+    rows = (records.withColumn("__key", key)
             .withColumn("__slice", F.when(key.isNull(), F.xxhash64("record_id")).otherwise(at)))
     order = [F.col("ts").asc_nulls_first(), F.col("record_id").asc_nulls_first()]
     full = F.struct(F.col("record_id").alias("id"), F.col("etag").alias("etag"),
                     F.col("last_modified").alias("modified"), F.col("headers").alias("headers"),
-                    *[F.col(c).alias(f"p_{c}") for c in payload])
+                    *[F.col(f"__p{i}").alias(f"p{i}") for i in range(len(payload))])
     is_full = (F.col("status") == FULL) & F.col("__key").isNotNull()
     inside = Window.partitionBy("__key", "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     near = rows.withColumn("__near", F.last(F.when(is_full, full), ignorenulls=True).over(inside))
 
     # The last full response of each slice, then the latest one of any slice before.
-    lasts = (records.select(*cols).withColumn("__key", key).withColumn("__slice", at).filter(is_full)
+    lasts = (records.withColumn("__key", key).withColumn("__slice", at).filter(is_full)
              .groupBy("__key", "__slice")
              .agg(F.max_by(F.col("record_id"), F.struct("ts", "record_id")).alias("id"),
                   F.max_by(full, F.struct("ts", "record_id")).alias("__last")).drop("id"))
@@ -113,9 +121,10 @@ def resolve_revisits(records: DataFrame, payload: tuple[str, ...] = (), slice_se
         if c == "headers":
             out.append(F.when(taken, merged_headers(F.col("__found.headers"), F.col(c))).otherwise(F.col(c)).alias(c))
         elif c in payload:
-            out.append(F.when(taken, F.col(f"__found.p_{c}")).otherwise(F.col(c)).alias(c))
+            i = payload.index(c)
+            out.append(F.when(taken, F.col(f"__found.p{i}")).otherwise(F.col(f"__p{i}")).alias(c))
         else:
-            out.append(F.col(f"`{c}`"))
+            out.append(F.col(c) if c in RECORD else F.col("__rest").getField(c).alias(c))
     refers = F.when(F.col("__outcome") == "full", F.col("record_id")).when(
         F.col("__outcome").isin("resolved", "mismatch", "unvalidated"), F.col("__found.id"))
     return done.select(*out, refers.alias("refers_to"), F.col("__outcome").alias("outcome"))
