@@ -1,7 +1,6 @@
 """Registered queries of the corpus operators, with production parameters on whole tables."""
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +70,8 @@ def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers  # the vocabulary files; only this query needs them
+
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     encoded = byte_bpe.encode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
     digests = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
