@@ -116,4 +116,25 @@ FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 *
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
 """
 
-ORACLES = {"op6_warc_revisits": REVISITS, "op10_top_k": TOP_K, "op13_hard_negatives": HARD_NEGATIVES, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}
+# crc32 from its definition: a table of 256 entries, then one step a byte.
+SPELLING = f"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+r AS (SELECT doc_id, translate(run, '{_UP}', '{_LOW}') AS run, count(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+x AS (SELECT run, n, hex(encode(doc_id || ':' || run)) AS x FROM r),
+b AS (SELECT run, n, list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT) AS b FROM x),
+h AS (SELECT run, n, xor(list_reduce(b, lambda c, v: xor(t[(xor(c, v) & 255) + 1], c >> 8), 4294967295), 4294967295) AS h FROM b, t),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+k AS (SELECT word, n, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT DISTINCT k.word AS a, u.word AS b FROM k JOIN w u ON u.word = k.l || k.r),
+near AS (SELECT DISTINCT a.word, b.word AS near, b.n FROM k a JOIN k b ON a.l = b.l AND a.r = b.r AND a.word <> b.word
+         UNION ALL SELECT a, b, w.n FROM p JOIN w ON w.word = b UNION ALL SELECT b, a, w.n FROM p JOIN w ON w.word = a),
+best AS (SELECT word, near, n AS form_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS rank FROM near),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN near END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+      FROM w LEFT JOIN best ON best.word = w.word AND rank = 1),
+walk AS (SELECT word, word AS here, form AS next FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.next)
+SELECT f.word, form, here AS root, n, n_near, form_n FROM f JOIN walk ON walk.word = f.word AND walk.next IS NULL
+"""
+
+ORACLES = {"op6_warc_revisits": REVISITS, "op10_top_k": TOP_K, "op11_spelling_variants": SPELLING, "op13_hard_negatives": HARD_NEGATIVES, "op2_sharding": SHARDING, "op4_mixing": MIXING, "op5_decontamination": DECONTAMINATION}
