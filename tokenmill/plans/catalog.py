@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments, special_segments_many
 from ..functions.vectors import rule_matrix
 from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
-from ..session import checkpoint_dir, delete_on_exit, written
+from ..session import checkpoint_dir, child_names, delete_on_exit, move_file, written
 from ..sources import dictionary, shards, sinks
 from ..sources.manifest import new_run
 from ..validation import require
@@ -361,6 +361,29 @@ def q_scan_shards(spark, d):
     return shards.scan_shards(spark, f"{d}/documents.parquet")
 
 
+def q_scan_shard_files(spark, d):
+    """S1 on files called by their shard numbers: the documents by id, a file a shard."""
+    path = f"{checkpoint_dir(spark)}/raw-{new_run()}"
+    delete_on_exit(spark, path)
+    for i in range(N_SHARDS):
+        part = table(spark, d, "documents").filter(F.pmod("doc_id", F.lit(N_SHARDS)) == i)
+        part.select("text", "doc_id").coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{path}/{i}")
+        for name in child_names(spark, f"{path}/{i}"):
+            if name.endswith(".parquet"):
+                move_file(spark, f"{path}/{i}/{name}", f"{path}/raw/{shards.SHARD_NAME_FORMAT % i}")
+    return shards.scan_shards(spark, f"{path}/raw")
+
+
+def q_stored_tokenizer(spark, d):
+    """The vocabulary of the trained tokenizer, read back from its second stored version."""
+    path = f"{checkpoint_dir(spark)}/tokenizer-{new_run()}"
+    delete_on_exit(spark, path)
+    t = trained(spark, d)
+    sinks.write_tokenizer(t.vocab.filter("kind <> 'merge'"), t.merges.filter("false"), path)
+    sinks.write_tokenizer(t.vocab, t.merges, path)
+    return sinks.read_tokenizer(spark, path)[0].select("token", "text", "kind")
+
+
 def q_pending_shards(spark, d):
     """Shards of the documents (by id) for which the benchmark holds no item."""
     by = lambda c: F.pmod(F.col(c), F.lit(N_MANY_SHARDS)).cast("int").alias("shard_idx")
@@ -621,6 +644,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "causal_pool_window": q_causal_pool_window,
     "group_softmax": q_group_softmax,
     "scan_shards": q_scan_shards,
+    "scan_shard_files": q_scan_shard_files,
+    "stored_tokenizer": q_stored_tokenizer,
     "pending_shards": q_pending_shards,
     "piece_lookup": q_piece_lookup,
     "mergeable_pairs": q_mergeable_pairs,

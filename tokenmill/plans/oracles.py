@@ -600,3 +600,7 @@ f AS (SELECT p.*, p.i % 2 = 0 AND s.w IS NOT NULL AS special FROM p LEFT JOIN s
 b AS (SELECT *, special OR coalesce(lag(special) OVER w, true) AS starts FROM f WINDOW w AS (PARTITION BY shard_idx, row_idx ORDER BY i)),
 n AS (SELECT *, sum(starts::INTEGER) OVER (PARTITION BY shard_idx, row_idx ORDER BY i) - 1 AS no FROM b)
 SELECT shard_idx, row_idx, CAST(no AS INTEGER) AS seg_idx, special, string_agg(part, '' ORDER BY i) AS seg_text FROM n GROUP BY ALL"""
+
+ORACLES["scan_shard_files"] = f"""SELECT CAST(doc_id % {C.N_SHARDS} AS INTEGER) AS shard_idx,
+  row_number() OVER (PARTITION BY doc_id % {C.N_SHARDS} ORDER BY doc_id) - 1 AS row_idx, text FROM documents"""
+ORACLES["stored_tokenizer"] = ORACLES["vocab_after_merges"]

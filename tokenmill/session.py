@@ -80,6 +80,13 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop).close()
 
 
+def move_file(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file; its new folder is made if it is missing."""
+    fs, hadoop = _filesystem(spark, target)
+    fs.mkdirs(hadoop.getParent())
+    fs.rename(_filesystem(spark, path)[1], hadoop)
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Delete a folder when the driver's JVM ends."""
     fs, hadoop = _filesystem(spark, path)
