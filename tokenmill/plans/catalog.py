@@ -25,7 +25,7 @@ CONTEXT = 64
 N_VAL = 2_000
 N_TEST = 2_000
 N_WORKERS = 3
-CACHE_ROWS = 20              # documents of a bucket of the token cache
+CACHE_ROWS = 100             # documents of a bucket of the token cache
 MODEL_PARAMS = 124_000_000   # planning estimate -> expected shard count
 BUDGET_PARAMS = 50_000       # measured budget: 20 tokens per parameter
 SAMPLE = (0.01, 200_000)     # reference defaults
