@@ -38,11 +38,16 @@ AUTOMATON = 64
 _OTHER_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in OTHER_WHITESPACE) + "]"
 
 
+def preprocess_text(text: Column) -> Column:
+    """:func:`preprocess_chars` as one string."""
+    return F.translate(F.regexp_replace(text, "^ ", ""), " ", SPACE_MARK)
+
+
 def preprocess_chars(text: Column) -> Column:
     """Training-time characters: a space at position 0 is dropped, every other
     space becomes the marker; other whitespace is kept as a character.
     Returns ``array<string>`` (empty for an empty text)."""
-    marked = F.translate(F.regexp_replace(text, "^ ", ""), " ", SPACE_MARK)
+    marked = preprocess_text(text)
     return F.when(F.length(marked) == 0, F.array().cast("array<string>")) \
         .otherwise(F.split(marked, ""))
 

@@ -7,15 +7,21 @@ vocabulary size, no shuffle and nothing cached.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from ..functions.text import EOT, segment_pieces, special_segments
+from ..plans.strategy import collect_checked, ship
 from ..validation import TokenmillError, require, require_columns
 from . import segments
-from .tokenizer import SPECIAL_MARK, collect_checked, encode_lists
+from .tokenizer import (NONE, SCAN_TOKENS, SPECIAL_MARK, MergeTable, as_lists, encode_lists, list_sizes, lookup_chars, map_slices,
+                        merge_table, ranges)
 from .vocab import text_to_token
 
 DOC_KEYS = ("shard_idx", "row_idx")
@@ -49,11 +55,10 @@ def distinct_pieces(docs: DataFrame, specials: Sequence[str] = (EOT,), special_m
     return doc_pieces(docs, specials, special_mode).select(F.explode(pieces).alias("piece")).distinct()
 
 
-def _char_rows(pieces: DataFrame, lookup: DataFrame) -> DataFrame:
-    """``(piece, pos, tok)``: characters of each piece as token ids."""
-    chars = pieces.select("piece", F.posexplode(F.split("piece", "")).alias("pos", "ch"))
-    return (chars.join(lookup.select(F.col("text").alias("ch"), F.col("token").alias("tok")), "ch", "left")
-            .select("piece", F.col("pos").cast("int").alias("pos"), "tok"))
+def char_lists(texts: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
+    """``texts`` with the characters of ``column`` as ``tokens array<int>``, NULL for an unknown one."""
+    keys = [F.col(f"`{c}`") for c in texts.columns]
+    return lookup_chars(texts.select(*keys, F.col(column).alias("__chars")), "__chars", vocab, strict=False)
 
 
 def _neighbour(rows: DataFrame, keys: list[str], chunk: int) -> tuple[DataFrame, DataFrame]:
@@ -70,6 +75,53 @@ def _neighbour(rows: DataFrame, keys: list[str], chunk: int) -> tuple[DataFrame,
     return inner.join(edges, [*keys, "chunk"], "left").withColumn("nxt", nxt).drop("next_first", "ends"), long
 
 
+def _scanned(rows: DataFrame, merges: DataFrame, chunk: int, fields: list[StructField],
+             out: Callable[..., list[pa.Array]]) -> DataFrame:
+    """Whole sequences ``(…, tokens)`` through one pass; ``out`` makes the columns after the keys."""
+    require(chunk >= 1, "chunk must be >= 1")
+    keys = [f for f in rows.schema.fields if f.name not in ("tokens", "pos")]
+    given = "pos" in rows.columns
+    table = merge_table(merges)
+    shared = ship(rows.sparkSession, table, 128 * len(table), "the merge table")
+    step = chunk * max(1, SCAN_TOKENS // chunk)
+
+    def make():
+        merge = MergeTable(shared.value)
+
+        def run(batch: pa.RecordBatch) -> list[pa.Array]:
+            lists = batch.column(batch.num_columns - 1)
+            sizes = list_sizes(lists)
+            flat = pc.fill_null(lists.flatten().cast(pa.int64()), NONE).to_numpy(zero_copy_only=False)
+            at = ranges(np.zeros(len(sizes), np.int64), sizes)
+            if given:
+                places = batch.column(batch.num_columns - 2)
+                mine = np.repeat(places.is_valid().to_numpy(zero_copy_only=False), sizes)
+                at[mine] = places.flatten().to_numpy(zero_copy_only=False)
+            return out(batch.columns[:len(keys)], flat, sizes, at, lists, merge.scan(flat, sizes, step))
+        return run
+    named = [F.col(f"`{f.name}`") for f in keys]
+    return map_slices(rows.select(*named, *(["pos"] if given else []), "tokens"), "tokens", StructType([*keys, *fields]), make)
+
+
+def _merge_lists(rows: DataFrame, merges: DataFrame, chunk: int) -> DataFrame:
+    def out(keys, flat, sizes, at, lists, scanned):
+        found, tokens, kept = scanned
+        seq = np.repeat(np.arange(len(sizes)), sizes)
+        hit = np.bincount(seq[found != NONE], minlength=len(sizes)) > 0
+        left, null = np.bincount(seq[kept], minlength=len(sizes)), lists.is_null() if lists.null_count else None
+        return [*keys, pa.array(hit), as_lists(at[kept], left, null), as_lists(tokens[kept], left, null)]
+    ints = ArrayType(IntegerType())
+    return _scanned(rows, merges, chunk, [StructField("hit", BooleanType()), StructField("pos", ints), StructField("tokens", ints)], out)
+
+
+def _pairs_of_lists(rows: DataFrame, merges: DataFrame, chunk: int) -> DataFrame:
+    def out(keys, flat, sizes, at, lists, scanned):
+        i = np.flatnonzero(scanned[0] != NONE)
+        seq = pa.array(np.repeat(np.arange(len(sizes)), sizes)[i])
+        return [*[k.take(seq) for k in keys], *[pa.array(x.astype(np.int32)) for x in (at[i], flat[i], flat[i + 1], scanned[0][i])]]
+    return _scanned(rows, merges, chunk, [StructField(c, IntegerType()) for c in ("pos", "tok", "nxt", "new_token")], out)
+
+
 def merge_pass(rows: DataFrame, merges: DataFrame, key: str | Sequence[str] = "piece", chunk: int = CHUNK_TOKENS) -> DataFrame:
     """W3 + J4 + W4: one left-to-right pass over every sequence.
 
@@ -82,7 +134,14 @@ def merge_pass(rows: DataFrame, merges: DataFrame, key: str | Sequence[str] = "p
     Sequences are scanned in chunks of ``chunk`` positions. What reaches a chunk from the
     chunks before it, its first position being taken or not, is composed from their
     summaries (:mod:`.segments`), so a sequence of any length spreads over tasks.
+
+    ``rows`` may also hold each sequence whole: ``(key, …, tokens array<int>)``, with ``pos
+    array<int>`` if positions are not 0, 1, 2, …. These are scanned where they are, again
+    chunks of positions at a time, and nothing is shuffled: ``(key, …, hit, pos, tokens)``,
+    one row a sequence.
     """
+    if "tokens" in rows.columns:
+        return _merge_lists(rows, merges, chunk)
     keys = [key] if isinstance(key, str) else list(key)
     w = Window.partitionBy(*keys, "chunk").orderBy("pos")
     m = merges.select(F.col("t1").alias("tok"), F.col("t2").alias("nxt"), "new_token")
@@ -110,7 +169,10 @@ def merge_pass(rows: DataFrame, merges: DataFrame, key: str | Sequence[str] = "p
 
 
 def mergeable_pairs(rows: DataFrame, merges: DataFrame, key: str = "piece", chunk: int = CHUNK_TOKENS) -> DataFrame:
-    """J4 + W3: ``(key, pos, tok, nxt, new_token)`` of the neighbours that the merge table holds."""
+    """J4 + W3: ``(key, pos, tok, nxt, new_token)`` of the neighbours that the merge table holds.
+    ``rows`` may hold whole sequences, as in :func:`merge_pass`."""
+    if "tokens" in rows.columns:
+        return _pairs_of_lists(rows, merges, chunk)
     m = merges.select(F.col("t1").alias("tok"), F.col("t2").alias("nxt"), "new_token")
     return _neighbour(rows.select(key, "pos", "tok"), [key], chunk)[0].join(m, ["tok", "nxt"]).select(key, "pos", "tok", "nxt", "new_token")
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import N_BASE, SPACE_MARK, preprocess_chars
+from ..functions.text import N_BASE, SPACE_MARK, preprocess_chars, preprocess_text
 from ..plans.strategy import collect_checked
 from ..validation import TokenmillError, require_columns
 from .tokenizer import lookup_chars
@@ -81,8 +81,7 @@ def char_tokens(docs: DataFrame, vocab: DataFrame, strict: bool = True) -> DataF
     """
     require_columns(docs, ["text"], "char_tokens")
     keys = [c for c in docs.columns if c != "text"]
-    chars = F.when(F.col("text").isNotNull(), preprocess_chars(F.col("text")))
-    return lookup_chars(docs.select(*keys, chars.alias("__chars")), "__chars", vocab, strict)
+    return lookup_chars(docs.select(*keys, preprocess_text(F.col("text")).alias("__chars")), "__chars", vocab, strict)
 
 
 def extend_vocab(vocab: DataFrame, merges: DataFrame) -> DataFrame:

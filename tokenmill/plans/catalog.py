@@ -53,8 +53,8 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Character-level vocabulary of the whole corpus (no merges)."""
-    return vocab.initial_vocab(vocab.distinct_chars(docs(spark, sf_dir)), SPECIALS)
+    """Character-level vocabulary of the whole corpus (no merges), found by one scan for all its uses."""
+    return encode.held_vocab(vocab.initial_vocab(vocab.distinct_chars(docs(spark, sf_dir)), SPECIALS))
 
 
 def char_shard_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,19 +391,21 @@ def q_pending_shards(spark, d):
     return shards.pending_shards(raw, table(spark, d, "benchmark").select(by("item_id")))
 
 
-def _pass_rows(spark, d):
-    return encode._char_rows(encode.distinct_pieces(docs(spark, d), SPECIALS), vocab.text_to_token(char_vocab(spark, d)))
+def _pass_rows(spark, d, v):
+    return encode.char_lists(encode.distinct_pieces(docs(spark, d), SPECIALS), "piece", v)
 
 
 def q_piece_lookup(spark, d):
     """Whole pieces in the vocabulary extended by the data-derived merges."""
-    ext = vocab.extend_vocab(char_vocab(spark, d), pass_merges(spark, d))
+    v = char_vocab(spark, d)
+    ext = vocab.extend_vocab(v, pass_merges(spark, d, v))
     return encode.piece_lookup(encode.distinct_pieces(docs(spark, d), SPECIALS), ext)
 
 
 def q_mergeable_pairs(spark, d):
     """J4 + W3: neighbours in a piece that the data-derived merge table holds."""
-    return encode.mergeable_pairs(_pass_rows(spark, d), pass_merges(spark, d))
+    v = char_vocab(spark, d)
+    return encode.mergeable_pairs(_pass_rows(spark, d, v), pass_merges(spark, d, v))
 
 
 def _corpus_piece_blocks(spark, d):
@@ -423,11 +425,11 @@ def q_top_pairs(spark, d):
     return top.select("pair", F.col("n").cast("long").alias("n"))
 
 
-def pass_merges(spark, d):
+def pass_merges(spark, d, chars, blocks=None):
     """A data-derived merge table: the most frequent character pairs of the
-    corpus pieces, new ids from 1000 in rank order."""
-    v = vocab.text_to_token(char_vocab(spark, d))
-    c = bpe.pair_counts(_corpus_piece_blocks(spark, d), boundaries=False)
+    corpus pieces (``blocks``, if they are there already), new ids from 1000 in rank order."""
+    v = vocab.text_to_token(chars)
+    c = bpe.pair_counts(_corpus_piece_blocks(spark, d) if blocks is None else blocks, boundaries=False)
     top = c.orderBy(F.desc("n"), F.asc("first")).limit(N_PASS_MERGES)
     ranked = top.select(F.substring("pair", 1, 1).alias("a"), F.substring("pair", 2, 1).alias("b"),
                         F.row_number().over(Window.orderBy(F.desc("n"), F.asc("first"))).alias("r"))
@@ -440,19 +442,29 @@ def pass_merges(spark, d):
 def q_merge_pass(spark, d):
     """W3 + J4 + W4: one greedy pass of the data-derived merge table over
     every distinct piece of the corpus."""
-    out = encode.merge_pass(_pass_rows(spark, d), pass_merges(spark, d))
-    return out.groupBy("piece").agg(ints_to_text(F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
+    v = char_vocab(spark, d)
+    out = encode.merge_pass(_pass_rows(spark, d, v), pass_merges(spark, d, v))
+    return out.select("piece", ints_to_text(F.col("tokens")).alias("codes"))
 
 
 def q_merge_pass_docs(spark, d):
-    """The same pass over whole documents: each is one sequence of characters, scanned in chunks."""
+    """The same pass over whole documents: each is one sequence of characters, scanned in chunks.
+    Documents of one key are one sequence, in the order of their positions."""
     keys = ["shard_idx", "row_idx"]
-    chars = docs(spark, d).select(*keys, F.posexplode(F.split("text", "")).alias("pos", "ch")).filter("ch <> ''")
-    ids = vocab.text_to_token(char_vocab(spark, d)).select(F.col("text").alias("ch"), F.col("token").alias("tok"))
-    out = encode.merge_pass(chars.join(ids, "ch", "left"), pass_merges(spark, d), keys, chunk=PASS_CHUNK)
-    return out.groupBy(*keys).agg(F.count("*").alias("n_tokens"), ints_to_text(F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])).alias("codes"))
+    same = docs(spark, d).filter(F.col("text") != "").groupBy(*keys).agg(F.collect_list("text").alias("texts"))
+    chars = F.sort_array(F.flatten(F.transform("texts", lambda t: F.transform(F.split(t, ""), lambda c, i: F.struct(i.alias("pos"), c.alias("ch"))))))
+    alone = F.size("texts") == 1
+    seqs = same.withColumn("chars", F.when(~alone, chars)).select(
+        *keys, F.when(~alone, F.transform("chars", lambda c: c["pos"])).alias("pos"),
+        F.when(alone, F.element_at("texts", 1)).otherwise(F.array_join(F.transform("chars", lambda c: c["ch"]), "")).alias("text"))
+    v = char_vocab(spark, d)
+    rows = encode.char_lists(seqs, "text", v).drop("text")
+    out = encode.merge_pass(rows, pass_merges(spark, d, v), keys, chunk=PASS_CHUNK)
+    # Positions that repeat are ordered by their tokens.
+    repeat = F.size("pos") > F.size(F.array_distinct("pos"))
+    tied = F.transform(F.sort_array(F.arrays_zip("pos", "tokens")), lambda x: x["tokens"])
+    return out.select(*keys, F.size("tokens").cast("long").alias("n_tokens"),
+                      ints_to_text(F.when(repeat, tied).otherwise(F.col("tokens"))).alias("codes"))
 
 
 # --- vector tables ----------------------------------------------------------------
@@ -572,17 +584,15 @@ def two_level_merges(spark, d):
     (occurrence-weighted, ties by ids) become level 2 (ids from 2000).
     Returns ``(vocab, merges)`` extending the character vocabulary."""
     cv = char_vocab(spark, d)
-    v = vocab.text_to_token(cv)
-    blocks = _corpus_piece_blocks(spark, d)
-    l1 = written(pass_merges(spark, d), "level-1")
-    rows = encode._char_rows(blocks.select(F.col("s").alias("piece")), v)
+    blocks = written(_corpus_piece_blocks(spark, d), "piece-blocks")
+    l1 = written(pass_merges(spark, d, cv, blocks), "level-1")
+    rows = encode.char_lists(blocks.select(F.col("s").alias("piece"), "w"), "piece", cv)
     passed = encode.merge_pass(rows, l1)
-    w = Window.partitionBy("piece").orderBy("pos")
-    adj = passed.withColumn("nxt", F.lead("tok").over(w)).filter(
-        F.col("nxt").isNotNull() & ((F.col("tok") >= 1000) | (F.col("nxt") >= 1000)))
-    freq = blocks.select(F.col("s").alias("piece"), "w")
-    cnt = adj.join(freq, "piece").groupBy(F.col("tok").alias("t1"), F.col("nxt").alias("t2")) \
-        .agg(F.sum("w").alias("n"))
+    n = F.greatest(F.size("tokens") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("tokens", 1, n), F.slice("tokens", 2, n), lambda x, y: F.struct(x.alias("t1"), y.alias("t2")))
+    adj = passed.select("w", F.explode(pairs).alias("p")).select("w", "p.*").filter(
+        F.col("t2").isNotNull() & ((F.col("t1") >= 1000) | (F.col("t2") >= 1000)))
+    cnt = adj.groupBy("t1", "t2").agg(F.sum("w").alias("n"))
     order = [F.desc("n"), F.asc("t1"), F.asc("t2")]
     l2 = cnt.orderBy(*order).limit(N_LEVEL2_MERGES).select(
         "t1", "t2", (F.lit(1999) + F.row_number().over(Window.orderBy(*order))).cast("int").alias("new_token"))
