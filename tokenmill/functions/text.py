@@ -7,6 +7,7 @@ by an automaton in Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
@@ -40,7 +41,7 @@ _OTHER_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in OTHER_WHITESPACE)
 
 def preprocess_text(text: Column) -> Column:
     """:func:`preprocess_chars` as one string."""
-    return F.translate(F.regexp_replace(text, "^ ", ""), " ", SPACE_MARK)
+    return F.replace(F.regexp_replace(text, "^ ", ""), F.lit(" "), F.lit(SPACE_MARK))
 
 
 def preprocess_chars(text: Column) -> Column:
@@ -66,12 +67,12 @@ def split_pieces(text: Column) -> Column:
     # look-behind every tab of a long run would be tried as a start.
     e2 = F.regexp_replace(e1, "(?<!\t)\t+ \t*| \t*", " ")
     raw = F.regexp_extract_all(e2, F.lit("(\r|\n| ?[^ \t\r\n]+| )"), F.lit(1))
-    return F.transform(raw, lambda p: F.translate(p, " ", SPACE_MARK))
+    return F.transform(raw, lambda p: F.replace(p, F.lit(" "), F.lit(SPACE_MARK)))
 
 
 def unmark(text: Column) -> Column:
     """Decode-time text: the marker becomes a space again."""
-    return F.translate(text, SPACE_MARK, " ")
+    return F.replace(text, F.lit(SPACE_MARK), F.lit(" "))
 
 
 def _java_quote(s: str) -> str:
@@ -138,9 +139,16 @@ def special_segments(text: Column, specials: Sequence[str], mode: str = "all") -
     empty = F.array().cast(seg_type)
     if len(specials) > AUTOMATON:
         return special_segments_many(text, specials, mode)
+    whole = F.array(F.struct(text.alias("text"), F.lit(False).alias("special")))
     if not specials:
-        whole = F.array(F.struct(text.alias("text"), F.lit(False).alias("special")))
         return F.when(F.length(text) == 0, empty).otherwise(whole)
+    # Most texts hold no special: a search is much cheaper than the patterns.
+    without = (F.length(text) > 0) & ~reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in specials])
+    return F.when(without, whole).otherwise(_cut_by_patterns(text, specials, mode))
+
+
+def _cut_by_patterns(text: Column, specials: Sequence[str], mode: str) -> Column:
+    """:func:`special_segments` by regular expressions."""
     alt = _special_alternation(specials)
     spec_arr = F.array(*[F.lit(s) for s in specials])
     if mode == "all":

@@ -5,8 +5,8 @@ whose code points are token symbols (a character token is the character
 itself; a merged token gets a fresh private-use code point). With this
 representation
 
-* pair counting (A2) is ``split`` + ``zip_with`` + ``posexplode`` and a
-  hash aggregate with map-side partial aggregation,
+* pair counting (A2) is numpy over the code points of a slice of blocks, then an
+  aggregate of the slices' counts,
 * picking the most frequent pair (A3) is a distributed top-k
   (count desc, first occurrence asc),
 * greedy left-to-right replacement of a pair (B2) is ``replace`` of a two-symbol
@@ -40,8 +40,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.text import EOT, SPACE_MARK, split_pieces, special_segments
 from ..session import Written
@@ -49,12 +53,17 @@ from ..validation import require, require_columns
 from . import segments
 from .packing import running_offsets
 from .pair_index import Work, choose_round, replace_pairs, train
+from .tokenizer import code_points, list_sizes, map_slices
 from .vocab import initial_vocab
 
 SCOPES = ("sequence", "piece")
 # Code points of merged tokens while training: planes 4 to 16, which hold no assigned
 # characters but private ones. A vocabulary must fit; this is checked before the start.
 _SYMBOL_BASE, _SYMBOL_LIMIT = 0x40000, 0x10FFFD
+# Bytes of blocks whose pairs are counted together.
+PAIR_BYTES = 1 << 22
+# Documents whose lengths are summed together, with their texts.
+TEXT_BUCKET_ROWS = 1 << 12
 
 
 def _jq(s: str) -> str:
@@ -78,11 +87,11 @@ def sequence_blocks(sample: DataFrame, block_chars: int = 4096) -> DataFrame:
     ends = rows.agg(F.min("row_idx").alias("lo"), F.max("row_idx").alias("hi")).first()
     t = F.when(F.col("row_idx") == F.lit(ends["lo"]), F.regexp_replace("text", "^ ", "")) \
         .otherwise(F.col("text"))
-    t = F.translate(t, " ", SPACE_MARK)
+    t = F.replace(t, F.lit(" "), F.lit(SPACE_MARK))
     t = F.when(F.col("row_idx") == F.lit(ends["hi"]), t).otherwise(F.concat(t, F.lit("\n")))
     parts = rows.select("row_idx", t.alias("t")).withColumn("n", F.length("t").cast("long")) \
         .filter(F.col("n") > 0).withColumn("p", F.lit(0))
-    offs = running_offsets(parts, "p", "row_idx", "n")
+    offs = running_offsets(parts, "p", "row_idx", "n", bucket_rows=TEXT_BUCKET_ROWS)
     b0 = F.floor(F.col("offset") / block_chars).cast("long")
     b1 = F.floor((F.col("offset") + F.col("n") - 1) / block_chars).cast("long")
     sl = offs.withColumn("bkey", F.explode(F.sequence(b0, b1)))
@@ -101,35 +110,100 @@ def piece_blocks(docs: DataFrame, specials: Sequence[str] = (EOT,)) -> DataFrame
     require_columns(docs, ["shard_idx", "row_idx", "text"], "piece_blocks")
     segs = docs.select("shard_idx", "row_idx", F.posexplode(
         special_segments(F.col("text"), list(specials))).alias("seg_idx", "seg"))
-    std = segs.filter(~F.col("seg.special"))
-    pcs = std.select("shard_idx", "row_idx", "seg_idx",
-                     F.posexplode(split_pieces(F.col("seg.text"))).alias("piece_idx", "s"))
-    return pcs.groupBy("s").agg(
-        F.min(F.struct("shard_idx", "row_idx", "seg_idx", "piece_idx")).alias("bkey"),
-        F.count(F.lit(1)).alias("w"))
+    std = segs.filter(~F.col("seg.special")).select("shard_idx", "row_idx", "seg_idx", split_pieces(F.col("seg.text")).alias("pieces"))
+    keys = [f for f in std.schema.fields if f.name != "pieces"]
+    bkey = StructField("bkey", StructType([*keys, StructField("piece_idx", IntegerType())]))
+
+    def make():
+        def count(batch: pa.RecordBatch) -> list[pa.Array]:
+            batch = in_order(batch, len(keys))
+            lists = batch.column(len(keys))
+            encoded = lists.flatten().dictionary_encode()
+            codes = encoded.indices.to_numpy(zero_copy_only=False)
+            # Codes are given in the order of first occurrences.
+            first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+            ends = np.cumsum(list_sizes(lists))
+            row = np.searchsorted(ends, first, "right")
+            idx = first - np.concatenate([[0], ends])[row]
+            at = pa.StructArray.from_arrays([*[k.take(pa.array(row)) for k in batch.columns[:-1]], pa.array(idx, pa.int32())],
+                                            names=[f.name for f in bkey.dataType.fields])
+            return [encoded.dictionary, at, pa.array(np.bincount(codes, minlength=len(first)), pa.int64())]
+        return count
+    part = map_slices(std, "pieces", StructType([StructField("s", StringType()), bkey, StructField("w", LongType())]), make)
+    return part.groupBy("s").agg(F.min("bkey").alias("bkey"), F.sum("w").alias("w"))
+
+
+def in_order(batch: pa.RecordBatch, n_keys: int) -> pa.RecordBatch:
+    """The rows in the order of the first ``n_keys`` columns, which may be structs; NULL first."""
+    keys = pa.Table.from_batches([batch.select(list(range(n_keys)))])
+    while any(pa.types.is_struct(t) for t in keys.schema.types):
+        keys = keys.flatten()
+    names = [str(i) for i in range(keys.num_columns)]
+    order = pc.sort_indices(keys.rename_columns(names), sort_keys=[(n, "ascending") for n in names], null_placement="at_start")
+    return batch.take(order)
 
 
 # --- one round -------------------------------------------------------------------
 
-def _neighbours(blocks: DataFrame) -> DataFrame:
-    """``(bkey, w, idx, pair)`` of every two neighbours inside a block."""
-    arr = F.split("s", "")
-    return blocks.filter(F.length("s") >= 2).select(
-        "bkey", "w", F.posexplode(F.zip_with(F.slice(arr, 1, F.length("s") - 1),
-                                             F.slice(arr, 2, F.length("s") - 1),
-                                             lambda x, y: F.concat(x, y))).alias("idx", "pair"))
+def count_pairs(dense: np.ndarray, n_symbols: int, sizes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of neighbours in blocks of symbols (0 … ``n_symbols`` - 1) that lie one behind the other:
+    their codes ``first * n_symbols + second``, weighted counts, and places in ``dense``."""
+    inner = np.ones(len(dense), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    at = np.flatnonzero(inner)
+    pair = dense[at] * n_symbols + dense[at + 1]
+    w = np.repeat(weights, sizes)[at]
+    if n_symbols ** 2 > max(1 << 16, 4 * len(pair)):
+        codes, first, pair = np.unique(pair, return_index=True, return_inverse=True)
+    else:
+        first = np.full(n_symbols ** 2, -1)
+        first[pair[::-1]] = np.arange(len(pair))[::-1]  # of a repeated index the last one stays
+        codes = np.flatnonzero(first >= 0)
+        first, dense_code = first[codes], np.zeros(n_symbols ** 2, np.int64)
+        dense_code[codes] = np.arange(len(codes))
+        pair = dense_code[pair]
+    n = np.zeros(len(codes), np.int64)
+    np.add.at(n, pair, w)
+    return codes, n, at[first]
+
+
+def _partial_counts(blocks: DataFrame) -> DataFrame:
+    """``(pair, w, bkey, idx)``: of each slice of blocks, counts of the pairs of neighbours inside a
+    block and their first occurrences there."""
+    blocks = blocks.filter(F.length("s") >= 2).select("bkey", F.col("w").cast("long").alias("w"), "s")
+    bkey = blocks.schema["bkey"]
+
+    def make():
+        dense = np.zeros(0x110000, np.int64)
+
+        def count(batch: pa.RecordBatch) -> list[pa.Array]:
+            batch = in_order(batch, 1)
+            texts = batch.column(2).to_pylist()
+            codes, sizes = code_points(texts), np.fromiter(map(len, texts), np.int64, len(texts))
+            seen = np.zeros(len(dense), bool)
+            seen[codes] = True
+            symbols = np.flatnonzero(seen)
+            dense[symbols] = np.arange(len(symbols))
+            pairs, n, at = count_pairs(dense[codes], len(symbols), sizes, batch.column(1).to_numpy(zero_copy_only=False))
+            ends = np.cumsum(sizes)
+            row = np.searchsorted(ends, at, "right")
+            names = [chr(symbols[a]) + chr(symbols[b]) for a, b in zip(*np.divmod(pairs, len(symbols)))]
+            return [pa.array(names, pa.string()), pa.array(n), batch.column(0).take(pa.array(row)), pa.array(at - (ends - sizes)[row], pa.int32())]
+        return count
+    schema = StructType([StructField("pair", StringType()), StructField("w", LongType()), bkey, StructField("idx", IntegerType())])
+    return map_slices(blocks, "s", schema, make, PAIR_BYTES)
 
 
 def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
     """A2: ``(pair, n, first)`` -- ``pair`` is the two symbols, ``n`` the
     weighted count (overlapping occurrences counted), ``first`` the first
-    occurrence ``(bkey, idx)``."""
-    inner = _neighbours(blocks)
+    occurrence ``(bkey, idx)``. Occurrences are counted by arrays in slices of blocks, so that
+    the aggregation gets a row a pair and slice."""
+    inner = _partial_counts(blocks)
     if boundaries:
         summ = _summary(blocks)
         edge = summ.filter(F.col("next_first").isNotNull()).select(
-            "bkey", F.lit(1).cast("long").alias("w"), (F.col("len") - 1).alias("idx"),
-            F.concat("last", "next_first").alias("pair"))
+            F.concat("last", "next_first").alias("pair"), F.lit(1).cast("long").alias("w"), "bkey", (F.col("len") - 1).alias("idx"))
         inner = inner.unionByName(edge)
     return inner.groupBy("pair").agg(F.sum("w").alias("n"),
                                      F.min(F.struct("bkey", "idx")).alias("first"))
