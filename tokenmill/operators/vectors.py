@@ -12,13 +12,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..functions import vectors as V
 from ..session import Written
 from ..validation import TokenmillError, require, require_columns
+from .tokenizer import map_slices
 
 
 # --- V1: strict batched matrix product over cell tables ------------------------
@@ -46,13 +50,15 @@ def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
 
 # Rows and columns of a matrix block, about.
 MATRIX_TILE = 256
+# Cells of left blocks that a task multiplies together.
+PRODUCT_CELLS = 1 << 16
 
 
 def matrix_blocks(cells: DataFrame, row: str, col: str, n_rows: int, n_cols: int, copies: int) -> DataFrame:
     """``cells`` (batch, row, col, v) packed into one row a block ``(batch, rb, cb, cells)``, once for each
-    ``copy`` that the other side's blocks need. Cells without a value have no part."""
+    ``copy`` that the other side's blocks need. Cells without a value or inner index have no part."""
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).alias
-    packed = cells.filter(F.col("v").isNotNull()).groupBy("batch", block(row, n_rows)("rb"), block(col, n_cols)("cb")).agg(
+    packed = cells.filter(F.col("v").isNotNull() & F.col("k").isNotNull()).groupBy("batch", block(row, n_rows)("rb"), block(col, n_cols)("cb")).agg(
         F.collect_list(F.struct(F.col(row).alias("r"), F.col(col).alias("c"), F.col("v").cast("double").alias("v"))).alias("cells"))
     return packed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
@@ -79,22 +85,37 @@ def matmul_blocks(a: DataFrame, b: DataFrame, tile: int = MATRIX_TILE) -> DataFr
     types = {f.name: f.dataType for f in (*a.schema.fields, *b.schema.fields)}
     schema = StructType([StructField("batch", types["batch"]), StructField("i", types["i"]), StructField("j", types["j"]), StructField("v", DoubleType())])
 
-    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for key, x, y in zip(batch["batch"], batch["left"], batch["right"]):
-                (rows, inner, xv), (inner2, cols, yv) = ([[e[n] for e in cells] for n in ("r", "c", "v")] for cells in (x, y))
-                ri, r_names = pd.factorize(np.array([*rows, None], object)[:-1])
-                ci, c_names = pd.factorize(np.array([*cols, None], object)[:-1])
-                both, _ = pd.factorize(np.array([*inner, *inner2, None], object)[:-1])
-                k = int(both.max()) + 1
-                m, n = np.zeros((len(r_names), k)), np.zeros((k, len(c_names)))
-                np.add.at(m, (ri, both[:len(inner)]), xv)
-                np.add.at(n, (both[len(inner):], ci), yv)
-                # Cells that share no inner index are not part of the result.
-                met = _held(m.shape, ri, both[:len(inner)]).astype(float) @ _held(n.shape, both[len(inner):], ci).astype(float) > 0
-                i, j = np.nonzero(met)
-                yield pd.DataFrame({"batch": [key] * len(i), "i": r_names[i], "j": c_names[j], "v": (m @ n)[i, j]})
-    return pairs.mapInPandas(product, schema).groupBy("batch", "i", "j").agg(F.sum("v").alias("v"))
+    def make():
+        return lambda batch: _products(batch, [f.type for f in to_arrow_schema(schema)])
+    sized = pairs.select("batch", "right", "left")
+    return map_slices(sized, "left", schema, make, PRODUCT_CELLS).groupBy("batch", "i", "j").agg(F.sum("v").alias("v"))
+
+
+def _numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of the values of an array, NULL being a value, and the distinct values."""
+    encoded = values.dictionary_encode(null_encoding="encode")
+    return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+
+
+def _products(batch: pa.RecordBatch, types: list[pa.DataType]) -> list[pa.Array]:
+    """The products of the blocks ``(batch, right, left)`` as cells; blocks stay Arrow arrays."""
+    out: list[list] = [[], [], [], []]
+    for at in range(batch.num_rows):
+        y, x = (batch.column(c).slice(at, 1).flatten() for c in (1, 2))
+        (rows, inner, xv), (inner2, cols, yv) = ([pc.struct_field(cells, f) for f in ("r", "c", "v")] for cells in (x, y))
+        (ri, r_names), (ci, c_names) = _numbered(rows), _numbered(cols)
+        both, inner_names = _numbered(pa.concat_arrays([inner, inner2.cast(inner.type)]))
+        k = len(inner_names)
+        m, n = np.zeros((len(r_names), k)), np.zeros((k, len(c_names)))
+        np.add.at(m, (ri, both[:len(inner)]), xv.to_numpy(zero_copy_only=False))
+        np.add.at(n, (both[len(inner):], ci), yv.to_numpy(zero_copy_only=False))
+        # Cells that share no inner index are not part of the result.
+        met = _held(m.shape, ri, both[:len(inner)]).astype(float) @ _held(n.shape, both[len(inner):], ci).astype(float) > 0
+        i, j = np.nonzero(met)
+        key = batch.column(0).take(pa.array(np.full(len(i), at)))
+        for held, new in zip(out, (key, r_names.take(pa.array(i)), c_names.take(pa.array(j)), pa.array((m @ n)[i, j]))):
+            held.append(new)
+    return [pa.concat_arrays([c.cast(t) for c in col]) if col else pa.array([], t) for col, t in zip(out, types)]
 
 
 def _held(shape: tuple[int, int], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
