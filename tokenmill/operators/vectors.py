@@ -238,18 +238,29 @@ def embed_tokens(windows: DataFrame, token_emb: DataFrame, pos_emb: DataFrame,
 
     Returns ``(keys…, pos, token, emb array<double>)``. Embedding tables are
     ``(token, vec)`` / ``(pos, vec)`` with distinct keys. A position past the position table is an
-    error; an unknown token yields NULL. A token table beyond ``BROADCAST_BYTES`` is joined
-    by :func:`join_skewed`; ``windows`` are then read more than once. Positions are joined
-    last, by broadcast if they are few, so vectors are not shuffled.
+    error; an unknown token yields NULL. Of tables beyond ``BROADCAST_BYTES`` only the tokens
+    and positions that the windows hold count; ``windows`` are then written, and read more than
+    once. A token table that is still beyond it is joined by :func:`join_skewed`. Positions are
+    joined last, by broadcast if they are few, so vectors are not shuffled.
     """
     keys = [c for c in windows.columns if c not in (ids_col, "target_ids")]
     te = token_emb.select("token", V.as_double(F.col("vec")).alias("te"))
     pe = pos_emb.select(F.col("pos").cast("int").alias("pos"), V.as_double(F.col("vec")).alias("pe"))
     small = _table_bytes(token_emb, "vec") <= BROADCAST_BYTES
+    few = _table_bytes(pos_emb, "vec") <= BROADCAST_BYTES
     ids = windows.select(*keys, ids_col)
-    ex = (ids if small else Written(ids, "windows").df).select(*keys, F.posexplode(ids_col).alias("pos", "token"))
+    if not (small and few):
+        ids = Written(ids, "windows").df
+    if not few:  # positions past the longest window are not asked for
+        longest = ids.agg(F.max(F.size(ids_col))).first()[0] or 0
+        pe = pe.filter(F.col("pos") < longest)
+        few = _table_bytes(pe, "pe") <= BROADCAST_BYTES
+    ex = ids.select(*keys, F.posexplode(ids_col).alias("pos", "token"))
+    if not small:  # nor are vectors of tokens that no window holds
+        te = Written(te.join(ex.select("token").distinct(), "token", "left_semi"), "used-vectors").df
+        small = _table_bytes(te, "te") <= BROADCAST_BYTES
     j = ex.join(F.broadcast(te), "token", "left") if small else join_skewed(ex, te, "token")
-    j = j.join(F.broadcast(pe) if _table_bytes(pos_emb, "vec") <= BROADCAST_BYTES else pe, "pos", "left")
+    j = j.join(F.broadcast(pe) if few else pe, "pos", "left")
     # Checked in the same job: a position past the table fails the query.
     pe_checked = F.when(F.col("pe").isNull(), F.raise_error(
         F.format_string("position %d exceeds the position table", F.col("pos")))
