@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import EOT, ints_to_text, preprocess_chars, special_segments, special_segments_many
 from ..functions.vectors import rule_matrix
 from ..operators import bpe, decode, encode, packing, sampling, vectors, vocab
-from ..session import checkpoint_dir, child_names, delete_on_exit, move_file, written
+from ..session import checkpoint_dir, delete_on_exit, move_file, path_exists, written
 from ..sources import dictionary, shards, sinks
 from ..sources.manifest import new_run
 from ..validation import require
@@ -362,15 +362,17 @@ def q_scan_shards(spark, d):
 
 
 def q_scan_shard_files(spark, d):
-    """S1 on files called by their shard numbers: the documents by id, a file a shard."""
+    """S1 on files called by their shard numbers: the documents by id, a folder of part files a shard."""
     path = f"{checkpoint_dir(spark)}/raw-{new_run()}"
     delete_on_exit(spark, path)
+    every = table(spark, d, "documents").select("text", "doc_id", F.pmod("doc_id", F.lit(N_SHARDS)).alias("shard")).filter("shard is not null")
+    # Ranges of ids, in order: a task writes a part of a shard.
+    every.repartitionByRange("shard", "doc_id").sortWithinPartitions("shard", "doc_id").write.partitionBy("shard").parquet(f"{path}/written")
     for i in range(N_SHARDS):
-        part = table(spark, d, "documents").filter(F.pmod("doc_id", F.lit(N_SHARDS)) == i)
-        part.select("text", "doc_id").coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{path}/{i}")
-        for name in child_names(spark, f"{path}/{i}"):
-            if name.endswith(".parquet"):
-                move_file(spark, f"{path}/{i}/{name}", f"{path}/raw/{shards.SHARD_NAME_FORMAT % i}")
+        if path_exists(spark, f"{path}/written/shard={i}"):
+            move_file(spark, f"{path}/written/shard={i}", f"{path}/raw/{shards.SHARD_NAME_FORMAT % i}")
+    if not path_exists(spark, f"{path}/raw"):  # no documents
+        every.select("text", "doc_id").filter("false").write.parquet(f"{path}/raw/{shards.SHARD_NAME_FORMAT % 0}")
     return shards.scan_shards(spark, f"{path}/raw")
 
 

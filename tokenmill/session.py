@@ -74,6 +74,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder; none if it does not exist."""
+    fs, hadoop = _filesystem(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(hadoop) if x.isDirectory()) if fs.exists(hadoop) else []
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     fs, hadoop = _filesystem(spark, path)
