@@ -35,13 +35,13 @@ N_BASE = 256
 
 # More specials than this are found by an automaton: an alternation tries them one by one at each character.
 AUTOMATON = 64
-# Java regex character class of OTHER_WHITESPACE.
-_OTHER_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in OTHER_WHITESPACE) + "]"
+# Character class of OTHER_WHITESPACE, for Java's and Arrow's patterns.
+OTHER_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in OTHER_WHITESPACE) + "]"
 
 
 def preprocess_text(text: Column) -> Column:
     """:func:`preprocess_chars` as one string."""
-    return F.replace(F.regexp_replace(text, "^ ", ""), F.lit(" "), F.lit(SPACE_MARK))
+    return F.replace(F.when(F.startswith(text, F.lit(" ")), F.substring(text, 2, 2**31 - 1)).otherwise(text), F.lit(" "), F.lit(SPACE_MARK))
 
 
 def preprocess_chars(text: Column) -> Column:
@@ -61,7 +61,7 @@ def split_pieces(text: Column) -> Column:
     front; trailing spaces give one marker each; other whitespace separates
     words but is dropped and does not count as a space.
     """
-    e1 = F.regexp_replace(text, _OTHER_WS_CLASS, "\t")
+    e1 = F.regexp_replace(text, OTHER_WS_CLASS, "\t")
     # Inside a mixed run of spaces and other whitespace only the spaces count.
     # A match can start only at the head of a run of tabs: without the
     # look-behind every tab of a long run would be tried as a start.

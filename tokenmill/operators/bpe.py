@@ -47,13 +47,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..functions.text import EOT, SPACE_MARK, split_pieces, special_segments
+from ..functions.text import EOT, SPACE_MARK, special_segments
 from ..session import Written
 from ..validation import require, require_columns
 from . import segments
 from .packing import running_offsets
 from .pair_index import Work, choose_round, replace_pairs, train
-from .tokenizer import code_points, list_sizes, map_slices
+from .pieces import split_texts
+from .tokenizer import TEXT_BYTES, code_points, map_slices
 from .vocab import initial_vocab
 
 SCOPES = ("sequence", "piece")
@@ -110,26 +111,26 @@ def piece_blocks(docs: DataFrame, specials: Sequence[str] = (EOT,)) -> DataFrame
     require_columns(docs, ["shard_idx", "row_idx", "text"], "piece_blocks")
     segs = docs.select("shard_idx", "row_idx", F.posexplode(
         special_segments(F.col("text"), list(specials))).alias("seg_idx", "seg"))
-    std = segs.filter(~F.col("seg.special")).select("shard_idx", "row_idx", "seg_idx", split_pieces(F.col("seg.text")).alias("pieces"))
-    keys = [f for f in std.schema.fields if f.name != "pieces"]
+    std = segs.filter(~F.col("seg.special")).select("shard_idx", "row_idx", "seg_idx", F.col("seg.text").alias("text"))
+    keys = [f for f in std.schema.fields if f.name != "text"]
     bkey = StructField("bkey", StructType([*keys, StructField("piece_idx", IntegerType())]))
 
     def make():
         def count(batch: pa.RecordBatch) -> list[pa.Array]:
             batch = in_order(batch, len(keys))
-            lists = batch.column(len(keys))
-            encoded = lists.flatten().dictionary_encode()
+            pieces, sizes = split_texts(batch.column(len(keys)))
+            encoded = pieces.dictionary_encode()
             codes = encoded.indices.to_numpy(zero_copy_only=False)
             # Codes are given in the order of first occurrences.
             first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
-            ends = np.cumsum(list_sizes(lists))
+            ends = np.cumsum(sizes)
             row = np.searchsorted(ends, first, "right")
             idx = first - np.concatenate([[0], ends])[row]
             at = pa.StructArray.from_arrays([*[k.take(pa.array(row)) for k in batch.columns[:-1]], pa.array(idx, pa.int32())],
                                             names=[f.name for f in bkey.dataType.fields])
             return [encoded.dictionary, at, pa.array(np.bincount(codes, minlength=len(first)), pa.int64())]
         return count
-    part = map_slices(std, "pieces", StructType([StructField("s", StringType()), bkey, StructField("w", LongType())]), make)
+    part = map_slices(std, "text", StructType([StructField("s", StringType()), bkey, StructField("w", LongType())]), make, TEXT_BYTES)
     return part.groupBy("s").agg(F.min("bkey").alias("bkey"), F.sum("w").alias("w"))
 
 

@@ -14,13 +14,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from ..functions.text import EOT, segment_pieces, special_segments
 from ..plans.strategy import collect_checked, ship
 from ..validation import TokenmillError, require, require_columns
 from . import segments
-from .tokenizer import (NONE, SCAN_TOKENS, SPECIAL_MARK, MergeTable, as_lists, encode_lists, list_sizes, lookup_chars, map_slices,
+from .pieces import split_segments
+from .tokenizer import (NONE, SCAN_TOKENS, TEXT_BYTES, MergeTable, as_lists, encode_lists, list_sizes, lookup_chars, map_slices,
                         merge_table, ranges)
 from .vocab import text_to_token
 
@@ -49,10 +50,17 @@ def piece_occurrences(pieces: DataFrame) -> DataFrame:
 
 
 def distinct_pieces(docs: DataFrame, specials: Sequence[str] = (EOT,), special_mode: str = "all") -> DataFrame:
-    """The corpus's distinct standard pieces ``(piece)``; a document's repeats are
+    """The corpus's distinct standard pieces ``(piece)``; the repeats in a slice of documents are
     dropped before the shuffle."""
-    pieces = F.array_distinct(F.transform(F.filter("pieces", lambda p: ~p["special"]), lambda p: p["piece"]))
-    return doc_pieces(docs, specials, special_mode).select(F.explode(pieces).alias("piece")).distinct()
+    require_columns(docs, ["text"], "distinct_pieces")
+    segs = docs.select(special_segments(F.col("text"), list(specials), special_mode).alias("segs"))
+
+    def make():
+        def distinct(batch: pa.RecordBatch) -> list[pa.Array]:
+            pieces, special, _ = split_segments(batch.column(0))
+            return [(pieces.filter(pa.array(~special)) if special.any() else pieces).unique()]
+        return distinct
+    return map_slices(segs, "segs", StructType([StructField("piece", StringType())]), make, TEXT_BYTES).distinct()
 
 
 def char_lists(texts: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
@@ -195,13 +203,6 @@ def piece_codes(pieces: DataFrame, vocab: DataFrame, merges: DataFrame | None) -
         .withColumnRenamed("tokens", "codes")
 
 
-def marked_pieces(text: Column, specials: Sequence[str], special_mode: str) -> Column:
-    """Pieces of a text as strings, specials marked; NULL for NULL."""
-    pieces = segment_pieces(special_segments(text, list(specials), special_mode))
-    return F.transform(pieces, lambda p: F.when(
-        p["special"], F.concat(F.lit(SPECIAL_MARK), p["piece"])).otherwise(p["piece"]))
-
-
 def encode_docs(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = None,
                 specials: Sequence[str] = (EOT,), special_mode: str = "all") -> DataFrame:
     """``(keys…, tokens array<int>)``, one row per row of ``docs``.
@@ -211,8 +212,8 @@ def encode_docs(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = No
     """
     require_columns(docs, ["text"], "encode_docs")
     keys = [c for c in docs.columns if c != "text"]
-    pieces = docs.select(*keys, marked_pieces(F.col("text"), specials, special_mode).alias("__pieces"))
-    return encode_lists(pieces, "__pieces", vocab, merges)
+    segs = docs.select(*keys, special_segments(F.col("text"), list(specials), special_mode).alias("__segments"))
+    return encode_lists(segs, "__segments", vocab, merges)
 
 
 def encode_from_dictionary(docs: DataFrame, dictionary: DataFrame, vocab: DataFrame, specials: Sequence[str] = (EOT,),

@@ -19,9 +19,12 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ..plans.strategy import collect_checked, ship, text_bytes
 from ..validation import require, require_columns
+from .pieces import split_segments
 
 # List entries, or bytes of text, of a batch that are worked on together (a row is not cut).
 SLICE_ITEMS = 1 << 19
+# Bytes of text whose pieces, or characters, are worked on together.
+TEXT_BYTES = 1 << 21
 # Positions that a pass scans together.
 SCAN_TOKENS = 1 << 20
 # No token, among tokens held as int64.
@@ -179,11 +182,15 @@ def lookup_lists(lists: pa.Array, encode: Callable[[list[str]], tuple[np.ndarray
 
 
 def in_slices(batch: pa.RecordBatch, column: int, items: int | None = None) -> Iterator[pa.RecordBatch]:
-    """A batch by rows that hold about ``items`` list entries, or bytes of text, of ``column``."""
+    """A batch by rows that hold about ``items`` list entries, or bytes of text, of ``column``; of lists
+    of segments, the bytes of their texts."""
     array = batch.column(column)
     text = pa.types.is_string(array.type) or pa.types.is_large_string(array.type)
-    sizes = pc.binary_length(array) if text else pc.list_value_length(array)
-    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    sizes = pc.fill_null(pc.binary_length(array) if text else pc.list_value_length(array), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    if pa.types.is_list(array.type) and pa.types.is_struct(array.type.value_type):
+        length = pc.fill_null(pc.binary_length(array.flatten().field("text")), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[ends]
     lo, items = 0, items or SLICE_ITEMS
     while lo < batch.num_rows:
         before = ends[lo - 1] if lo else 0
@@ -208,14 +215,15 @@ def map_slices(df: DataFrame, column: str, schema: StructType, make: Callable[[]
     return df.mapInArrow(run, schema)
 
 
-def _map_column(df: DataFrame, column: str, out: StructField, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+def _map_column(df: DataFrame, column: str, out: StructField, make: Callable[[], Callable[[pa.Array], pa.Array]],
+                items: int | None = None) -> DataFrame:
     """``df`` with ``column`` (always the last) replaced by an Arrow function of it."""
     keys = [f for f in df.schema.fields if f.name != column]
 
     def make_batch():
         fn = make()
         return lambda batch: [*batch.columns[:-1], fn(batch.column(batch.num_columns - 1))]
-    return map_slices(df.select(*[F.col(f"`{f.name}`") for f in keys], column), column, StructType([*keys, out]), make_batch)
+    return map_slices(df.select(*[F.col(f"`{f.name}`") for f in keys], column), column, StructType([*keys, out]), make_batch, items)
 
 
 TOKENS = StructField("tokens", ArrayType(IntegerType()))
@@ -228,16 +236,26 @@ def text_ids(vocab: DataFrame) -> dict[str, int]:
     return {r["text"]: r["token"] for r in rows}
 
 
+def marked_lists(segments: pa.Array) -> pa.Array:
+    """The pieces of each list of segments, specials marked; null for a null row."""
+    pieces, special, sizes = split_segments(segments)
+    if special.any():
+        pieces = pc.if_else(pa.array(special), pc.binary_join_element_wise(SPECIAL_MARK, pieces, ""), pieces)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pieces, mask=segments.is_null() if segments.null_count else None)
+
+
 def encode_lists(df: DataFrame, column: str, vocab: DataFrame, merges: DataFrame | None) -> DataFrame:
-    """``df`` with the piece lists in ``column`` replaced by ``tokens array<int>``."""
+    """``df`` with the piece lists, or segments ``array<struct<text, special>>``, in ``column`` replaced by ``tokens array<int>``."""
     ids = text_ids(vocab)
     table = {} if merges is None else merge_table(merges)
     shared = ship(df.sparkSession, (ids, table), text_bytes(ids) + 128 * len(table), "the tokenizer")
 
     def make():
         encoder = PieceEncoder(*shared.value)
-        return lambda lists: lookup_lists(lists, encoder.encode)
-    return _map_column(df, column, TOKENS, make)
+        return lambda lists: lookup_lists(marked_lists(lists) if pa.types.is_struct(lists.type.value_type) else lists, encoder.encode)
+    segments = isinstance(df.schema[column].dataType.elementType, StructType)
+    return _map_column(df, column, TOKENS, make, TEXT_BYTES if segments else None)
 
 
 def merge_table(merges: DataFrame) -> dict[tuple[int, int], int]:

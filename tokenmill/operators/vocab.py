@@ -8,25 +8,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.text import N_BASE, SPACE_MARK, preprocess_chars, preprocess_text
+from ..functions.text import N_BASE, SPACE_MARK, preprocess_text
 from ..plans.strategy import collect_checked
 from ..validation import TokenmillError, require_columns
-from .tokenizer import lookup_chars
+from .tokenizer import TEXT_BYTES, code_points, lookup_chars, map_slices
 
 
 def distinct_chars(docs: DataFrame) -> DataFrame:
     """A1: distinct training-time characters ``(ch, n_docs)``.
 
-    Each document is reduced to its distinct characters first, so the
-    shuffle carries at most (documents x alphabet) rows, partially
-    aggregated on the map side.
+    The documents that hold a character are counted by arrays in slices of documents, so the
+    shuffle carries at most (slices x alphabet) rows, partially aggregated on the map side.
     """
     require_columns(docs, ["text"], "distinct_chars")
-    per_doc = docs.select(F.explode(F.array_distinct(preprocess_chars(F.col("text")))).alias("ch"))
-    return per_doc.groupBy("ch").agg(F.count(F.lit(1)).alias("n_docs"))
+
+    def make():
+        place = np.zeros(0x110000, np.int64)
+
+        def count(batch: pa.RecordBatch) -> list[pa.Array]:
+            texts = pc.fill_null(batch.column(0), "")
+            codes, sizes = code_points(texts.to_pylist()), pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+            seen = np.zeros(len(place), bool)
+            seen[codes] = True
+            symbols = np.flatnonzero(seen)
+            place[symbols] = np.arange(len(symbols))
+            at = np.repeat(np.arange(len(sizes)) * len(symbols), sizes) + place[codes]
+            if len(sizes) * len(symbols) > max(1 << 20, 4 * len(codes)):
+                at = np.unique(at) % max(1, len(symbols))
+                n = np.bincount(at, minlength=len(symbols))
+            else:
+                held = np.zeros(len(sizes) * len(symbols), bool)
+                held[at] = True
+                n = held.reshape(len(sizes), len(symbols)).sum(axis=0, dtype=np.int64)
+            return [pa.array([chr(c) for c in symbols], pa.string()), pa.array(n, pa.int64())]
+        return count
+    schema = StructType([StructField("ch", StringType()), StructField("n", LongType())])
+    part = map_slices(docs.select(preprocess_text(F.col("text")).alias("text")), "text", schema, make, TEXT_BYTES)
+    return part.groupBy("ch").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_docs"))
 
 
 def initial_vocab(chars: DataFrame, specials: Sequence[str] = ()) -> DataFrame:
