@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tokenmill.operators import encode, tokenizer, vocab
+from tokenmill.operators import encode, pair_index, tokenizer, vocab
 from tokenmill.operators.pieces import split_segments, split_texts
 
 ALPHABET = " \t\r\nab  　é中Ġ\U0001F600 \x85\x1c  "
@@ -54,3 +54,16 @@ def test_plans_split_no_text_by_patterns(spark):
     plan = encode.distinct_pieces(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "lambda" not in plan.split("MapInArrow")[0]
     assert sorted(r["piece"] for r in encode.distinct_pieces(df).collect()) == ["a", "Ġ", "Ġb", "Ġc"]
+
+
+@pytest.mark.parametrize("items", [1, 1 << 22])
+def test_pair_sums_of_changed_strings(spark, monkeypatch, items):
+    monkeypatch.setattr(pair_index, "PAIR_BYTES", items)
+    df = spark.createDataFrame([(2, "abab"), (3, "xaby"), (5, "xyz"), (7, "a")], "w long, s string")
+
+    def sums(**how):
+        rows = pair_index.pair_sums(df, **how).groupBy("pair").sum("d", "changed").collect()
+        return {r[0]: r[1] for r in rows if r[1]}, sum(r[2] for r in rows)
+    assert sums() == ({"ab": 7, "ba": 2, "xa": 3, "by": 3, "xy": 5, "yz": 5}, 0)
+    assert sums(before=[("ab", "N")], merges=[("Ny", "M")]) == ({"xN": -3, "Ny": -3, "xM": 3}, 1)
+    assert sums(merges=[("ab", "N")]) == ({"ab": -7, "ba": -2, "xa": -3, "by": -3, "NN": 2, "xN": 3, "Ny": 3}, 2)

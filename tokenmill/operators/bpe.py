@@ -52,7 +52,7 @@ from ..session import Written
 from ..validation import require, require_columns
 from . import segments
 from .packing import running_offsets
-from .pair_index import Work, choose_round, replace_pairs, train
+from .pair_index import PAIR_BYTES, Work, choose_round, count_pairs, replace_pairs, train
 from .pieces import split_texts
 from .tokenizer import TEXT_BYTES, code_points, map_slices
 from .vocab import initial_vocab
@@ -61,8 +61,6 @@ SCOPES = ("sequence", "piece")
 # Code points of merged tokens while training: planes 4 to 16, which hold no assigned
 # characters but private ones. A vocabulary must fit; this is checked before the start.
 _SYMBOL_BASE, _SYMBOL_LIMIT = 0x40000, 0x10FFFD
-# Bytes of blocks whose pairs are counted together.
-PAIR_BYTES = 1 << 22
 # Documents whose lengths are summed together, with their texts.
 TEXT_BUCKET_ROWS = 1 << 12
 
@@ -146,28 +144,6 @@ def in_order(batch: pa.RecordBatch, n_keys: int) -> pa.RecordBatch:
 
 # --- one round -------------------------------------------------------------------
 
-def count_pairs(dense: np.ndarray, n_symbols: int, sizes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of neighbours in blocks of symbols (0 … ``n_symbols`` - 1) that lie one behind the other:
-    their codes ``first * n_symbols + second``, weighted counts, and places in ``dense``."""
-    inner = np.ones(len(dense), bool)
-    inner[np.cumsum(sizes) - 1] = False
-    at = np.flatnonzero(inner)
-    pair = dense[at] * n_symbols + dense[at + 1]
-    w = np.repeat(weights, sizes)[at]
-    if n_symbols ** 2 > max(1 << 16, 4 * len(pair)):
-        codes, first, pair = np.unique(pair, return_index=True, return_inverse=True)
-    else:
-        first = np.full(n_symbols ** 2, -1)
-        first[pair[::-1]] = np.arange(len(pair))[::-1]  # of a repeated index the last one stays
-        codes = np.flatnonzero(first >= 0)
-        first, dense_code = first[codes], np.zeros(n_symbols ** 2, np.int64)
-        dense_code[codes] = np.arange(len(codes))
-        pair = dense_code[pair]
-    n = np.zeros(len(codes), np.int64)
-    np.add.at(n, pair, w)
-    return codes, n, at[first]
-
-
 def _partial_counts(blocks: DataFrame) -> DataFrame:
     """``(pair, w, bkey, idx)``: of each slice of blocks, counts of the pairs of neighbours inside a
     block and their first occurrences there."""

@@ -35,11 +35,17 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import takewhile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import Written
+from .tokenizer import code_points, map_slices
 
+# Bytes of blocks whose pairs are counted together.
+PAIR_BYTES = 1 << 22
 FAN = 8
 FRONTIER = 1 << 16
 LONG = 256
@@ -65,6 +71,62 @@ def neighbours(s: Column) -> Column:
     return F.zip_with(F.slice(symbols, 1, n), F.slice(symbols, 2, n), lambda x, y: F.concat(x, y))
 
 
+def count_pairs(dense: np.ndarray, n_symbols: int, sizes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of neighbours in blocks of symbols (0 … ``n_symbols`` - 1) that lie one behind the other:
+    their codes ``first * n_symbols + second``, weighted counts, and places in ``dense``."""
+    inner = np.ones(len(dense), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    at = np.flatnonzero(inner)
+    pair = dense[at] * n_symbols + dense[at + 1]
+    w = np.repeat(weights, sizes)[at]
+    if n_symbols ** 2 > max(1 << 16, 4 * len(pair)):
+        codes, first, pair = np.unique(pair, return_index=True, return_inverse=True)
+    else:
+        first = np.full(n_symbols ** 2, -1)
+        first[pair[::-1]] = np.arange(len(pair))[::-1]  # of a repeated index the last one stays
+        codes = np.flatnonzero(first >= 0)
+        first, dense_code = first[codes], np.zeros(n_symbols ** 2, np.int64)
+        dense_code[codes] = np.arange(len(codes))
+        pair = dense_code[pair]
+    n = np.zeros(len(codes), np.int64)
+    np.add.at(n, pair, w)
+    return codes, n, at[first]
+
+
+# Stands between strings that are worked on as one: no text holds a surrogate.
+_APART = "\ud800"
+
+
+def pair_sums(rows: DataFrame, before: Sequence[tuple[str, str]] = (), merges: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """``(pair, d, changed)`` of each slice of ``rows`` (w, s): the pairs of neighbours, each with the sum of the
+    ``w`` of its occurrences. ``before`` is replaced first. With ``merges`` only strings that these change
+    count, as they are after them less as they were; the first row's ``changed`` is the number of these."""
+    def make():
+        dense = np.zeros(0x110000, np.int64)
+
+        def count(batch: pa.RecordBatch) -> list[pa.Array]:
+            texts, w = batch.column(1).to_pylist(), batch.column(0).to_numpy(zero_copy_only=False)
+            whole = reduce(lambda t, p: t.replace(*p), before, _APART.join(texts))
+            was, changed = whole.split(_APART), 0
+            if merges is not None:
+                now = reduce(lambda t, p: t.replace(*p), merges, whole).split(_APART)
+                at = [i for i, (a, b) in enumerate(zip(was, now)) if a != b]
+                was, w, changed = [was[i] for i in at] + [now[i] for i in at], np.concatenate([-w[at], w[at]]), len(at)
+            codes, sizes = code_points(was), np.fromiter(map(len, was), np.int64, len(was))
+            seen = np.zeros(len(dense), bool)
+            seen[codes] = True
+            symbols = np.flatnonzero(seen)
+            dense[symbols] = np.arange(len(symbols))
+            pairs, d, _ = count_pairs(dense[codes], len(symbols), sizes, w)
+            some = d != 0
+            names = [chr(symbols[a]) + chr(symbols[b]) for a, b in zip(*np.divmod(pairs[some], max(1, len(symbols))))]
+            return [pa.array(names, pa.string()), pa.array(d[some], pa.int64()),
+                    pa.array([changed if i == 0 else 0 for i in range(len(names))], pa.int64())]
+        return count
+    schema = StructType([StructField("pair", StringType()), StructField("d", LongType()), StructField("changed", LongType())])
+    return map_slices(rows.filter(F.length("s") > 1).select("w", "s"), "s", schema, make, PAIR_BYTES)
+
+
 def replace_pairs(s: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Every pair (two symbols -> one) replaced in turn, each greedily left to right.
     One expression of constant size, whose code is compiled once for all rounds."""
@@ -204,10 +266,8 @@ class PairIndex:
 
     def _merge_table(self, merges: dict[str, str], seen: Observation) -> DataFrame:
         """Count changes ``(pair, d)`` in the table."""
-        now = self._table_now().withColumn("t", replace_pairs(F.col("s"), list(merges.items()))).filter("s <> t")
-        now = now.observe(seen, F.count(F.lit(1)).alias("rows"))
-        sides = now.select(F.explode(F.array(F.struct("s", (-F.col("w")).alias("d")), F.struct(F.col("t").alias("s"), F.col("w").alias("d")))).alias("x"))
-        return sides.select(F.explode(neighbours(F.col("x.s"))).alias("pair"), "x.d")
+        sums = pair_sums(self._table.df, list(self._pending.items()), list(merges.items()))
+        return sums.observe(seen, F.sum("changed").alias("rows")).select("pair", "d")
 
     # --- counts -----------------------------------------------------------------------
 
@@ -215,7 +275,7 @@ class PairIndex:
         """``(pair, n)`` of all pairs."""
         every = [self.postings().select("pair", "d")] if self.runs else []
         if self._table:
-            every.append(self._table_now().select(F.explode(neighbours(F.col("s"))).alias("pair"), F.col("w").alias("d")))
+            every.append(pair_sums(self._table.df, list(self._pending.items())).select("pair", "d"))
         return reduce(DataFrame.union, every).groupBy("pair").agg(F.sum("d").alias("n")).filter("n > 0")
 
     def _recount(self) -> bool:
@@ -303,7 +363,7 @@ class PairIndex:
         if self._table:
             self._pending.update(merges)
             work.read += self.pieces if not self.runs else 0
-            work.changed += in_table.get["rows"]
+            work.changed += in_table.get["rows"] or 0
         self.work.append(work)
         if self.runs:
             self._settle()
