@@ -188,7 +188,7 @@ def in_slices(batch: pa.RecordBatch, column: int, items: int | None = None) -> I
     text = pa.types.is_string(array.type) or pa.types.is_large_string(array.type)
     sizes = pc.fill_null(pc.binary_length(array) if text else pc.list_value_length(array), 0)
     ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
-    if pa.types.is_list(array.type) and pa.types.is_struct(array.type.value_type):
+    if pa.types.is_list(array.type) and pa.types.is_struct(array.type.value_type) and array.type.value_type.get_field_index("text") >= 0:
         length = pc.fill_null(pc.binary_length(array.flatten().field("text")), 0).to_numpy(zero_copy_only=False)
         ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[ends]
     lo, items = 0, items or SLICE_ITEMS
