@@ -37,7 +37,7 @@ The piece scope works on an index from pairs to the pieces that hold them
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -54,7 +54,7 @@ from . import segments
 from .packing import running_offsets
 from .pair_index import PAIR_BYTES, Work, choose_round, count_pairs, replace_pairs, train
 from .pieces import split_texts
-from .tokenizer import TEXT_BYTES, code_points, map_slices
+from .tokenizer import TEXT_BYTES, list_sizes, map_slices, text_code_points
 from .vocab import initial_vocab
 
 SCOPES = ("sequence", "piece")
@@ -142,8 +142,84 @@ def in_order(batch: pa.RecordBatch, n_keys: int) -> pa.RecordBatch:
     return batch.take(order)
 
 
+def corpus_pair_counts(docs: DataFrame, specials: Sequence[str] = (EOT,)) -> DataFrame:
+    """A2 over every standard piece of ``docs``: what ``pair_counts(piece_blocks(docs), False)`` gives.
+
+    The pieces of a slice of documents are counted where they are split, and the pairs inside them
+    by these counts. Sums and first places of the slices add up to those of the corpus, so only
+    a row a pair and slice is shuffled, no piece.
+    """
+    require_columns(docs, ["shard_idx", "row_idx", "text"], "corpus_pair_counts")
+    segs = docs.select("shard_idx", "row_idx", special_segments(F.col("text"), list(specials)).alias("segs"))
+    keys = [f for f in segs.schema.fields if f.name != "segs"]
+    places = [*keys, StructField("seg_idx", IntegerType()), StructField("piece_idx", IntegerType())]
+
+    def make():
+        pairs_of = slice_pairs()
+
+        def count(batch: pa.RecordBatch) -> list[pa.Array]:
+            parts = []
+            for rows in once_each(in_order(batch, len(keys)), len(keys)):
+                flat, lists = rows.column(len(keys)).flatten(), list_sizes(rows.column(len(keys)))
+                special = flat.field("special").to_numpy(zero_copy_only=False).astype(bool)
+                pieces, sizes = split_texts(flat.field("text"), special)
+                std = np.flatnonzero(~np.repeat(special, sizes))
+                encoded = pieces.take(pa.array(std)).dictionary_encode() if special.any() else pieces.dictionary_encode()
+                codes = encoded.indices.to_numpy(zero_copy_only=False)
+                names, n, block, idx = pairs_of(encoded.dictionary, np.bincount(codes, minlength=len(encoded.dictionary)))
+                # Codes are given in the order of first occurrences.
+                piece = std[np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))[block]]
+                ends, segments_end = np.cumsum(sizes), np.cumsum(lists)
+                seg = np.searchsorted(ends, piece, "right")
+                doc = np.searchsorted(segments_end, seg, "right")
+                at = [seg - (segments_end - lists)[doc], piece - (ends - sizes)[seg]]
+                bkey = pa.StructArray.from_arrays([*[k.take(pa.array(doc)) for k in rows.columns[:-1]], *[pa.array(a, pa.int32()) for a in at]],
+                                                  names=[f.name for f in places])
+                parts.append([names, pa.array(n, pa.int64()), bkey, idx])
+            return [pa.concat_arrays(x) for x in zip(*parts)]
+        return count
+    schema = StructType([StructField("pair", StringType()), StructField("w", LongType()), StructField("bkey", StructType(places)),
+                         StructField("idx", IntegerType())])
+    return map_slices(segs, "segs", schema, make, TEXT_BYTES).groupBy("pair").agg(F.sum("w").alias("n"), F.min(F.struct("bkey", "idx")).alias("first"))
+
+
+def once_each(batch: pa.RecordBatch, n_keys: int) -> Iterator[pa.RecordBatch]:
+    """A batch in the order of its first ``n_keys`` columns, as batches in which no key comes twice."""
+    same = np.ones(max(0, batch.num_rows - 1), bool)
+    for k in batch.columns[:n_keys]:
+        a, b = k.slice(0, len(same)), k.slice(1)
+        equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(a.is_null(), b.is_null()))
+        same &= equal.to_numpy(zero_copy_only=False)
+    if not same.any():
+        yield batch
+        return
+    at = np.arange(batch.num_rows)
+    nth = at - np.maximum.accumulate(np.where(np.concatenate([[False], same]), 0, at))
+    for i in range(int(nth.max()) + 1):
+        yield batch.take(pa.array(np.flatnonzero(nth == i)))
+
+
 # --- one round -------------------------------------------------------------------
 
+def slice_pairs() -> Callable[[pa.Array, np.ndarray], tuple[pa.Array, np.ndarray, np.ndarray, pa.Array]]:
+    """A function of texts and their weights: the pairs of neighbours, their weighted counts, and the text and
+    the index in it of each pair's first occurrence."""
+    dense = np.zeros(0x110000, np.int64)
+
+    def count(texts: pa.Array, weights: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.Array]:
+        codes, sizes = text_code_points(texts)
+        seen = np.zeros(len(dense), bool)
+        seen[codes] = True
+        symbols = np.flatnonzero(seen)
+        dense[symbols] = np.arange(len(symbols))
+        pairs, n, at = count_pairs(dense[codes], len(symbols), sizes, weights)
+        ends = np.cumsum(sizes)
+        row = np.searchsorted(ends, at, "right")
+        names = [chr(symbols[a]) + chr(symbols[b]) for a, b in zip(*np.divmod(pairs, max(1, len(symbols))))]
+        return pa.array(names, pa.string()), n, row, pa.array(at - (ends - sizes)[row], pa.int32())
+    return count
+
+
 def _partial_counts(blocks: DataFrame) -> DataFrame:
     """``(pair, w, bkey, idx)``: of each slice of blocks, counts of the pairs of neighbours inside a
     block and their first occurrences there."""
@@ -151,21 +227,12 @@ def _partial_counts(blocks: DataFrame) -> DataFrame:
     bkey = blocks.schema["bkey"]
 
     def make():
-        dense = np.zeros(0x110000, np.int64)
+        pairs_of = slice_pairs()
 
         def count(batch: pa.RecordBatch) -> list[pa.Array]:
             batch = in_order(batch, 1)
-            texts = batch.column(2).to_pylist()
-            codes, sizes = code_points(texts), np.fromiter(map(len, texts), np.int64, len(texts))
-            seen = np.zeros(len(dense), bool)
-            seen[codes] = True
-            symbols = np.flatnonzero(seen)
-            dense[symbols] = np.arange(len(symbols))
-            pairs, n, at = count_pairs(dense[codes], len(symbols), sizes, batch.column(1).to_numpy(zero_copy_only=False))
-            ends = np.cumsum(sizes)
-            row = np.searchsorted(ends, at, "right")
-            names = [chr(symbols[a]) + chr(symbols[b]) for a, b in zip(*np.divmod(pairs, len(symbols)))]
-            return [pa.array(names, pa.string()), pa.array(n), batch.column(0).take(pa.array(row)), pa.array(at - (ends - sizes)[row], pa.int32())]
+            names, n, row, idx = pairs_of(batch.column(2), batch.column(1).to_numpy(zero_copy_only=False))
+            return [names, pa.array(n), batch.column(0).take(pa.array(row)), idx]
         return count
     schema = StructType([StructField("pair", StringType()), StructField("w", LongType()), bkey, StructField("idx", IntegerType())])
     return map_slices(blocks, "s", schema, make, PAIR_BYTES)

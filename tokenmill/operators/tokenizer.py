@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ..plans.strategy import collect_checked, ship, text_bytes
 from ..validation import require, require_columns
-from .pieces import split_segments
+from .pieces import split_segments, text_buffers
 
 # List entries, or bytes of text, of a batch that are worked on together (a row is not cut).
 SLICE_ITEMS = 1 << 19
@@ -123,6 +123,14 @@ def char_table(ids: dict[str, int]) -> np.ndarray:
     """Code point -> token, NONE for an unknown character."""
     table = np.full(0x110000, NONE)
     for text, token in ids.items():
+def text_code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts one behind the other, and how many each has; NULL has none."""
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    codes = np.frombuffer(bytes(text_buffers(texts)[0]).decode().encode("utf-32-le"), np.uint32)
+    return codes, pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
         if len(text) == 1:
             table[ord(text)] = token
     return table
