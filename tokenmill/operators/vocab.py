@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -18,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..functions.text import N_BASE, SPACE_MARK, preprocess_text
 from ..plans.strategy import collect_checked
 from ..validation import TokenmillError, require_columns
-from .tokenizer import TEXT_BYTES, code_points, lookup_chars, map_slices
+from .tokenizer import TEXT_BYTES, lookup_chars, map_slices, text_code_points
 
 
 def distinct_chars(docs: DataFrame) -> DataFrame:
@@ -33,8 +32,7 @@ def distinct_chars(docs: DataFrame) -> DataFrame:
         place = np.zeros(0x110000, np.int64)
 
         def count(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts = pc.fill_null(batch.column(0), "")
-            codes, sizes = code_points(texts.to_pylist()), pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+            codes, sizes = text_code_points(batch.column(0))
             seen = np.zeros(len(place), bool)
             seen[codes] = True
             symbols = np.flatnonzero(seen)
