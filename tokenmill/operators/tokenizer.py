@@ -25,6 +25,8 @@ from .pieces import split_segments, text_buffers
 SLICE_ITEMS = 1 << 19
 # Bytes of text whose pieces, or characters, are worked on together.
 TEXT_BYTES = 1 << 21
+# Bytes of text that are encoded together: a token takes some ten times the bytes of its text meanwhile.
+ENCODE_BYTES = 1 << 19
 # Positions that a pass scans together.
 SCAN_TOKENS = 1 << 20
 # No token, among tokens held as int64.
@@ -92,6 +94,8 @@ class MergeTable:
     def fixpoint(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Passes over every sequence until none of its neighbours merge: tokens and new sizes."""
         ids, total = np.arange(len(sizes)), len(sizes)
+        if not len(self._keys):
+            return flat, sizes
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(ids):
             found, tokens, kept = self.scan(flat, sizes)
@@ -119,10 +123,6 @@ def code_points(texts: Iterable[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
 
 
-def char_table(ids: dict[str, int]) -> np.ndarray:
-    """Code point -> token, NONE for an unknown character."""
-    table = np.full(0x110000, NONE)
-    for text, token in ids.items():
 def text_code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The code points of all texts one behind the other, and how many each has; NULL has none."""
     if texts.null_count:
@@ -131,6 +131,10 @@ def text_code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return codes, pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def char_table(ids: dict[str, int]) -> np.ndarray:
+    """Code point -> token, NONE for an unknown character."""
+    table = np.full(0x110000, NONE)
+    for text, token in ids.items():
         if len(text) == 1:
             table[ord(text)] = token
     return table
@@ -153,34 +157,40 @@ class PieceEncoder:
 
     def __init__(self, ids: dict[str, int], merges: dict[tuple[int, int], int]):
         self.ids, self.merges, self.chars = ids, MergeTable(merges), char_table(ids)
-
-    def _whole(self, piece: str) -> int | None:
-        if piece.startswith(SPECIAL_MARK) and len(piece) > 1:
-            return self.ids.get(piece[1:], NONE)
-        return self.ids.get(piece)
-
-    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.texts = pa.array(list(ids), pa.string())
+        # The last one stands for pieces that are no text of the vocabulary.
+        self.tokens = np.array([*ids.values(), NONE], np.int64)
+
+    def _whole(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The token of each piece that is a text of the vocabulary or a special (else NONE), and whether it is neither."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.texts), len(self.texts)).to_numpy(zero_copy_only=False)
+        whole, is_split = self.tokens[at], at == len(self.texts)
+        marked = pc.and_(pc.starts_with(pieces, SPECIAL_MARK), pc.greater(pc.binary_length(pieces), 1)).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(marked):
+            whole[i], is_split[i] = self.ids.get(pieces[i].as_py()[1:], NONE), False
+        return whole, is_split
+
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The codes of all pieces one behind the other, and how many each has."""
-        whole = [self._whole(p) for p in pieces]
-        split = [p for p, code in zip(pieces, whole) if code is None]
-        flat, lengths = self.merges.fixpoint(self.chars[code_points(split)], np.fromiter(map(len, split), np.int64, len(split)))
-        is_split = np.fromiter((code is None for code in whole), bool, len(whole))
+        whole, is_split = self._whole(pieces)
+        codes, lengths = text_code_points(pieces.filter(pa.array(is_split)))
+        flat, lengths = self.merges.fixpoint(self.chars[codes], lengths)
         sizes = np.ones(len(whole), np.int64)
         sizes[is_split] = lengths
         out = np.empty(int(sizes.sum()), np.int64)
         mine = np.repeat(is_split, sizes)
         out[mine] = flat
-        out[~mine] = np.array([code for code in whole if code is not None], np.int64)
+        out[~mine] = whole[~is_split]
         return out, sizes
 
     def __call__(self, piece: str) -> list[int | None]:
-        return [None if c == NONE else c for c in self.encode([piece])[0].tolist()]
+        return [None if c == NONE else c for c in self.encode(pa.array([piece]))[0].tolist()]
 
 
-def lookup_lists(lists: pa.Array, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+def lookup_lists(lists: pa.Array, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> pa.Array:
     """A list of strings per row -> the concatenated code lists, null for a null row."""
     encoded = lists.flatten().dictionary_encode()
-    flat, sizes = encode(encoded.dictionary.to_pylist())
+    flat, sizes = encode(encoded.dictionary)
     at = encoded.indices.to_numpy(zero_copy_only=False)
     mine = sizes[at] if len(at) else np.zeros(0, np.int64)
     begin = (np.cumsum(sizes) - sizes)[at] if len(at) else np.zeros(0, np.int64)
@@ -263,7 +273,7 @@ def encode_lists(df: DataFrame, column: str, vocab: DataFrame, merges: DataFrame
         encoder = PieceEncoder(*shared.value)
         return lambda lists: lookup_lists(marked_lists(lists) if pa.types.is_struct(lists.type.value_type) else lists, encoder.encode)
     segments = isinstance(df.schema[column].dataType.elementType, StructType)
-    return _map_column(df, column, TOKENS, make, TEXT_BYTES if segments else None)
+    return _map_column(df, column, TOKENS, make, ENCODE_BYTES if segments else None)
 
 
 def merge_table(merges: DataFrame) -> dict[tuple[int, int], int]:
