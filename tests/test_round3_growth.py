@@ -62,3 +62,9 @@ def test_pieces_are_encoded_as_arrays():
     got = [[None if c == tokenizer.NONE else int(c) for c in flat[e - n:e]] for e, n in zip(ends, sizes)]
     assert got == [[3], [3, 3], [9], [5], [None], [6], [3], [1, None, 2], [-4], [], [None, 1]]
     assert [encoder(p) for p in pieces] == got
+
+
+def test_documents_with_an_unknown_character(spark):
+    rows = spark.createDataFrame([(0, [1, 2]), (1, [1, None]), (2, []), (3, [-(1 << 31), 4]), (4, [-(1 << 31), None])], "row_idx long, tokens array<int>")
+    assert [r.row_idx for r in encode.apply_oov(rows, "reject").collect()] == [0, 2, 3]
+    assert [r.row_idx for r in encode.oov_rejects(rows).collect()] == [1, 4]

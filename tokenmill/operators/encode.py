@@ -248,7 +248,8 @@ def eot_token(vocab: DataFrame, eot_text: str = EOT) -> int:
 
 
 def _unknown() -> Column:
-    return F.exists("tokens", lambda t: t.isNull())
+    # The search for a value is compiled, and says false only of an array without NULL; it goes over most documents.
+    return F.when(~F.array_contains("tokens", F.lit(-(1 << 31))), F.lit(False)).otherwise(F.exists("tokens", lambda t: t.isNull()))
 
 
 def apply_oov(tokens: DataFrame, on_oov: str) -> DataFrame:
@@ -283,5 +284,5 @@ def shard_tokens(docs: DataFrame, vocab: DataFrame, merges: DataFrame | None = N
     nonempty = docs.filter(F.col("text").isNotNull() & (F.col("text") != "")).select(*DOC_KEYS, "text")
     enc = encode_docs(nonempty, vocab, merges, specials, special_mode) if dictionary is None else encode_from_dictionary(
         nonempty, dictionary, vocab, specials, special_mode)
-    enc = apply_oov(enc.select(*DOC_KEYS, F.concat("tokens", F.array(F.lit(eot))).alias("tokens")), on_oov)
-    return enc.select(*DOC_KEYS, F.size("tokens").alias("n_tokens"), "tokens")
+    enc = apply_oov(enc.select(*DOC_KEYS, "tokens"), on_oov)
+    return enc.select(*DOC_KEYS, (F.size("tokens") + 1).alias("n_tokens"), F.concat("tokens", F.array(F.lit(eot))).alias("tokens"))

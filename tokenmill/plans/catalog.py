@@ -4,7 +4,7 @@ space-joined strings and floats are rounded, so results compare by value
 with the SQL oracles."""
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,9 +57,15 @@ def char_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.held_vocab(vocab.initial_vocab(vocab.distinct_chars(docs(spark, sf_dir)), SPECIALS))
 
 
-def char_shard_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written, because sizes, offsets and windows each read the token table."""
-    return written(encode.shard_tokens(docs(spark, sf_dir), char_vocab(spark, sf_dir), None, SPECIALS), "char-tokens")
+def char_shard_tokens(spark: SparkSession, sf_dir: str, columns: Sequence[str] = (*encode.DOC_KEYS, "n_tokens", "tokens")) -> DataFrame:
+    """Written, because sizes, offsets and windows each read the token table; of it, what the query reads."""
+    toks = encode.shard_tokens(docs(spark, sf_dir), char_vocab(spark, sf_dir), None, SPECIALS)
+    return written(toks.select(*columns), "char-tokens")
+
+
+def char_shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token table without the tokens: their numbers are known once a document is encoded."""
+    return char_shard_tokens(spark, sf_dir, (*encode.DOC_KEYS, "n_tokens"))
 
 
 def _tokens_text(df: DataFrame, col: str = "tokens") -> DataFrame:
@@ -133,7 +139,7 @@ def q_shard_tokens(spark, d):
 
 
 def q_shard_stats(spark, d):
-    return sampling.shard_stats(docs(spark, d), char_shard_tokens(spark, d))
+    return sampling.shard_stats(docs(spark, d), char_shard_sizes(spark, d))
 
 
 def q_doc_offsets(spark, d):
@@ -157,7 +163,7 @@ def q_missing_shards(spark, d):
 
 
 def q_shard_budget(spark, d):
-    stats = sampling.shard_stats(docs(spark, d), char_shard_tokens(spark, d))
+    stats = sampling.shard_stats(docs(spark, d), char_shard_sizes(spark, d))
     budget = int(shards.DEFAULT_TOKENS_PER_PARAM * BUDGET_PARAMS)
     return shards.shards_for_budget(stats, budget).withColumn(
         "est_shards", F.lit(shards.estimate_shards_needed(BUDGET_PARAMS)).cast("long"))
