@@ -143,7 +143,7 @@ def q_shard_stats(spark, d):
 
 
 def q_doc_offsets(spark, d):
-    return packing.doc_offsets(char_shard_tokens(spark, d)).withColumn(
+    return packing.doc_offsets(char_shard_sizes(spark, d)).withColumn(
         "n_tokens", F.col("n_tokens").cast("long"))
 
 
@@ -176,7 +176,7 @@ def _windows(spark, d):
 
 
 def q_split_sizes(spark, d):
-    return packing.split_sizes(char_shard_tokens(spark, d), CONTEXT, N_VAL, N_TEST)
+    return packing.split_sizes(char_shard_sizes(spark, d), CONTEXT, N_VAL, N_TEST)
 
 
 def q_token_windows(spark, d):
@@ -420,25 +420,27 @@ def _corpus_piece_blocks(spark, d):
     return bpe.piece_blocks(docs(spark, d), SPECIALS)
 
 
+def _corpus_pair_counts(spark, d):
+    return bpe.corpus_pair_counts(docs(spark, d), SPECIALS)
+
+
 def q_pair_counts(spark, d):
     """A2 over every piece of the corpus (piece scope, character symbols)."""
-    c = bpe.pair_counts(_corpus_piece_blocks(spark, d), boundaries=False)
+    c = _corpus_pair_counts(spark, d)
     return c.select("pair", F.col("n").cast("long").alias("n"))
 
 
 def q_top_pairs(spark, d):
     """A3: most frequent pairs, ties to the first occurrence."""
-    c = bpe.pair_counts(_corpus_piece_blocks(spark, d), boundaries=False)
-    top = c.orderBy(F.desc("n"), F.asc("first")).limit(N_TOP_PAIRS)
+    top = _corpus_pair_counts(spark, d).orderBy(F.desc("n"), F.asc("first")).limit(N_TOP_PAIRS)
     return top.select("pair", F.col("n").cast("long").alias("n"))
 
 
-def pass_merges(spark, d, chars, blocks=None):
+def pass_merges(spark, d, chars):
     """A data-derived merge table: the most frequent character pairs of the
-    corpus pieces (``blocks``, if they are there already), new ids from 1000 in rank order."""
+    corpus pieces, new ids from 1000 in rank order."""
     v = vocab.text_to_token(chars)
-    c = bpe.pair_counts(_corpus_piece_blocks(spark, d) if blocks is None else blocks, boundaries=False)
-    top = c.orderBy(F.desc("n"), F.asc("first")).limit(N_PASS_MERGES)
+    top = _corpus_pair_counts(spark, d).orderBy(F.desc("n"), F.asc("first")).limit(N_PASS_MERGES)
     ranked = top.select(F.substring("pair", 1, 1).alias("a"), F.substring("pair", 2, 1).alias("b"),
                         F.row_number().over(Window.orderBy(F.desc("n"), F.asc("first"))).alias("r"))
     v1 = v.select(F.col("text").alias("a"), F.col("token").alias("t1"))
@@ -592,9 +594,8 @@ def two_level_merges(spark, d):
     (occurrence-weighted, ties by ids) become level 2 (ids from 2000).
     Returns ``(vocab, merges)`` extending the character vocabulary."""
     cv = char_vocab(spark, d)
-    blocks = written(_corpus_piece_blocks(spark, d), "piece-blocks")
-    l1 = written(pass_merges(spark, d, cv, blocks), "level-1")
-    rows = encode.char_lists(blocks.select(F.col("s").alias("piece"), "w"), "piece", cv)
+    l1 = written(pass_merges(spark, d, cv), "level-1")
+    rows = encode.char_lists(_corpus_piece_blocks(spark, d).select(F.col("s").alias("piece"), "w"), "piece", cv)
     passed = encode.merge_pass(rows, l1)
     n = F.greatest(F.size("tokens") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("tokens", 1, n), F.slice("tokens", 2, n), lambda x, y: F.struct(x.alias("t1"), y.alias("t2")))
