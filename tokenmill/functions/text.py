@@ -178,4 +178,4 @@ def segment_pieces(segments: Column) -> Column:
 
 def ints_to_text(arr: Column, sep: str = " ") -> Column:
     """Render an int array as a separator-joined string (for reports/oracles)."""
-    return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)
+    return F.array_join(arr.cast("array<string>"), sep)

@@ -1,9 +1,8 @@
 """Packing token shards into train/val/test context windows.
 
 The token stream of a shard is the concatenation of its documents' token
-arrays in row order. Nothing is exploded per token: each document is cut
-into the slices that fall into each window, and the slices of a window are
-put together again.
+arrays in row order. Nothing is exploded per token: windows inside a document
+are slices of it, and the slices of the others are put together again.
 """
 from __future__ import annotations
 
@@ -16,7 +15,7 @@ SPLITS = ("train", "val", "test")
 # Rows per bucket of the two-level running sum (a bucket is summed in one task).
 PREFIX_BUCKET_ROWS = 1 << 16
 # Rows with their token arrays that are packed together.
-PACK_BUCKET_ROWS = 1 << 13
+PACK_BUCKET_ROWS = 1 << 11
 
 
 def running_offsets(df: DataFrame, part: str, order: str, value: str,
@@ -92,8 +91,8 @@ def token_windows(tokens: DataFrame, context_length: int, n_val: int = 5_120_000
 
     A document crossing a split boundary contributes a slice to each side;
     chunk numbers restart at each split's start. Token arrays are shuffled once,
-    by (shard, bucket of rows): a bucket's complete windows are cut there, and only
-    the slices of windows that straddle buckets are shuffled again. Offsets and split
+    by (shard, bucket of rows): windows inside a document are cut there, and only the
+    slices of windows that straddle documents are shuffled again. Offsets and split
     ranges come from one narrow row per bucket.
     """
     require(context_length >= 1, "context_length must be >= 1")
@@ -127,18 +126,20 @@ def cut_windows(d: DataFrame, context_length: int) -> DataFrame:
     d = d.withColumn("lo", lo).withColumn("hi", hi).filter(F.col("lo") < F.col("hi"))
     c0 = F.floor((F.col("lo") - start) / w).cast("long")
     c1 = F.floor((F.col("hi") - 1 - start) / w).cast("long")
-    d = d.withColumn("chunk_idx", F.explode(F.sequence(c0, c1)))
+    # Chunks from first to last lie inside the document; of the others it has a part.
+    first = F.when(start + c0 * w == F.col("lo"), c0).otherwise(c0 + 1)
+    last = F.when(start + (c1 + 1) * w == F.col("hi"), c1).otherwise(c1 - 1)
+    inside = d.filter(first <= last).withColumn("chunk_idx", F.explode(F.sequence(first, last)))
+    ends = F.filter(F.array_distinct(F.array(c0, c1)), lambda c: (c < first) | (c > last))
+    cut = d.withColumn("chunk_idx", F.explode(ends))
     a = F.greatest(F.col("lo"), start + F.col("chunk_idx") * w)
     b = F.least(F.col("hi"), start + (F.col("chunk_idx") + 1) * w)
     piece = F.slice("tokens", (a - F.col("offset") + 1).cast("int"), (b - a).cast("int"))
-    keys = ["split", "shard_idx", "chunk_idx"]
+    keys = [F.col("r.split").alias("split"), "shard_idx", "chunk_idx"]
     joined = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]))
-    parts = (d.select(F.col("r.split").alias("split"), "shard_idx", "bucket", "chunk_idx", a.alias("at"), piece.alias("piece"))
-             .groupBy("shard_idx", "bucket", "split", "chunk_idx")
-             .agg(F.min("at").alias("at"), joined.alias("piece")))
-    whole = F.size("piece") == w
-    straddling = parts.filter(~whole).groupBy(*keys).agg(joined.alias("window"))
-    win = parts.filter(whole).select(*keys, F.col("piece").alias("window")).unionByName(straddling)
+    straddling = cut.select(*keys, a.alias("at"), piece.alias("piece")).groupBy("split", "shard_idx", "chunk_idx").agg(joined.alias("window"))
+    win = inside.select(*keys, piece.alias("window")).unionByName(straddling)
+    keys = ["split", "shard_idx", "chunk_idx"]
     return win.select(*keys, F.slice("window", 1, context_length).alias("input_ids"),
                       F.slice("window", 2, context_length).alias("target_ids"))
 
