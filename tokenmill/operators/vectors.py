@@ -8,7 +8,8 @@ joins and aggregates.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,12 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StructField, StructType
 
 from ..functions import vectors as V
+from ..plans.strategy import ship
 from ..session import Written
 from ..validation import TokenmillError, require, require_columns
-from .tokenizer import map_slices
+from .tokenizer import list_sizes, map_slices
 
 
 # --- V1: strict batched matrix product over cell tables ------------------------
@@ -227,45 +229,196 @@ def join_skewed(rows: DataFrame, table: DataFrame, key: str, share: int = HOT_SH
     return rows.filter(is_hot).join(F.broadcast(table.filter(is_hot)), key, "left").unionByName(cold)
 
 
-def _table_bytes(table: DataFrame, vec: str) -> int:
+def _table_bytes(table: DataFrame, vec: str, item: int = 8) -> int:
     n, size = table.agg(F.count("*"), F.max(F.size(vec))).first()
-    return n * 8 * max(size or 0, 1)
+    return n * item * max(size or 0, 1)
 
 
 def embed_tokens(windows: DataFrame, token_emb: DataFrame, pos_emb: DataFrame,
-                 ids_col: str = "input_ids") -> DataFrame:
+                 ids_col: str = "input_ids", measure: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """Per window position: ``token_emb[token] + pos_emb[pos]``.
 
     Returns ``(keys…, pos, token, emb array<double>)``. Embedding tables are
-    ``(token, vec)`` / ``(pos, vec)`` with distinct keys. A position past the position table is an
-    error; an unknown token yields NULL. Of tables beyond ``BROADCAST_BYTES`` only the tokens
+    ``(token, vec)`` / ``(pos, vec)`` with distinct keys. An unknown token yields NULL; another's
+    position past the position table is an error. Of tables beyond ``BROADCAST_BYTES`` only the tokens
     and positions that the windows hold count; ``windows`` are then written, and read more than
     once. A token table that is still beyond it is joined by :func:`join_skewed`. Positions are
     joined last, by broadcast if they are few, so vectors are not shuffled.
+
+    With ``measure``, a function from vectors ``(n, d)`` to a number each, the embeddings are made
+    and measured where the windows are, by arrays, and none leaves the task. Returns
+    ``(keys…, total double, unknown long)``: the sum of the measures of the embeddings that
+    are not NULL and have no NULL entry (NULL if there are none), and how many are NULL. A window with positions
+    has one such row, or several that add up.
     """
     keys = [c for c in windows.columns if c not in (ids_col, "target_ids")]
     te = token_emb.select("token", V.as_double(F.col("vec")).alias("te"))
     pe = pos_emb.select(F.col("pos").cast("int").alias("pos"), V.as_double(F.col("vec")).alias("pe"))
-    small = _table_bytes(token_emb, "vec") <= BROADCAST_BYTES
-    few = _table_bytes(pos_emb, "vec") <= BROADCAST_BYTES
+    # Vectors that are measured are shipped as they are, others as doubles.
+    t_item, p_item = (4 if measure and isinstance(t.schema["vec"].dataType.elementType, FloatType) else 8 for t in (token_emb, pos_emb))
+    small = _table_bytes(token_emb, "vec", t_item) <= BROADCAST_BYTES
+    few = _table_bytes(pos_emb, "vec", p_item) <= BROADCAST_BYTES
     ids = windows.select(*keys, ids_col)
     if not (small and few):
         ids = Written(ids, "windows").df
     if not few:  # positions past the longest window are not asked for
         longest = ids.agg(F.max(F.size(ids_col))).first()[0] or 0
         pe = pe.filter(F.col("pos") < longest)
-        few = _table_bytes(pe, "pe") <= BROADCAST_BYTES
-    ex = ids.select(*keys, F.posexplode(ids_col).alias("pos", "token"))
+        few = _table_bytes(pe, "pe", p_item) <= BROADCAST_BYTES
     if not small:  # nor are vectors of tokens that no window holds
-        te = Written(te.join(ex.select("token").distinct(), "token", "left_semi"), "used-vectors").df
-        small = _table_bytes(te, "te") <= BROADCAST_BYTES
+        te = Written(te.join(_held_tokens(ids.select(ids_col)), "token", "left_semi"), "used-vectors").df
+        small = _table_bytes(te, "te", t_item) <= BROADCAST_BYTES
+    if measure is not None and small and few:
+        return _measured_windows(ids, ids_col, (te, t_item), (pe, p_item), measure)
+    ex = ids.select(*keys, F.posexplode(ids_col).alias("pos", "token"))
     j = ex.join(F.broadcast(te), "token", "left") if small else join_skewed(ex, te, "token")
     j = j.join(F.broadcast(pe) if few else pe, "pos", "left")
     # Checked in the same job: a position past the table fails the query.
     pe_checked = F.when(F.col("pe").isNull(), F.raise_error(
         F.format_string("position %d exceeds the position table", F.col("pos")))
     ).otherwise(F.col("pe"))
-    return j.select(*keys, "pos", "token", V.vadd(F.col("te"), pe_checked).alias("emb"))
+    out = j.select(*keys, "pos", "token", V.vadd(F.col("te"), pe_checked).alias("emb"))
+    return out if measure is None else _measured_rows(out.select(*keys, "emb"), measure)
+
+
+def _held_tokens(ids: DataFrame) -> DataFrame:
+    """``(token)``: the distinct tokens of lists, a row a token and slice before they are shuffled."""
+    token = StructField("token", ids.schema.fields[0].dataType.elementType)
+
+    def make():
+        return lambda batch: [pc.unique(batch.column(0).flatten())]
+    return map_slices(ids, ids.columns[0], StructType([token]), make).distinct()
+
+
+# Vector entries that are added and measured together; they stay in a core's cache.
+MEASURE_CELLS = 1 << 17
+MEASURED = [StructField("total", DoubleType()), StructField("unknown", LongType())]
+#: A token beyond this many times the tokens of the table is looked up by search, not in a dense table.
+SPARSE_TOKENS = 64
+
+
+@dataclass
+class VectorTable:
+    """Vectors by key; the rows of a key lie one behind the other, in ``begin … begin + count - 1`` of its place in ``keys``."""
+    keys: np.ndarray
+    begin: np.ndarray
+    count: np.ndarray
+    values: np.ndarray  # (rows + 1, width), zero where a vector has no entry; the last row stands for no vector
+    sizes: np.ndarray   # entries of each vector, -1 for NULL and for the last row
+    whole: np.ndarray   # no entry is NULL
+
+    @classmethod
+    def collect(cls, table: DataFrame, item: int, key: str, vec: str, width: int) -> VectorTable:
+        rows = table.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), vec).toArrow().combine_chunks()
+        rows = rows.sort_by(key)
+        vecs = rows.column(vec).combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(vecs), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = vecs.flatten()
+        row = np.repeat(np.arange(len(sizes)), np.maximum(sizes, 0))
+        ends = np.cumsum(np.maximum(sizes, 0))
+        at = np.arange(len(flat)) - np.repeat(ends - np.maximum(sizes, 0), np.maximum(sizes, 0))
+        values, whole = np.zeros((len(sizes) + 1, width), f"f{item}"), np.ones(len(sizes) + 1, bool)
+        values[row, at] = pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False)
+        whole[row[flat.is_null().to_numpy(zero_copy_only=False)]] = False
+        keys, begin, count = np.unique(rows.column(key).to_numpy(), return_index=True, return_counts=True)
+        return cls(keys, begin, count, values, np.concatenate([sizes, [-1]]), whole)
+
+    def finder(self) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """A function of keys: the first row and the number of rows of each; the last row, once, for an unknown key."""
+        begin, count = np.append(self.begin, len(self.values) - 1), np.append(self.count, 1)
+        keys, none = self.keys, len(self.keys)
+        if none and keys[0] >= 0 and keys[-1] < SPARSE_TOKENS * max(none, 1 << 10):
+            dense = np.full(int(keys[-1]) + 2, none)
+            dense[keys] = np.arange(none)
+            place = lambda x: dense[np.where((x < 0) | (x > keys[-1]), len(dense) - 1, x)]
+        else:
+            def place(x: np.ndarray) -> np.ndarray:
+                at = np.minimum(np.searchsorted(keys, x), max(0, none - 1))
+                return np.where(keys[at] == x, at, none) if none else np.zeros(len(x), np.int64)
+
+        def find(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = place(x)
+            return begin[at], count[at]
+        return find
+
+
+def _totals(row: np.ndarray, n_rows: int, measured: np.ndarray, counts: np.ndarray, unknown: np.ndarray) -> list[pa.Array]:
+    """``total`` and ``unknown`` of each of ``n_rows`` windows from those of the positions; ``row`` is a position's window."""
+    total = np.bincount(row, np.where(counts, measured, 0.0), n_rows)
+    some = np.bincount(row[counts], minlength=n_rows) > 0
+    return [pa.array(total, pa.float64(), mask=~some), pa.array(np.bincount(row[unknown], minlength=n_rows), pa.int64())]
+
+
+def _measured_windows(ids: DataFrame, ids_col: str, te: tuple[DataFrame, int], pe: tuple[DataFrame, int],
+                      measure: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """The windows' keys with ``total`` and ``unknown``, the embeddings made slice by slice from tables that every task has;
+    a table comes with the bytes of an entry."""
+    width = max(max(t.agg(F.max(F.size(c))).first()[0] or 0, 0) for (t, _), c in ((te, "te"), (pe, "pe")))
+    tables = VectorTable.collect(*te, "token", "te", width), VectorTable.collect(*pe, "pos", "pe", width)
+    shared = ship(ids.sparkSession, [tuple(vars(t).values()) for t in tables], sum(t.values.nbytes for t in tables), "the embedding tables")
+    keys = [f for f in ids.schema.fields if f.name != ids_col]
+
+    def make():
+        tokens, places = (VectorTable(*t) for t in shared.value)
+        token_rows, place_rows = tokens.finder(), places.finder()
+        step = max(1, MEASURE_CELLS // max(1, width))
+        once = bool((tokens.count == 1).all() and (places.count == 1).all())
+        add = np.empty((step, width), places.values.dtype)
+
+        def total(batch: pa.RecordBatch) -> list[pa.Array]:
+            lists = batch.column(batch.num_columns - 1)
+            sizes, flat = list_sizes(lists), lists.flatten()
+            known = flat.is_valid().to_numpy(zero_copy_only=False)
+            codes = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            (t, nt), (p, n_p) = token_rows(codes), place_rows(pos)
+            if not known.all():
+                t[~known], nt[~known] = len(tokens.values) - 1, 1
+            if not once:  # every row of the token with every row of the position
+                n = nt * n_p
+                nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                row, pos, t, p, n_p = (np.repeat(x, n) for x in (row, pos, t, p, n_p))
+                t, p = t + nth // n_p, p + nth % n_p
+            unknown = tokens.sizes[t] < 0
+            past = (places.sizes[p] < 0) & ~unknown
+            if past.any():
+                raise ValueError(f"position {pos[past].min()} exceeds the position table")
+            measured = np.empty(len(t))
+            for lo in range(0, len(t), step):
+                hi = min(lo + step, len(t))
+                emb = np.take(tokens.values, t[lo:hi], axis=0).astype(float, copy=False)
+                emb += np.take(places.values, p[lo:hi], axis=0, out=add[:hi - lo])
+                measured[lo:hi] = measure(emb)
+            whole = tokens.whole[t] & places.whole[p] & (tokens.sizes[t] == places.sizes[p])
+            held = np.flatnonzero(sizes)
+            out = _totals(row, len(sizes), measured, whole & ~unknown, unknown)
+            return [c.take(pa.array(held)) for c in [*batch.columns[:-1], *out]]
+        return total
+    return map_slices(ids.select(*[f.name for f in keys], ids_col), ids_col, StructType([*keys, *MEASURED]), make)
+
+
+def _measured_rows(rows: DataFrame, measure: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``rows`` (keys…, emb) with ``total`` and ``unknown`` of each row's own embedding."""
+    keys = rows.schema.fields[:-1]
+
+    def make():
+        def total(batch: pa.RecordBatch) -> list[pa.Array]:
+            embs = batch.column(batch.num_columns - 1)
+            sizes, flat = list_sizes(embs), embs.flatten()
+            row, width = np.repeat(np.arange(len(sizes)), sizes), int(sizes.max(initial=0))
+            values, whole = np.zeros((len(sizes), width)), np.ones(len(sizes), bool)
+            values[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False)
+            whole[row[flat.is_null().to_numpy(zero_copy_only=False)]] = False
+            unknown = embs.is_null().to_numpy(zero_copy_only=False)
+            return [*batch.columns[:-1], *_totals(np.arange(len(sizes)), len(sizes), measure(values), whole & ~unknown, unknown)]
+        return total
+    return map_slices(rows, "emb", StructType([*keys, *MEASURED]), make)
+
+
+def sum_of_squares(vectors: np.ndarray) -> np.ndarray:
+    """A ``measure`` of :func:`embed_tokens`."""
+    return np.einsum("ij,ij->i", vectors, vectors)
 
 
 # --- V7: softmax inside groups ---------------------------------------------------

@@ -555,10 +555,9 @@ def q_embed_tokens(spark, d):
     emb = table(spark, d, "embeddings")
     tok = emb.filter(F.col("vec_id") % UNKNOWN != 10).select(F.col("vec_id").cast("int").alias("token"), F.col("embedding").alias("vec"))
     pos = emb.select(F.col("vec_id").cast("int").alias("pos"), F.col("embedding").alias("vec"))
-    e = vectors.embed_tokens(_windows(spark, d), tok, pos)
-    sq = F.aggregate("emb", F.lit(0.0).cast("double"), lambda acc, x: acc + x * x)
+    e = vectors.embed_tokens(_windows(spark, d), tok, pos, measure=vectors.sum_of_squares)
     return e.groupBy("split", "shard_idx", "chunk_idx").agg(
-        F.round(F.sum(sq), 4).alias("sumsq"), F.count(F.when(F.col("emb").isNull(), 1)).alias("n_unknown"))
+        F.round(F.sum("total"), 4).alias("sumsq"), F.sum("unknown").alias("n_unknown"))
 
 
 def q_causal_pool(spark, d):
