@@ -31,19 +31,28 @@ an occurrence of ``(x, a)`` or ``(b, y)``, which chains with the merge and there
 ranks after the prefix. This gives the same merges, ids and order as one-at-a-time
 training.
 
-In the sequence scope the state is written after each round, and the table before goes.
+In the sequence scope the text is first cut into *segments* between two symbols whose pair is
+rarer than a floor. Merges only ever join what stands side by side in the text, and each
+occurrence of a pair has a place in the text of its own where its halves meet; so a pair that reaches
+over a cut occurs less often than the floor, at any time of the training. As long as the most frequent pair
+reaches the floor, the distinct segments, with their numbers and first places, give the merges of the whole
+sequence, ties included, and they are trained on as pieces are. When no pair reaches the floor, a lower one
+follows. Once a floor would leave hardly a cut, rounds go over all blocks: the
+state is written after each, and the table before goes.
+
 The piece scope works on an index from pairs to the pieces that hold them
 (:mod:`.pair_index`): a round reads and writes the pieces that its merges change.
 """
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -53,7 +62,7 @@ from ..validation import require, require_columns
 from . import segments
 from .packing import running_offsets
 from .pair_index import PAIR_BYTES, Work, choose_round, count_pairs, replace_pairs, train
-from .pieces import split_texts
+from .pieces import split_texts, text_buffers
 from .tokenizer import TEXT_BYTES, list_sizes, map_slices, text_code_points
 from .vocab import initial_vocab
 
@@ -61,6 +70,8 @@ SCOPES = ("sequence", "piece")
 # Code points of merged tokens while training: planes 4 to 16, which hold no assigned
 # characters but private ones. A vocabulary must fit; this is checked before the start.
 _SYMBOL_BASE, _SYMBOL_LIMIT = 0x40000, 0x10FFFD
+# Pairs of symbols of a slice that are counted in a dense table.
+DENSE_PAIRS = 1 << 22
 # Documents whose lengths are summed together, with their texts.
 TEXT_BUCKET_ROWS = 1 << 12
 
@@ -253,6 +264,46 @@ def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
                                      F.min(F.struct("bkey", "idx")).alias("first"))
 
 
+def neighbour_counts(blocks: DataFrame) -> Written:
+    """``(pair, n)`` of :func:`pair_counts` over the blocks (none empty) of one sequence, without the first places."""
+    def make():
+        dense = np.zeros(0x110000, np.int32)
+
+        def count(batch: pa.RecordBatch) -> list[pa.Array]:
+            codes, sizes = text_code_points(batch.column(1))
+            seen = np.zeros(len(dense), bool)
+            seen[codes] = True
+            symbols = np.flatnonzero(seen)
+            k = len(symbols)
+            dense[symbols] = np.arange(k)
+            d = dense[codes] if k * k < 1 << 31 else dense[codes].astype(np.int64)
+            pair, ends = d[:-1] * k + d[1:], np.cumsum(sizes)
+            over = pair[ends[:-1] - 1]  # of two blocks
+            if k * k <= DENSE_PAIRS:
+                n = np.bincount(pair, minlength=k * k) - np.bincount(over, minlength=k * k)
+                found = np.flatnonzero(n)
+                n = n[found]
+            else:
+                found, n = np.unique(pair, return_counts=True)
+                np.subtract.at(n, np.searchsorted(found, over), 1)
+                found, n = found[n > 0], n[n > 0]
+            names = [chr(symbols[a]) + chr(symbols[b]) for a, b in zip(*np.divmod(found, max(1, k)))]
+            edges = [chr(a) + chr(b) for a, b in zip(codes[ends - sizes], codes[ends - 1])]
+            return [pa.array(names + edges, pa.string()), pa.array(np.append(n, np.zeros(len(edges), np.int64)), pa.int64()),
+                    pa.concat_arrays([pa.nulls(len(names), pa.int64()), batch.column(0)])]
+        return count
+    # With a bkey: the first and the last symbol of a block.
+    schema = StructType([StructField("pair", StringType()), StructField("n", LongType()), StructField("bkey", LongType())])
+    found = Written(map_slices(blocks.select(F.col("bkey").cast("long").alias("bkey"), "s"), "s", schema, make, PAIR_BYTES), "bpe-neighbours")
+    ends = found.df.filter(F.col("bkey").isNotNull()).select("bkey", F.substring("pair", 1, 1).alias("first"), F.substring("pair", 2, 1).alias("last"))
+    edge = segments.neighbour_edges(ends, [], "bkey").filter(F.col("next_first").isNotNull()).select(
+        F.concat("last", "next_first").alias("pair"), F.lit(1).cast("long").alias("n"))
+    inner = found.df.filter(F.col("bkey").isNull()).select("pair", "n")
+    counts = Written(inner.unionByName(edge).groupBy("pair").agg(F.sum("n").alias("n")), "bpe-counts")
+    found.drop()
+    return counts
+
+
 def _summary(blocks: DataFrame) -> DataFrame:
     """One row per block with its neighbours' edge symbols (block order)."""
     s = blocks.select("bkey", F.length("s").alias("len"), F.substring("s", 1, 1).alias("first"), F.substring(F.reverse("s"), 1, 1).alias("last"))
@@ -332,11 +383,16 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
     require(max_per_round >= 1, "max_per_round must be >= 1")
     spark = blocks.sparkSession
     blocks = blocks.select("bkey", "s", "w").filter(F.length("s") > 0)
+    counts = None
     if scope == "sequence":
         state = Written(blocks.repartition("bkey"), "bpe-state")
+        counts = neighbour_counts(state.df)
     else:  # ids in the order of first occurrences
         state = Written(blocks.orderBy("bkey").select(F.monotonically_increasing_id().alias("pid"), "s", "w"), "bpe-pieces")
-    chars = state.df.select(F.explode(F.array_distinct(F.split("s", ""))).alias("ch")).filter(F.col("ch") != "").distinct()
+    if counts and not counts.df.isEmpty():  # each symbol has a neighbour
+        chars = counts.df.select(F.explode(F.array(F.substring("pair", 1, 1), F.substring("pair", 2, 1))).alias("ch")).distinct()
+    else:
+        chars = state.df.select(F.explode(F.array_distinct(F.split("s", ""))).alias("ch")).filter(F.col("ch") != "").distinct()
     rows = sorted(initial_vocab(chars, specials).collect(), key=lambda r: r["token"])  # 256 + alphabet + specials
     text_of = {r["token"]: r["text"] for r in rows}
     tok_of_sym = {r["text"]: r["token"] for r in rows if len(r["text"]) == 1}
@@ -361,7 +417,7 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
         return chosen
 
     if scope == "sequence":
-        rounds, work = _train_sequence(state, left, take, max_per_round), []
+        rounds, work = _train_sequence(state, counts, len(rows), left, take, max_per_round), []
     else:
         work = train(state.df, len(rows), left, take, max_per_round)
         rounds = len(work)
@@ -373,19 +429,154 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
                       rounds=rounds, work=work)
 
 
-def _train_sequence(state: Written, left: Callable[[], int], take: Callable[[list[str]], dict[str, str]], max_per_round: int) -> int:
-    """Rounds over the blocks of one sequence; returns their number."""
-    rounds = 0
+def _train_sequence(state: Written, counts: Written, alphabet: int, left: Callable[[], int], take: Callable[[list[str]], dict[str, str]],
+                    max_per_round: int) -> int:
+    """Rounds over one sequence with the ``counts`` of its pairs, by its segments as far as these go, then by
+    its blocks; returns their number."""
+    done: list[dict[str, str]] = []
+
+    def noted(pairs: list[str]) -> dict[str, str]:
+        done.append(take(pairs))
+        return done[-1]
+
+    ranks, floor = SEGMENT_RANKS * left(), None
+    while left() > 0:
+        kept, least = _frequent_pairs(counts.df, ranks)
+        if not kept or (floor is not None and least >= floor):
+            break
+        with segment_table(state.df, kept) as segs:
+            if segs is None:
+                break
+            merges = [m for chosen in done for m in chosen.items()]
+            pieces = segs.select("pid", replace_pairs(F.col("s"), merges).alias("s") if merges else "s", "w")
+            train(pieces, alphabet + len(merges), left, noted, max_per_round, least)
+        ranks, floor = 2 * ranks, least
+    counts.drop()
+    if left() > 0:
+        for chosen in done:
+            state = _next_state(state, chosen)
     while (n := left()) > 0:
         top = pair_counts(state.df, True).orderBy(F.desc("n"), F.asc("first")).limit(min(max_per_round, n)).collect()
         pairs = choose_round([(r["pair"], r["n"]) for r in top], n)
         if not pairs:
             break
-        before, state = state, Written(apply_round(state.df, take(pairs), True), "bpe-state")
-        before.drop()
-        rounds += 1
+        state = _next_state(state, noted(pairs))
+    state.drop()
+    return len(done)
+
+
+def _next_state(state: Written, merges: dict[str, str]) -> Written:
+    after = Written(apply_round(state.df, merges, True), "bpe-state")
     state.drop()
-    return rounds
+    return after
+
+
+# --- segments of a sequence ----------------------------------------------------------
+
+#: The first floor is the count of the pair of this rank, times the merges wanted; the last of n merges has about that of rank 1.7 n.
+SEGMENT_RANKS, RANKS_AT_MOST = 2, 1 << 11
+#: One in so many neighbours, at least, must be cut apart; else segments are long and hardly any two are the same.
+CUT_SHARE = 8
+#: Symbols of the longest segment.
+SEGMENT_SYMBOLS = 1 << 20
+INNER, HEAD, TAIL = 0, 1, 2
+
+
+def _frequent_pairs(counts: DataFrame, ranks: int) -> tuple[list[str], int]:
+    """The pairs that no segment is cut between, and the least number of times that they occur: all pairs of
+    that count and above, at most ``ranks``, such that enough other neighbours are left to be cut apart."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    top = counts.orderBy(F.desc("n"), "pair").limit(min(ranks, RANKS_AT_MOST) + 1).collect()
+    n = [r["n"] for r in top]
+    sums = np.cumsum(n)
+    for size in range(min(len(n) - 1, ranks, RANKS_AT_MOST), 0, -1):
+        if n[size] < n[size - 1] and CUT_SHARE * (total - int(sums[size - 1])) >= total:
+            return [r["pair"] for r in top[:size]], n[size - 1]
+    return [], 0
+
+
+def _cut_blocks(blocks: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """``(s, bkey, idx, w, kind)``: the distinct segments (of two symbols and more) inside the blocks of a slice, with their number and
+    first place; and what stands before a block's first cut (HEAD) and after its last one (TAIL), or the block if there is none (both)."""
+    symbols = sorted({c for p in kept for c in p})
+
+    def make():
+        n = len(symbols) + 1
+        dense = np.zeros(0x110000, np.int32)
+        dense[[ord(c) for c in symbols]] = np.arange(1, n)
+        joins = np.zeros(n * n, bool)
+        joins[[dense[ord(p[0])] * n + dense[ord(p[1])] for p in kept]] = True
+
+        def cut(batch: pa.RecordBatch) -> list[pa.Array]:
+            batch = in_order(batch, 1)
+            texts = batch.column(1)
+            codes, sizes = text_code_points(texts)
+            d = dense[codes]
+            apart = np.ones(len(codes), bool)  # from the symbol before
+            apart[1:] = ~joins[d[:-1] * n + d[1:]]
+            ends = np.cumsum(sizes)
+            apart[(ends - sizes)] = True
+            begin = np.flatnonzero(apart)
+            end = np.append(begin[1:], len(codes))
+            width = np.ones(len(codes), np.int8)
+            for least in (0x80, 0x800, 0x10000):
+                width += codes >= least
+            places = np.concatenate([np.zeros(1, np.int32), np.cumsum(width, dtype=np.int32)])[np.append(begin, len(codes))]
+            segs = pa.StringArray.from_buffers(len(begin), pa.py_buffer(places), pa.py_buffer(bytes(text_buffers(texts)[0])))
+            row = np.searchsorted(ends, begin, "right")
+            idx = begin - (ends - sizes)[row]
+            kind = np.where(idx == 0, HEAD, INNER) + np.where(end == ends[row], TAIL, INNER)
+            inner, edge = np.flatnonzero((kind == INNER) & (end - begin > 1)), np.flatnonzero(kind != INNER)
+            encoded = segs.take(pa.array(inner)).dictionary_encode()
+            order = encoded.indices.to_numpy(zero_copy_only=False)
+            # Codes are given in the order of first occurrences.
+            first = inner[np.flatnonzero(np.diff(np.maximum.accumulate(order), prepend=-1))]
+            at = np.concatenate([first, edge])
+            times = np.concatenate([np.bincount(order, minlength=len(first)), np.ones(len(edge), np.int64)])
+            return [pa.concat_arrays([encoded.dictionary, segs.take(pa.array(edge))]), batch.column(0).take(pa.array(row[at])),
+                    pa.array(idx[at], pa.int32()), pa.array(times, pa.int64()), pa.array(kind[at], pa.int32())]
+        return cut
+    bkey = StructField("bkey", LongType())
+    schema = StructType([StructField("s", StringType()), bkey, StructField("idx", IntegerType()), StructField("w", LongType()), StructField("kind", IntegerType())])
+    return map_slices(blocks.select(F.col("bkey").cast("long").alias("bkey"), "s"), "s", schema, make, PAIR_BYTES)
+
+
+def _chains(edges: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """``edges`` (s, bkey, idx, kind) with the ``chain`` they belong to, the ``place`` of its first one: a tail, or a head that is cut off from the
+    block before."""
+    place = 2 * F.col("bkey") + F.when(F.col("kind") == TAIL, 1).otherwise(0)
+    rows = edges.select("s", "bkey", "idx", "kind", place.alias("place"), F.substring("s", 1, 1).alias("first"),
+                        F.substring(F.reverse("s"), 1, 1).alias("last"))
+    near = segments.neighbour_edges(rows, [], "place")
+    goes_on = (F.col("kind") != TAIL) & F.coalesce(F.concat("prev_last", "first").isin(list(kept)), F.lit(False))
+    near = near.select("s", "bkey", "idx", "place", F.when(~goes_on, F.col("place")).alias("start"),
+                       F.floor(F.col("place") / segments.GROUP).cast("long").alias("grp"))
+    groups = near.groupBy("grp").agg(F.max("start").alias("start")).select(
+        F.col("grp").alias("g"), F.max("start").over(Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    inside = F.max("start").over(Window.partitionBy("grp").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    return near.withColumn("inside", inside).join(groups, F.col("grp") == F.col("g")).select(
+        "s", "bkey", "idx", "place", F.coalesce("inside", "before").alias("chain"))
+
+
+@contextmanager
+def segment_table(blocks: DataFrame, kept: Sequence[str]) -> Iterator[DataFrame | None]:
+    """``(pid, s, w)``: the distinct segments of the sequence in ``blocks``, which is cut between all neighbours but the pairs
+    ``kept``; ``pid`` is the first place. None if one is longer than ``SEGMENT_SYMBOLS``.
+
+    Segments that reach over blocks are put together from what stands at the blocks' ends. What
+    the table is read from is dropped after use.
+    """
+    cut = Written(_cut_blocks(blocks, kept), "bpe-cut")
+    chains = Written(_chains(cut.df.filter(F.col("kind") != INNER), kept), "bpe-chains")
+    longest = chains.df.groupBy("chain").agg(F.sum(F.length("s")).alias("n")).agg(F.max("n")).first()[0] or 0
+    joined = chains.df.groupBy("chain").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "s"))), lambda x: x["s"]), "").alias("s"),
+        F.min(F.struct("bkey", "idx")).alias("at")).select("s", "at.bkey", "at.idx", F.lit(1).cast("long").alias("w"))
+    every = cut.df.filter(F.col("kind") == INNER).select("s", "bkey", "idx", "w").unionByName(joined.filter(F.length("s") > 1))
+    pid = F.shiftleft("bkey", 32) + F.col("idx")
+    yield every.groupBy("s").agg(F.min(pid).alias("pid"), F.sum("w").alias("w")) if longest <= SEGMENT_SYMBOLS else None
+    cut.drop()
+    chains.drop()
 
 
 def train_tokenizer(sample: DataFrame, vocab_size: int, specials: Sequence[str] = (EOT,),

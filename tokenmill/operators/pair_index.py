@@ -177,11 +177,13 @@ class Work:
 
 
 class PairIndex:
-    """The index over ``pieces`` (pid, s, w), where pids are distinct and in the order that decides ties."""
+    """The index over ``pieces`` (pid, s, w), where pids are distinct and in the order that decides ties.
+    Pairs that occur less than ``floor`` times are not chosen."""
 
-    def __init__(self, pieces: DataFrame, alphabet: int = 0):
+    def __init__(self, pieces: DataFrame, alphabet: int = 0, floor: int = 1):
         self.spark = pieces.sparkSession
         self.symbols = alphabet
+        self.floor = floor
         self.round = 0
         self.work: list[Work] = []
         self.recounts = 0
@@ -326,8 +328,13 @@ class PairIndex:
             if not self.frontier:  # more pairs are equally frequent than the driver may hold
                 counts = self.counts()
                 most = counts.agg(F.max("n")).first()[0]
+                if most < self.floor:
+                    return []
                 return self._ranked(counts.filter(F.col("n") == most).select("pair"), most, room)
         top = heapq.nlargest(RANKED + 1, self.frontier.items(), key=lambda x: x[1])
+        top = [x for x in top if x[1] >= self.floor]
+        if not top:
+            return []
         if len(top) > RANKED:
             cut = top[-1][1]
             top = [x for x in top if x[1] > cut]
@@ -402,10 +409,10 @@ class PairIndex:
 
 
 def train(pieces: DataFrame, alphabet: int, goal: Callable[[], int], take: Callable[[list[str]], dict[str, str]],
-          max_per_round: int) -> list[Work]:
-    """Choose and merge until ``goal()`` merges are left none, or no pair is. ``take`` turns the
-    chosen pairs into their new symbols. Returns the work of each round."""
-    index = PairIndex(pieces, alphabet)
+          max_per_round: int, floor: int = 1) -> list[Work]:
+    """Choose and merge until ``goal()`` merges are left none, or no pair is that occurs ``floor`` times. ``take``
+    turns the chosen pairs into their new symbols. Returns the work of each round."""
+    index = PairIndex(pieces, alphabet, floor)
     while (left := goal()) > 0 and (pairs := index.choose(min(max_per_round, left))):
         index.merge(take(pairs))
     index.close()
