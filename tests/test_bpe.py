@@ -54,7 +54,8 @@ def test_segments_train_as_the_whole_sequence(spark, monkeypatch):
     rng = random.Random(21)
     used = []
     whole = bpe.segment_table
-    monkeypatch.setattr(bpe, "segment_table", lambda blocks, kept: used.append(len(kept)) or whole(blocks, kept))
+    monkeypatch.setattr(bpe, "segment_table", lambda blocks, kept, size: used.append(len(kept)) or whole(blocks, kept, size))
+    monkeypatch.setattr(pair_index, "WRITE_TABLE", 1)
     for trial, (ranks, share, longest) in enumerate(((2, 10**6, 1 << 20), (1, 10**6, 1 << 20), (1, 3, 1 << 20), (2, 10**6, 4), (1, 10**6, 1 << 20))):
         monkeypatch.setattr(bpe, "SEGMENT_RANKS", ranks)
         monkeypatch.setattr(bpe, "CUT_SHARE", share)

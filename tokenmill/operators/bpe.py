@@ -61,8 +61,8 @@ from ..session import Written
 from ..validation import require, require_columns
 from . import segments
 from .packing import running_offsets
-from .pair_index import PAIR_BYTES, Work, choose_round, count_pairs, replace_pairs, train
-from .pieces import split_texts, text_buffers
+from .pair_index import PAIR_BYTES, Work, choose_round, count_pairs, cutter, replace_pairs, train
+from .pieces import split_texts
 from .tokenizer import TEXT_BYTES, list_sizes, map_slices, text_code_points
 from .vocab import initial_vocab
 
@@ -264,8 +264,9 @@ def pair_counts(blocks: DataFrame, boundaries: bool) -> DataFrame:
                                      F.min(F.struct("bkey", "idx")).alias("first"))
 
 
-def neighbour_counts(blocks: DataFrame) -> Written:
-    """``(pair, n)`` of :func:`pair_counts` over the blocks (none empty) of one sequence, without the first places."""
+def neighbour_counts(blocks: DataFrame) -> tuple[Written, int | None]:
+    """``(pair, n)`` of :func:`pair_counts` over the blocks (none empty) of one sequence, without the first places; and
+    the length of a block, if all but the last one have the same and none is missing."""
     def make():
         dense = np.zeros(0x110000, np.int32)
 
@@ -289,10 +290,10 @@ def neighbour_counts(blocks: DataFrame) -> Written:
                 found, n = found[n > 0], n[n > 0]
             names = [chr(symbols[a]) + chr(symbols[b]) for a, b in zip(*np.divmod(found, max(1, k)))]
             edges = [chr(a) + chr(b) for a, b in zip(codes[ends - sizes], codes[ends - 1])]
-            return [pa.array(names + edges, pa.string()), pa.array(np.append(n, np.zeros(len(edges), np.int64)), pa.int64()),
+            return [pa.array(names + edges, pa.string()), pa.array(np.append(n, sizes), pa.int64()),
                     pa.concat_arrays([pa.nulls(len(names), pa.int64()), batch.column(0)])]
         return count
-    # With a bkey: the first and the last symbol of a block.
+    # With a bkey: the first and the last symbol of a block, and its length.
     schema = StructType([StructField("pair", StringType()), StructField("n", LongType()), StructField("bkey", LongType())])
     found = Written(map_slices(blocks.select(F.col("bkey").cast("long").alias("bkey"), "s"), "s", schema, make, PAIR_BYTES), "bpe-neighbours")
     ends = found.df.filter(F.col("bkey").isNotNull()).select("bkey", F.substring("pair", 1, 1).alias("first"), F.substring("pair", 2, 1).alias("last"))
@@ -300,8 +301,14 @@ def neighbour_counts(blocks: DataFrame) -> Written:
         F.concat("last", "next_first").alias("pair"), F.lit(1).cast("long").alias("n"))
     inner = found.df.filter(F.col("bkey").isNull()).select("pair", "n")
     counts = Written(inner.unionByName(edge).groupBy("pair").agg(F.sum("n").alias("n")), "bpe-counts")
+    lengths = found.df.filter(F.col("bkey").isNotNull()).agg(
+        F.max("n").alias("n"), F.count("*").alias("rows"), F.min("bkey").alias("lo"), F.max("bkey").alias("hi"),
+        F.min(F.struct("n", (-F.col("bkey")).alias("at"))).alias("least"), F.sum("n").alias("total")).first()
     found.drop()
-    return counts
+    even = lengths["rows"] and lengths["hi"] - lengths["lo"] + 1 == lengths["rows"] and (
+        lengths["least"]["n"] == lengths["n"] or (-lengths["least"]["at"] == lengths["hi"]
+                                                  and lengths["total"] == lengths["n"] * (lengths["rows"] - 1) + lengths["least"]["n"]))
+    return counts, lengths["n"] if even else None
 
 
 def _summary(blocks: DataFrame) -> DataFrame:
@@ -383,10 +390,10 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
     require(max_per_round >= 1, "max_per_round must be >= 1")
     spark = blocks.sparkSession
     blocks = blocks.select("bkey", "s", "w").filter(F.length("s") > 0)
-    counts = None
+    counts, size = None, None
     if scope == "sequence":
         state = Written(blocks.repartition("bkey"), "bpe-state")
-        counts = neighbour_counts(state.df)
+        counts, size = neighbour_counts(state.df)
     else:  # ids in the order of first occurrences
         state = Written(blocks.orderBy("bkey").select(F.monotonically_increasing_id().alias("pid"), "s", "w"), "bpe-pieces")
     if counts and not counts.df.isEmpty():  # each symbol has a neighbour
@@ -417,7 +424,8 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
         return chosen
 
     if scope == "sequence":
-        rounds, work = _train_sequence(state, counts, len(rows), left, take, max_per_round), []
+        rounds, work = _train_sequence(state, counts, size, len(rows), left, take, max_per_round,
+                                       lambda: {sym: len(text_of[t]) for sym, t in tok_of_sym.items() if len(text_of[t]) > 1}), []
     else:
         work = train(state.df, len(rows), left, take, max_per_round)
         rounds = len(work)
@@ -429,10 +437,10 @@ def train_bpe(blocks: DataFrame, vocab_size: int | None = None, specials: Sequen
                       rounds=rounds, work=work)
 
 
-def _train_sequence(state: Written, counts: Written, alphabet: int, left: Callable[[], int], take: Callable[[list[str]], dict[str, str]],
-                    max_per_round: int) -> int:
-    """Rounds over one sequence with the ``counts`` of its pairs, by its segments as far as these go, then by
-    its blocks; returns their number."""
+def _train_sequence(state: Written, counts: Written, size: int | None, alphabet: int, left: Callable[[], int],
+                    take: Callable[[list[str]], dict[str, str]], max_per_round: int, lengths: Callable[[], dict[str, int]]) -> int:
+    """Rounds over one sequence with the ``counts`` of its pairs and blocks of ``size``, by its segments as far as these
+    go, then by its blocks; returns their number. ``lengths`` gives the characters of merged symbols."""
     done: list[dict[str, str]] = []
 
     def noted(pairs: list[str]) -> dict[str, str]:
@@ -444,12 +452,13 @@ def _train_sequence(state: Written, counts: Written, alphabet: int, left: Callab
         kept, least = _frequent_pairs(counts.df, ranks)
         if not kept or (floor is not None and least >= floor):
             break
-        with segment_table(state.df, kept) as segs:
+        with segment_table(state.df, kept, size) as segs:
             if segs is None:
                 break
             merges = [m for chosen in done for m in chosen.items()]
             pieces = segs.select("pid", replace_pairs(F.col("s"), merges).alias("s") if merges else "s", "w")
-            train(pieces, alphabet + len(merges), left, noted, max_per_round, least)
+            # Where blocks are not of one size, a place is no number of characters.
+            train(pieces, alphabet + len(merges), left, noted, max_per_round, least, lengths if size else None)
         ranks, floor = 2 * ranks, least
     counts.drop()
     if left() > 0:
@@ -498,34 +507,14 @@ def _frequent_pairs(counts: DataFrame, ranks: int) -> tuple[list[str], int]:
 def _cut_blocks(blocks: DataFrame, kept: Sequence[str]) -> DataFrame:
     """``(s, bkey, idx, w, kind)``: the distinct segments (of two symbols and more) inside the blocks of a slice, with their number and
     first place; and what stands before a block's first cut (HEAD) and after its last one (TAIL), or the block if there is none (both)."""
-    symbols = sorted({c for p in kept for c in p})
-
     def make():
-        n = len(symbols) + 1
-        dense = np.zeros(0x110000, np.int32)
-        dense[[ord(c) for c in symbols]] = np.arange(1, n)
-        joins = np.zeros(n * n, bool)
-        joins[[dense[ord(p[0])] * n + dense[ord(p[1])] for p in kept]] = True
+        parts = cutter(kept)
 
         def cut(batch: pa.RecordBatch) -> list[pa.Array]:
             batch = in_order(batch, 1)
-            texts = batch.column(1)
-            codes, sizes = text_code_points(texts)
-            d = dense[codes]
-            apart = np.ones(len(codes), bool)  # from the symbol before
-            apart[1:] = ~joins[d[:-1] * n + d[1:]]
-            ends = np.cumsum(sizes)
-            apart[(ends - sizes)] = True
-            begin = np.flatnonzero(apart)
-            end = np.append(begin[1:], len(codes))
-            width = np.ones(len(codes), np.int8)
-            for least in (0x80, 0x800, 0x10000):
-                width += codes >= least
-            places = np.concatenate([np.zeros(1, np.int32), np.cumsum(width, dtype=np.int32)])[np.append(begin, len(codes))]
-            segs = pa.StringArray.from_buffers(len(begin), pa.py_buffer(places), pa.py_buffer(bytes(text_buffers(texts)[0])))
-            row = np.searchsorted(ends, begin, "right")
-            idx = begin - (ends - sizes)[row]
-            kind = np.where(idx == 0, HEAD, INNER) + np.where(end == ends[row], TAIL, INNER)
+            segs, begin, end, row, codes, starts = parts(batch.column(1))
+            idx = begin - starts[row]
+            kind = np.where(idx == 0, HEAD, INNER) + np.where(end == np.append(starts[1:], len(codes))[row], TAIL, INNER)
             inner, edge = np.flatnonzero((kind == INNER) & (end - begin > 1)), np.flatnonzero(kind != INNER)
             encoded = segs.take(pa.array(inner)).dictionary_encode()
             order = encoded.indices.to_numpy(zero_copy_only=False)
@@ -559,9 +548,9 @@ def _chains(edges: DataFrame, kept: Sequence[str]) -> DataFrame:
 
 
 @contextmanager
-def segment_table(blocks: DataFrame, kept: Sequence[str]) -> Iterator[DataFrame | None]:
+def segment_table(blocks: DataFrame, kept: Sequence[str], size: int | None = None) -> Iterator[DataFrame | None]:
     """``(pid, s, w)``: the distinct segments of the sequence in ``blocks``, which is cut between all neighbours but the pairs
-    ``kept``; ``pid`` is the first place. None if one is longer than ``SEGMENT_SYMBOLS``.
+    ``kept``; ``pid`` is the first place, in characters if blocks have ``size``. None if one is longer than ``SEGMENT_SYMBOLS``.
 
     Segments that reach over blocks are put together from what stands at the blocks' ends. What
     the table is read from is dropped after use.
@@ -573,7 +562,7 @@ def segment_table(blocks: DataFrame, kept: Sequence[str]) -> Iterator[DataFrame
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "s"))), lambda x: x["s"]), "").alias("s"),
         F.min(F.struct("bkey", "idx")).alias("at")).select("s", "at.bkey", "at.idx", F.lit(1).cast("long").alias("w"))
     every = cut.df.filter(F.col("kind") == INNER).select("s", "bkey", "idx", "w").unionByName(joined.filter(F.length("s") > 1))
-    pid = F.shiftleft("bkey", 32) + F.col("idx")
+    pid = (F.shiftleft("bkey", 32) if size is None else F.col("bkey") * size) + F.col("idx")
     yield every.groupBy("s").agg(F.min(pid).alias("pid"), F.sum("w").alias("w")) if longest <= SEGMENT_SYMBOLS else None
     cut.drop()
     chains.drop()

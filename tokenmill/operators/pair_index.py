@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import Written
-from .tokenizer import code_points, map_slices
+from .pieces import text_buffers
+from .tokenizer import code_points, map_slices, text_code_points
 
 # Bytes of blocks whose pairs are counted together.
 PAIR_BYTES = 1 << 22
@@ -127,6 +128,66 @@ def pair_sums(rows: DataFrame, before: Sequence[tuple[str, str]] = (), merges: S
     return map_slices(rows.filter(F.length("s") > 1).select("w", "s"), "s", schema, make, PAIR_BYTES)
 
 
+# Pairs of symbols that are looked up in a dense table.
+DENSE_KEPT = 1 << 24
+
+
+def cutter(kept: Sequence[str]) -> Callable[[pa.Array], tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """A function that cuts texts, none empty, between all neighbours but the pairs ``kept``: the parts, and of each the first
+    symbol and the end, and the text it is in; the code points of all texts, and where each text starts."""
+    symbols = sorted({c for p in kept for c in p})
+    n = len(symbols) + 1
+    dense = np.zeros(0x110000, np.int32)
+    dense[[ord(c) for c in symbols]] = np.arange(1, n)
+    codes_kept = np.array(sorted(int(dense[ord(p[0])]) * n + int(dense[ord(p[1])]) for p in kept), np.int64)
+    table = np.zeros(n * n, bool) if n * n <= DENSE_KEPT else None
+    if table is not None:
+        table[codes_kept] = True
+
+    def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        codes, sizes = text_code_points(texts)
+        d = dense[codes] if table is not None else dense[codes].astype(np.int64)
+        pair = d[:-1] * n + d[1:]
+        apart = np.ones(len(codes), bool)  # from the symbol before
+        apart[1:] = ~(np.isin(pair, codes_kept) if table is None else table[pair])
+        starts = np.cumsum(sizes) - sizes
+        apart[starts] = True
+        begin = np.flatnonzero(apart)
+        width = np.ones(len(codes), np.int8)
+        for least in (0x80, 0x800, 0x10000):
+            width += codes >= least
+        places = np.concatenate([np.zeros(1, np.int32), np.cumsum(width, dtype=np.int32)])[np.append(begin, len(codes))]
+        parts = pa.StringArray.from_buffers(len(begin), pa.py_buffer(places), pa.py_buffer(bytes(text_buffers(texts)[0])))
+        row = np.repeat(np.arange(len(sizes)), np.diff(np.append(np.searchsorted(begin, starts), len(begin))))
+        return parts, begin, np.append(begin[1:], len(codes)), row, codes, starts
+    return cut
+
+
+def cut_pieces(rows: DataFrame, kept: Sequence[str], lengths: dict[str, int]) -> DataFrame:
+    """``(pid, w, s)``: the parts, of two symbols and more, of ``rows`` (pid, w, s) cut between all neighbours but the pairs
+    ``kept``. The pid of a part is the piece's and the length of the symbols before it, 1 if ``lengths`` has no other. Equal
+    parts of a slice are one row, with the least pid and the sum of ``w``."""
+    def make():
+        cut = cutter(kept)
+        length = np.ones(0x110000, np.int64)
+        length[[ord(c) for c in lengths]] = list(lengths.values())
+
+        def parts(batch: pa.RecordBatch) -> list[pa.Array]:
+            pid, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            segs, begin, end, row, codes, starts = cut(batch.column(2))
+            before = np.concatenate([[0], np.cumsum(length[codes])])
+            long = np.flatnonzero(end - begin > 1)
+            encoded = segs.take(pa.array(long)).dictionary_encode()
+            at, row = encoded.indices.to_numpy(zero_copy_only=False), row[long]
+            first, times = np.full(len(encoded.dictionary), NEVER), np.zeros(len(encoded.dictionary), np.int64)
+            np.minimum.at(first, at, pid[row] + before[begin[long]] - before[starts[row]])
+            np.add.at(times, at, w[row])
+            return [pa.array(first, pa.int64()), pa.array(times, pa.int64()), encoded.dictionary]
+        return parts
+    schema = StructType([StructField("pid", LongType()), StructField("w", LongType()), StructField("s", StringType())])
+    return map_slices(rows.filter(F.length("s") > 1).select("pid", "w", "s"), "s", schema, make, PAIR_BYTES)
+
+
 def replace_pairs(s: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Every pair (two symbols -> one) replaced in turn, each greedily left to right.
     One expression of constant size, whose code is compiled once for all rounds."""
@@ -178,12 +239,14 @@ class Work:
 
 class PairIndex:
     """The index over ``pieces`` (pid, s, w), where pids are distinct and in the order that decides ties.
-    Pairs that occur less than ``floor`` times are not chosen."""
+    Pairs that occur less than ``floor`` times are not chosen. With ``lengths``, which gives the
+    lengths of symbols that are not 1, pids are places in a text; pieces are then cut between rarer pairs as merges go on."""
 
-    def __init__(self, pieces: DataFrame, alphabet: int = 0, floor: int = 1):
+    def __init__(self, pieces: DataFrame, alphabet: int = 0, floor: int = 1, lengths: Callable[[], dict[str, int]] | None = None):
         self.spark = pieces.sparkSession
         self.symbols = alphabet
         self.floor = floor
+        self.lengths = lengths
         self.round = 0
         self.work: list[Work] = []
         self.recounts = 0
@@ -266,6 +329,16 @@ class PairIndex:
         self._pending = {}
         before.drop()
 
+    def _cut_table(self) -> None:
+        """The table with its pieces cut between pairs that are rarer than the floor: these stay rarer, as do
+        the pairs that come from them, and shorter pieces are more often the same."""
+        kept = [p for p, n in self.frontier.items() if n >= self.floor]
+        seen = Observation()
+        parts = cut_pieces(self._table_now(), kept, self.lengths())
+        self._write_table(parts.groupBy("s").agg(F.min("pid").alias("pid"), F.sum("w").alias("w")).select("pid", "w", "s").observe(
+            seen, F.count(F.lit(1)).alias("rows")))
+        self.pieces = seen.get["rows"]
+
     def _merge_table(self, merges: dict[str, str], seen: Observation) -> DataFrame:
         """Count changes ``(pair, d)`` in the table."""
         sums = pair_sums(self._table.df, list(self._pending.items()), list(merges.items()))
@@ -377,7 +450,11 @@ class PairIndex:
         elif len(self.work) >= RECENT and sum(w.changed for w in self.work[-RECENT:]) * DENSE <= self.pieces * RECENT:
             self._build()
         if self._table and len(self._pending) and self.round % WRITE_TABLE == 0:
-            self._write_table(self._table_now())
+            # The frontier has all pairs of the floor and above if it goes as far down.
+            if self.lengths and not self.runs and self.least <= self.floor:
+                self._cut_table()
+            else:
+                self._write_table(self._table_now())
 
     def _merge_postings(self, merges: dict[str, str], work: Work) -> Run:
         read, seen = Observation(), Observation()
@@ -409,10 +486,10 @@ class PairIndex:
 
 
 def train(pieces: DataFrame, alphabet: int, goal: Callable[[], int], take: Callable[[list[str]], dict[str, str]],
-          max_per_round: int, floor: int = 1) -> list[Work]:
+          max_per_round: int, floor: int = 1, lengths: Callable[[], dict[str, int]] | None = None) -> list[Work]:
     """Choose and merge until ``goal()`` merges are left none, or no pair is that occurs ``floor`` times. ``take``
     turns the chosen pairs into their new symbols. Returns the work of each round."""
-    index = PairIndex(pieces, alphabet, floor)
+    index = PairIndex(pieces, alphabet, floor, lengths)
     while (left := goal()) > 0 and (pairs := index.choose(min(max_per_round, left))):
         index.merge(take(pairs))
     index.close()
